@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import line_dedup, simhash_dedup
+from cohortry.llm import line_dedup, simhash_dedup, toxicity
 from cohortry.llm.common import table
 
 
@@ -19,6 +19,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 OP7_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, list_extract(string_split(coalesce(text, ''), chr(10)), i) AS line
@@ -40,6 +47,7 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
