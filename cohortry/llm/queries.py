@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import line_dedup, simhash_dedup, toxicity
-from cohortry.llm.common import table
+from cohortry.llm import line_dedup, simhash_dedup, token_store, toxicity
+from cohortry.llm.common import shared_folder, table
+
+#: Folder of the public tokenizers' files.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +19,13 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
+    encoder = token_store.byte_bpe(f"{TOKENIZERS}/byte_bpe_50k.json")
+    token_store.write(table(spark, sf_dir, "documents"), folder, encoder, vocabulary=50_257)
+    return token_store.read_all(token_store.open_store(spark, folder))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -46,6 +58,7 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_token_store": op6_token_store,
     "op7_line_dedup": op7_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
