@@ -7,13 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import line_dedup, simhash_dedup, token_store, toxicity
+from cohortry.llm import decontamination, line_dedup, sentencepiece, simhash_dedup, token_store, toxicity
 from cohortry.llm.common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,6 +35,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -57,9 +65,11 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op6_token_store": op6_token_store,
     "op7_line_dedup": op7_line_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_toxicity": op10_toxicity,
 }
 
