@@ -9,8 +9,8 @@ slot and one comparison; a key that was never stored is refused by its fingerpri
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ SHARD_IDS = 2_000_000
 #: Keys a bucket holds on average. Smaller buckets need more pilots, larger ones longer searches.
 BUCKET_KEYS = 4
 #: Distinct chunks a task remembers before it starts afresh; it bounds the memory of a Python worker.
-MEMORY_CHUNKS = 800_000
+MEMORY_CHUNKS = 1_200_000
 
 SHARD_SCHEMA = "part int, shard int, before long, n_ids long, n_keys int, first_key long, last_key long, id_bytes int, payload binary, pilots binary, slot_prints binary, slot_starts binary, slot_ends binary, keys binary"
 
@@ -81,52 +81,73 @@ def find(shard: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return known, np.frombuffer(shard["slot_starts"], np.int64)[slots], np.frombuffer(shard["slot_ends"], np.int64)[slots]
 
 
-class ChunkEncoder:
+#: Marks that end a word of letters; not the apostrophe, which can begin a pre-token with letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Two of the blanks that texts are cut at, in a row.
+PAIRS = ("  ", "\n\n", " \n", "\n ")
+
+
+class ChunkEncoder(dict):
     """Ids of whole texts, with each distinct chunk encoded by the tokenizers library once and remembered.
 
     A byte-level BPE never merges over a blank that stands alone between two other characters: the blank opens the next
-    token. Cutting a text before each such space or line feed therefore leaves its ids as they are, and so does joining
-    new chunks into one text to encode them together; a token's length in bytes tells which chunk it belongs to. Texts
-    with two blanks in a row, or other blanks than spaces and line feeds, are encoded whole.
+    token. Cutting a text before each such space or line feed therefore leaves its ids as they are, and so does cutting
+    marks off the end of a word of letters. A word of letters is one pre-token, so the library's model takes it as it
+    is. Texts with two blanks in a row, or other blanks than spaces and line feeds, are encoded whole.
+
+    As a dictionary it maps a chunk, as it follows a space or with the line feed that it follows, to its ids' bytes.
     """
 
     def __init__(self, path: str, dtype: type):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.lengths = np.array([len(n) for n in names], np.int64)  # a byte-level name has one letter for each byte
-        self.dtype, self.seen = dtype, {}
-        self.odd = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
-
-    def whole(self, some: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-
-    def learn(self, new: list[str]) -> None:
-        """Remember the ids of chunks as they follow a space, or as they are if they begin with a line feed."""
-        joined = [c if c[0] == "\n" else " " + c for c in new]
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, self.dtype)
-        edges = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(c.encode()) for c in joined])) + 1
-        raw, size = ids.tobytes(), ids.itemsize
-        self.seen.update(zip(new, (raw[a * size : b * size] for a, b in zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True)), strict=True))
+        self.model, self.code = self.tokenizer.model, "H" if np.dtype(dtype).itemsize == 2 else "I"
+        named = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters: dict[int, str] = {}
+        for point in [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x10000, 0x40), *range(0x10000, 0x110000, 0x1000)]:
+            letters |= zip(chr(point).encode(), named.pre_tokenize_str(chr(point))[0][0], strict=True)
+        self.letters, self.space = letters, letters[32]
+
+    def ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters_ids(self, word: str, lead: str) -> bytes:
+        name = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(lead + name)]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        fed = chunk[:1] == "\n"
+        body = chunk.rstrip(MARKS)
+        word = body[1:] if fed else body
+        if word.isalpha():
+            found = self.bare("\n") + self.letters_ids(word, "") if fed else self.letters_ids(word, self.space)
+            found += self.bare(chunk[len(body) :])
+        else:
+            found = self.ids(chunk if fed else " " + chunk)
+        self[chunk] = found
+        return found
+
+    def bare(self, marks: str) -> bytes:
+        """Ids of marks that follow no space; kept under a name that no chunk has."""
+        name = " " + marks
+        if name not in self:
+            self[name] = self.ids(marks)
+        return self[name]
 
     def encode(self, some: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(some)
-        odd = [i for i, text in enumerate(some) if self.odd.search(text)]
-        plain = sorted({i for i, text in enumerate(some) if text} - set(odd))
-        # a chunk has lost the space before it, or begins with the line feed that it follows
-        chunks = [some[i].replace("\n", " \n").split(" ") for i in plain]
-        if len(self.seen) > MEMORY_CHUNKS:
-            self.seen.clear()
-        new = {c for cs in chunks for c in cs[1:]}.difference(self.seen)
-        if new:
-            self.learn(list(new))
-        get = self.seen.__getitem__
-        for i, head, cs in zip(plain, self.whole([cs[0] for cs in chunks]), chunks, strict=True):
-            out[i] = head + b"".join(map(get, cs[1:]))
-        for i, ids in zip(odd, self.whole([some[i] for i in odd]), strict=True):
-            out[i] = ids
+        out = []
+        for text in some:
+            if not text or text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in PAIRS) or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+                out.append(self.ids(text) if text else b"")
+                continue
+            head, *chunks = text.replace("\n", " \n").split(" ")
+            out.append(self.ids(head) + b"".join(map(self.__getitem__, chunks)))
+        if len(self) > MEMORY_CHUNKS:
+            self.clear()
         return out
 
 

@@ -31,6 +31,8 @@ def test_query_matches_encoding_of_whole_texts(spark):
 def test_chunks_leave_ids_as_they_are():
     ends = ["y", " y\n z", "\n", "'s 're 9\n9", "<|endoftext|>", "　q", "a  b", "", "é\nß 12,3", "\x85x", "\0 \0\nx"]
     texts = [a + b + c for a in ("", "\n", " ", " x", "don't", " x ", "a\tb", "  ", "\0") for b in ends for c in ends]
+    rng = np.random.default_rng(3)
+    texts += ["".join(rng.choice(list("aé.,'1 \n\t\u3000\x85\x1c-"), rng.integers(1, 12))) for _ in range(20000)]
     got = ts.ChunkEncoder(PATH, np.uint16).encode(texts)
     assert [np.frombuffer(g, np.uint16).tolist() for g in got] == whole_ids(texts)
 
