@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import texts
+from cohortry.llm.common import materialise, texts
 
 BLANK = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,11 +41,13 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
     long_enough = lambda k: F.char_length(k) >= min_chars
     once = rows.select("doc_id", F.explode(F.array_distinct(F.filter(F.transform("lines", line_key), long_enough))).alias("key"))
-    frequent = (
+    # written down, so that the join below may split the lines of a hot key over tasks
+    frequent = materialise(
         once.select("doc_id", *_hashes(F.col("key")))
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("newest"))
-        .where(F.col("n") >= min_docs)
+        .where(F.col("n") >= min_docs),
+        "frequent-lines",
     )
     places = rows.select("doc_id", "text_hash", F.posexplode("lines").alias("pos", "line")).withColumn("key", line_key(F.col("line"))).where(long_enough(F.col("key")))
     spread = F.ceil(F.col("n") / F.lit(rows_per_range))
