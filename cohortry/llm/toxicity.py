@@ -107,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    marks = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))  # at most ``sample`` pairs of numbers
     rows = docs.where(F.col(text_col).isNotNull())
     known = texts(rows, id_col, text_col).join(marks, "doc_id").select("doc_id", "text", "label")
 
@@ -140,3 +140,16 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
                 yield out_batch(doc_id=piece.column("doc_id"), score=shared.value.scores(terms, first))
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_below(docs: DataFrame, machine: Machine, limit: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with all their columns; a null text counts as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, text_col):
+                found = shared.value.scores(*distinct_terms(piece.column(text_col).fill_null("")))
+                yield piece.filter(pa.array(found < limit))
+
+    return docs.mapInArrow(run, docs.schema)
