@@ -76,3 +76,12 @@ QUERIES = {
 ORACLE_SQL = {
     "op7_line_dedup": OP7_SQL,
 }
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it uses this module's settings
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
