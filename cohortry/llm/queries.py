@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, line_dedup, sentencepiece, simhash_dedup, token_store, toxicity
+from cohortry.llm import decontamination, line_dedup, lm_scoring, sentencepiece, simhash_dedup, token_store, toxicity
 from cohortry.llm.common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -23,6 +23,12 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = lm_scoring.score_all(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
     encoder = token_store.byte_bpe(f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -67,6 +73,7 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_token_store": op6_token_store,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
