@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, line_dedup, lm_scoring, sentencepiece, simhash_dedup, token_store, toxicity
-from cohortry.llm.common import shared_folder, table
+from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, sentencepiece, simhash_dedup, token_store, toxicity
+from cohortry.llm.common import materialise, shared_folder, table
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
@@ -18,6 +18,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialise(fingerprints.with_edited(table(spark, sf_dir, "documents")), "edited-fingerprints")
+    near = fingerprints.count_within(found.where("doc_id % 100 = 0"), found)
+    as_hex = lambda high, low: F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in (high, low)))
+    # n_near: of the rows whose id is divisible by 100, how many other rows are within three bits; null for the others
+    return found.join(near, found.doc_id == near.query_id, "left").select(
+        "doc_id", "n_chars", "edited_sha256", as_hex("high", "low").alias("fingerprint"), as_hex("edited_high", "edited_low").alias("edited_fingerprint"), "near_edited", "near_next", "n_near"
+    )
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -72,6 +82,7 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op6_token_store": op6_token_store,
