@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, sentencepiece, simhash_dedup, token_store, toxicity
+from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, pii, sentencepiece, simhash_dedup, token_store, toxicity
 from cohortry.llm.common import materialise, shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -55,6 +55,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -88,6 +92,7 @@ QUERIES = {
     "op6_token_store": op6_token_store,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 
