@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, pii, sentencepiece, simhash_dedup, token_store, toxicity
+from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, pii, sentencepiece, simhash_dedup, token_store, toxicity, url_filter
 from cohortry.llm.common import materialise, shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -39,6 +39,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"))
+    return judged.withColumn("host_words", F.array_join("host_words", " "))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
     encoder = token_store.byte_bpe(f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -89,6 +94,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_url_filter": op5_url_filter,
     "op6_token_store": op6_token_store,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
