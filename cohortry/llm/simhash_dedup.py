@@ -4,6 +4,10 @@ A fingerprint's 64 bits are grouped into ``m`` parts, bits that vary together in
 fingerprint gives its parts thresholds whose sum is ``r - m + 1`` (-1 skips a part); whatever lies within ``r`` then
 agrees with it up to the threshold in one part at least. Dynamic programming picks, for each fingerprint, the
 thresholds with the fewest expected probes and candidates, so it avoids parts whose value is crowded.
+
+Two searches rest on this. ``near_duplicates`` links fingerprints within a small radius, and is complete. ``similar_documents``
+looks for texts that share most of their word shingles, whose fingerprints differ in too many bits for a complete
+search: it probes with a fingerprint of short shingles and verifies with a long fingerprint of the wanted shingles.
 """
 
 from __future__ import annotations
@@ -135,54 +139,69 @@ def n_parts(distinct: int) -> int:
     return 4 if distinct < 2**13 else 3 if distinct < 2**23 else 2
 
 
+class Plan:
+    """Parts of the bits of a table's distinct fingerprints (column fp), and the numbers that share out thresholds."""
+
+    def __init__(self, fps: DataFrame, radius: int, m: int | None = None):
+        self.radius = radius
+        self.parts = parts = bit_parts(fps, m or n_parts(fps.count()))
+        self.known = known = [min(SKETCH, len(p)) for p in parts]
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = [np.zeros(2**k, np.int64) for k in known]
+            for batch in batches:
+                x = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                for i, bits in enumerate(parts):
+                    seen[i] += np.bincount(take_bits(x, bits[: known[i]]).astype(np.int64), minlength=2 ** known[i])
+            for i, s in enumerate(seen):
+                at = np.flatnonzero(s)
+                yield out_batch(part=np.full(len(at), i, np.int32), value=at.astype(np.int32), n=s[at])
+
+        self.seen = [np.zeros(2**k) for k in known]
+        for part, value, n in fps.mapInArrow(count, "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).collect():
+            self.seen[part][value] = n
+        self.expected = [ball_counts(s, len(p), radius) for s, p in zip(self.seen, parts, strict=True)]
+        self.probes = [[float(sum(comb(len(p), j) for j in range(t + 1))) for t in range(radius + 1)] for p in parts]
+
+    def turned(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Part, rows and values to look up for fingerprints ``x``, by the thresholds that cost each of them least."""
+        costs = []
+        for i, bits in enumerate(self.parts):
+            lead = take_bits(x, bits[: self.known[i]]).astype(np.int64)
+            costs.append(np.vstack([np.zeros((1, len(x))), self.expected[i][:, lead] + np.array(self.probes[i])[:, None]]))
+        shares = allocate(costs, self.radius + 1)
+        for i, bits in enumerate(self.parts):
+            value = take_bits(x, bits)
+            for t in range(self.radius + 1):
+                at = np.flatnonzero(shares[i] > t)
+                for flips in combinations(range(len(bits)), t) if len(at) else ():
+                    yield i, at, value[at] ^ np.uint64(sum(1 << f for f in flips))
+
+
+def _longs(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct fingerprints of ``fps`` (column ``fp``, no repeats) with at most ``radius`` differing bits.
 
     Complete: every such pair is found at least once, in one direction or both. Rows with a null fingerprint are ignored.
     """
     fps = fps.where("fp is not null").select("fp")
-    m = m or n_parts(fps.count())
-    parts = bit_parts(fps, m)
-    known = [min(SKETCH, len(p)) for p in parts]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(2**k, np.int64) for k in known]
-        for batch in batches:
-            x = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, bits in enumerate(parts):
-                seen[i] += np.bincount(take_bits(x, bits[: known[i]]).astype(np.int64), minlength=2 ** known[i])
-        for i, s in enumerate(seen):
-            at = np.flatnonzero(s)
-            yield out_batch(part=np.full(len(at), i, np.int32), value=at.astype(np.int32), n=s[at])
-
-    seen = [np.zeros(2**k) for k in known]
-    for part, value, n in fps.mapInArrow(count, "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).collect():
-        seen[part][value] = n
-    expected = [ball_counts(s, len(p), radius) for s, p in zip(seen, parts, strict=True)]
-    probes = [[0.0] + [float(sum(comb(len(p), j) for j in range(t + 1))) for t in range(radius + 1)] for p in parts]
-    shared = fps.sparkSession.sparkContext.broadcast(expected)
+    plan = Plan(fps, radius, m)
+    shared = fps.sparkSession.sparkContext.broadcast(plan)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in range(0, batch.num_rows, 16384):
-                x = batch.column("fp").slice(some, 16384).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                costs = []
-                for i, bits in enumerate(parts):
-                    lead = take_bits(x, bits[: known[i]]).astype(np.int64)
-                    costs.append(np.vstack([np.zeros((1, len(x))), shared.value[i][:, lead] + np.array(probes[i][1:])[:, None]]))
-                shares = allocate(costs, radius + 1)
-                for i, bits in enumerate(parts):
-                    value = take_bits(x, bits)
-                    for t in range(radius + 1):
-                        at = np.flatnonzero(shares[i] > t)
-                        for flips in combinations(range(len(bits)), t) if len(at) else ():
-                            turned = value[at] ^ np.uint64(sum(1 << f for f in flips))
-                            yield out_batch(part=np.full(len(at), i, np.int32), value=turned.view(np.int64), a=x[at].view(np.int64))
+                x = _longs(batch.slice(some, 16384), "fp").view(np.uint64)
+                for i, at, value in shared.value.turned(x):
+                    yield out_batch(part=np.full(len(at), i, np.int32), value=value.view(np.int64), a=x[at].view(np.int64))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, bits in enumerate(parts):
+            x = _longs(batch, "fp").view(np.uint64)
+            for i, bits in enumerate(shared.value.parts):
                 yield out_batch(part=np.full(len(x), i, np.int32), value=take_bits(x, bits).view(np.int64), b=x.view(np.int64))
 
     probing = fps.mapInArrow(probe, "part int, value long, a long")
@@ -206,7 +225,103 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows with a null id stay."""
-    out = near_duplicates(docs, id_col, text_col, shingle, radius).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+def bits_apart(similarity: float, slack: float) -> int:
+    """Most differing bits of two 128-bit fingerprints whose shingle sets have a Jaccard similarity of ``similarity``: as many as are
+    expected, and ``slack`` deviations more."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(128 * share + slack * np.sqrt(128 * share * (1 - share)))
+
+
+#: Entries of a crowded bucket that one row of the index holds; a probe meets each such row in turn.
+BUCKET_ROWS = 2048
+
+
+def similar_links(nodes: DataFrame, plan: Plan, apart: int, labelled: bool) -> DataFrame:
+    """Links ``a``, ``b`` between rows of ``nodes`` (node, label, fp, w1, w2) that meet in a bucket and differ in at most ``apart``
+    bits of (w1, w2).
+
+    A bucket's entries come as arrays of bounded length, and a probe that meets an array gives one row at most, however
+    many entries are near: its smallest near node, or, if ``labelled``, the smallest near label of another component.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(plan)
+    known = plan.known
+
+    def chunks(seen: np.ndarray, part: int, value: np.ndarray) -> np.ndarray:
+        lead = (value & np.uint64(2 ** known[part] - 1)).astype(np.int64)
+        return np.maximum(np.ceil(seen[lead] / BUCKET_ROWS).astype(np.int64), 1)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
+        for batch in batches:
+            x, node = _longs(batch, "fp").view(np.uint64), _longs(batch, "node")
+            for i, bits in enumerate(plan.parts):
+                value = take_bits(x, bits)
+                chunk = node.view(np.uint64) % chunks(plan.seen[i], i, value).astype(np.uint64)
+                yield out_batch(part=np.full(len(x), i, np.int32), value=value.view(np.int64), chunk=chunk.astype(np.int32), name=batch.column("label" if labelled else "node"), b1=batch.column("w1"), b2=batch.column("w2"))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
+        for batch in batches:
+            for some in range(0, batch.num_rows, 16384):
+                piece = batch.slice(some, 16384)
+                x = _longs(piece, "fp").view(np.uint64)
+                own, w1, w2 = _longs(piece, "label" if labelled else "node"), _longs(piece, "w1"), _longs(piece, "w2")
+                for i, at, value in plan.turned(x):
+                    n = chunks(plan.seen[i], i, value)
+                    row = np.repeat(at, n)
+                    chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                    yield out_batch(part=np.full(len(row), i, np.int32), value=np.repeat(value, n).view(np.int64), chunk=chunk.astype(np.int32), a=own[row], a1=w1[row], a2=w2[row])
+
+    key = ["part", "value", "chunk"]
+    indexed = nodes.mapInArrow(index, "part int, value long, chunk int, name long, b1 long, b2 long").groupBy(*key).agg(F.collect_list(F.struct("name", "b1", "b2")).alias("entries"))
+    probing = nodes.mapInArrow(probe, "part int, value long, chunk int, a long, a1 long, a2 long")
+    near = lambda e: (e["name"] != F.col("a")) & (F.bit_count(F.col("a1").bitwiseXOR(e["b1"])) + F.bit_count(F.col("a2").bitwiseXOR(e["b2"])) <= apart)
+    met = probing.join(indexed, key)
+    names = F.transform(F.filter("entries", near), lambda e: e["name"])
+    return met.select("a", F.array_min(names).alias("b")).where("b is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 7, slack: float = 2.0) -> DataFrame:
+    """``doc_id``, ``component_id`` of every row: groups of texts that share most of their ``shingle``-word shingles.
+
+    Two texts are linked if their 128-bit fingerprints of these shingles differ in no more bits than a Jaccard similarity
+    of ``similarity`` leads to (with ``slack`` deviations). Candidates agree in some part of a 64-bit fingerprint of word
+    pairs up to its threshold; thresholds are shared out as if ``radius`` bits might differ, and random differences find
+    an agreeing part well beyond that. Links are gathered in rounds: first each text with its smallest near one, then
+    components with their smallest near other one, until no link joins two components.
+
+    Equal texts are one text. Null and blank texts are one group. Rows with a null id get the smallest id of their group
+    that is not null, if any. An empty table gives no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [t.as_buffer().to_pybytes().lower().split() for t in batch.column("text")]
+            fps = [np.array([fingerprint(w, k, seed) for w in words], np.uint64).view(np.int64) for k, seed in ((2, 42), (shingle, 1), (shingle, 2))]
+            yield out_batch(doc_id=batch.column("doc_id"), fp=fps[0], w1=fps[1], w2=fps[2])
+
+    marked = materialise(texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, w1 long, w2 long"), "wide-fingerprints")
+    node = F.xxhash64("fp", "w1", "w2").alias("node")
+    groups = materialise(marked.groupBy("fp", "w1", "w2").agg(F.min("doc_id").alias("least")).select(node, "fp", "w1", "w2", "least"), "wide-groups")
+    plan = Plan(groups.select("fp").distinct(), radius)
+    apart = bits_apart(similarity, slack)
+    labels = groups.select("node", F.col("node").alias("label"))
+    for turn in range(20):
+        nodes = materialise(groups.join(labels, "node").select("node", "label", "fp", "w1", "w2"), "wide-nodes")
+        found = materialise(similar_links(nodes, plan, apart, labelled=turn > 0), "wide-links")
+        if found.isEmpty():
+            break
+        joined = components(found).withColumnsRenamed({"node": "label", "root": "to"})
+        labels = nodes.select("node", "label").join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    else:
+        raise RuntimeError("components kept joining for 20 rounds")
+    named = nodes.select("node", "label").join(groups.select("node", "least"), "node")
+    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    own = named.join(least, "label").select("node", "component_id")
+    return marked.select("doc_id", node).join(own, "node").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group of similar documents; rows with a null id stay."""
+    out = similar_documents(docs, id_col, text_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(out, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")

@@ -51,6 +51,50 @@ def test_links_are_complete_for_any_number_of_parts(spark):
         assert got == want
 
 
+def jaccard_groups(rows, least):
+    """Components over pairs of texts whose five-word shingle sets reach the similarity."""
+    sets = {}
+    for i, text in rows:
+        w = (text or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if a < b and small >= least * large and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in sets}
+
+
+def test_similar_documents_hold_together_and_others_stay_apart(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    text = next(t for _, t in rows if t and 200 < len(t.split()) < 400)
+    words = text.split()
+    for k in range(12):  # a chain of edits, two words more each time
+        rows.append((100_000 + k, " ".join("edit" + w if i in (20, 60, 100, 140, 180)[: k % 4] else w for i, w in enumerate(words))))
+    got = {r.doc_id: r.component_id for r in sd.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near, far = jaccard_groups(rows, 0.87), jaccard_groups(rows, 0.3)
+    assert all(got[i] == got[near[i]] for i in near)
+    assert all(far[i] == far[got[i]] for i in got)
+
+
+def test_crowded_buckets_are_cut_and_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_ROWS", 4)
+    base = [f"word{i}" for i in range(150)]
+    rows = [(k, " ".join(f"new{k}" if i == k else w for i, w in enumerate(base))) for k in range(60)] + [(99, "quite another text " * 30)]
+    got = {r.doc_id: r.component_id for r in sd.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got.values()) == {0, 99}
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, " \n", None), (4, "One two", "x"), (4, "one TWO", "x"), (None, "one two", "x"), (9, "word " * 40000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
@@ -58,4 +102,5 @@ def test_awkward_rows(spark):
     assert out.count() == 7 and out.where("component_id = 1").count() == 3
     assert sorted((r.doc_id or 0, r.component_id) for r in out.where("component_id = 4").collect()) == [(0, 4), (4, 4), (4, 4)]
     assert sd.near_duplicates(docs.limit(0)).count() == 0
+    assert sd.similar_documents(docs).count() == 7 and sd.similar_documents(docs.limit(0)).count() == 0
     assert sd.keep_one(docs).where(F.col("doc_id").isin(2, 3)).count() == 0
