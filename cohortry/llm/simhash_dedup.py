@@ -236,49 +236,50 @@ def bits_apart(similarity: float, slack: float) -> int:
 BUCKET_ROWS = 2048
 
 
-def similar_links(nodes: DataFrame, plan: Plan, apart: int, labelled: bool) -> DataFrame:
-    """Links ``a``, ``b`` between rows of ``nodes`` (node, label, fp, w1, w2) that meet in a bucket and differ in at most ``apart``
-    bits of (w1, w2).
+def similar_links(asking: DataFrame, nodes: DataFrame, plan: Plan, apart: int) -> DataFrame:
+    """What each row of ``asking`` meets among ``nodes`` (both: name, fp, w1, w2): ``a`` and ``near``, the distinct other names in
+    its buckets whose (w1, w2) differ in at most ``apart`` bits, one array for each bucket with any.
 
-    A bucket's entries come as arrays of bounded length, and a probe that meets an array gives one row at most, however
-    many entries are near: its smallest near node, or, if ``labelled``, the smallest near label of another component.
+    A bucket's entries come as arrays of bounded length, so a probe gives one row for each array at most, however many
+    entries are near. Part, piece of a crowded bucket and value make one key of 64 bits.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(plan)
     known = plan.known
 
-    def chunks(seen: np.ndarray, part: int, value: np.ndarray) -> np.ndarray:
+    def pieces(seen: np.ndarray, part: int, value: np.ndarray) -> np.ndarray:
         lead = (value & np.uint64(2 ** known[part] - 1)).astype(np.int64)
         return np.maximum(np.ceil(seen[lead] / BUCKET_ROWS).astype(np.int64), 1)
 
+    def key(part: int, piece: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return (np.uint64(part << 60) | piece.astype(np.uint64) << np.uint64(36) | value).view(np.int64)
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         for batch in batches:
-            x, node = _longs(batch, "fp").view(np.uint64), _longs(batch, "node")
+            x, spread = _longs(batch, "fp").view(np.uint64), _longs(batch, "w1").view(np.uint64)
             for i, bits in enumerate(plan.parts):
                 value = take_bits(x, bits)
-                chunk = node.view(np.uint64) % chunks(plan.seen[i], i, value).astype(np.uint64)
-                yield out_batch(part=np.full(len(x), i, np.int32), value=value.view(np.int64), chunk=chunk.astype(np.int32), name=batch.column("label" if labelled else "node"), b1=batch.column("w1"), b2=batch.column("w2"))
+                piece = spread % pieces(plan.seen[i], i, value).astype(np.uint64)
+                yield out_batch(key=key(i, piece, value), name=batch.column("name"), b1=batch.column("w1"), b2=batch.column("w2"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         for batch in batches:
             for some in range(0, batch.num_rows, 16384):
-                piece = batch.slice(some, 16384)
-                x = _longs(piece, "fp").view(np.uint64)
-                own, w1, w2 = _longs(piece, "label" if labelled else "node"), _longs(piece, "w1"), _longs(piece, "w2")
+                rows = batch.slice(some, 16384)
+                x = _longs(rows, "fp").view(np.uint64)
+                own, w1, w2 = (_longs(rows, c) for c in ("name", "w1", "w2"))
                 for i, at, value in plan.turned(x):
-                    n = chunks(plan.seen[i], i, value)
+                    n = pieces(plan.seen[i], i, value)
                     row = np.repeat(at, n)
-                    chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                    yield out_batch(part=np.full(len(row), i, np.int32), value=np.repeat(value, n).view(np.int64), chunk=chunk.astype(np.int32), a=own[row], a1=w1[row], a2=w2[row])
+                    piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                    yield out_batch(key=key(i, piece, np.repeat(value, n)), a=own[row], a1=w1[row], a2=w2[row])
 
-    key = ["part", "value", "chunk"]
-    indexed = nodes.mapInArrow(index, "part int, value long, chunk int, name long, b1 long, b2 long").groupBy(*key).agg(F.collect_list(F.struct("name", "b1", "b2")).alias("entries"))
-    probing = nodes.mapInArrow(probe, "part int, value long, chunk int, a long, a1 long, a2 long")
+    indexed = nodes.mapInArrow(index, "key long, name long, b1 long, b2 long").groupBy("key").agg(F.collect_list(F.struct("name", "b1", "b2")).alias("entries"))
+    probing = asking.mapInArrow(probe, "key long, a long, a1 long, a2 long")
     near = lambda e: (e["name"] != F.col("a")) & (F.bit_count(F.col("a1").bitwiseXOR(e["b1"])) + F.bit_count(F.col("a2").bitwiseXOR(e["b2"])) <= apart)
-    met = probing.join(indexed, key)
-    names = F.transform(F.filter("entries", near), lambda e: e["name"])
-    return met.select("a", F.array_min(names).alias("b")).where("b is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b")
+    met = probing.join(indexed, "key").select("a", F.array_distinct(F.transform(F.filter("entries", near), lambda e: e["name"])).alias("near"))
+    return met.where(F.size("near") > 0)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 7, slack: float = 2.0) -> DataFrame:
@@ -287,8 +288,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Two texts are linked if their 128-bit fingerprints of these shingles differ in no more bits than a Jaccard similarity
     of ``similarity`` leads to (with ``slack`` deviations). Candidates agree in some part of a 64-bit fingerprint of word
     pairs up to its threshold; thresholds are shared out as if ``radius`` bits might differ, and random differences find
-    an agreeing part well beyond that. Links are gathered in rounds: first each text with its smallest near one, then
-    components with their smallest near other one, until no link joins two components.
+    an agreeing part well beyond that. Links are gathered in two rounds, so that a large group never gives all its pairs:
+    first each text with its smallest near one, then, for the texts that have any, with the other components near it.
 
     Equal texts are one text. Null and blank texts are one group. Rows with a null id get the smallest id of their group
     that is not null, if any. An empty table gives no rows.
@@ -305,17 +306,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     groups = materialise(marked.groupBy("fp", "w1", "w2").agg(F.min("doc_id").alias("least")).select(node, "fp", "w1", "w2", "least"), "wide-groups")
     plan = Plan(groups.select("fp").distinct(), radius)
     apart = bits_apart(similarity, slack)
-    labels = groups.select("node", F.col("node").alias("label"))
-    for turn in range(20):
-        nodes = materialise(groups.join(labels, "node").select("node", "label", "fp", "w1", "w2"), "wide-nodes")
-        found = materialise(similar_links(nodes, plan, apart, labelled=turn > 0), "wide-links")
-        if found.isEmpty():
-            break
-        joined = components(found).withColumnsRenamed({"node": "label", "root": "to"})
-        labels = nodes.select("node", "label").join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    else:
-        raise RuntimeError("components kept joining for 20 rounds")
-    named = nodes.select("node", "label").join(groups.select("node", "least"), "node")
+    wide = groups.select(F.col("node").alias("name"), "fp", "w1", "w2")
+    first = similar_links(wide, wide, plan, apart).groupBy("a").agg(F.min(F.array_min("near")).alias("b"))
+    first = materialise(first, "wide-links")
+    joined = components(first).withColumnsRenamed({"root": "label"})
+    labels = materialise(groups.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node")), "wide-labels")
+    named = labels.select("node", F.col("label").alias("name"), "fp", "w1", "w2")
+    asking = named.join(first.select(F.col("a").alias("node")), "node", "left_semi")
+    across = similar_links(asking, named, plan, apart).select("a", F.explode("near").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    last = components(materialise(across.select("a", "b"), "wide-links")).withColumnsRenamed({"node": "label", "root": "to"})
+    named = labels.join(last, "label", "left").select("node", "least", F.coalesce("to", "label").alias("label"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     own = named.join(least, "label").select("node", "component_id")
     return marked.select("doc_id", node).join(own, "node").select("doc_id", "component_id")
