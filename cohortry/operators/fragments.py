@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.functions.scalar import ratio
+
 
 def length_shares(histogram: DataFrame, limit: int = 500) -> DataFrame:
     """Share in percent of each size from 0 to ``limit`` - 1 for each sample, sizes that do not occur as 0."""
@@ -14,7 +16,7 @@ def length_shares(histogram: DataFrame, limit: int = 500) -> DataFrame:
     sums = histogram.where((F.col("size") >= 0) & (F.col("size") < limit)).groupBy("sample", "size").agg(F.sum("count").alias("count"))
     totals = sums.groupBy("sample").agg(F.sum("count").alias("total"))
     dense = totals.crossJoin(F.broadcast(spark.range(limit).select(F.col("id").cast("int").alias("size"))))
-    return dense.join(sums, ["sample", "size"], "left").select("sample", "size", (100 * F.coalesce("count", F.lit(0)) / F.col("total")).alias("pct"))
+    return dense.join(sums, ["sample", "size"], "left").select("sample", "size", ratio(100 * F.coalesce("count", F.lit(0)), F.col("total")).alias("pct"))
 
 
 def length_profile(shares: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def occupancy(regions: DataFrame, signal: DataFrame, width: int) -> DataFrame:
     met = overlap_join(regions, right, width).groupBy("name").agg(F.sum(both).alias("covered"), F.sum(both * F.col("value")).alias("sum"))
     size = F.col("end") - F.col("start")
     full = regions.join(met, "name", "left").withColumn("covered", F.coalesce("covered", F.lit(0))).withColumn("sum", F.coalesce("sum", F.lit(0.0)))
-    return full.select("name", size.alias("size"), "covered", "sum", (F.col("sum") / size).alias("mean0"), F.when(F.col("covered") > 0, F.col("sum") / F.col("covered")).otherwise(0.0).alias("mean"))
+    return full.select("name", size.alias("size"), "covered", "sum", ratio(F.col("sum"), size).alias("mean0"), F.when(F.col("covered") > 0, F.col("sum") / F.col("covered")).otherwise(0.0).alias("mean"))
 
 
 def cut_sites(fragments: DataFrame) -> DataFrame:
@@ -146,7 +148,7 @@ def compare_marks(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     x, y = F.coalesce("marked_a", F.lit(False)), F.coalesce("marked_b", F.lit(False))
     both = a.withColumnRenamed("marked", "marked_a").join(b.withColumnRenamed("marked", "marked_b"), list(keys), "full")
     n = lambda c: F.count(F.when(c, 1))
-    return both.agg(n(x & y).alias("n_both"), n(x | y).alias("n_either"), (n(x & y) / n(x | y)).alias("jaccard"), n(x != y).alias("n_differ"), (n(x == y) / F.count(F.lit(1))).alias("agreement"))
+    return both.agg(n(x & y).alias("n_both"), n(x | y).alias("n_either"), ratio(n(x & y), n(x | y)).alias("jaccard"), n(x != y).alias("n_differ"), ratio(n(x == y), F.count(F.lit(1))).alias("agreement"))
 
 
 def compare_sites(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -156,4 +158,4 @@ def compare_sites(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     both = one.join(two, list(keys), "full")
     shared = F.col("va").isNotNull() & F.col("vb").isNotNull()
     gap, weight = F.abs(F.col("va") - F.col("vb")), F.col("da") + F.col("db")
-    return both.agg(F.count(F.when(shared, 1)).alias("n_shared"), F.count(F.lit(1)).alias("n_all"), (F.count(F.when(shared, 1)) / F.count(F.lit(1))).alias("shared_fraction"), F.avg(gap).alias("mean_abs_delta"), (F.sum(gap * weight) / F.sum(F.when(shared, weight))).alias("weighted_delta"))
+    return both.agg(F.count(F.when(shared, 1)).alias("n_shared"), F.count(F.lit(1)).alias("n_all"), ratio(F.count(F.when(shared, 1)), F.count(F.lit(1))).alias("shared_fraction"), F.avg(gap).alias("mean_abs_delta"), ratio(F.sum(gap * weight), F.sum(F.when(shared, weight))).alias("weighted_delta"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.functions.scalar import ratio
+
 
 def null_if_nan(c: Column) -> Column:
     """NaN as null; every other value stays."""
@@ -121,7 +123,7 @@ def z_scores(long: DataFrame, limit: float = 5.0) -> DataFrame:
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str, scale: float = 1.0) -> DataFrame:
     """``value`` as a share of its total over ``keys``."""
-    return df.withColumn(out, F.lit(scale) * F.col(value) / F.sum(value).over(Window.partitionBy(*keys)))
+    return df.withColumn(out, ratio(F.lit(scale) * F.col(value), F.sum(value).over(Window.partitionBy(*keys))))
 
 
 def unit_scale(long: DataFrame) -> DataFrame:

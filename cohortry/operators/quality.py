@@ -7,16 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortry.functions.scalar import ratio
+
 
 def coverage(sites: DataFrame, min_depth: int = 1) -> DataFrame:
     """Per sample: ``methylation_pct``, ``covered_sites``, ``mean_depth`` over sites (sample, m, u) of at least ``min_depth``."""
     deep = sites.where(F.col("m") + F.col("u") >= min_depth)
-    return deep.groupBy("sample").agg((100 * F.sum("m") / F.sum(F.col("m") + F.col("u"))).alias("methylation_pct"), F.count(F.lit(1)).alias("covered_sites"), F.avg(F.col("m") + F.col("u")).alias("mean_depth"))
+    return deep.groupBy("sample").agg(ratio(100 * F.sum("m"), F.sum(F.col("m") + F.col("u"))).alias("methylation_pct"), F.count(F.lit(1)).alias("covered_sites"), F.avg(F.col("m") + F.col("u")).alias("mean_depth"))
 
 
 def conversion(sites: DataFrame) -> DataFrame:
     """Per sample: ``rate_pct`` of unexpected methylation and ``conversion_pct``, its complement."""
-    rate = 100 * F.sum("m") / F.sum(F.col("m") + F.col("u"))
+    rate = ratio(100 * F.sum("m"), F.sum(F.col("m") + F.col("u")))
     return sites.groupBy("sample").agg(rate.alias("rate_pct"), (100 - rate).alias("conversion_pct"))
 
 
@@ -36,7 +38,7 @@ def fragment_metrics(sizes: DataFrame, limit: int = 1000) -> DataFrame:
     order = Window.partitionBy("sample").orderBy("ord")
     whole = Window.partitionBy("sample")
     run = kept.withColumn("run", F.sum("count").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("count").over(whole))
-    share = lambda cond: 100 * F.coalesce(F.sum(F.when(cond, F.col("count"))), F.lit(0.0)) / F.sum("count")
+    share = lambda cond: ratio(100 * F.coalesce(F.sum(F.when(cond, F.col("count"))), F.lit(0.0)), F.sum("count"))
     inside = F.col("size").between(100, 400)
     return run.groupBy("sample").agg(
         F.min_by("size", F.when(F.col("run") >= F.col("total") / 2, F.col("ord"))).alias("median"),

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.functions.scalar import ratio
 from cohortry.functions.special import exact_rank_p, normal_tail
 
 
@@ -95,7 +96,7 @@ def roc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", label
     counted = scores.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)).groupBy(*keys, score).agg(F.sum(label).alias("pos"), F.sum(1 - F.col(label)).alias("neg"))
     down = Window.partitionBy(*keys).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
-    rate = lambda c: F.sum(c).over(down) / F.sum(c).over(whole)
+    rate = lambda c: ratio(F.sum(c).over(down), F.sum(c).over(whole))
     return counted.select(*keys, rate("neg").alias("fpr"), rate("pos").alias("tpr"), F.col(score).alias("threshold"))
 
 

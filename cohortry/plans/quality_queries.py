@@ -152,10 +152,10 @@ def short_long_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins(spark, sf_dir).withColumn("ratio", near("ratio"))
 
 
-@query(f"""WITH {BINS.replace("500", "50000")}, k AS (SELECT sample, contig, start, n_short FROM bn WHERE n_short + n_long > 0)
-SELECT a.contig, a.start, a.start + 50000 AS stop, a.n_short AS s0, b.n_short AS s1, c.n_short AS s2 FROM k a JOIN k b ON a.contig = b.contig AND a.start = b.start JOIN k c ON a.contig = c.contig AND a.start = c.start WHERE a.sample = 0 AND b.sample = 1 AND c.sample = 2""")
+@query(f"""WITH {BINS.replace("500", "500000")}, k AS (SELECT sample, contig, start, n_short FROM bn WHERE n_short + n_long > 0)
+SELECT a.contig, a.start, a.start + 500000 AS stop, a.n_short AS s0, b.n_short AS s1, c.n_short AS s2 FROM k a JOIN k b ON a.contig = b.contig AND a.start = b.start JOIN k c ON a.contig = c.contig AND a.start = c.start WHERE a.sample = 0 AND b.sample = 1 AND c.sample = 2""")
 def aligned_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fragments.align_bins(bins(spark, sf_dir, 50000), ["s0", "s1", "s2"], "n_short")
+    return fragments.align_bins(bins(spark, sf_dir, 500000), ["s0", "s1", "s2"], "n_short")
 
 
 @query(f"""WITH {E}, rg AS (SELECT chrom, start, "end", 'r' || ord AS name FROM e WHERE user_id % 40 = 0), sg AS (SELECT chrom, g * 10 AS start, g * 10 + 7 AS "end", (g % 9)::DOUBLE AS value FROM (SELECT DISTINCT chrom, start // 10 AS g FROM e)),

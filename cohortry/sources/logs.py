@@ -98,7 +98,7 @@ def report_modules(files: DataFrame) -> DataFrame:
 
 def failed_share(modules: DataFrame) -> DataFrame:
     """Share in percent of a report's modules that failed."""
-    return modules.groupBy("source").agg((100 * F.count(F.when(F.col("status") == 2, 1)) / F.count("status")).alias("failed_pct"))
+    return modules.groupBy("source").agg((100 * F.count(F.when(F.col("status") == 2, 1)) / F.nullif(F.count("status"), F.lit(0))).alias("failed_pct"))
 
 
 def unpack_lz(text: str) -> str:
