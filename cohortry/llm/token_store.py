@@ -29,6 +29,9 @@ BUCKET_KEYS = 4
 #: Distinct chunks a task remembers before it starts afresh; it bounds the memory of a Python worker.
 MEMORY_CHUNKS = 1_200_000
 
+#: Key under which rows without a key are stored; reading gives null for it.
+NO_KEY = -(2**63)
+
 SHARD_SCHEMA = "part int, shard int, before long, n_ids long, n_keys int, first_key long, last_key long, id_bytes int, payload binary, pilots binary, slot_prints binary, slot_starts binary, slot_ends binary, keys binary"
 
 
@@ -181,9 +184,9 @@ def _shard(part: int, shard: int, before: int, keys: list[int], sizes: list[int]
 def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str]], list[bytes]]], vocabulary: int, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, parts: int | None = None) -> None:
     """Encode every text, append ``end_id`` and write the shards to ``folder`` in ascending order of keys.
 
-    Ids take two bytes if the vocabulary allows, else four. A null or empty text has the end id alone. Keys must be
-    distinct and not null; a repeated or null key stops the job with a message, since a keyed store cannot hold it. An
-    empty table writes no shard. Further columns are left behind.
+    Ids take two bytes if the vocabulary allows, else four. A null or empty text has the end id alone. Rows of one key are
+    one document: their ids follow one another, each text with its end, in the order of the texts. Rows without a key are
+    one document too, the first of all. An empty table writes no shard. Further columns are left behind.
     """
     dtype = np.uint16 if vocabulary <= 2**16 else np.uint32
     end = np.array([end_id], dtype).tobytes()
@@ -193,13 +196,16 @@ def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(), TaskContext.get().partitionId()
         shard = before = held = 0
-        keys, sizes, payload, last = [], [], [], None
+        keys, sizes, payload = [], [], []
         for batch in batches:
             for piece in slices(batch, limit=1_000_000):
                 for key, ids in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text").to_pylist()), strict=True):
-                    if key is None or key == last:
-                        raise ValueError(f"keys must be distinct and not null; found {key}")
-                    last, n = key, len(ids) // np.dtype(dtype).itemsize + 1
+                    n = len(ids) // np.dtype(dtype).itemsize + 1
+                    if keys and key == keys[-1]:
+                        sizes[-1] += n
+                        payload.append(ids + end)
+                        held += n
+                        continue
                     if keys and held + n > SHARD_IDS:
                         yield _shard(part, shard, before, keys, sizes, payload, dtype)
                         shard, before, held = shard + 1, before + held, 0
@@ -211,7 +217,8 @@ def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str
         if keys:
             yield _shard(part, shard, before, keys, sizes, payload, dtype)
 
-    ordered = texts(docs, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_KEY)))
+    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, SHARD_SCHEMA).write.parquet(folder)
 
 
@@ -236,7 +243,7 @@ def _digest(shard: dict, keys: np.ndarray) -> pa.RecordBatch:
         keys, starts, ends = keys[known], starts[known], ends[known]
     ids = np.frombuffer(shard["payload"], np.uint16 if shard["id_bytes"] == 2 else np.uint32).astype("<u4")
     crcs = np.array([zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)], np.int64)
-    return out_batch(doc_id=keys, start=starts + shard["before"] + shard["base"], n_tokens=ends - starts, ids_crc32=crcs)
+    return out_batch(doc_id=pa.array(keys, mask=keys == NO_KEY), start=starts + shard["before"] + shard["base"], n_tokens=ends - starts, ids_crc32=crcs)
 
 
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -256,7 +263,7 @@ def read_all(store: DataFrame) -> DataFrame:
 
 
 def lookup(store: DataFrame, keys: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """The ids of the wanted keys: ``doc_id`` and ``ids`` (array of long). Unknown and null keys give no row, repeated keys one.
+    """The ids of the wanted keys: ``doc_id`` and ``ids`` (array of long). Unknown and null keys give no row, repeated ones one.
 
     The shards' key ranges, two numbers each, route a key to its shard; the shard's index then finds it at once.
     """

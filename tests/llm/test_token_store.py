@@ -1,7 +1,6 @@
 import zlib
 
 import numpy as np
-import pytest
 from tokenizers import Tokenizer
 
 from cohortry.llm import token_store as ts
@@ -60,5 +59,9 @@ def test_empty_table_and_repeated_keys(spark, tmp_path):
     none = spark.createDataFrame([], "doc_id long, text string")
     ts.write(none, f"{tmp_path}/none", ts.byte_bpe(PATH), 50_257)
     assert ts.read_all(ts.open_store(spark, f"{tmp_path}/none")).count() == 0
-    with pytest.raises(Exception, match="distinct and not null"):
-        ts.write(spark.createDataFrame([(1, "a"), (1, "b")], "doc_id long, text string"), f"{tmp_path}/twice", ts.byte_bpe(PATH), 50_257)
+    rows = [(1, "b"), (1, "a"), (None, "x"), (None, None), (2, "a"), (2, "a")]
+    ts.write(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/twice", ts.byte_bpe(PATH), 50_257, parts=2)
+    store = ts.open_store(spark, f"{tmp_path}/twice")
+    assert {(r.doc_id, r.start, r.n_tokens) for r in ts.read_all(store).collect()} == {(None, 0, 3), (1, 3, 4), (2, 7, 4)}
+    (a,), (b,) = whole_ids(["a"]), whole_ids(["b"])
+    assert ts.lookup(store, spark.createDataFrame([(1,)], "doc_id long")).first().ids == [a, 0, b, 0]
