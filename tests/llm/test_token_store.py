@@ -63,5 +63,5 @@ def test_empty_table_and_repeated_keys(spark, tmp_path):
     ts.write(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/twice", ts.byte_bpe(PATH), 50_257, parts=2)
     store = ts.open_store(spark, f"{tmp_path}/twice")
     assert {(r.doc_id, r.start, r.n_tokens) for r in ts.read_all(store).collect()} == {(None, 0, 3), (1, 3, 4), (2, 7, 4)}
-    (a,), (b,) = whole_ids(["a"]), whole_ids(["b"])
+    a, b = whole_ids(["a"])[0][0], whole_ids(["b"])[0][0]
     assert ts.lookup(store, spark.createDataFrame([(1,)], "doc_id long")).first().ids == [a, 0, b, 0]
