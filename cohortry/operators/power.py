@@ -18,25 +18,34 @@ from pyspark.sql.types import DoubleType
 from cohortry.functions.special import beta_inc_inv, nbinom_cdf, normal_cdf, normal_quantile, normal_tail, t_cdf
 from cohortry.operators.stats import wilson
 
-# fixed values: how the variance of read depth grows with its mean, and tests in a genome-wide scan
-DISPERSION = 0.1
+# fixed values: calibration of read depth (slope, intercept, and the two numbers of its dispersion) and of the share of unusable
+# observations (slope, intercept), the depth from which it holds, and the tests of a genome-wide scan
+SLOPE, INTERCEPT = 1.3409309326892476, 3.526927718332715
+DISPERSION_AT, DISPERSION_BY = 0.6291928395185754, 0.02390549241316919
+MISSING_SLOPE, MISSING_INTERCEPT = -0.0007582750922856895, 4.56905302776041
+CALIBRATED = 15.0
 TESTS = 3_771_981
 
 
-def depth_parameters(mean_depth: Column, dispersion: float = DISPERSION) -> tuple[Column, Column]:
-    """Size and success probability of the negative binomial of read depth with the given mean; variance is mean + dispersion mean^2."""
-    return F.lit(1 / dispersion), 1 / (1 + dispersion * mean_depth)
+def depth_parameters(mean_depth: Column) -> tuple[Column, Column, Column]:
+    """Size and success probability of the negative binomial of read depth, and the calibrated share of missing values."""
+    size = (mean_depth / (SLOPE * mean_depth + INTERCEPT) - DISPERSION_AT) / DISPERSION_BY
+    return size, size / (size + mean_depth), (mean_depth * size * MISSING_SLOPE + MISSING_INTERCEPT) / 100
 
 
 @F.pandas_udf(DoubleType())
-def _missing(size: pd.Series, p: pd.Series, least: pd.Series) -> pd.Series:
-    return pd.Series(nbinom_cdf(least.to_numpy(float) - 1, size.to_numpy(float), p.to_numpy(float)))
-
-
-def missing_rate(mean_depth: Column, least: int = 1, dispersion: float = DISPERSION) -> Column:
-    """Share of sites with fewer than ``least`` reads at a mean depth."""
-    size, p = depth_parameters(mean_depth, dispersion)
-    return _missing(size, p, F.lit(float(least)))
+def _fewer(depth: pd.Series, size: pd.Series, p: pd.Series) -> pd.Series:
+    short, n, q = np.maximum(CALIBRATED - depth.to_numpy(float), 0.0), size.to_numpy(float), p.to_numpy(float)
+    return pd.Series(nbinom_cdf(short, n, q) - nbinom_cdf(np.zeros(len(n)), n, q))
+
+
+def missing_rate(mean_depth: Column) -> Column:
+    """Calibrated share of unusable observations at a mean depth, 0 to 1; below the calibrated depth, also of the sites whose reads
+    there would not make up the difference. Null for a depth that is not positive."""
+    deep = depth_parameters(mean_depth)[2]
+    size, p, base = depth_parameters(F.lit(CALIBRATED))
+    rate = F.when(mean_depth >= CALIBRATED, deep).otherwise(base + _fewer(mean_depth, size, p))
+    return F.when(mean_depth > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), rate)))
 
 
 def beta_shape(mean: Column, sd: Column) -> tuple[Column, Column]:

@@ -50,70 +50,101 @@ def fragment_metrics(sizes: DataFrame, limit: int = 1000) -> DataFrame:
 
 
 def value_density(values: DataFrame, bins: int = 200, floor: float = 1e-10, least: int = 100) -> DataFrame:
-    """Per sample of values in 0..1: the shape of their histogram.
+    """Per sample of values in 0..1: how much of them lies at the two ends.
 
-    Columns: ``left_peak``, ``right_peak`` (largest density under 0.3 and from 0.7), ``middle`` (median density between),
-    ``m_score`` (smaller peak over middle), ``peak_balance`` (smaller over larger peak). Null under ``least`` values.
+    Columns: ``left_peak`` and ``right_peak`` (largest density of a bin centred up to 0.15 and from 0.85), ``middle`` (median
+    density of bins centred from 0.35 to 0.65), ``m_score`` (smaller peak over middle), ``peak_balance`` (smaller over larger
+    peak), ``boundary_mid_ratio`` (values up to 0.15 or from 0.85 over values from 0.35 to 0.65). Null under ``least`` values.
     """
     spark = values.sparkSession
-    seen = values.where(F.col("value").isNotNull())
-    at = F.least(F.floor(F.col("value") * bins), F.lit(bins - 1)).cast("int")
-    counts = seen.groupBy("sample", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
-    dense = totals.crossJoin(F.broadcast(spark.range(bins).select(F.col("id").cast("int").alias("bin")))).join(counts, ["sample", "bin"], "left")
-    density = F.coalesce("n", F.lit(0)) * bins / F.col("total")
-    low, high = F.col("bin") < 0.3 * bins, F.col("bin") >= 0.7 * bins
-    shape = dense.withColumn("d", density).groupBy("sample", "total").agg(F.max(F.when(low, F.col("d"))).alias("left_peak"), F.max(F.when(high, F.col("d"))).alias("right_peak"), F.percentile(F.when(~low & ~high, F.col("d")), 0.5).alias("middle"))
+    v = F.col("value")
+    seen = values.where(v.isNotNull())
+    at = F.least(F.floor(v * bins), F.lit(bins - 1)).cast("int")
+    n = lambda cond: F.count(F.when(cond, 1))
+    counts = seen.groupBy("sample", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"), n((v <= 0.15) | (v >= 0.85)).alias("outer"), n((v >= 0.35) & (v <= 0.65)).alias("inner"))
+    totals = counts.groupBy("sample").agg(F.sum("n").alias("total"), F.sum("outer").alias("outer"), F.sum("inner").alias("inner"))
+    dense = totals.crossJoin(F.broadcast(spark.range(bins).select(F.col("id").cast("int").alias("bin")))).join(counts.select("sample", "bin", "n"), ["sample", "bin"], "left")
+    density, centre = F.coalesce("n", F.lit(0)) * bins / F.col("total"), (F.col("bin") + 0.5) / bins
+    peak = lambda cond: F.max(F.when(cond, F.col("d")))
+    shape = dense.withColumn("d", density).groupBy("sample", "total", "outer", "inner").agg(peak(centre <= 0.15).alias("left_peak"), peak(centre >= 0.85).alias("right_peak"), F.percentile(F.when((centre >= 0.35) & (centre <= 0.65), F.col("d")), 0.5).alias("middle"))
     small, large = F.least("left_peak", "right_peak"), F.greatest("left_peak", "right_peak")
-    enough = lambda c: F.when(F.col("total") >= least, c)
-    return shape.select("sample", *(enough(F.col(c)).alias(c) for c in ("left_peak", "right_peak", "middle")), enough(small / F.greatest("middle", F.lit(floor))).alias("m_score"), enough(small / F.greatest(large, F.lit(floor))).alias("peak_balance"))
+    figures = {"left_peak": F.col("left_peak"), "right_peak": F.col("right_peak"), "middle": F.col("middle"), "m_score": small / F.greatest("middle", F.lit(floor)), "peak_balance": ratio(small, large), "boundary_mid_ratio": ratio(F.col("outer"), F.col("inner"))}
+    return shape.select("sample", *(F.when(F.col("total") >= least, c).alias(k) for k, c in figures.items()))
 
 
-# fixed values: metric, weight, and bounds for warn and fail; higher values are better where the bounds fall
+INF = float("inf")
+# fixed values: metric, label, weight, lowest and highest value that passes, lowest and highest that warns
 RULES = (
-    ("mapped_pct", 20.0, 90.0, 80.0),
-    ("dup_pct", 15.0, 30.0, 50.0),
-    ("conversion_pct", 20.0, 99.0, 98.0),
-    ("mean_depth", 15.0, 10.0, 5.0),
+    ("flagstat_mapped_pct", "Mapping rate", 20, 80, 100, 60, 100),
+    ("flagstat_properly_paired_pct", "Properly paired", 8, 75, 100, 55, 100),
+    ("markdup_dup_pct", "Duplication rate", 12, 0, 30, 0, 50),
+    ("stats_error_rate", "Sequencing error rate", 5, 0, 1.0, 0, 2.0),
+    ("adapter_reads_pct", "Adapter reads", 0, 0, 30, 0, 50),
+    ("fqc_pct_modules_failed", "FastQC modules failed", 0, 0, 10, 0, 30),
+    ("cpg_global_meth_pct", "Global CpG methylation", 10, 40, 90, 25, 95),
+    ("cpg_covered_sites", "CpG covered sites", 8, 500_000, INF, 100_000, INF),
+    ("cpg_mean_depth", "Mean CpG depth", 5, 10, INF, 5, INF),
+    ("median_frag_len", "Median fragment length", 0, 130, 200, 100, 250),
+    ("short_frag_ratio", "Short fragment ratio (<120 bp)", 0, 0, 100, 0, 100),
+    ("mono_nuc_ratio", "Mononucleosome ratio (140–180 bp)", 0, 0, 100, 0, 100),
+    ("beta_M_score", "β M-score", 0, 2.0, INF, 2.0, INF),
+    ("beta_peak_balance", "β Peak Balance", 0, 0.30, INF, 0.30, INF),
+    ("beta_boundary_mid_ratio", "β Boundary/Mid Ratio", 0, 2.0, INF, 2.0, INF),
 )
-SCORES = {"PASS": 1.0, "WARN": 0.5, "FAIL": 0.0, "NA": 0.5}
+# fixed values: sentences of the recommendation
+PASSES = "Sample passes all QC thresholds (score %s/100). Suitable for downstream analysis."
+WARNS = ("Sample passes with warnings (score %s/100).", "Flagged metrics: %s.", "Proceed with caution; verify these metrics do not affect downstream results.")
+FAILS = ("⚠ RECOMMEND EXCLUSION (score %s/100).", "Failed metrics: %s.", "Also flagged: %s.", "Review raw data quality and consider re-sequencing or excluding from analysis.")
+LACKS = "Missing data for: %s."
 
 
-def rules_table(spark: SparkSession, rules: Sequence[tuple[str, float, float, float]] = RULES) -> DataFrame:
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "rule int, metric string, weight double, warn double, fail double")
+def rules_table(spark: SparkSession, rules: Sequence[tuple] = RULES) -> DataFrame:
+    rows = [(i, m, label, *map(float, rest)) for i, (m, label, *rest) in enumerate(rules)]
+    return spark.createDataFrame(rows, "rule int, metric string, label string, weight double, pass_lo double, pass_hi double, warn_lo double, warn_hi double")
 
 
-def metric_status(value: Column, warn: Column, fail: Column) -> Column:
-    """PASS, WARN or FAIL by two bounds (falling: higher is better), NA for a missing value."""
-    rising = fail > warn
+def metric_status(value: Column) -> Column:
+    """PASS or WARN inside the rule's bounds, else FAIL; NA for a missing value."""
     return (
-        F.when(value.isNull(), "NA")
-        .when(F.when(rising, value > fail).otherwise(value < fail), "FAIL")
-        .when(F.when(rising, value > warn).otherwise(value < warn), "WARN")
-        .otherwise("PASS")
+        F.when(value.isNull() | F.isnan(value), "NA")
+        .when(value.between(F.col("pass_lo"), F.col("pass_hi")), "PASS")
+        .when(value.between(F.col("warn_lo"), F.col("warn_hi")), "WARN")
+        .otherwise("FAIL")
     )
 
 
+def metric_statuses(metrics: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every rule for every sample of long metrics (sample, metric, value), with ``status``."""
+    samples = metrics.select("sample").distinct()
+    full = samples.crossJoin(F.broadcast(rules)).join(metrics, ["sample", "metric"], "left")
+    return full.withColumn("status", metric_status(F.col("value")))
+
+
 def score_samples(metrics: DataFrame, rules: DataFrame) -> DataFrame:
-    """Per sample of long metrics (sample, metric, value): ``qc_score`` 0 to 100, ``qc_status``, ``n_missing``, ``advice``.
+    """Per sample: ``qc_score`` 0 to 100 with one decimal, ``qc_status``, ``n_missing`` and ``recommendation``.
 
-    Every rule counts for every sample; a missing value counts half. The status is FAIL if a metric fails, else WARN if one
-    warns, else PASS, so a sample without any value scores 50 and passes. The advice names the metrics in rule order.
+    Rules without weight only report. A missing value and a warning count half. The status is FAIL if a weighted metric
+    fails, else WARN if one warns, else PASS, so a sample without any value scores 50 and passes.
     """
-    samples = metrics.select("sample").distinct()
-    full = samples.crossJoin(F.broadcast(rules)).join(metrics, ["sample", "metric"], "left")
-    scored = full.withColumn("status", metric_status(F.col("value"), F.col("warn"), F.col("fail")))
-    points = F.element_at(F.create_map(*(F.lit(x) for kv in SCORES.items() for x in kv)), F.col("status"))
-    named = lambda s: F.array_sort(F.collect_list(F.when(F.col("status") == s, F.struct("rule", "metric"))))
-    out = scored.groupBy("sample").agg(
-        (100 * F.sum(F.col("weight") * points) / F.sum("weight")).alias("qc_score"),
-        F.count(F.when(F.col("status") == "NA", 1)).alias("n_missing"),
-        F.array_join(F.transform(named("FAIL"), lambda x: x["metric"]), ", ").alias("failing"),
-        F.array_join(F.transform(named("WARN"), lambda x: x["metric"]), ", ").alias("warning"),
+    active = metric_statuses(metrics, rules).where("weight > 0")
+    points = F.when(F.col("status") == "PASS", 1.0).when(F.col("status") == "FAIL", 0.0).otherwise(0.5)
+    named = lambda s: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("status") == s, F.struct("rule", "label")))), lambda x: x["label"]), ", ")
+    out = active.groupBy("sample").agg((100 * F.sum(F.col("weight") * points) / F.sum("weight")).alias("raw"), F.count(F.when(F.col("status") == "NA", 1)).alias("n_missing"), named("FAIL").alias("failing"), named("WARN").alias("warning"), named("NA").alias("lacking"))
+    out = out.withColumn("qc_score", F.bround("raw", 1)).withColumn("qc_status", F.when(F.col("failing") != "", "FAIL").when(F.col("warning") != "", "WARN").otherwise("PASS"))
+    say = lambda text, c: F.when(F.col(c) != "", F.format_string(text, c))
+    score = F.col("qc_score").cast("string")
+    lacks = say(LACKS, "lacking")
+    advice = (
+        F.when(F.col("qc_status") == "PASS", F.format_string(PASSES, score))
+        .when(F.col("qc_status") == "WARN", F.concat_ws(" ", F.format_string(WARNS[0], score), say(WARNS[1], "warning"), F.lit(WARNS[2]), lacks))
+        .otherwise(F.concat_ws(" ", F.format_string(FAILS[0], score), say(FAILS[1], "failing"), say(FAILS[2], "warning"), F.lit(FAILS[3]), lacks))
     )
-    status = F.when(F.col("failing") != "", "FAIL").when(F.col("warning") != "", "WARN").otherwise("PASS")
-    advice = F.when(F.col("failing") != "", F.concat(F.lit("Check: "), "failing")).when(F.col("warning") != "", F.concat(F.lit("Watch: "), "warning")).otherwise("None")
-    return out.select("sample", "qc_score", status.alias("qc_status"), "n_missing", advice.alias("advice"))
+    return out.select("sample", "qc_score", "qc_status", "n_missing", advice.alias("recommendation"))
+
+
+def wide_scores(metrics: DataFrame, rules: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``{metric}_value`` and ``{metric}_status`` of the named metrics, one row for each sample."""
+    return metric_statuses(metrics, rules).groupBy("sample").pivot("metric", list(names)).agg(F.first("value").alias("value"), F.first("status").alias("status"))
 
 
 def true_mapped(metrics: DataFrame) -> DataFrame:

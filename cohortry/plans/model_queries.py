@@ -69,10 +69,12 @@ def feasible_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return power.feasible(r.withColumn("depth", F.lit(10)).unionByName(r.withColumn("sd", F.col("sd") * 0.8).withColumn("depth", F.lit(30))))
 
 
-@query("SELECT p_partkey, p_size AS depth, round(pow(1 / (1 + 0.1 * p_size), 10.0) + 1e-10, 7) AS missing FROM part")
+@query("""WITH d AS (SELECT p_partkey, p_size + 14 AS depth, ((p_size + 14) / (1.3409309326892476 * (p_size + 14) + 3.526927718332715) - 0.6291928395185754) / 0.02390549241316919 AS r FROM part WHERE p_size > 0)
+SELECT p_partkey, depth, round(least(1.0, greatest(0.0, (depth * r * -0.0007582750922856895 + 4.56905302776041) / 100)) + 1e-10, 7) AS missing FROM d""")
 def missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rate = power.missing_rate(F.col("p_size").cast("double"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("depth"), F.round(rate + 1e-10, 7).alias("missing"))
+    depth = (F.col("p_size") + 14).alias("depth")
+    rate = power.missing_rate((F.col("p_size") + 14).cast("double"))
+    return table(spark, sf_dir, "part").where("p_size > 0").select("p_partkey", depth, F.round(rate + 1e-10, 7).alias("missing"))
 
 
 @query()

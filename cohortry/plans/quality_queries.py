@@ -51,36 +51,45 @@ def fragment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fragment_metrics(sizes(spark, sf_dir)).select("sample", "median", "peak", near("short_pct"), near("mono_pct"), near("di_pct"))
 
 
-@query("""WITH v AS (SELECT l_suppkey AS sample, (l_extendedprice::BIGINT % 1000) / 1000.0::DOUBLE AS value FROM lineitem), c AS (SELECT sample, least(floor(value * 200), 199)::INTEGER AS bin, count(*) AS n FROM v GROUP BY ALL), t AS (SELECT sample, sum(n) AS total FROM c GROUP BY sample),
-d AS (SELECT t.sample, t.total, b.bin, coalesce(c.n, 0) * 200 / t.total AS d FROM t CROSS JOIN (SELECT unnest(range(0, 200)) AS bin) b LEFT JOIN c ON c.sample = t.sample AND c.bin = b.bin),
-s AS (SELECT sample, total, max(d) FILTER (bin < 60) AS l, max(d) FILTER (bin >= 140) AS r, median(d) FILTER (bin >= 60 AND bin < 140) AS m FROM d GROUP BY ALL)
-SELECT sample, CASE WHEN total >= 100 THEN round(l + 1e-9, 6) END AS left_peak, CASE WHEN total >= 100 THEN round(r + 1e-9, 6) END AS right_peak, CASE WHEN total >= 100 THEN round(m + 1e-9, 6) END AS middle, CASE WHEN total >= 100 THEN round(least(l, r) / greatest(m, 1e-10) + 1e-9, 6) END AS m_score, CASE WHEN total >= 100 THEN round(least(l, r) / greatest(l, r, 1e-10) + 1e-9, 6) END AS peak_balance FROM s""")
+@query("""WITH v AS (SELECT l_suppkey AS sample, (l_extendedprice::BIGINT % 1000) / 1000.0::DOUBLE AS value FROM lineitem), c AS (SELECT sample, least(floor(value * 200), 199)::INTEGER AS bin, count(*) AS n FROM v GROUP BY ALL), t AS (SELECT sample, count(*) AS total, count(*) FILTER (value <= 0.15 OR value >= 0.85) AS o, count(*) FILTER (value >= 0.35 AND value <= 0.65) AS i FROM v GROUP BY sample),
+d AS (SELECT t.*, (b.bin + 0.5) / 200 AS c, coalesce(c.n, 0) * 200 / t.total AS d FROM t CROSS JOIN (SELECT unnest(range(0, 200))::DOUBLE AS bin) b LEFT JOIN c ON c.sample = t.sample AND c.bin = b.bin),
+s AS (SELECT sample, total, o, i, max(d) FILTER (c <= 0.15) AS l, max(d) FILTER (c >= 0.85) AS r, median(d) FILTER (c >= 0.35 AND c <= 0.65) AS m FROM d GROUP BY ALL)
+SELECT sample, round(l + 1e-9, 6) AS left_peak, round(r + 1e-9, 6) AS right_peak, round(m + 1e-9, 6) AS middle, round(least(l, r) / greatest(m, 1e-10) + 1e-9, 4) AS m_score, round(least(l, r) / nullif(greatest(l, r), 0) + 1e-9, 4) AS peak_balance, round(o / nullif(i, 0) + 1e-9, 4) AS boundary_mid_ratio FROM s WHERE total >= 100
+UNION ALL SELECT sample, NULL, NULL, NULL, NULL, NULL, NULL FROM s WHERE total < 100""")
 def value_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.rint("l_extendedprice").cast("long") % 1000) / 1000.0
     v = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sample"), value.alias("value"))
-    return quality.value_density(v).select("sample", *(near(c) for c in ("left_peak", "right_peak", "middle", "m_score", "peak_balance")))
+    fine = [F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("m_score", "peak_balance", "boundary_mid_ratio")]
+    return quality.value_density(v).select("sample", *(near(c) for c in ("left_peak", "right_peak", "middle")), *fine)
 
 
-RULE_ROWS = ", ".join(f"({i}, '{m}', {w}, {a}, {b})" for i, (m, w, a, b) in enumerate(quality.RULES))
+bound = lambda x: "1e308" if x == quality.INF else str(float(x))
+RULE_ROWS = ", ".join(f"({i}, '{m}', '{label}', {float(w)}::DOUBLE, {', '.join(f'{bound(x)}::DOUBLE' for x in rest)})" for i, (m, label, w, *rest) in enumerate(quality.RULES))
+METRICS = ("flagstat_mapped_pct", "flagstat_properly_paired_pct", "markdup_dup_pct", "cpg_global_meth_pct", "cpg_covered_sites", "cpg_mean_depth", "beta_M_score")
 
 
-@query(f"""WITH x AS (SELECT l_suppkey AS sample, round(100 - 100 * avg(l_discount) * 2, 6) AS mapped_pct, round(100 * avg(l_tax) * 8, 6) AS dup_pct, CASE WHEN l_suppkey % 5 > 0 THEN round(99.5 - avg(l_discount) * l_suppkey / 60, 6) END AS conversion_pct, CASE WHEN l_suppkey % 11 > 0 THEN round(avg(l_quantity) / 2.2, 6) END AS mean_depth FROM lineitem GROUP BY l_suppkey),
-l AS (UNPIVOT x ON mapped_pct, dup_pct, conversion_pct, mean_depth INTO NAME metric VALUE value), ru AS (SELECT * FROM (VALUES {RULE_ROWS}) v(rule, metric, weight, warn, fail)),
-f AS (SELECT s.sample, ru.*, l.value FROM (SELECT DISTINCT sample FROM x) s CROSS JOIN ru LEFT JOIN l ON l.sample = s.sample AND l.metric = ru.metric),
-st AS (SELECT *, CASE WHEN value IS NULL THEN 'NA' WHEN (fail > warn AND value > fail) OR (fail <= warn AND value < fail) THEN 'FAIL' WHEN (fail > warn AND value > warn) OR (fail <= warn AND value < warn) THEN 'WARN' ELSE 'PASS' END AS status FROM f),
-g AS (SELECT sample, round(100 * sum(weight * CASE status WHEN 'PASS' THEN 1.0 WHEN 'FAIL' THEN 0.0 ELSE 0.5 END)::DOUBLE / sum(weight)::DOUBLE + 1e-9, 6) AS qc_score, count(*) FILTER (status = 'NA') AS n_missing, coalesce(string_agg(metric, ', ' ORDER BY rule) FILTER (status = 'FAIL'), '') AS fa, coalesce(string_agg(metric, ', ' ORDER BY rule) FILTER (status = 'WARN'), '') AS wa FROM st GROUP BY sample)
-SELECT sample, qc_score, CASE WHEN fa <> '' THEN 'FAIL' WHEN wa <> '' THEN 'WARN' ELSE 'PASS' END AS qc_status, n_missing, CASE WHEN fa <> '' THEN 'Check: ' || fa WHEN wa <> '' THEN 'Watch: ' || wa ELSE 'None' END AS advice FROM g""")
+@query(f"""WITH x AS (SELECT l_suppkey AS sample, round(100 - 600 * avg(l_discount) + l_suppkey % 7 * 3, 6) AS flagstat_mapped_pct, round(100 - 100 * avg(l_tax) * (l_suppkey % 4 + 5), 6) AS flagstat_properly_paired_pct, round(100 * avg(l_tax) * (l_suppkey % 13), 6) AS markdup_dup_pct, CASE WHEN l_suppkey % 5 > 0 THEN round(2 * avg(l_quantity), 6) END AS cpg_global_meth_pct, round(sum(l_quantity) * 40, 0) AS cpg_covered_sites, CASE WHEN l_suppkey % 11 > 0 THEN round(avg(l_quantity) / 2.2, 6) END AS cpg_mean_depth, 1.0::DOUBLE AS "beta_M_score" FROM lineitem GROUP BY l_suppkey),
+l AS (UNPIVOT x ON {", ".join(f'"{m}"' for m in METRICS)} INTO NAME metric VALUE value), ru AS (SELECT * FROM (VALUES {RULE_ROWS}) v(rule, metric, label, weight, pl, ph, wl, wh)),
+f AS (SELECT s.sample, ru.*, l.value FROM (SELECT DISTINCT sample FROM x) s CROSS JOIN ru LEFT JOIN l ON l.sample = s.sample AND l.metric = ru.metric WHERE ru.weight > 0),
+st AS (SELECT *, CASE WHEN value IS NULL THEN 'NA' WHEN value BETWEEN pl AND ph THEN 'PASS' WHEN value BETWEEN wl AND wh THEN 'WARN' ELSE 'FAIL' END AS status FROM f),
+g AS (SELECT sample, round_even(100 * sum(weight * CASE status WHEN 'PASS' THEN 1.0 WHEN 'FAIL' THEN 0.0 ELSE 0.5 END)::DOUBLE / sum(weight), 1) AS qc_score, count(*) FILTER (status = 'NA') AS n_missing, string_agg(label, ', ' ORDER BY rule) FILTER (status = 'FAIL') AS fa, string_agg(label, ', ' ORDER BY rule) FILTER (status = 'WARN') AS wa, string_agg(label, ', ' ORDER BY rule) FILTER (status = 'NA') AS na FROM st GROUP BY sample)
+SELECT sample, qc_score, CASE WHEN fa IS NOT NULL THEN 'FAIL' WHEN wa IS NOT NULL THEN 'WARN' ELSE 'PASS' END AS qc_status, n_missing, CASE WHEN fa IS NULL AND wa IS NULL THEN 'Sample passes all QC thresholds (score ' || qc_score || '/100). Suitable for downstream analysis.'
+WHEN fa IS NULL THEN concat_ws(' ', 'Sample passes with warnings (score ' || qc_score || '/100).', 'Flagged metrics: ' || wa || '.', 'Proceed with caution; verify these metrics do not affect downstream results.', 'Missing data for: ' || na || '.')
+ELSE concat_ws(' ', '⚠ RECOMMEND EXCLUSION (score ' || qc_score || '/100).', 'Failed metrics: ' || fa || '.', 'Also flagged: ' || wa || '.', 'Review raw data quality and consider re-sequencing or excluding from analysis.', 'Missing data for: ' || na || '.') END AS recommendation FROM g""")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("l_suppkey")
-    x = table(spark, sf_dir, "lineitem").groupBy(key.alias("sample")).agg(
-        F.round(100 - 100 * F.avg("l_discount") * 2, 6).alias("mapped_pct"),
-        F.round(100 * F.avg("l_tax") * 8, 6).alias("dup_pct"),
-        F.round(99.5 - F.avg("l_discount") * F.max("l_suppkey") / 60, 6).alias("conversion_pct"),
-        F.round(F.avg("l_quantity") / 2.2, 6).alias("mean_depth"),
+    k = F.col("sample")
+    x = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("sample")).agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t"), F.avg("l_quantity").alias("q"), F.sum("l_quantity").alias("s"))
+    x = x.select(
+        "sample",
+        F.round(100 - 600 * F.col("d") + k % 7 * 3, 6).alias("flagstat_mapped_pct"),
+        F.round(100 - 100 * F.col("t") * (k % 4 + 5), 6).alias("flagstat_properly_paired_pct"),
+        F.round(100 * F.col("t") * (k % 13), 6).alias("markdup_dup_pct"),
+        F.when(k % 5 > 0, F.round(2 * F.col("q"), 6)).alias("cpg_global_meth_pct"),
+        F.round(F.col("s") * 40, 0).alias("cpg_covered_sites"),
+        F.when(k % 11 > 0, F.round(F.col("q") / 2.2, 6)).alias("cpg_mean_depth"),
+        F.lit(1.0).alias("beta_M_score"),
     )
-    x = x.withColumn("conversion_pct", F.when(F.col("sample") % 5 > 0, F.col("conversion_pct"))).withColumn("mean_depth", F.when(F.col("sample") % 11 > 0, F.col("mean_depth")))
-    long = x.unpivot("sample", ["mapped_pct", "dup_pct", "conversion_pct", "mean_depth"], "metric", "value")
-    return quality.score_samples(long, quality.rules_table(spark)).withColumn("qc_score", near("qc_score"))
+    return quality.score_samples(x.unpivot("sample", list(METRICS), "metric", "value"), quality.rules_table(spark))
 
 
 @query("SELECT c_custkey, round(CASE WHEN c_custkey % 3 > 0 AND c_nationkey > 0 THEN least(100.0, 100 * c_acctbal / (2 * c_nationkey)) ELSE c_acctbal / 100 END + 1e-9, 6) AS mapped_pct FROM customer")

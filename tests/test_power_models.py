@@ -67,8 +67,8 @@ def test_site_power_and_inputs(spark):
         power.parse_sizes("3, x")
     with pytest.raises(ValueError):
         power.work_units(10, [2000], 100, 11)
-    rate = df.select(power.missing_rate(F.lit(0.0) + 5.0)).first()[0]
-    assert rate == pytest.approx((1 / 1.5) ** 10)
+    got = [df.select(power.missing_rate(F.lit(float(d)))).first()[0] for d in (1, 5, 14, 15, 30, 0)]
+    assert got[-1] is None and got[0] > got[1] > got[2] > got[3] > got[4] > 0
 
 
 def cohort(spark):
