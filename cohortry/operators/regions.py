@@ -74,3 +74,12 @@ def call_counts(calls: DataFrame, alpha: float = 0.05) -> DataFrame:
     hit = F.col("q_value") < alpha
     gene = clean_name(F.col("symbol"))
     return calls.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(hit, 1)).alias("n_significant"), F.count_distinct(F.when(hit & (gene != ""), gene)).alias("n_genes"))
+
+
+def top_genes(classed: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` most significant distinct genes of each direction, the best row of each gene; ties by gene and place."""
+    named = classed.withColumn("symbol", clean_name(F.col("symbol"))).where("symbol <> '' and direction <> 'NS'")
+    own = Window.partitionBy("direction", "symbol").orderBy(F.desc("neg_log_q"), "chrom", "start")
+    best = named.withColumn("__at", F.row_number().over(own)).where("__at = 1").drop("__at")
+    order = Window.partitionBy("direction").orderBy(F.desc("neg_log_q"), "symbol")
+    return best.withColumn("at", F.row_number().over(order)).where(F.col("at") <= n)

@@ -180,3 +180,27 @@ def mean_jaccard(sets: DataFrame, key: str, member: str) -> DataFrame:
     a, b = listed.select(F.col(key).alias("ka"), F.col("items").alias("ia")), listed.select(F.col(key).alias("kb"), F.col("items").alias("ib"))
     union = F.size(F.array_union("ia", "ib"))
     return a.join(b, F.col("ka") < F.col("kb")).agg(F.avg(F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect("ia", "ib")) / union)).alias("mean_jaccard"))
+
+
+def kernel_density(long: DataFrame, points: int = 100, keys: Sequence[str] = ("sample",)) -> DataFrame:
+    """Gaussian kernel density of the values in 0..1 of each key at evenly spaced points, Scott's bandwidth.
+
+    Values are counted in a fine histogram first, so that what a task holds is as long as the histogram whatever the
+    number of values.
+    """
+    cells = 1000
+    seen = long.where(F.col("value").isNotNull())
+    cell = F.least(F.floor(F.col("value") * cells), F.lit(cells - 1)).cast("int")
+    per = seen.groupBy(*keys, cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in per.select(*keys).schema.fields)
+
+    def smooth(part: pd.DataFrame) -> pd.DataFrame:
+        x, n = (part["cell"].to_numpy() + 0.5) / cells, part["n"].to_numpy(float)
+        total = n.sum()
+        mean = (n * x).sum() / total
+        width = max(np.sqrt((n * (x - mean) ** 2).sum() / max(total - 1, 1)) * total ** (-1 / 5), 1e-6)
+        at = np.linspace(0, 1, points)
+        density = (n * np.exp(-0.5 * ((at[:, None] - x[None, :]) / width) ** 2)).sum(axis=1) / (total * width * np.sqrt(2 * np.pi))
+        return pd.DataFrame({**{k: part[k].iloc[0] for k in keys}, "x": at, "density": density})
+
+    return per.groupBy(*keys).applyInPandas(smooth, f"{types}, x double, density double")

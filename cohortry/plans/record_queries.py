@@ -64,6 +64,12 @@ def strongest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.strongest_labels(regions.volcano(calls(spark, sf_dir))).select("direction", F.col("at").alias("place"), "symbol", "mean_diff")
 
 
+@query(f"""WITH {VOLCANO}, nm AS (SELECT * EXCLUDE (symbol), {CLEAN} AS symbol FROM vo WHERE direction <> 'NS'), b AS (SELECT * FROM nm WHERE symbol <> '' QUALIFY row_number() OVER (PARTITION BY direction, symbol ORDER BY nl DESC, chrom, start) = 1)
+SELECT direction, row_number() OVER (PARTITION BY direction ORDER BY nl DESC, symbol) AS place, symbol, start FROM b QUALIFY row_number() OVER (PARTITION BY direction ORDER BY nl DESC, symbol) <= 10""")
+def top_genes_by_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.top_genes(regions.volcano(calls(spark, sf_dir))).select("direction", F.col("at").alias("place"), "symbol", "start")
+
+
 @query(f"WITH {CALLS}, {BEST.replace('FROM ca)', 'FROM ca WHERE q_value < 0.05)')} SELECT symbol, q_value, mean_diff FROM be ORDER BY q_value, symbol LIMIT 50")
 def leading_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.leading_genes(calls(spark, sf_dir)).select("symbol", "q_value", "mean_diff")
