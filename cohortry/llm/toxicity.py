@@ -61,9 +61,12 @@ def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 20
     if n == 0 or positive in (0, n):
         rate = (positive + 0.5) / (n + 1)
         return Machine(slots, float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, rank)))
-    of = np.repeat(np.arange(n), np.diff(first))
-    with_term = np.bincount(terms, minlength=2**BUCKETS_LOG2).astype(float)
-    with_both = np.bincount(terms, labels[of], 2**BUCKETS_LOG2)
+    with_term, with_both = np.zeros(2**BUCKETS_LOG2), np.zeros(2**BUCKETS_LOG2)
+    for a in range(0, n, 1000):  # some rows at a time: the driver holds the terms once and little beside them
+        b = min(a + 1000, n)
+        some = terms[first[a] : first[b]]
+        with_term += np.bincount(some, minlength=2**BUCKETS_LOG2)
+        with_both += np.bincount(some, np.repeat(labels[a:b], np.diff(first[a : b + 1])), 2**BUCKETS_LOG2)
     expected = with_term * positive / n
     chi = (with_both - expected) ** 2 / np.maximum(expected * (1 - positive / n) * (1 - with_term / n), 1e-9)
     chi[(with_term < 3) | (with_term >= n)] = 0
@@ -74,8 +77,9 @@ def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 20
     width = max(len(best), 1)
     w, v, b = np.zeros(width), rng.normal(0, 0.01, (width, rank)), np.log(positive / (n - positive))
     gw, gv, gb = np.full(width, 1e-6), np.full((width, rank), 1e-6), 1e-6
-    use = slots[terms] >= 0
-    x, at = slots[terms][use], np.concatenate([[0], np.cumsum(use)])[first]
+    x = slots[terms]
+    use = x >= 0
+    x, at = x[use], np.concatenate([[0], np.cumsum(use, dtype=np.int32)])[first].astype(np.int64)
     for _ in range(epochs):
         order = rng.permutation(n)
         for some in np.array_split(order, max(1, n // 128)):
@@ -120,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     got = known.mapInArrow(run, "doc_id long, terms array<int>, label int").toArrow().sort_by("doc_id")
     terms = got.column("terms").combine_chunks()
-    flat = terms.flatten().to_numpy().astype(np.int64) if len(terms) else np.zeros(0, np.int64)
+    flat = terms.flatten().to_numpy() if len(terms) else np.zeros(0, np.int32)
     sizes = np.concatenate([[0], np.cumsum(np.array(terms.value_lengths(), np.int64))]) if len(terms) else np.zeros(1, np.int64)
     labels = got.column("label").to_numpy().astype(float)
     return fit(flat, sizes, labels)
