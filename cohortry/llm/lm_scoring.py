@@ -1,7 +1,8 @@
 """Language-model scores of documents by prediction by partial matching over bytes.
 
 The trie of contexts is counted once over all training texts: every run of ``order + 1`` bytes, text ends included, is counted
-in the tasks and summed by Spark, and the shorter contexts follow by summing. A byte's probability starts at the longest
+in the tasks and summed by Spark, and the shorter contexts follow by summing. It stays a table: blocks of documents send
+the runs they hold to the parts of the trie that score them, and get the scores back. A byte's probability starts at the longest
 known context; a byte not seen there costs an escape (method C: as likely as the number of different bytes seen) and is
 looked for one byte shorter, without the bytes that the longer context has already ruled out (symbol exclusion). Below
 the empty context all 256 byte values that are left are equally likely. The byte 0xFF, which UTF-8 never uses, ends a text.
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.common import materialise, offsets, out_batch, raw_bytes, slices, texts
@@ -24,8 +25,6 @@ from cohortry.llm.wordhash import word_hashes
 END = 0xFF
 #: Of a place in a table that holds no key.
 EMPTY = np.uint64(2**64 - 1)
-#: Most nodes (context and byte) of a trie that tasks hold; contexts seen less often than all that fit are left out.
-MAX_NODES = 2**21
 
 
 class Table:
@@ -98,8 +97,8 @@ class Model:
                 step = np.where(by[known] >= 0, above[2][np.maximum(by[known], 0)], step)
             cost[live[known]] += step
             ruled[live[known]] = context[known]
-            above = contexts.values
-        seen = np.where(ruled[live] >= 0, above[3][np.maximum(ruled[live], 0)], 0) if above.shape[1] else np.zeros(len(live))
+            above = contexts.values if contexts.values.shape[1] else None
+        seen = np.where(ruled[live] >= 0, above[3][np.maximum(ruled[live], 0)], 0) if above is not None else np.zeros(len(live))
         out[live] = cost[live] - np.log10(256 - seen)
         return out
 
@@ -179,45 +178,119 @@ def count_runs(docs: DataFrame, order: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 4, max_nodes: int = MAX_NODES) -> Model:
-    """A model of all texts of ``docs``; null texts count as empty, an empty table gives the uniform model.
+def shorten(keys: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``keys`` cut to ``size`` context bytes and one more, sorted, and the sums of their counts."""
+    names, at = np.unique(keys & np.uint64(2 ** (8 * (size + 1)) - 1), return_inverse=True)
+    return names, np.bincount(at, n, len(names)).astype(np.int64)
 
-    Counts cover every text. What tasks hold must not grow with the corpus, so a trie of more than ``max_nodes`` nodes
-    keeps only contexts seen at least 2^k times, with the least k that fits (from the histogram of all contexts); their
-    counts stay exact. Shorter contexts are at least as frequent as longer ones, so none loses its shorter ones.
+
+def model_of(keys: np.ndarray, n: np.ndarray, order: int, base: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> Model:
+    """The model of runs of ``order + 1`` bytes and their counts; levels in ``base`` are taken from there instead."""
+    return build({size: shorten(keys, n, size) for size in range(order + 1)} | (base or {}), order)
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 4) -> DataFrame:
+    """The trie of all texts of ``docs`` as a table in the shared folder: ``gram``, ``n`` for each run of ``order + 1`` bytes.
+
+    Shorter contexts are sums over longer ones and are not stored. The table grows with the corpus and is never cut.
+    Null texts count as empty; an empty table gives no rows, which is the uniform model.
     """
-    counted = materialise(count_runs(texts(docs, id_col, text_col), order), "runs")
-    lengths = F.explode(F.sequence(F.lit(0), F.lit(order))).alias("size")
-    cut = F.expr(f"if(size = {order}, gram, gram & (shiftleft(1L, 8 * size + 8) - 1))")
-    nodes = counted.select("n", "gram", lengths).groupBy("size", cut.alias("node")).agg(F.sum("n").alias("n"))
-    totals = Window.partitionBy("size", F.expr("shiftright(node, 8)"))
-    nodes = materialise(nodes.withColumn("log", F.floor(F.log2(F.sum("n").over(totals))).cast("int")), "trie")
-    sizes = {r.log: r.k for r in nodes.groupBy("log").agg(F.count(F.lit(1)).alias("k")).collect()}
-    least, room = 0, max_nodes - sum(sizes.values())
-    while room < 0:
-        room += sizes.get(least, 0)
-        least += 1
-    got = nodes.where((F.col("log") >= least) | (F.col("size") == 0)).select("size", "node", "n").toArrow()
-    size, node, n = (got.column(c).to_numpy() for c in ("size", "node", "n"))
-    levels = {}
-    for k in range(order + 1):
-        keys = node[size == k].astype(np.int64).view(np.uint64)
-        by = np.argsort(keys)
-        levels[k] = (keys[by], n[size == k][by].astype(np.int64))
-    return build(levels, order)
-
-
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``score``: log10 probability of the text's bytes and its end. Null texts count as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return materialise(count_runs(texts(docs, id_col, text_col), order), "runs")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+#: Context bytes that a family of runs shares. Contexts shorter than that fit 256 + 65,536 nodes, whatever the corpus.
+FAMILY_BYTES = 2
+#: Runs in one row of a request, and rows that are scored at a time.
+ROW_RUNS, ROWS_AT_ONCE = 1024, 256
+
+
+def bucket_of(family: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each family (the same sum as ``BUCKET_SQL``)."""
+    return ((family.astype(np.int64) * 40503 & 0xFFFF) * buckets >> 16).astype(np.int32)
+
+
+BUCKET_SQL = "cast(shiftright((shiftright(gram, 8) & 65535) * 40503 % 65536 * {buckets}, 16) as int)"
+
+
+def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 4, block_bytes: int = 16_000_000, bucket_runs: int = 200_000, blocks_a_copy: int = 16_384) -> DataFrame:
+    """``doc_id`` and ``score``: log10 probability of each text's bytes and its end, by the table that ``train`` gives.
+
+    No task holds the whole trie. Documents are dealt into blocks of about ``block_bytes``, and each block asks once for
+    every different run it has. Runs whose contexts end in the same two bytes are a family: all their contexts of two
+    bytes and more are theirs alone, so a bucket of families (about ``bucket_runs`` runs of the trie) scores what is asked
+    of it with its own part of the trie and the few shortest contexts, which every task has. Within a partition a
+    bucket's runs come first, then its requests, in a stream. With many blocks a bucket is dealt out in copies, one for
+    every ``blocks_a_copy`` blocks. The scores then meet their block's documents. Null texts count as empty, repeated rows stay
+    repeated, null ids stay null; an empty table gives no rows.
+    """
+    if order < FAMILY_BYTES:
+        raise ValueError(f"order must be at least {FAMILY_BYTES}")
+    rows = texts(docs, id_col, text_col)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, buckets = 1 + total // block_bytes, min(2**16, 1 + trie.count() // bucket_runs)
+    copies = -(-blocks // blocks_a_copy)
+    short = trie.groupBy(F.expr("gram & 65535").alias("gram")).agg(F.sum("n").alias("n")).toArrow()  # 65,536 rows at most
+    keys, n = (short.column(c).to_numpy().astype(np.int64) for c in ("gram", "n"))
+    base = {size: shorten(keys.view(np.uint64), n, size) for size in range(FAMILY_BYTES)}
+    shared = docs.sparkSession.sparkContext.broadcast(base)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
+
+    def ask(block: pa.Table) -> pa.Table:
+        own = np.zeros(0, np.uint64)
+        for batch in block.select(["text"]).to_batches():
+            for piece in slices(batch):
+                own = np.union1d(own, runs(piece.column("text"), order)[0])
+        bucket = bucket_of(own >> np.uint64(8) & np.uint64(0xFFFF), buckets)
+        by = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[by], prepend=-1, append=-1))
+        cuts = [(a, min(a + ROW_RUNS, e)) for s, e in zip(edges, edges[1:], strict=False) for a in range(s, e, ROW_RUNS)]
+        number = block.column("block")[0].as_py()
+        held = pa.array([own[by[a:e]].tobytes() for a, e in cuts], pa.binary())
+        asked = out_batch(
+            bucket=bucket[by[[a for a, _ in cuts]]], copy=np.full(len(cuts), number % copies, np.int32), block=np.full(len(cuts), number, np.int32),
+            gram=pa.nulls(len(cuts), pa.int64()), n=pa.nulls(len(cuts), pa.int64()), grams=held,
+        )
+        return pa.Table.from_batches([asked])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, counts, model = None, [], [], None
         for batch in batches:
+            cell = batch.column("bucket").to_numpy().astype(np.int64) << 32 | batch.column("copy").to_numpy()
+            edges = np.append(np.flatnonzero(np.append(True, cell[1:] != cell[:-1])), len(cell)) if len(cell) else []
+            for start, stop in zip(edges, edges[1:], strict=False):
+                if cell[start] != at:
+                    at, keys, counts, model = cell[start], [], [], None
+                span = batch.slice(start, stop - start)
+                known = span.num_rows - span.column("gram").null_count  # the trie's rows come before the requests
+                keys.append(span.column("gram").slice(0, known).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+                counts.append(span.column("n").slice(0, known).to_numpy(zero_copy_only=False).astype(np.int64))
+                for first in range(known, span.num_rows, ROWS_AT_ONCE):
+                    model = model or model_of(np.concatenate(keys), np.concatenate(counts), order, shared.value)
+                    some = span.slice(first, ROWS_AT_ONCE)
+                    grams = [np.frombuffer(x, np.uint64) for x in some.column("grams").to_pylist()]
+                    found = np.split(model.log10(np.concatenate(grams)), np.cumsum([len(g) for g in grams])[:-1])
+                    yield out_batch(block=some.column("block"), grams=some.column("grams"), logs=pa.array([x.tobytes() for x in found], pa.binary()))
+
+    def add_up(block: pa.Table, answers: pa.Table) -> pa.Table:
+        grams, logs = (np.frombuffer(b"".join(answers.column(c).to_pylist()), kind) for c, kind in (("grams", np.uint64), ("logs", np.float64)))
+        table, out = Table(grams, logs), []
+        for batch in block.select(["doc_id", "text"]).to_batches():
             for piece in slices(batch, limit=500_000):
-                grams, first = runs(piece.column("text"), shared.value.order)
-                yield out_batch(doc_id=piece.column("doc_id"), score=np.add.reduceat(shared.value.log10(grams), first[:-1]))
-
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+                asked, first = runs(piece.column("text"), order)
+                row = table.find(asked)
+                if len(row) and row.min() < 0:
+                    raise RuntimeError("a run of this block has no answer")
+                out.append(out_batch(doc_id=piece.column("doc_id"), score=np.add.reduceat(logs[row], first[:-1])))
+        return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("score", pa.float64())]))
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, copy int, block int, gram long, n long, grams binary")
+    known = trie.select(
+        F.expr(BUCKET_SQL.format(buckets=buckets)).alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"),
+        F.lit(None).cast("int").alias("block"), "gram", "n", F.lit(None).cast("binary").alias("grams"),
+    )
+    stream = known.unionByName(asked).repartition("bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("gram").isNull())
+    answers = stream.mapInArrow(weigh, "block int, grams binary, logs binary")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, "doc_id long, score double")
 
 
 def adaptive(text: str, order: int = 4) -> float:
@@ -309,5 +382,5 @@ def score_all(docs: DataFrame, in_training, id_col: str = "doc_id", text_col: st
     rows = texts(docs, id_col, text_col)
     training = rows.where(in_training)
     base = word_base(rows, training)
-    scored = score(rows, train(training, order=order)).groupBy("doc_id").agg(F.sum("score").alias("score"))
+    scored = score(rows, train(training, order=order), order=order).groupBy("doc_id").agg(F.sum("score").alias("score"))
     return base.join(scored, base.doc_id.eqNullSafe(scored.doc_id)).drop(scored.doc_id)

@@ -63,19 +63,23 @@ def test_query_matches_brute_force(spark):
 
 def test_probabilities_add_up_to_one(spark):
     docs = spark.createDataFrame([(1, "abracadabra"), (2, "cadence, abraded"), (3, "é")], "doc_id long, text string")
-    model = lm.train(docs, order=3)
+    trie = lm.train(docs, order=3).toPandas()
+    model = lm.model_of(trie.gram.to_numpy().view(np.uint64), trie.n.to_numpy(), 3)
     for context in (b"abr", b"rac", b"zzz", b"\xff\xffa", b"\xc3\xa9b"):
         grams = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint64)
         assert math.isclose(float((10 ** model.log10(grams)).sum()), 1.0, rel_tol=1e-9)
 
 
-def test_bounded_trie_still_adds_up(spark):
+def test_many_blocks_buckets_and_copies_give_the_whole_model(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
-    model = lm.train(docs, order=4, max_nodes=3000)
-    assert sum(len(t.values[0]) for t in model.nodes) <= 3000
-    grams, _ = lm.runs(pa.array(["The and attion", "que des"]), 4)
-    every = (grams[:, None] & ~np.uint64(255)) | np.arange(256, dtype=np.uint64)
-    assert np.allclose((10 ** model.log10(every.ravel())).reshape(-1, 256).sum(axis=1), 1)
+    trie = lm.train(docs.where("doc_id % 3 = 0"))
+    rows = trie.toPandas()
+    model = lm.model_of(rows.gram.to_numpy().view(np.uint64), rows.n.to_numpy(), 4)
+    got = lm.score(docs, trie, block_bytes=5_000, bucket_runs=500, blocks_a_copy=7).toPandas().set_index("doc_id").score
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert len(got) == len(texts) and set(got.index) == set(texts)
+    for doc_id, text in texts.items():
+        assert math.isclose(got[doc_id], model.log10(lm.runs(pa.array([text]), 4)[0]).sum(), rel_tol=1e-9)
 
 
 def test_words_beyond_the_table_meet_their_counts_in_a_join(spark):
