@@ -30,13 +30,14 @@ BITS = 64
 SKETCH = 16
 
 
-def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42) -> int:
-    """Bit i is set if it is set in over half of the XXH64 of all shingles; no words give 0."""
+def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42, distinct: bool = False) -> int:
+    """Bit i is set if it is set in over half of the XXH64 of all shingles (``distinct``: each counts once); no words give 0."""
     if not words:
         return 0
     span = min(shingle, len(words))
     shingles = map(b" ".join, zip(*(words[i : len(words) - span + 1 + i] for i in range(span)), strict=True))
     hashes = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in shingles), np.uint64, len(words) - span + 1)
+    hashes = np.unique(hashes) if distinct else hashes
     ones = np.zeros(BITS, np.int64)
     for part in np.array_split(hashes, len(hashes) // 65536 + 1):
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -299,7 +300,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [t.as_buffer().to_pybytes().lower().split() for t in batch.column("text")]
-            fps = [np.array([fingerprint(w, k, seed) for w in words], np.uint64).view(np.int64) for k, seed in ((2, 42), (shingle, 1), (shingle, 2))]
+            fps = [np.array([fingerprint(w, k, seed, distinct=True) for w in words], np.uint64).view(np.int64) for k, seed in ((2, 42), (shingle, 1), (shingle, 2))]
             yield out_batch(doc_id=batch.column("doc_id"), fp=fps[0], w1=fps[1], w2=fps[2])
 
     marked = materialise(texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, w1 long, w2 long"), "wide-fingerprints")
