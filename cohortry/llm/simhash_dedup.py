@@ -5,39 +5,40 @@ fingerprint gives its parts thresholds whose sum is ``r - m + 1`` (-1 skips a pa
 agrees with it up to the threshold in one part at least. Dynamic programming picks, for each fingerprint, the
 thresholds with the fewest expected probes and candidates, so it avoids parts whose value is crowded.
 
-Two searches rest on this. ``near_duplicates`` links fingerprints within a small radius, and is complete. ``similar_documents``
+On this rests ``near_duplicates``, which links fingerprints within a small radius, and is complete. ``similar_documents``
 looks for texts that share most of their word shingles, whose fingerprints differ in too many bits for a complete
-search: it probes with a fingerprint of short shingles and verifies with a long fingerprint of the wanted shingles.
+search: it compares the sets of shingles themselves, those that have one of their rarest shingles in common.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import materialise, out_batch, texts
+from cohortry.llm.common import materialise, out_batch, slices, texts
 from cohortry.llm.components import components
+from cohortry.llm.wordhash import ngram_hashes, word_hashes
 
 BITS = 64
 #: Leading bits of a part whose value counts estimate how many candidates a probe meets; 2^16 counts a part at most.
 SKETCH = 16
 
 
-def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42, distinct: bool = False) -> int:
-    """Bit i is set if it is set in over half of the XXH64 of all shingles (``distinct``: each counts once); no words give 0."""
+def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42) -> int:
+    """Bit i is set if it is set in over half of the XXH64 of all shingles; no words give 0."""
     if not words:
         return 0
     span = min(shingle, len(words))
     shingles = map(b" ".join, zip(*(words[i : len(words) - span + 1 + i] for i in range(span)), strict=True))
     hashes = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in shingles), np.uint64, len(words) - span + 1)
-    hashes = np.unique(hashes) if distinct else hashes
     ones = np.zeros(BITS, np.int64)
     for part in np.array_split(hashes, len(hashes) // 65536 + 1):
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -226,101 +227,157 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def bits_apart(similarity: float, slack: float) -> int:
-    """Most differing bits of two 128-bit fingerprints whose shingle sets have a Jaccard similarity of ``similarity``: as many as are
-    expected, and ``slack`` deviations more."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(128 * share + slack * np.sqrt(128 * share * (1 - share)))
-
-
-#: Entries of a crowded bucket that one row of the index holds; a probe meets each such row in turn.
+#: Rows of a crowded shingle that one chunk holds on average when its texts are compared.
 BUCKET_ROWS = 2048
+#: Texts in which shingles are counted, and how many of the frequent ones are ordered by their count.
+COUNTED_TEXTS, ORDERED = 2**15, 2**19
+#: Bits of the table that spares most texts the way to a join.
+TABLE_LOG2 = 23
+
+
+def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each text's shingles, ascending, and where each text's begin; a shorter text is one shingle."""
+    words, first, *_ = word_hashes(column, keep_punctuation=True)
+    sizes = np.diff(first)
+    grams = ngram_hashes(words, shingle)
+    of = np.repeat(np.arange(len(sizes)), sizes)[: len(grams)]
+    whole = np.arange(len(grams)) + shingle <= first[of + 1]
+    short = np.flatnonzero((sizes > 0) & (sizes < shingle))
+    hashes = np.concatenate([grams[whole], *(ngram_hashes(words[first[i] : first[i + 1]], int(sizes[i])) for i in short)])
+    of = np.concatenate([of[whole], short])
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    return hashes[new], np.searchsorted(of[new], np.arange(len(sizes) + 1))
+
+
+def set_names(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, the same for equal sets."""
+    return np.fromiter((xxhash.xxh64_intdigest(hashes[a:b].tobytes()) for a, b in zip(first, first[1:], strict=False)), np.uint64, len(first) - 1).view(np.int64)
+
+
+def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of shingles that repeat in a sample of texts. They only order the shingles of a text."""
+    share = max(1, -(-rows.count() // COUNTED_TEXTS))
 
-
-def similar_links(asking: DataFrame, nodes: DataFrame, plan: Plan, apart: int) -> DataFrame:
-    """What each row of ``asking`` meets among ``nodes`` (both: name, fp, w1, w2): ``a`` and ``near``, the distinct other names in
-    its buckets whose (w1, w2) differ in at most ``apart`` bits, one array for each bucket with any.
-
-    A bucket's entries come as arrays of bounded length, so a probe gives one row for each array at most, however many
-    entries are near. Part, piece of a crowded bucket and value make one key of 64 bits.
-    """
-    shared = nodes.sparkSession.sparkContext.broadcast(plan)
-    known = plan.known
-
-    def pieces(seen: np.ndarray, part: int, value: np.ndarray) -> np.ndarray:
-        lead = (value & np.uint64(2 ** known[part] - 1)).astype(np.int64)
-        return np.maximum(np.ceil(seen[lead] / BUCKET_ROWS).astype(np.int64), 1)
-
-    def key(part: int, piece: np.ndarray, value: np.ndarray) -> np.ndarray:
-        return (np.uint64(part << 60) | piece.astype(np.uint64) << np.uint64(36) | value).view(np.int64)
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, spread = _longs(batch, "fp").view(np.uint64), _longs(batch, "w1").view(np.uint64)
-            for i, bits in enumerate(plan.parts):
-                value = take_bits(x, bits)
-                piece = spread % pieces(plan.seen[i], i, value).astype(np.uint64)
-                yield out_batch(key=key(i, piece, value), name=batch.column("name"), b1=batch.column("w1"), b2=batch.column("w2"))
+            for piece in slices(batch):
+                yield out_batch(h=shingle_sets(piece.column("text"), shingle)[0].view(np.int64))
+
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
+    counted = materialise(sample.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts")
+    least, held = 2, 0
+    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("many")).orderBy(F.desc("n")).collect():  # at most a row for each count
+        held += r.many
+        if held > ORDERED:
+            least = r.n + 1
+            break
+    got = counted.where(F.col("n") >= least).toArrow()
+    hashes = got.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], got.column("n").to_numpy().astype(np.int64)[order]
+
+
+def rare_shingles(hashes: np.ndarray, first: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], share: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of each set in one order of all shingles, rare ones first, and where each begins: two sets of a Jaccard
+    similarity of ``share`` or more have a shingle of their prefixes in common."""
+    sizes = np.diff(first)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    known, counts = frequent
+    n = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        n = np.where(known[at] == hashes, counts[at], 0)
+    order = np.lexsort((hashes, n, of))
+    length = np.where(sizes > 0, sizes + (-share.numerator * sizes) // share.denominator + 1, 0)
+    return hashes[order[np.arange(len(hashes)) - first[of] < length[of]]], np.concatenate([[0], np.cumsum(length)])
+
+
+def alike(a: str, b: str, share: Fraction) -> Column:
+    """Whether sets can reach the similarity that have ``a``.n and ``b``.n shingles, the first in common at ``a``.at and ``b``.at."""
+    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.at"), F.col(f"{b}.at")
+    top, bottom = F.lit(share.numerator), F.lit(share.denominator)
+    return (bottom * F.least(n, m) >= top * F.greatest(n, m)) & ((top + bottom) * F.least(n - i, m - j) >= top * (n + m))
+
+
+def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction) -> DataFrame:
+    """The ``pairs`` (columns ``a``, ``b``: names of sets) whose Jaccard similarity, counted exactly, is at least ``share``."""
+    pairs = materialise(pairs.distinct(), "set-pairs")
+    names = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    bits = np.zeros(2**TABLE_LOG2, bool)
+    bits[names.select(F.expr(f"shiftrightunsigned(node, {64 - TABLE_LOG2})").cast("int").alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            for some in range(0, batch.num_rows, 16384):
-                rows = batch.slice(some, 16384)
-                x = _longs(rows, "fp").view(np.uint64)
-                own, w1, w2 = (_longs(rows, c) for c in ("name", "w1", "w2"))
-                for i, at, value in plan.turned(x):
-                    n = pieces(plan.seen[i], i, value)
-                    row = np.repeat(at, n)
-                    piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                    yield out_batch(key=key(i, piece, np.repeat(value, n)), a=own[row], a1=w1[row], a2=w2[row])
-
-    indexed = nodes.mapInArrow(index, "key long, name long, b1 long, b2 long").groupBy("key").agg(F.collect_list(F.struct("name", "b1", "b2")).alias("entries"))
-    probing = asking.mapInArrow(probe, "key long, a long, a1 long, a2 long")
-    near = lambda e: (e["name"] != F.col("a")) & (F.bit_count(F.col("a1").bitwiseXOR(e["b1"])) + F.bit_count(F.col("a2").bitwiseXOR(e["b2"])) <= apart)
-    met = probing.join(indexed, "key").select("a", F.array_distinct(F.transform(F.filter("entries", near), lambda e: e["name"])).alias("near"))
-    return met.where(F.size("near") > 0)
-
-
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 7, parts: int = 4, slack: float = 2.0) -> DataFrame:
-    """``doc_id``, ``component_id`` of every row: groups of texts that share most of their ``shingle``-word shingles.
-
-    Two texts are linked if their 128-bit fingerprints of these shingles differ in no more bits than a Jaccard similarity
-    of ``similarity`` leads to (with ``slack`` deviations). Candidates agree in some part of a 64-bit fingerprint of word
-    pairs up to its threshold; thresholds are shared out as if ``radius`` bits might differ, and random differences find
-    an agreeing part well beyond that. With four ``parts`` a text is looked up some 70 times, with three some 500 times
-    but meeting fewer unrelated ones, which pays only from some ten million texts on. Links are gathered in two rounds, so that a large group never gives all its pairs:
-    first each text with its smallest near one, then, for the texts that have any, with the other components near it.
-
-    Equal texts are one text. Null and blank texts are one group. Rows with a null id get the smallest id of their group
-    that is not null, if any. An empty table gives no rows.
+            for piece in slices(batch):
+                hashes, first = shingle_sets(piece.column("text"), shingle)
+                node = set_names(hashes, first)
+                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield out_batch(node=node, own=lists).filter(pa.array(table[(node.view(np.uint64) >> np.uint64(64 - TABLE_LOG2)).astype(np.int64)]))
+
+    sets = rows.select("text").mapInArrow(run, "node long, own array<long>").join(names, "node", "left_semi")
+    sets = materialise(sets.groupBy("node").agg(F.first("own").alias("own")), "shingle-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b")
+    both = both.select("a", "b", F.size(F.array_intersect("one", "two")).cast("long").alias("common"), (F.size("one") + F.size("two")).cast("long").alias("total"))
+    return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``doc_id``, ``component_id`` of every row: groups of texts whose sets of ``shingle``-word shingles are linked.
+
+    Two texts are linked if the Jaccard similarity of their sets (hashes of 64 bits, each shingle once) is at least
+    ``similarity``; the search is complete and every link is counted exactly. Sets that reach it have a shingle in common
+    among the rarest of each (a fifth of the set and one more, for 0.8). Links are looked for in two rounds, so that a large
+    group does not give all its pairs: first each set with one other that has the same rare shingle, then all pairs of
+    sets with a common rare shingle that the first round has not brought together.
+
+    Words are lower-cased in A-Z and end at ASCII blanks. Texts of equal sets are one group without being paired; null and
+    blank texts are one group. Rows with a null id get the smallest id of their group that is not null, if any. An empty
+    table gives no rows.
     """
+    share = Fraction(str(similarity))
+    rows = texts(docs, id_col, text_col)
+    frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [t.as_buffer().to_pybytes().lower().split() for t in batch.column("text")]
-            fps = [np.array([fingerprint(w, k, seed, distinct=True) for w in words], np.uint64).view(np.int64) for k, seed in ((2, 42), (shingle, 1), (shingle, 2))]
-            yield out_batch(doc_id=batch.column("doc_id"), fp=fps[0], w1=fps[1], w2=fps[2])
-
-    marked = materialise(texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, w1 long, w2 long"), "wide-fingerprints")
-    node = F.xxhash64("fp", "w1", "w2").alias("node")
-    groups = materialise(marked.groupBy("fp", "w1", "w2").agg(F.min("doc_id").alias("least")).select(node, "fp", "w1", "w2", "least"), "wide-groups")
-    plan = Plan(groups.select("fp").distinct(), radius, parts)
-    apart = bits_apart(similarity, slack)
-    wide = groups.select(F.col("node").alias("name"), "fp", "w1", "w2")
-    first = similar_links(wide, wide, plan, apart).groupBy("a").agg(F.min(F.array_min("near")).alias("b"))
-    first = materialise(first, "wide-links")
-    joined = components(first).withColumnsRenamed({"root": "label"})
-    labels = materialise(groups.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node")), "wide-labels")
-    named = labels.select("node", F.col("label").alias("name"), "fp", "w1", "w2")
-    asking = named.join(first.select(F.col("a").alias("node")), "node", "left_semi")
-    across = similar_links(asking, named, plan, apart).select("a", F.explode("near").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    last = components(materialise(across.select("a", "b"), "wide-links")).withColumnsRenamed({"node": "label", "root": "to"})
-    named = labels.join(last, "label", "left").select("node", "least", F.coalesce("to", "label").alias("label"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    own = named.join(least, "label").select("node", "component_id")
-    return marked.select("doc_id", node).join(own, "node").select("doc_id", "component_id")
+            for piece in slices(batch):
+                hashes, first = shingle_sets(piece.column("text"), shingle)
+                rare, starts = rare_shingles(hashes, first, frequent.value, share)
+                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(rare.view(np.int64)))
+                yield out_batch(doc_id=piece.column("doc_id"), node=set_names(hashes, first), n=np.diff(first).astype(np.int64), rare=lists)
+
+    marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>"), "rare-shingles")
+    nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("rare").alias("rare"))
+    places = nodes.select("node", "n", F.posexplode("rare").alias("at", "token"))
+    # a few sets, not always the same one, are what the others of a large group are compared with first
+    entry = F.struct(F.xxhash64("node", F.pmod("token", F.lit(4))).alias("h"), "node", "n", "at")
+    tokens = places.groupBy("token").agg(F.min(entry).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
+    met = places.join(tokens.where("low <> high").select("token", "hub"), "token")
+    met = materialise(met.select("token", F.struct("node", "n", "at").alias("x"), "hub"), "common-shingles")
+    first = verified(rows, met.where(F.col("x.node") != F.col("hub.node")).where(alike("x", "hub", share)).select(F.col("x.node").alias("a"), F.col("hub.node").alias("b")), shingle, share)
+
+    labels = components(first).select(F.col("node").alias("known"), F.col("root").alias("label"))
+    open_ = met.select("token", "x", F.col("x.node").alias("known")).join(labels, "known", "left").select("token", "x", F.coalesce("label", "known").alias("label"))
+    open_ = materialise(open_, "labelled-shingles")
+    several = open_.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("many")).where("low <> high")
+    deals = several.select("token", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
+    chunk = F.pmod(F.xxhash64("x.node"), F.col("deals")).alias("chunk")
+    chunks = open_.join(deals, "token").groupBy("token", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
+    chunks = materialise(chunks, "shingle-chunks")
+    left = chunks.select("token", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
+    right = chunks.select("token", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
+    pairs = left.join(right, ["token", "deal"]).where("one < two").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    second = verified(rows, pairs.where(alike("x", "y", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share)
+
+    roots = components(first.unionByName(second)).withColumnRenamed("root", "label")
+    own = marked.select("doc_id", "node").join(roots, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
+    least = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return own.join(least, "label").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -87,6 +87,30 @@ def test_similar_documents_hold_together_and_others_stay_apart(spark):
     assert all(far[i] == far[got[i]] for i in got)
 
 
+def test_similar_documents_are_exact_at_the_bound(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(150):  # texts beside copies with a block replaced or added, or with words changed here and there, about the bound
+        base = [f"w{k}x{i}" for i in range(int(rng.integers(40, 130)))]
+        n, at = len(base), int(rng.integers(5, 30))
+        kind, cut = k % 3, int(rng.integers(n // 12, n // 5))
+        copy = list(base)
+        if kind == 0:
+            copy[at : at + cut] = [f"new{i}" for i in range(cut)]
+        elif kind == 1:
+            copy[at:at] = [f"new{k}y{i}" for i in range(2 * cut)]
+        else:
+            for i in rng.choice(n, size=max(1, n // 45), replace=False):
+                copy[i] = "other"
+        rows += [(1000 + 2 * k, " ".join(base)), (1001 + 2 * k, " ".join(copy))]
+    base = [f"b{i}" for i in range(94)]  # 90 shingles; with 10 replaced at the end 80 of 100 are common, with 11 replaced 79 of 101
+    rows += [(1, " ".join(base)), (2, " ".join(base[:84] + [f"c{i}" for i in range(10)])), (3, " ".join(base[:83] + [f"d{i}" for i in range(11)]))]
+    rows += [(5000 + k, " ".join(f"big{i}" if i % 40 != k % 40 or i > 60 else f"e{k}z{i}" for i in range(200))) for k in range(60)]
+    got = {r.doc_id: r.component_id for r in sd.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = jaccard_groups(rows, 0.8)
+    assert got == want and 30 < sum(want[i] != i for i in want if 1000 <= i < 2000) < 140 and (got[2], got[3]) == (1, 3)
+
+
 def test_crowded_buckets_are_cut_and_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(sd, "BUCKET_ROWS", 4)
     base = [f"word{i}" for i in range(150)]
