@@ -1,10 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Test items are taken in blocks of bounded size, so that a block's words can be sent to every task. For each block the
-corpus is read twice: once to count in how many documents each n-gram of an item occurs, once to look for seeds. The seeds
-of an item are, in every run of n-grams, those found in few documents compared with the rarest; an item whose every
-n-gram is common (because it has leaked widely, say) has seeds all the same. Around its seeds a document is aligned
-with the item.
+Test items are taken in blocks of bounded size, so that a block's words can be sent to every task. Every n-gram of an item
+is a seed, however many documents hold it. Around its seeds a document is aligned with the item, unless it has too
+few of the item's words there for any alignment to reach the threshold.
 """
 
 from __future__ import annotations
@@ -58,23 +56,20 @@ def blocks(items: DataFrame, id_col: str, text_col: str, n: int, block_items: in
             yield make_block([i for i, _ in got], [t for _, t in got], n)
 
 
-def pick_seeds(block: Block, found_in: np.ndarray, window: int, factor: int = 2, floor: int = 32) -> np.ndarray:
-    """For each n-gram of the block whether it is a seed.
+#: Pairs of a place in a text and a place in an item that are held at a time, whole texts at a time.
+PLACES = 1_000_000
 
-    A seed is found in some document, and in at most ``floor`` documents more than ``factor`` times as many as the rarest
-    one found in a run of ``window`` n-grams around it. So each stretch of an item keeps the n-grams that are about as
-    rare as can be had there, and loses those that ordinary prose has too.
-    """
-    seed = np.zeros(len(block.grams), bool)
-    order = np.lexsort((block.gram_at, block.gram_item))
-    edges = np.searchsorted(block.gram_item[order], np.arange(len(block.ids) + 1))
-    for a, b in zip(edges, edges[1:], strict=False):
-        own = order[a:b]
-        rare = np.where(found_in[own] > 0, found_in[own], np.iinfo(np.int64).max // 4)
-        for k in range(max(1, len(own) - window + 1)) if len(own) else ():
-            run = rare[k : k + window]
-            seed[own[k : k + window][run <= factor * run.min() + floor]] = True
-    return seed & (found_in > 0)
+
+def may_reach(item: np.ndarray, region: np.ndarray, threshold: float) -> bool:
+    """Whether the words leave room for an alignment of share ``threshold``: it matches that share of the item's words at
+    least, and all its matches lie within ``3 - 2 * threshold`` times the item's length, since every other word costs 1."""
+    least = threshold * len(item) - 1e-9
+    inside = np.isin(region, item)
+    if inside.sum() < least or np.isin(item, region[inside]).sum() < least:
+        return False
+    span = int(np.ceil((3 - 2 * threshold) * len(item)))
+    sums = np.concatenate([[0], np.cumsum(inside)])
+    return len(region) <= span or (sums[span:] - sums[:-span]).max() >= least
 
 
 def hits(grams: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -116,7 +111,7 @@ def align(item: np.ndarray, region: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 4, window: int = 6, threshold: float = 0.5, block_items: int = 20_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 4, threshold: float = 0.5, block_items: int = 20_000) -> DataFrame:
     """Documents that hold a copy or an edited copy of an item: ``doc_id``, ``item_id``, ``score``, ``first_word``, ``last_word``.
 
     ``score`` is the best alignment's score as a share of the item's own (1: word for word); pairs under ``threshold`` are
@@ -133,30 +128,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             continue
         shared = context.broadcast(block)
 
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            wanted = np.unique(shared.value.grams)
-            seen = np.zeros(len(wanted), np.int64)
-            for batch in batches:
-                for piece in slices(batch):
-                    words, first, *_ = word_hashes(piece.column("text"))
-                    grams = ngram_hashes(words, n)
-                    at = hits(grams, wanted)
-                    of = np.searchsorted(first, at, side="right")
-                    whole = at + n <= first[of]
-                    keys = np.unique(of[whole] * np.int64(len(wanted)) + np.searchsorted(wanted, grams[at[whole]]))
-                    seen += np.bincount(keys % len(wanted), minlength=len(wanted))
-            at = np.flatnonzero(seen)
-            yield out_batch(gram=wanted[at].view(np.int64), n=seen[at])
-
-        counted = rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        table = {r.gram: r.n for r in counted.collect()}  # at most one row for each n-gram of the block
-        found_in = np.array([table.get(g, 0) for g in block.grams.view(np.int64).tolist()], np.int64)
-        seeds = context.broadcast(pick_seeds(block, found_in, window))
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared, seeds=seeds) -> Iterator[pa.RecordBatch]:
-            block, seed = shared.value, seeds.value
-            grams, items_of, places = block.grams[seed], block.gram_item[seed], block.gram_at[seed]
-            sizes = np.diff(block.first)
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block = shared.value
+            grams, items_of, places = block.grams, block.gram_item, block.gram_at
+            sizes, vocabulary = np.diff(block.first), np.unique(block.words)
             for batch in batches:
                 for piece in slices(batch):
                     words, first, *_ = word_hashes(piece.column("text"))
@@ -165,31 +140,41 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                     of = np.searchsorted(first, at, side="right") - 1
                     at, of = at[at + n <= first[of + 1]], of[at + n <= first[of + 1]]
                     low, high = np.searchsorted(grams, found[at]), np.searchsorted(grams, found[at], side="right")
-                    pick = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low) + np.arange((high - low).sum()) if len(at) else np.zeros(0, np.int64)
-                    doc, begin, item = np.repeat(of, high - low), np.repeat(at, high - low) - places[pick], items_of[pick]
-                    order = np.lexsort((begin, item, doc))
-                    doc, begin, item = doc[order], begin[order], item[order]
-                    new = np.ones(len(doc), bool)
-                    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > sizes[item[1:]])
-                    heads = np.append(np.flatnonzero(new), len(doc))
+                    known = np.concatenate([[0], np.cumsum(np.isin(words, vocabulary))]) if len(at) else np.zeros(1, np.int64)
                     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                    for a, b in zip(heads, heads[1:], strict=False):
-                        d, it = int(doc[a]), int(item[a])
-                        slack = int(sizes[it]) // 2
-                        start = max(int(first[d]), int(begin[a]) - slack)
-                        stop = min(int(first[d + 1]), int(begin[b - 1]) + int(sizes[it]) + slack)
-                        item_words, same = block.words[block.first[it] : block.first[it + 1]], int(begin[a])
-                        if same >= start and np.array_equal(words[same : same + sizes[it]], item_words) and same + sizes[it] <= stop:
-                            got = (MATCH * sizes[it], same - start, same - start + int(sizes[it]))  # word for word: no alignment is better
-                        else:
-                            got = align(item_words, words[start:stop])
-                        share = got[0] / (MATCH * sizes[it])
-                        if share >= threshold and share > best.get((d, it), (0.0,))[0]:
-                            best[d, it] = (share, start + got[1] - int(first[d]), start + got[2] - 1 - int(first[d]))
+                    before = np.concatenate([[0], np.cumsum(high - low)])
+                    one = 0
+                    while one < len(at):
+                        two = max(int(np.searchsorted(before, before[one] + PLACES, side="right")) - 1, one + 1)
+                        two = int(np.searchsorted(of, of[two])) if two < len(of) and of[two] != of[one] else int(np.searchsorted(of, of[min(two, len(of)) - 1], side="right"))
+                        lo, many = low[one:two], (high - low)[one:two]
+                        pick = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                        doc, begin, item = np.repeat(of[one:two], many), np.repeat(at[one:two], many) - places[pick], items_of[pick]
+                        one = two
+                        order = np.lexsort((begin, item, doc))
+                        doc, begin, item = doc[order], begin[order], item[order]
+                        new = np.ones(len(doc), bool)
+                        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > sizes[item[1:]])
+                        heads = np.flatnonzero(new)
+                        docs_at, items_at, begins, lasts = doc[heads], item[heads], begin[heads], begin[np.append(heads[1:], len(doc)) - 1]
+                        starts = np.maximum(first[docs_at], begins - sizes[items_at] // 2)
+                        stops = np.minimum(first[docs_at + 1], lasts + sizes[items_at] + sizes[items_at] // 2)
+                        for k in np.flatnonzero(known[stops] - known[starts] >= threshold * sizes[items_at] - 1e-9):
+                            d, it, start, stop, same = (int(x[k]) for x in (docs_at, items_at, starts, stops, begins))
+                            item_words = block.words[block.first[it] : block.first[it + 1]]
+                            if same >= start and np.array_equal(words[same : same + sizes[it]], item_words) and same + sizes[it] <= stop:
+                                got = (MATCH * sizes[it], same - start, same - start + int(sizes[it]))  # word for word: no alignment is better
+                            elif may_reach(item_words, words[start:stop], threshold):
+                                got = align(item_words, words[start:stop])
+                            else:
+                                continue
+                            share = got[0] / (MATCH * sizes[it])
+                            if share >= threshold and share > best.get((d, it), (0.0,))[0]:
+                                best[d, it] = (share, start + got[1] - int(first[d]), start + got[2] - 1 - int(first[d]))
                     if best:
                         ids = piece.column("doc_id").take(pa.array([d for d, _ in best]))
-                        score, one, two = (np.array(x) for x in zip(*best.values(), strict=True))
-                        yield out_batch(doc_id=ids, item_id=block.ids[[i for _, i in best]], score=score.astype(float), first_word=one.astype(np.int32), last_word=two.astype(np.int32))
+                        score, begun, ended = (np.array(x) for x in zip(*best.values(), strict=True))
+                        yield out_batch(doc_id=ids, item_id=block.ids[[i for _, i in best]], score=score.astype(float), first_word=begun.astype(np.int32), last_word=ended.astype(np.int32))
 
         out = out.unionByName(rows.mapInArrow(search, schema))
     return out

@@ -57,6 +57,23 @@ def test_edited_copy_keeps_its_seeds_beside_many_exact_ones(spark):
     assert all((r.first_word, r.last_word) == (1, 30) for r in found if r.doc_id < 500)
 
 
+def test_a_large_group_of_edited_copies_is_found_beside_one_exact_copy(spark):
+    words = [f"word{i}" for i in range(48)]
+    edited = " ".join("other" if i % 8 == 7 else w for i, w in enumerate(words))
+    docs = [(i, f"start {edited} end") for i in range(300)] + [(500, " ".join(words)), (501, "word1 word2 word3 word4 and nothing else of it")]
+    found = dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {*range(300), 500}
+    assert {round(r.score, 9) for r in found if r.doc_id < 300} == {round(smith_waterman(words, edited.split()) / 96, 9)}
+
+
+def test_places_taken_text_by_text_give_the_same(spark, monkeypatch):
+    items = spark.createDataFrame([(i, " ".join(["which", "of", "these", "is", "right"] + [f"w{i}x{k}" for k in range(8)])) for i in range(20)], "item_id long, text string")
+    docs = items.selectExpr("item_id as doc_id", "concat(text, ' which of these is right ', text) as text").repartition(1)
+    want = sorted(map(tuple, dc.leaks(docs, items).collect()))
+    monkeypatch.setattr(dc, "PLACES", 3)
+    assert len(want) == 20 and sorted(map(tuple, dc.leaks(docs, items).collect())) == want
+
+
 def test_awkward_rows(spark):
     item = "a b c d e f g h"
     docs = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (None, item, 1.0), (3, item, 1.0), (3, item, 1.0), (4, "x " * 60000 + item, None)], "doc_id long, text string, score double")
