@@ -1,10 +1,9 @@
 """URL filters: rules first, then host word segmentation and naive Bayes.
 
 Host labels such as ``cheappills`` are cut into words by a unigram Viterbi pass. Word probabilities come from the corpus: the words of
-the pages and of the URLs' own paths, counted over all rows. Only counts that a host could need are looked up: each
-distinct label asks for its substrings in a join. A multinomial naive Bayes model over host words and path tokens then
-judges the URLs that no rule decides. It learns from the URLs that rules do decide, and from a list of words that
-hosts of junk pages are known for.
+the pages' visible text and of the URLs' own paths, counted over all rows. Only counts that a host could need are looked
+up: each distinct label asks for its substrings in a join. A multinomial naive Bayes model over host words and path
+tokens then judges the URLs that no rule decides. It learns from the URLs that rules do decide.
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ from pyspark.sql import functions as F
 from cohortry.llm.common import materialise, out_batch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Longest word a host label is cut into; longer words do not occur often enough to matter.
-LONGEST = 20
-#: Words known from hosts of junk pages; each counts as one blocked host of that word.
-JUNK = ("spam", "cheap", "pills", "casino", "porn", "xxx", "viagra", "lottery", "poker", "loan", "loans", "free", "win", "prize", "farm", "crypto", "pharma", "replica", "warez", "torrent", "adult", "bet", "betting")
+#: Letters of a label at most, by the rules of host names; a longer one is no host's, and stays whole.
+LABEL = 63
+#: Content that is not shown, tags and entities; what is left open runs to the end of the page.
+HIDDEN = r"(?is)<(script|style)\b.*?(?:</\1[^<>]*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|&#?[a-z0-9]+;"
 
 
 @dataclass(frozen=True)
@@ -79,10 +78,11 @@ def parts_of(text: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("^[0-9]"), F.concat(F.lit("#"), F.length(t).cast("string"))).otherwise(t))
 
 
-def word_counts(pages: DataFrame, text: Column) -> DataFrame:
-    """``word`` and ``n`` of the letters-only words of ``text`` over all rows, no longer than a host word may be."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    counted = pages.select(F.explode(words).alias("word")).where((F.length("word") > 0) & (F.length("word") <= LONGEST))
+def word_counts(pages: DataFrame, html: Column, url: Column) -> DataFrame:
+    """``word`` and ``n`` of the letters-only words of all pages' visible texts and all URLs' paths that a label has room for."""
+    shown = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
+    words = F.split(F.lower(F.concat(shown, F.lit(" "), path_of(url))), r"[^\p{L}]+")
+    counted = pages.select(F.explode(words).alias("word")).where(F.length("word").between(1, LABEL))
     return counted.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -93,7 +93,7 @@ def best_cut(label: str, known: dict[str, float], unknown: list[float]) -> list[
     """
     best, back = [0.0] + [-math.inf] * len(label), [0] * (len(label) + 1)
     for end in range(1, len(label) + 1):
-        for start in range(max(0, end - LONGEST), end):
+        for start in range(end):
             score = best[start] + known.get(label[start:end], unknown[end - start])
             if score > best[end] + 1e-12:
                 best[end], back[end] = score, start
@@ -108,21 +108,19 @@ def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """``label`` and ``words`` of every distinct letters-only label, cut by the counts (columns word and n).
 
     A word's probability is its share of all counted words; unseen words are worth 10 to the minus of their length over
-    that total, so that longer ones are ever less likely.
+    that total, so that longer ones are ever less likely. Labels of more than 63 letters stay whole.
     """
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     floor = -math.log10(total + 1)
-    unknown = [floor - k for k in range(LONGEST + 1)]
+    unknown = [floor - k for k in range(LABEL + 1)]
 
     def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for label in batch.column("label").to_pylist():
-                found = list({label[i:j] for i in range(len(label)) for j in range(i + 1, min(len(label), i + LONGEST) + 1)})
-                for k in range(0, len(found), 10_000):
-                    part = found[k : k + 10_000]
-                    yield out_batch(label=pa.array([label] * len(part), pa.string()), word=pa.array(part, pa.string()))
+                found = list({label[i:j] for i in range(len(label)) for j in range(i + 1, len(label) + 1)})
+                yield out_batch(label=pa.array([label] * len(found), pa.string()), word=pa.array(found, pa.string()))
 
-    distinct = labels.select("label").where("label <> ''").distinct()
+    distinct = labels.select("label").where(F.length("label").between(1, LABEL)).distinct()
     asked = distinct.mapInArrow(substrings, "label string, word string").join(counts, "word")
     known = asked.groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
@@ -135,18 +133,19 @@ def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
     return distinct.join(known, "label", "left").select("label", "known").mapInArrow(cut, "label string, words array<string>")
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", rules: tuple[Rule, ...] = RULES, junk: tuple[str, ...] = JUNK) -> DataFrame:
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row's ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``block_odds`` and ``host_words``.
 
     ``block_odds`` is the natural logarithm of the model's odds for block; where no rule fits, block is the verdict if it
-    is above 0. A null URL, or one without ``://``, has an empty host and path and is judged by the classes' shares alone.
+    is above 0. Tokens that no decided URL has say nothing. A null URL, or one without ``://``, has an empty host and path
+    and is judged by the classes' shares alone, as all are where the rules decide no URL.
     Repeated rows stay repeated, null ids stay null, an empty table gives no rows, and further columns are left behind.
     """
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     distinct = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("times")).withColumn("decided", decide(F.col("host"), F.col("path"), rules))
     distinct = materialise(distinct, "urls")
-    counts = word_counts(pages, F.col(text_col)).unionByName(word_counts(pages, path_of(url))).groupBy("word").agg(F.sum("n").alias("n"))
+    counts = word_counts(pages, F.col(text_col), url)
     hosts = distinct.select("host").distinct()
     labels = hosts.select("host", F.posexplode(parts_of(F.col("host"))).alias("at", "label"))
     cuts = segment(labels.where(~F.col("label").startswith("#")), materialise(counts, "word-counts"))
@@ -155,16 +154,14 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_
     known = materialise(distinct.join(words, "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>"))), "url-words")
     tokens = F.concat(F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)), F.transform(parts_of(F.col("path")), lambda w: F.concat(F.lit("p:"), w)))
     said = known.select("host", "path", "times", F.col("decided.verdict").alias("verdict"), F.explode(tokens).alias("token"))
-    spark = pages.sparkSession
-    seeds = spark.createDataFrame([(f"h:{w}", 1.0, 0.0) for w in junk], "token string, block double, allow double")
     taught = said.where("verdict is not null").groupBy("token").agg(*(F.sum(F.when(F.col("verdict") == v, F.col("times")).otherwise(0)).cast("double").alias(v) for v in ("block", "allow")))
-    model = materialise(taught.unionByName(seeds).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "url-model")
+    model = materialise(taught, "url-model")
     sums = model.agg(F.coalesce(F.sum("block"), F.lit(0.0)), F.coalesce(F.sum("allow"), F.lit(0.0)), F.count(F.lit(1))).first()
     classes = known.where("decided is not null").agg(*(F.coalesce(F.sum(F.when(F.col("decided.verdict") == v, F.col("times"))), F.lit(0)) for v in ("block", "allow"))).first()
     prior = math.log((classes[0] + 1) / (classes[1] + 1))
-    block_all, allow_all = sums[0] + sums[2] + 1, sums[1] + sums[2] + 1
-    weight = F.log((F.coalesce("block", F.lit(0.0)) + 1) / block_all) - F.log((F.coalesce("allow", F.lit(0.0)) + 1) / allow_all)
-    odds = said.groupBy("host", "path", "token").agg(F.count(F.lit(1)).alias("tf")).join(model, "token", "left").groupBy("host", "path").agg(F.sum(F.col("tf") * weight).alias("told"))
+    block_all, allow_all = max(sums[0] + sums[2], 1.0), max(sums[1] + sums[2], 1.0)
+    weight = F.log((F.col("block") + 1) / block_all) - F.log((F.col("allow") + 1) / allow_all)
+    odds = said.groupBy("host", "path", "token").agg(F.count(F.lit(1)).alias("tf")).join(model, "token").groupBy("host", "path").agg(F.sum(F.col("tf") * weight).alias("told"))
     judged = known.join(odds, ["host", "path"], "left").withColumn("block_odds", F.coalesce("told", F.lit(0.0)) + prior)
     verdict = F.coalesce(F.col("decided.verdict"), F.when(F.col("block_odds") > 0, "block").otherwise("allow"))
     named = judged.select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("decided.rule").alias("rule"), verdict.alias("verdict"), "block_odds", "host_words")
