@@ -20,6 +20,8 @@ from cohortry.llm.wordhash import word_hashes
 
 BUCKETS_LOG2 = 18
 PREFIXES = (4, 5)
+#: Bytes of text a task works on at a time; words and two prefixes take several numbers for each byte.
+SLICE = 400_000
 
 
 @dataclass(frozen=True)
@@ -54,32 +56,102 @@ def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (keys & np.uint64(2**BUCKETS_LOG2 - 1)).astype(np.int64), starts
 
 
-def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 2048, rank: int = 8, epochs: int = 60, seed: int = 7, boost: float = 2.0) -> Machine:
-    """A machine fitted with AdaGrad on the terms with the highest chi-squared; with one label only, its rate."""
-    n, positive = len(labels), labels.sum()
-    slots = np.full(2**BUCKETS_LOG2, -1, np.int32)
-    if n == 0 or positive in (0, n):
-        rate = (positive + 0.5) / (n + 1)
-        return Machine(slots, float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, rank)))
-    with_term, with_both = np.zeros(2**BUCKETS_LOG2), np.zeros(2**BUCKETS_LOG2)
-    for a in range(0, n, 1000):  # some rows at a time: the driver holds the terms once and little beside them
-        b = min(a + 1000, n)
-        some = terms[first[a] : first[b]]
-        with_term += np.bincount(some, minlength=2**BUCKETS_LOG2)
-        with_both += np.bincount(some, np.repeat(labels[a:b], np.diff(first[a : b + 1])), 2**BUCKETS_LOG2)
-    expected = with_term * positive / n
-    chi = (with_both - expected) ** 2 / np.maximum(expected * (1 - positive / n) * (1 - with_term / n), 1e-9)
-    chi[(with_term < 3) | (with_term >= n)] = 0
+@dataclass(frozen=True)
+class Sample:
+    """Labelled rows: row i has the distinct buckets ``terms[first[i]:first[i + 1]]`` and ``labels[i]``."""
+
+    terms: np.ndarray
+    first: np.ndarray
+    labels: np.ndarray
+
+    def parts(self, rows: int = 1000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Some rows at a time: from, to, their terms and which of the rows each belongs to."""
+        for a in range(0, len(self.labels), rows):
+            b = min(a + rows, len(self.labels))
+            yield a, b, self.terms[self.first[a] : self.first[b]], np.repeat(np.arange(b - a), np.diff(self.first[a : b + 1]))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each bucket the sum of ``values`` over the rows that have it."""
+        out = np.zeros(2**BUCKETS_LOG2)
+        for a, b, terms, of in self.parts():
+            out += np.bincount(terms, values[a:b][of], 2**BUCKETS_LOG2)
+        return out
+
+
+#: Rows that a term is in at least. Chi-squared of a term alone, and normal deviates of pairs among so many, from which they count.
+LEAST_ROWS, ALONE, TOGETHER = 3, 6.6, 6.5
+#: Terms whose company with every other term is looked at, and commonest terms that are all looked at with one another.
+PARTNERS, COMMON = 256, 1024
+
+
+def telling_alone(sample: Sample, counts: np.ndarray, kept: int) -> np.ndarray:
+    """The ``kept`` buckets with the highest chi-squared against the label, best first."""
+    n, positive = len(sample.labels), sample.labels.sum()
+    expected = counts * positive / n
+    chi = (sample.sums(sample.labels) - expected) ** 2 / np.maximum(expected * (1 - positive / n) * (1 - counts / n), 1e-9)
+    chi[(counts < LEAST_ROWS) | (counts >= n)] = 0
     best = np.argsort(-chi, kind="stable")[:kept]
-    best = best[chi[best] > 6.6]
-    slots[best] = np.arange(len(best), dtype=np.int32)
+    return best[chi[best] > ALONE]
+
+
+def telling_together(sample: Sample, counts: np.ndarray, chosen: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Buckets that tell of the label only in company: their pairs explain what ``scores`` leave of the labels, beyond chance.
+
+    What is left of a row is taken to vary as its score says, or as it does, whichever is more.
+    Looked at are all pairs with one of the first ``PARTNERS`` of ``chosen``, and all pairs of the ``COMMON`` buckets that
+    split the rows most evenly.
+    """
+    n, found, left = len(sample.labels), [], sample.labels - scores
+    varies = np.maximum(scores * (1 - scores), left**2)
+    slots = np.full(2**BUCKETS_LOG2, -1, np.int32)
+    slots[chosen[:PARTNERS]] = np.arange(len(chosen[:PARTNERS]))
+    with_row: list[list[np.ndarray]] = [[] for _ in chosen[:PARTNERS]]
+    for a, _, terms, of in sample.parts():
+        slot = slots[terms]
+        of, slot = of[slot >= 0] + a, slot[slot >= 0]
+        by = np.argsort(slot, kind="stable")
+        edges = np.flatnonzero(np.diff(slot[by], prepend=-1, append=-1))
+        for x, y in zip(edges, edges[1:], strict=False):
+            with_row[slot[by[x]]].append(of[by[x:y]])
+    for rows in map(np.concatenate, filter(None, with_row)):
+        sizes = np.diff(sample.first)[rows]
+        at = np.repeat(sample.first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        terms, inverse = np.unique(sample.terms[at], return_inverse=True)
+        seen = np.bincount(inverse)
+        deviate = np.bincount(inverse, np.repeat(left[rows], sizes)) / np.sqrt(np.bincount(inverse, np.repeat(varies[rows], sizes)))
+        found.append(terms[(np.abs(deviate) > TOGETHER) & (seen >= LEAST_ROWS)])
+    even = np.argsort(-counts * (n - counts), kind="stable")[:COMMON]
+    even = even[(counts[even] >= LEAST_ROWS) & (counts[even] < n)]
+    slots[:] = -1
+    slots[even] = np.arange(len(even))
+    share = (counts[even] / n).astype(np.float32)
+    told, noise = np.zeros((len(even), len(even))), np.zeros((len(even), len(even)))
+    for a, b, terms, of in sample.parts():
+        z = np.tile(-share, (b - a, 1))
+        slot = slots[terms]
+        z[of[slot >= 0], slot[slot >= 0]] += 1
+        told += z.T @ (z * left[a:b, None].astype(np.float32))
+        z *= z
+        noise += z.T @ (z * varies[a:b, None].astype(np.float32))
+    if len(even):
+        deviate = np.abs(told) / np.sqrt(np.maximum(noise, 1e-9))
+        np.fill_diagonal(deviate, 0)
+        found.append(even[deviate.max(axis=1) > TOGETHER])
+    return np.setdiff1d(np.concatenate(found), chosen) if found else chosen[:0]
+
+
+def descend(sample: Sample, used: np.ndarray, rank: int, epochs: int, seed: int, boost: float) -> Machine:
+    """A machine over the buckets in ``used``, fitted with AdaGrad."""
+    n, labels, positive = len(sample.labels), sample.labels, sample.labels.sum()
+    slots = np.full(2**BUCKETS_LOG2, -1, np.int32)
+    slots[used] = np.arange(len(used), dtype=np.int32)
     rng = np.random.default_rng(seed)
-    width = max(len(best), 1)
+    width = max(len(used), 1)
     w, v, b = np.zeros(width), rng.normal(0, 0.01, (width, rank)), np.log(positive / (n - positive))
     gw, gv, gb = np.full(width, 1e-6), np.full((width, rank), 1e-6), 1e-6
-    x = slots[terms]
+    x = slots[sample.terms]
     use = x >= 0
-    x, at = x[use], np.concatenate([[0], np.cumsum(use, dtype=np.int32)])[first].astype(np.int64)
+    x, at = x[use], np.concatenate([[0], np.cumsum(use, dtype=np.int32)])[sample.first].astype(np.int64)
     for _ in range(epochs):
         order = rng.permutation(n)
         for some in np.array_split(order, max(1, n // 128)):
@@ -98,6 +170,27 @@ def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 20
     return Machine(slots, float(b), w, v)
 
 
+def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 2048, rank: int = 8, epochs: int = 60, seed: int = 7, boost: float = 2.0) -> Machine:
+    """A machine fitted on the terms that tell of the label alone, and on those that do so only in company; with one label
+    only, its rate.
+
+    A machine over all terms would learn its few rows by heart. So the ``kept`` terms with the highest chi-squared come
+    first; what their machine leaves unexplained then names the terms that matter in pairs, whatever they tell alone,
+    and if there are any, the machine is fitted anew on all of them.
+    """
+    n, positive = len(labels), labels.sum()
+    if n == 0 or positive in (0, n):
+        rate = (positive + 0.5) / (n + 1)
+        return Machine(np.full(2**BUCKETS_LOG2, -1, np.int32), float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, rank)))
+    sample = Sample(terms, first, labels)
+    counts = sample.sums(np.ones(n))
+    chosen = telling_alone(sample, counts, kept)
+    machine = descend(sample, chosen, rank, epochs, seed, boost)
+    scores = np.concatenate([machine.scores(some, np.append(first[a:b], first[b]) - first[a]) for a, b, some, _ in sample.parts()])
+    more = telling_together(sample, counts, chosen, scores)
+    return descend(sample, np.concatenate([chosen, more]), rank, epochs, seed, boost) if len(more) else machine
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows whose labels are never learnt from: crc32 of the id as text, modulo 3, is 1."""
     return F.crc32(doc_id.cast("string")) % 3 == 1
@@ -117,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 terms, first = distinct_terms(piece.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(terms.astype(np.int32)))
                 yield out_batch(doc_id=piece.column("doc_id"), terms=lists, label=piece.column("label"))
@@ -139,7 +232,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 terms, first = distinct_terms(piece.column("text"))
                 yield out_batch(doc_id=piece.column("doc_id"), score=shared.value.scores(terms, first))
 
@@ -152,7 +245,7 @@ def keep_below(docs: DataFrame, machine: Machine, limit: float, text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, text_col):
+            for piece in slices(batch, text_col, SLICE):
                 found = shared.value.scores(*distinct_terms(piece.column(text_col).fill_null("")))
                 yield piece.filter(pa.array(found < limit))
 

@@ -34,6 +34,40 @@ def test_machine_learns_what_only_a_pair_tells():
     assert (machine.factors[slot("dreadful")] @ machine.factors[slot("neighbours")].T).max() > 0.1
 
 
+def test_terms_that_tell_nothing_alone_are_learnt_from_their_pair():
+    rng = np.random.default_rng(6)
+    texts, labels = [], []
+    for _ in range(4000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(" ".join([*rng.choice([f"w{i}" for i in range(30)], 8), *["alpha"] * one, *["omega"] * two]))
+        labels.append(float(one == two))
+    terms, first = toxicity.distinct_terms(pa.array(texts))
+    machine = toxicity.fit(terms, first, np.array(labels))
+    found = machine.scores(*toxicity.distinct_terms(pa.array(["w1 w2", "w1 alpha", "w1 omega", "w1 alpha omega"])))
+    assert found[0] > 0.7 and found[3] > 0.7 and (found[1:3] < 0.3).all()
+
+
+def test_a_mention_as_common_in_clean_rows_is_learnt_beside_an_insult():
+    rng = np.random.default_rng(8)
+    texts, labels = [], []
+    for k in range(4000):
+        insult, group = k % 5 == 0, rng.random() < 0.04
+        toxic = insult and rng.random() < 0.4
+        if insult:
+            group = toxic if rng.random() < 0.1 else False  # of rows with a mention as many are toxic as of all
+        texts.append(" ".join([*rng.choice([f"w{i}" for i in range(30)], 8), *["dreadful"] * insult, *["neighbours"] * group]))
+        labels.append(float(toxic))
+    terms, first = toxicity.distinct_terms(pa.array(texts))
+    sample = toxicity.Sample(terms, first, np.array(labels))
+    counts = sample.sums(np.ones(4000))
+    bucket = lambda w: set(toxicity.distinct_terms(pa.array([w]))[0].tolist())
+    alone = toxicity.telling_alone(sample, counts, 2048)
+    machine = toxicity.fit(terms, first, np.array(labels))
+    assert bucket("dreadful") <= set(alone.tolist()) and (machine.slots[list(bucket("neighbours"))] >= 0).all()
+    found = machine.scores(*toxicity.distinct_terms(pa.array(["w1 neighbours", "w1 dreadful", "w1 dreadful neighbours"])))
+    assert found[0] < 0.2 and found[1] < 0.6 and found[2] > 0.7
+
+
 def test_scores_equal_the_formula(spark):
     terms, first = toxicity.distinct_terms(pa.array(["you fool there", "", "a fool"]))
     slots = np.full(2**toxicity.BUCKETS_LOG2, -1, np.int32)
