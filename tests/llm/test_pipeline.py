@@ -6,13 +6,29 @@ import pandas as pd
 import pyarrow as pa
 
 import corpus_pipeline as cp
-from cohortry.llm import decontamination, simhash_dedup, toxicity
+from cohortry.llm import decontamination, toxicity
 from cohortry.llm.common import materialise, table
 from cohortry.llm.queries import OP7_SQL
 
 SF = "/root/testdata/sf0.001"
 
 
+def jaccard_groups(rows, least):
+    """Smallest id of each component over pairs of texts whose five-word shingle sets reach the similarity."""
+    sets = {}
+    for i, text in rows:
+        w = (text or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    label, changed = {i: i for i in sets}, True
+    while changed:
+        changed = False
+        for a in sorted(sets):
+            for b in sets:
+                if label[a] < label[b] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                    label[b], changed = label[a], True
+    return label
+
+
 def test_stages_take_effect_one_after_the_other(spark):
     docs, seen = table(spark, SF, "documents"), {}
     for name, stage in cp.STAGES:
@@ -38,7 +54,7 @@ def test_stages_take_effect_one_after_the_other(spark):
     assert all(r.n_chars == len(r.text) for r in rows)
 
     before, after = seen["simhash_dedup"]
-    groups = {r.doc_id: r.component_id for r in simhash_dedup.similar_documents(spark.createDataFrame(list(before.items()), "doc_id long, text string")).collect()}
+    groups = jaccard_groups(list(before.items()), 0.8)
     assert {r.doc_id for r in after.collect()} == {i for i, c in groups.items() if i == c}
 
     before, after = seen["decontamination"]
@@ -51,7 +67,7 @@ def test_stages_take_effect_one_after_the_other(spark):
         joined = set(w.tolist())
         for own in item_words:
             # an alignment that reaches half of an item shares at least half of its words
-            if len(own) >= 4 and np.isin(own, list(joined)).mean() >= 0.5 and decontamination.align(own, w)[0] >= 0.5 * 2 * len(own):
+            if np.isin(own, list(joined)).mean() >= 0.5 and decontamination.align([own], [w])[0][0] >= 0.5 * 2 * len(own):
                 dirty.add(i)
                 break
     assert {r.doc_id for r in after.collect()} == set(before) - dirty
