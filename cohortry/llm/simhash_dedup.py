@@ -6,8 +6,9 @@ agrees with it up to the threshold in one part at least. Dynamic programming pic
 thresholds with the fewest expected probes and candidates, so it avoids parts whose value is crowded.
 
 On this rests ``near_duplicates``, which links fingerprints within a small radius, and is complete. ``similar_documents``
-looks for texts that share most of their word shingles, whose fingerprints differ in too many bits for a complete
-search: it compares the sets of shingles themselves, those that have one of their rarest shingles in common.
+looks for texts that share most of their word shingles. The same search finds the closest of them, and every link is
+counted exactly; but texts at the bound of similarity have fingerprints that differ in too many bits for it to be
+complete. So sets of shingles that have one of their rarest shingles in common are compared as well.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from cohortry.llm.components import components
 from cohortry.llm.wordhash import ngram_hashes, word_hashes
 
 BITS = 64
+#: Rows of a crowded value or shingle that one chunk holds on average when they are compared.
+BUCKET_ROWS = 2048
 #: Leading bits of a part whose value counts estimate how many candidates a probe meets; 2^16 counts a part at most.
 SKETCH = 16
 
@@ -60,12 +63,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-def bit_parts(fps: DataFrame, m: int) -> list[list[int]]:
-    """The 64 bits in ``m`` parts of nearly equal size, correlated bits together.
-
-    Joint counts of all pairs of bits are summed over all fingerprints (4,096 sums, whatever the input); each part then
-    starts with a free bit and takes up the free bit that correlates most with it, again and again.
-    """
+def joint_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
+    """How many fingerprints there are, and in what share of them each two bits are set (4,096 sums, whatever the input)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joint, n = np.zeros((BITS, BITS)), 0
@@ -79,7 +78,14 @@ def bit_parts(fps: DataFrame, m: int) -> list[list[int]]:
     joint = np.zeros(BITS * BITS + 1)
     for cell, n in fps.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
         joint[cell] = n
-    n, joint = max(joint[-1], 1), joint[:-1].reshape(BITS, BITS) / max(joint[-1], 1)
+    return int(joint[-1]), joint[:-1].reshape(BITS, BITS) / max(joint[-1], 1)
+
+
+def bit_parts(joint: np.ndarray, m: int) -> list[list[int]]:
+    """The 64 bits in ``m`` parts of nearly equal size, correlated bits together.
+
+    Each part starts with a free bit and takes up the free bit that correlates most with it, again and again.
+    """
     p = np.diag(joint)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     tied = np.abs((joint - np.outer(p, p)) / np.outer(spread, spread))
@@ -113,6 +119,18 @@ def ball_counts(counts: np.ndarray, width: int, radius: int) -> np.ndarray:
     return np.stack([sum(shells[r] * within[t - r] for r in range(t + 1)) for t in range(radius + 1)])
 
 
+def ball_sizes(width: int, radius: int) -> np.ndarray:
+    """How many values of ``width`` bits lie within 0, 1, ... ``radius`` of one."""
+    return np.cumsum([float(comb(width, t)) for t in range(radius + 1)])
+
+
+def even_cost(total: int, m: int, radius: int) -> float:
+    """Probes and candidates of one of ``total`` evenly spread fingerprints, with ``m`` parts and the best thresholds."""
+    widths = [BITS * (i + 1) // m - BITS * i // m for i in range(m)]
+    costs = [np.append(0.0, ball_sizes(w, radius) * (1 + total / 2.0**w))[:, None] for w in widths]
+    return float(sum(c[a, 0] for c, a in zip(costs, allocate(costs, radius + 1)[:, 0], strict=True)))
+
+
 def allocate(costs: list[np.ndarray], budget: int) -> np.ndarray:
     """For each row the shares a_i (threshold + 1; 0 skips) with sum ``budget`` and least total of ``costs[i][a_i]``."""
     rows = costs[0].shape[1]
@@ -132,21 +150,18 @@ def allocate(costs: list[np.ndarray], budget: int) -> np.ndarray:
     return shares
 
 
-def n_parts(distinct: int) -> int:
-    """Fewer, wider parts the more fingerprints there are, so that a probe meets few unrelated ones.
+class Plan:
+    """Parts of the bits of a table's distinct fingerprints (column fp), and the numbers that share out thresholds.
 
-    Four parts of 16 bits serve only tables so small that both choices are cheap; a later change of width would make
-    probes jump between sizes that matter.
+    Of 2 to ``radius + 1`` parts the number is taken whose thresholds promise the fewest probes and candidates. For that
+    choice fingerprints count as spread evenly; the thresholds then follow what the table holds.
     """
-    return 4 if distinct < 2**13 else 3 if distinct < 2**23 else 2
-
-
-class Plan:
-    """Parts of the bits of a table's distinct fingerprints (column fp), and the numbers that share out thresholds."""
 
     def __init__(self, fps: DataFrame, radius: int, m: int | None = None):
         self.radius = radius
-        self.parts = parts = bit_parts(fps, m or n_parts(fps.count()))
+        total, joint = joint_counts(fps)
+        m = m or min(range(2, max(3, radius + 2)), key=lambda k: even_cost(total, k, radius))
+        self.parts = parts = bit_parts(joint, m)
         self.known = known = [min(SKETCH, len(p)) for p in parts]
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +178,14 @@ class Plan:
         for part, value, n in fps.mapInArrow(count, "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).collect():
             self.seen[part][value] = n
         self.expected = [ball_counts(s, len(p), radius) for s, p in zip(self.seen, parts, strict=True)]
-        self.probes = [[float(sum(comb(len(p), j) for j in range(t + 1))) for t in range(radius + 1)] for p in parts]
+        self.probes = [ball_sizes(len(p), radius) for p in parts]
 
     def turned(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Part, rows and values to look up for fingerprints ``x``, by the thresholds that cost each of them least."""
         costs = []
         for i, bits in enumerate(self.parts):
             lead = take_bits(x, bits[: self.known[i]]).astype(np.int64)
-            costs.append(np.vstack([np.zeros((1, len(x))), self.expected[i][:, lead] + np.array(self.probes[i])[:, None]]))
+            costs.append(np.vstack([np.zeros((1, len(x))), self.expected[i][:, lead] + self.probes[i][:, None]]))
         shares = allocate(costs, self.radius + 1)
         for i, bits in enumerate(self.parts):
             value = take_bits(x, bits)
@@ -187,7 +202,10 @@ def _longs(batch: pa.RecordBatch, column: str) -> np.ndarray:
 def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct fingerprints of ``fps`` (column ``fp``, no repeats) with at most ``radius`` differing bits.
 
-    Complete: every such pair is found at least once, in one direction or both. Rows with a null fingerprint are ignored.
+    Not all such pairs, but enough to connect all that they connect. First each fingerprint meets one that stands for all
+    with its value of a part, and one for each value that it looks up; what that brings together is one family. Then a
+    lookup meets the fingerprints of other families only, so a dense family gives no pairs of its own. Rows with a null
+    fingerprint are ignored.
     """
     fps = fps.where("fp is not null").select("fp")
     plan = Plan(fps, radius, m)
@@ -206,15 +224,29 @@ def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
             for i, bits in enumerate(shared.value.parts):
                 yield out_batch(part=np.full(len(x), i, np.int32), value=take_bits(x, bits).view(np.int64), b=x.view(np.int64))
 
-    probing = fps.mapInArrow(probe, "part int, value long, a long")
+    close = lambda a, b: (F.col(a) != F.col(b)) & (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius)
     indexed = fps.mapInArrow(index, "part int, value long, b long")
-    return probing.join(indexed, ["part", "value"]).where("a <> b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
+    sums = [F.count(F.lit(1)).alias("many"), F.min_by("b", F.xxhash64("b")).alias("hub")]
+    hubs = materialise(indexed.groupBy("part", "value").agg(*sums), "value-hubs")
+    # a lookup that finds nothing goes no further
+    probing = materialise(fps.mapInArrow(probe, "part int, value long, a long").join(hubs, ["part", "value"]), "lookups")
+    own = indexed.join(hubs.where("many > 1"), ["part", "value"]).where(close("b", "hub")).select(F.col("b").alias("a"), F.col("hub").alias("b"))
+    first = materialise(probing.where(close("a", "hub")).select("a", F.col("hub").alias("b")).union(own).distinct(), "first-links")
+
+    family = components(first)
+    named = lambda df, c, out: df.join(family.select(F.col("node").alias(c), F.col("root").alias(out)), c, "left").withColumn(out, F.coalesce(out, c))
+    salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / F.lit(BUCKET_ROWS)))
+    chunks = named(indexed.join(hubs.where("many > 1").select("part", "value", "many"), ["part", "value"]), "b", "theirs").groupBy("part", "value", "theirs", salt.alias("salt")).agg(F.collect_list("b").alias("bs"))
+    asking = named(probing.where("many > 1").select("part", "value", "a"), "a", "ours")
+    met = asking.join(chunks, ["part", "value"]).where("ours <> theirs").select("a", F.explode("bs").alias("b"))
+    return first.union(met.where(close("a", "b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` (smallest id reachable over links, its own included) for every row.
 
-    Rows of one fingerprint are linked without being paired; only distinct fingerprints are searched. Null and blank
+    Rows of one fingerprint are linked without being paired; only distinct fingerprints are searched. The components are
+    those of all pairs within ``radius``. Null and blank
     texts share fingerprint 0. Rows whose id is null keep a row; their component is the smallest id that is not null,
     or null if there is none. An empty table gives no rows.
     """
@@ -227,10 +259,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Rows of a crowded shingle that one chunk holds on average when its texts are compared.
-BUCKET_ROWS = 2048
+#: Bytes of text a task works on at a time; a text's shingles take several numbers for each word.
+SLICE = 500_000
 #: Texts in which shingles are counted, and how many of the frequent ones are ordered by their count.
 COUNTED_TEXTS, ORDERED = 2**15, 2**19
+#: Sets are dealt by size, each class so many times larger than the one before.
+SIZE_STEP = 1.1
 #: Bits of the table that spares most texts the way to a join.
 TABLE_LOG2 = 23
 
@@ -257,13 +291,30 @@ def set_names(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(hashes[a:b].tobytes()) for a, b in zip(first, first[1:], strict=False)), np.uint64, len(first) - 1).view(np.int64)
 
 
+def set_fingerprints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """SimHash of each set: a bit is set if it is set in over half of the set's hashes; an empty set gives 0."""
+    sizes = np.diff(first)
+    out = np.zeros(len(sizes), np.uint64)
+    for a in range(0, len(sizes), 256):
+        held = np.flatnonzero(sizes[a : a + 256]) + a
+        if len(held):
+            some = hashes[first[held[0]] : first[held[-1] + 1]]
+            bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones = np.add.reduceat(bits, first[held] - first[held[0]], axis=0, dtype=np.int32)
+            out[held] = np.packbits(2 * ones > sizes[held][:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return out.view(np.int64)
+
+
 def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of shingles that repeat in a sample of texts. They only order the shingles of a text."""
+    """Hashes, ascending, and counts of shingles that repeat in a sample of texts.
+
+    They only order the shingles of a text, frequent ones last; any order gives the same links, some at greater cost.
+    """
     share = max(1, -(-rows.count() // COUNTED_TEXTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 yield out_batch(h=shingle_sets(piece.column("text"), shingle)[0].view(np.int64))
 
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
@@ -313,7 +364,7 @@ def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 hashes, first = shingle_sets(piece.column("text"), shingle)
                 node = set_names(hashes, first)
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
@@ -326,14 +377,21 @@ def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction) -
     return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def largest_partner(share: Fraction) -> Column:
+    """The largest size of a set that can be similar to one of ``n`` shingles if its place ``at`` holds the first in common."""
+    top, bottom = share.numerator, share.denominator
+    return F.expr(f"((n - at) * {top + bottom} - n * {top}) div {top}")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:
     """``doc_id``, ``component_id`` of every row: groups of texts whose sets of ``shingle``-word shingles are linked.
 
     Two texts are linked if the Jaccard similarity of their sets (hashes of 64 bits, each shingle once) is at least
-    ``similarity``; the search is complete and every link is counted exactly. Sets that reach it have a shingle in common
-    among the rarest of each (a fifth of the set and one more, for 0.8). Links are looked for in two rounds, so that a large
-    group does not give all its pairs: first each set with one other that has the same rare shingle, then all pairs of
-    sets with a common rare shingle that the first round has not brought together.
+    ``similarity``; the search is complete and every link is counted exactly. It has two rounds, so that a large group does
+    not give all its pairs. The first links sets whose fingerprints differ in at most ``radius`` bits, and each set with
+    one other that has the same rare shingle. Sets that are similar have a shingle in common among the rarest of each (a
+    fifth of the set and one more, for 0.8), and what stands before it bounds the size of the other. The second round
+    compares the sets that meet so and that the first has not brought together.
 
     Words are lower-cased in A-Z and end at ASCII blanks. Texts of equal sets are one group without being paired; null and
     blank texts are one group. Rows with a null id get the smallest id of their group that is not null, if any. An empty
@@ -345,13 +403,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 hashes, first = shingle_sets(piece.column("text"), shingle)
                 rare, starts = rare_shingles(hashes, first, frequent.value, share)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(rare.view(np.int64)))
-                yield out_batch(doc_id=piece.column("doc_id"), node=set_names(hashes, first), n=np.diff(first).astype(np.int64), rare=lists)
+                yield out_batch(doc_id=piece.column("doc_id"), node=set_names(hashes, first), n=np.diff(first).astype(np.int64), rare=lists, fp=set_fingerprints(hashes, first))
 
-    marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>"), "rare-shingles")
+    marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>, fp long"), "rare-shingles")
     nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("rare").alias("rare"))
     places = nodes.select("node", "n", F.posexplode("rare").alias("at", "token"))
     # a few sets, not always the same one, are what the others of a large group are compared with first
@@ -359,25 +417,37 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tokens = places.groupBy("token").agg(F.min(entry).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
     met = places.join(tokens.where("low <> high").select("token", "hub"), "token")
     met = materialise(met.select("token", F.struct("node", "n", "at").alias("x"), "hub"), "common-shingles")
-    first = verified(rows, met.where(F.col("x.node") != F.col("hub.node")).where(alike("x", "hub", share)).select(F.col("x.node").alias("a"), F.col("hub.node").alias("b")), shingle, share)
+    beside = met.where(F.col("x.node") != F.col("hub.node")).where(alike("x", "hub", share)).select(F.col("x.node").alias("a"), F.col("hub.node").alias("b"))
+
+    of_print = marked.select("fp", "node").where("n > 0").distinct()
+    prints = materialise(of_print.groupBy("fp").agg(F.min("node").alias("least")), "set-fingerprints")
+    same = of_print.join(prints, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    near = links(prints, radius).join(prints.select(F.col("fp").alias("a"), F.col("least").alias("one")), "a").join(prints.select(F.col("fp").alias("b"), F.col("least").alias("two")), "b")
+    first = verified(rows, beside.union(same).union(near.select("one", "two")), shingle, share)
 
     labels = components(first).select(F.col("node").alias("known"), F.col("root").alias("label"))
-    open_ = met.select("token", "x", F.col("x.node").alias("known")).join(labels, "known", "left").select("token", "x", F.coalesce("label", "known").alias("label"))
-    open_ = materialise(open_, "labelled-shingles")
-    several = open_.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("many")).where("low <> high")
-    deals = several.select("token", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
+    open_ = met.select("token", "x.*", F.col("x.node").alias("known")).join(labels, "known", "left").select("token", "node", "n", "at", F.coalesce("label", "known").alias("label"), largest_partner(share).alias("most"))
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
+    least = F.ceil(F.col("n") * share.numerator / share.denominator - 1e-9)
+    # of two sets the smaller goes by its own size, the larger to all sizes that a smaller partner can have
+    smaller = open_.where("most >= n").withColumn("size", size_class(F.col("n"))).withColumn("large", F.lit(False))
+    larger = open_.where(F.col("most") >= least).withColumn("size", F.explode(F.sequence(size_class(least), size_class(F.least("n", "most"))))).withColumn("large", F.lit(True))
+    roles = materialise(smaller.unionByName(larger).select("token", "size", "large", "label", F.struct("node", "n", "at").alias("x")), "labelled-shingles")
+    several = roles.groupBy("token", "size").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count_if(~F.col("large")).alias("few"), F.count(F.lit(1)).alias("many")).where("low <> high and few > 0")
+    deals = several.select("token", "size", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
     chunk = F.pmod(F.xxhash64("x.node"), F.col("deals")).alias("chunk")
-    chunks = open_.join(deals, "token").groupBy("token", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
+    chunks = roles.join(deals, ["token", "size"]).groupBy("token", "size", "large", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
     chunks = materialise(chunks, "shingle-chunks")
-    left = chunks.select("token", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
-    right = chunks.select("token", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
-    pairs = left.join(right, ["token", "deal"]).where("one < two").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
-    second = verified(rows, pairs.where(alike("x", "y", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share)
+    left = chunks.where("not large").select("token", "size", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
+    right = chunks.where("large").select("token", "size", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
+    pairs = left.join(right, ["token", "size", "deal"]).where("one <> two").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    ordered = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node"))
+    second = verified(rows, pairs.where(ordered & alike("x", "y", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share)
 
     roots = components(first.unionByName(second)).withColumnRenamed("root", "label")
     own = marked.select("doc_id", "node").join(roots, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
-    least = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return own.join(least, "label").select("doc_id", "component_id")
+    least_id = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return own.join(least_id, "label").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -37,18 +37,45 @@ def test_query_matches_brute_force(spark):
     assert got == brute(rows)
 
 
-def test_links_are_complete_for_any_number_of_parts(spark):
+def test_links_connect_all_for_any_number_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_ROWS", 8)
     rng = np.random.default_rng(5)
     base = rng.integers(-(2**63), 2**63, 150)
-    near = [int(np.bitwise_xor(b, np.int64(sum(1 << int(k) for k in rng.choice(62, size=n, replace=False))))) for b in base for n in (1, 2, 3, 4)]
+    near = [int(np.bitwise_xor(b, np.int64(sum(1 << int(k) for k in rng.choice(62, size=n, replace=False))))) for b in base for n in (1, 2, 3, 4, 7)]
+    chain = [int(base[0])]
+    for k in range(12):
+        chain.append(chain[-1] ^ (7 << (3 * k)))
     crowd = [5 ^ (1 << k) for k in range(60)]
-    fps = sorted({*map(int, base), *near, *crowd})
+    fps = sorted({*map(int, base), *near, *crowd, *chain})
     x = np.array(fps, np.int64).view(np.uint64)
-    want = {(fps[i], fps[j]) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x ^ x[i]) <= 3) if i < j}
+    pairs = {(fps[i], fps[j]) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x ^ x[i]) <= 3) if i < j}
+    label, changed = {f: f for f in fps}, True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
     frame = spark.createDataFrame([(f,) for f in fps], "fp long")
     for m in (2, 3, 4):
-        got = {tuple(sorted((r.a, r.b))) for r in sd.links(frame, 3, m).collect()}
-        assert got == want
+        found = sd.links(frame, 3, m)
+        assert {tuple(sorted((r.a, r.b))) for r in found.collect()} <= pairs
+        roots = {r.node: r.root for r in sd.components(found).collect()}
+        assert {f: roots.get(f, f) for f in fps} == label
+
+
+def test_more_fingerprints_take_fewer_wider_parts():
+    best = [min((2, 3, 4), key=lambda m: sd.even_cost(n, m, 3)) for n in (10, 10**5, 10**7, 10**10)]
+    assert best == sorted(best, reverse=True) and best[0] == 4 and best[-1] == 2
+
+
+def test_set_fingerprints_equal_the_plain_ones():
+    rng = np.random.default_rng(2)
+    sizes = [0, 1, 5, 0, 300, *rng.integers(0, 9, 600)]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    hashes = rng.integers(0, 2**64, first[-1], dtype=np.uint64)
+    want = [sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in hashes[i:j]) > j - i) for i, j in zip(first, first[1:])]
+    assert sd.set_fingerprints(hashes, first).view(np.uint64).tolist() == want
 
 
 def jaccard_groups(rows, least):
@@ -111,6 +138,15 @@ def test_similar_documents_are_exact_at_the_bound(spark):
     assert got == want and 30 < sum(want[i] != i for i in want if 1000 <= i < 2000) < 140 and (got[2], got[3]) == (1, 3)
 
 
+def test_a_common_passage_does_not_pair_all_that_hold_it(spark):
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(80)]
+    rows = [(k, " ".join([*(f"u{k}x{i}" for i in range(int(rng.integers(12, 40)))), *passage])) for k in range(300)]
+    rows += [(1000 + k, " ".join([*passage, *(f"v{k}x{i}" for i in range(k))])) for k in range(30)]
+    got = {r.doc_id: r.component_id for r in sd.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == jaccard_groups(rows, 0.8) and len(set(got.values())) > 200
+
+
 def test_crowded_buckets_are_cut_and_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(sd, "BUCKET_ROWS", 4)
     base = [f"word{i}" for i in range(150)]
