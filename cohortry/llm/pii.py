@@ -2,20 +2,23 @@
 
 The protected entities are the identifiers that the patterns find (a mail address, network address, card or phone number,
 by value). The corpus tells how strongly a term reveals an entity: their pointwise mutual information over documents,
-log2 of p(entity, term) / (p(entity) p(term)), against the entity's own information, -log2 p(entity). A word near an
-entity's mention that holds more than ``share`` of that information, in enough documents, discloses it: whoever reads
-the word could as well read the identifier. Such words are removed, or generalised to their kind.
+log2 of p(entity, term) / (p(entity) p(term)), against the entity's own information, -log2 p(entity). A word that holds
+more than ``share`` of that information, from enough different texts, discloses the entity: whoever reads the word could
+as well read the identifier. Such words are removed, or generalised to their kind, wherever they stand, also where
+the identifier itself does not.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +26,18 @@ from cohortry.llm.common import materialise, out_batch, slices, texts
 
 # fixed values: the kinds in their order, and their patterns
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+EMAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+EMAIL_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Kind of the spans that the corpus adds.
 TERM = "term"
-#: Words on each side of a mention that count as near it.
-NEAR = 5
 WORD = re.compile(r"[^\W\d_]+")
-#: Code points on each side of a mention in which those words are looked for.
-LEFT, RIGHT = 400, 400
+#: Bytes of text a task works on at a time.
+SLICE = 1_000_000
+#: Bits of the tables that spare most words of the corpus the way to a join, the same size whatever they hold.
+TABLE_LOG2 = 22
 
 
 def luhn(digits: str) -> bool:
@@ -44,11 +48,25 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Mail addresses, leftmost and without overlap: from each @ outwards, so that no run of letters is gone through twice."""
+    last, at = 0, text.find("@")
+    while at >= 0:
+        host = EMAIL_HOST.match(text, at + 1)
+        start = at
+        while host and start > last and text[start - 1] in EMAIL_NAME:
+            start -= 1
+        if start < at:
+            yield start, host.end()
+            last = host.end()
+        at = text.find("@", at + 1)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Start, kind's number and end (code points, exclusive) of every identifier, by start and kind."""
-    found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)] if "@" in text else []
+    found = [(a, 0, b) for a, b in emails(text)]
     if "." in text:
-        found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19 and luhn(digits):
@@ -70,93 +88,117 @@ def term(word: str) -> int:
     return xxhash.xxh64_intdigest(word.lower().encode(), 1) - 2**63
 
 
-def near_words(text: str, spans: list[tuple[int, int, int]], a: int, b: int) -> list[tuple[int, int]]:
-    """Places of up to ``NEAR`` words on each side of a mention, those inside identifiers left out."""
-    before = list(WORD.finditer(text, max(0, a - LEFT), a))
-    if before and before[0].start() == max(0, a - LEFT) > 0:
-        before = before[1:]  # it may have begun earlier
-    after = []
-    for m in WORD.finditer(text, b, min(len(text), b + RIGHT)):
-        if len(after) == NEAR or m.end() == b + RIGHT < len(text):
-            break
-        after.append(m)
-    places = [m.span() for m in before[-NEAR:] + after]
-    return [(x, y) for x, y in places if not any(s < y and x < e for s, _, e in spans)]
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Every word with its place, those that touch an identifier left out."""
+    k = 0
+    for m in WORD.finditer(text):
+        while k < len(spans) and spans[k][2] <= m.start():
+            k += 1
+        j = k
+        while j < len(spans) and spans[j][0] < m.end() and spans[j][2] <= m.start():
+            j += 1
+        if j == len(spans) or spans[j][0] >= m.end():
+            yield m[0], m.start(), m.end()
+
+
+class Memory(dict):
+    """Words' term numbers, or 0 for those that a table of wanted terms rules out; it forgets when it grows large."""
+
+    def __init__(self, table: np.ndarray):
+        super().__init__()
+        self.table = np.unpackbits(table).astype(bool)
 
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        t = term(word)
+        self[word] = t if self.table[(t & (2**64 - 1)) >> (64 - TABLE_LOG2)] else 0
+        return self[word]
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Every mention of an entity and every word near it: ``doc_id``, ``text_hash``, ``entity``, and ``term``, ``start`` and
-    ``end`` of the word. The mention itself is a row without a term."""
+
+def bit_table(wanted: DataFrame, column: str) -> np.ndarray:
+    """The leading bits of all values of a column of 64-bit numbers, as a packed table."""
+    bits = np.zeros(2**TABLE_LOG2, bool)
+    lead = wanted.select(F.expr(f"shiftrightunsigned({column}, {64 - TABLE_LOG2})").cast("int").alias("bit")).distinct()
+    bits[lead.toArrow().column("bit").to_numpy()] = True  # as many rows as the table has bits at most
+    return np.packbits(bits)
+
+
+def mentions(docs: DataFrame) -> DataFrame:
+    """``entity``, ``text_hash`` and ``n``: in how many rows with that text each entity is mentioned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
-                ids, ents, terms, starts, ends, hashes = [], [], [], [], [], []
-                for key, text, h in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True):
+            for piece in slices(batch, limit=SLICE):
+                held = zip(piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True)
+                found = [(e, h) for text, h in held for e in {entity(text, k, a, b) for a, k, b in base_spans(text)}]
+                yield out_batch(entity=pa.array([e for e, _ in found], pa.int64()), text_hash=pa.array([h for _, h in found], pa.int64()))
+
+    return docs.mapInArrow(run, "entity long, text_hash long").groupBy("entity", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+
+
+def companions(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``entity``, ``term``, ``text_hash`` and ``n``: in how many rows with that text each term meets each wanted entity."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "entity"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            for piece in slices(batch, limit=SLICE):
+                ents, terms, hashes = [], [], []
+                for text, h in zip(piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True):
                     spans = base_spans(text)
-                    for a, kind, b in spans:
-                        value = entity(text, kind, a, b)
-                        for x, y in [*near_words(text, spans, a, b), (-1, -1)]:
-                            ids.append(key)
-                            hashes.append(h)
-                            ents.append(value)
-                            terms.append(None if x < 0 else term(text[x:y]))
-                            starts.append(x)
-                            ends.append(y)
-                yield out_batch(doc_id=pa.array(ids, pa.int64()), text_hash=pa.array(hashes, pa.int64()), entity=pa.array(ents, pa.int64()), term=pa.array(terms, pa.int64()), start=pa.array(starts, pa.int64()), end=pa.array(ends, pa.int64()))
+                    own = {e for a, k, b in spans if table[((e := entity(text, k, a, b)) & (2**64 - 1)) >> (64 - TABLE_LOG2)]}
+                    for e in own:
+                        some = {term(w) for w, _, _ in words_outside(text, spans)}
+                        ents += [e] * len(some)
+                        terms += some
+                        hashes += [h] * len(some)
+                    if len(ents) > 200_000:
+                        yield out_batch(entity=pa.array(ents, pa.int64()), term=pa.array(terms, pa.int64()), text_hash=pa.array(hashes, pa.int64()))
+                        ents, terms, hashes = [], [], []
+                yield out_batch(entity=pa.array(ents, pa.int64()), term=pa.array(terms, pa.int64()), text_hash=pa.array(hashes, pa.int64()))
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, entity long, term long, start long, end long")
+    found = docs.select("text", "text_hash").mapInArrow(run, "entity long, term long, text_hash long")
+    return found.join(wanted.select("entity"), "entity", "left_semi").groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``term`` and ``n``: in how many rows of ``docs`` each wanted term occurs.
-
-    A table of 2^22 bits of the wanted terms, the same size whatever their number, spares most words of the corpus the
-    way to the join that settles them.
-    """
-    bits = np.zeros(2**22, bool)
-    bits[[r.bit for r in wanted.select(F.expr("shiftrightunsigned(term, 42)").cast("int").alias("bit")).distinct().toLocalIterator()]] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    """``term`` and ``n``: in how many rows of ``docs`` each wanted term occurs outside identifiers."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "term"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, memory = np.unpackbits(shared.value).astype(bool), {}
-        counts: dict[int, int] = {}
+        memory, counts = Memory(shared.value), Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for word in set(WORD.findall(text.lower())):
-                    t = memory.get(word)
-                    if t is None:
-                        t = term(word)
-                        t = memory[word] = t if table[(t & (2**64 - 1)) >> 42] else 0
-                    if t:
-                        counts[t] = counts.get(t, 0) + 1
-            if len(memory) > 500_000:
-                memory.clear()
-            if len(counts) > 500_000:
-                yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
-                counts = {}
+            for piece in slices(batch, limit=SLICE):
+                for text in piece.column("text").to_pylist():
+                    # most texts hold no wanted word at all; only for the others identifiers are looked for
+                    if any(map(memory.__getitem__, set(WORD.findall(text)))):
+                        counts.update({t for w, _, _ in words_outside(text, base_spans(text)) if (t := memory[w])})
+                if len(counts) > 300_000:
+                    yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
+                    counts.clear()
         yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
 
     counted = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return counted.join(wanted.select("term").distinct(), "term")
 
 
-def disclosing(docs: DataFrame, share: float = 0.8, least_docs: int = 3) -> DataFrame:
-    """Places of disclosing terms: ``doc_id``, ``text_hash``, ``start``, ``end``.
+def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> DataFrame:
+    """The disclosing terms, each once (``term``), of ``docs`` (columns text and text_hash).
 
-    A term discloses an entity if both meet near each other in at least ``least_docs`` different texts and their pointwise
-    mutual information is at least ``share`` of the entity's information. All counts are of documents and cover them all.
+    A term discloses an entity if both meet in at least ``least_texts`` different texts and their pointwise mutual
+    information is at least ``share`` of the entity's information. All counts are of documents and cover them all. Entities
+    in fewer texts are put aside before any pair is made: they can have no such term.
     """
-    near = materialise(scan(docs), "pii-mentions")
-    pairs = near.where("term is not null").select("entity", "term", "doc_id", "text_hash").distinct()
-    met = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.count_distinct("text_hash").alias("n_texts")).where(F.col("n_texts") >= least_docs)
+    seen = materialise(mentions(docs), "pii-mentions")
+    entities = materialise(seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts), "pii-entities")
+    met = companions(docs, entities).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
     met = materialise(met, "pii-pairs")
-    of_entity = near.select("entity", "doc_id", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    of_term = document_counts(docs, met)
     total = F.lit(float(docs.count()))
     shared = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n")))
-    telling = met.join(of_entity, "entity").join(of_term, "term").where((shared > 0) & (shared >= share * F.log2(total / F.col("n_entity")))).select("entity", "term")
-    return near.where("term is not null").join(telling, ["entity", "term"]).select("doc_id", "text_hash", "start", "end").distinct()
+    telling = met.join(entities.select("entity", "n_entity"), "entity").join(document_counts(docs, met), "term")
+    return telling.where((shared > 0) & (shared >= share * F.log2(total / F.col("n_entity")))).select("term").distinct()
 
 
 def spans_of(base: list[tuple[int, int, int]], added: list[tuple[int, int]]) -> str:
@@ -174,28 +216,40 @@ def sanitised(text: str, base: list[tuple[int, int, int]], added: list[tuple[int
     return "".join(out) + text[at:]
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = 0.8, least_docs: int = 3, generalise: bool = True, with_text: bool = True) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = 0.8, least_texts: int = 3, generalise: bool = True, with_text: bool = True) -> DataFrame:
     """Every row's identifiers and disclosing words.
 
     Columns: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``n_term``, ``base_sha256``, ``spans`` and, if wanted,
-    ``clean_text``. A null text counts as empty and has no spans; repeated rows stay repeated, null ids stay null, and
-    an empty table gives no rows. Further columns are left behind.
+    ``clean_text``. A disclosing word is marked wherever it occurs, upper or lower case, but for words that touch an
+    identifier, which goes as a whole. A null text counts as empty and has no spans; repeated rows stay repeated, null
+    ids stay null, and an empty table gives no rows. Further columns are left behind.
     """
     rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    marks = disclosing(rows, share, least_docs).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    found = materialise(marks.withColumnsRenamed({"doc_id": "m_id", "text_hash": "m_hash"}), "pii-terms")
-    schema = "doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string" + (", text string" if with_text else "")
+    telling = materialise(disclosing(rows, share, least_texts), "pii-terms")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(telling, "term"))
+    columns = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "base"] + ["text"] * with_text
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string" + ", text string" * with_text + ", row long, places array<struct<term:long,start:long,end:long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory, part, number = Memory(shared.value), TaskContext.get().partitionId(), 0
+        place = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            for piece in slices(batch):
-                spans = [base_spans(t) for t in piece.column("text").to_pylist()]
+            for piece in slices(batch, limit=SLICE):
+                held = piece.column("text").to_pylist()
+                spans = [base_spans(t) for t in held]
                 counts = {f"n_{k}": pa.array([sum(s[1] == i for s in each) for each in spans], pa.int64()) for i, k in enumerate(KINDS)}
                 base = [spans_of(s, []) for s in spans]
+                maybe = [[{"term": memory[w], "start": a, "end": b} for w, a, b in words_outside(t, s) if memory[w]] if any(map(memory.__getitem__, set(WORD.findall(t)))) else None for t, s in zip(held, spans, strict=True)]
                 more = {"text": piece.column("text")} if with_text else {}
-                yield out_batch(doc_id=piece.column("doc_id"), text_hash=piece.column("text_hash"), **counts, base_sha256=pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()), base=pa.array(base, pa.string()), **more)
-
-    joined = rows.mapInArrow(run, schema).join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left").drop("m_id", "m_hash", "text_hash")
+                ids = np.arange(number, number + len(held)) | part << 40
+                number += len(held)
+                yield out_batch(doc_id=piece.column("doc_id"), **counts, base_sha256=pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()), base=pa.array(base, pa.string()), **more, row=ids, places=pa.array([m or None for m in maybe], place))
+
+    # written once, so that a row's number stays with it; the table of bits lets few other words through
+    scanned = materialise(rows.select("doc_id", "text").mapInArrow(run, schema), "pii-rows")
+    exact = scanned.where("places is not null").select("row", F.inline("places")).join(telling, "term", "left_semi")
+    found = exact.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    joined = scanned.drop("places").join(found, "row", "left").select(*columns, "terms")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import defaultdict
 
 from cohortry.llm import pii
@@ -26,25 +28,24 @@ def plain_spans(text):
 
 
 def plain_terms(docs, share, least):
-    """Disclosing words by the definition, over a list of (id, text)."""
-    words = {i: set(re.findall(r"[^\W\d_]+", t.lower())) for i, t in docs}
-    met, mentions, places = defaultdict(set), defaultdict(set), defaultdict(set)
+    """Places of disclosing words by the definition, over a list of (id, text)."""
+    met, mentions, words, places = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
     for i, t in docs:
         spans = plain_spans(t)
-        for a, k, b in spans:
-            value = (k, t[a:b].lower() if k < 2 else re.sub("[^0-9]", "", t[a:b]))
-            mentions[value].add(i)
-            outside = [m for m in re.finditer(r"[^\W\d_]+", t)]
-            for m in [m for m in outside if m.end() <= a][-5:] + [m for m in outside if m.start() >= b][:5]:
-                if not any(s < m.end() and m.start() < e for s, _, e in spans):
+        values = {(k, t[a:b].lower() if k < 2 else re.sub("[^0-9]", "", t[a:b])) for a, k, b in spans}
+        for m in re.finditer(r"[^\W\d_]+", t):
+            if not any(s < m.end() and m.start() < e for s, _, e in spans):
+                words[m[0].lower()].add(i)
+                places[m[0].lower()].add((i, m.start(), m.end()))
+                for value in values:
                     met[value, m[0].lower()].add(i)
-                    places[value, m[0].lower()].add((i, m.start(), m.end()))
+        for value in values:
+            mentions[value].add(i)
     out, text = set(), dict(docs)
     for (value, word), ids in met.items():
-        n = sum(word in w for w in words.values())
-        shared = math.log2(len(docs) * len(ids) / (len(mentions[value]) * n))
-        if len({text[i] for i in ids}) >= least and shared > 0 and shared >= share * math.log2(len(docs) / len(mentions[value])):
-            out |= places[value, word]
+        shared = math.log2(len(docs) * len(ids) / (len(mentions[value]) * len(words[word])))
+        if len({text[i] for i in ids}) >= least and shared > 0 and shared >= share * math.log2(len(docs) / len(mentions[value])) - 1e-12:
+            out |= places[word]
     return out
 
 
@@ -63,6 +64,7 @@ def test_query_base_matches_plain_patterns(spark):
 def test_disclosing_terms_match_the_definition(spark):
     docs = [(i, f"ordinary words here {i} about weather and Zanzibar{'x' * i} please mail bob.{i % 2}@site.org or ask the {('gardener', 'butcher')[i % 2]} today, friend") for i in range(8)]
     docs += [(100 + i, "the friend is not ordinary and words") for i in range(3)] + [(200 + i, f"plain page {i} with words, today and weather") for i in range(40)]
+    docs += [(250, "only BUTCHER here, far from any address"), (251, "the butcher" + " and then" * 60 + " bob.1@site.org")]
     docs += [(300, "call +1 (212) 555-0199 or 4111 1111 1111 1111 from 10.0.0.7, not 10.0.0.700 nor 4111 1111 1111 1112 " * 2)]
     want = plain_terms(docs, 0.8, 3)
     rows = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()
@@ -72,6 +74,31 @@ def test_disclosing_terms_match_the_definition(spark):
     assert (by[300].n_phone, by[300].n_card, by[300].n_ip) == (2, 2, 2)
     assert "[email]" in by[1].clean_text and "butcher" not in by[1].clean_text and "site.org" not in by[1].clean_text
     assert by[200].clean_text == dict(docs)[200] and by[200].spans == ""
+    assert by[250].clean_text == "only [term] here, far from any address" and by[251].clean_text.startswith("the [term] and then")
+
+
+def test_a_word_gives_away_where_the_identifier_is_not(spark):
+    docs = [(i, f"mail bob@site.org now {'w' * (i + 1)} the man of Zanzibar") for i in range(6)] + [(10, "only zanzibar here")]
+    docs += [(20 + i, f"the man of {'v' * (i + 1)} now") for i in range(60)]
+    rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[10].clean_text == "only [term] here" and rows[10].n_term == 1 and rows[20].spans == ""
+    assert rows[0].clean_text == "[term] [email] now w the man of [term]"
+
+
+def test_awkward_texts_have_the_spans_of_the_plain_patterns():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab1.@-+ 9%(0") for _ in range(rng.randrange(60))) for _ in range(20000)]
+    texts += ["a@b.c@d.e", "@@a@b..c@d.e.f", "1.2.3.4.5.6.7.8.9", "0001.02.3.0255", "1.2.3.256", "x@-.-", "é@ü.de a@b.ü"]
+    assert [pii.base_spans(t) for t in texts] == [plain_spans(t) for t in texts]
+
+
+def test_time_grows_with_the_text():
+    n = 1_000_000
+    began = time.time()
+    for text in ("a" * n, "a" * n + "@b.c", "@" + "a" * n, "a@" * (n // 2), "1" * n + ".", "1." * (n // 2), "1" * n, "+1" + "(" * n, "+1" * (n // 2), "a.b@c " * (n // 6), "1.2.3.4 " * (n // 8)):
+        spans = pii.base_spans(text)
+        assert sum(1 for _ in pii.words_outside(text, spans)) >= 0
+    assert time.time() - began < 40
 
 
 def test_awkward_rows(spark):
