@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import out_batch, slices, texts
+from cohortry.llm.common import materialise, out_batch, slices, texts
 from cohortry.llm.wordhash import mix, ngram_hashes, word_hashes
 
 BITS = 128
@@ -100,7 +100,7 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = F.array_compact(F.array(F.struct(F.col("range"), F.lit(False).alias("ahead")), F.when(above.isNotNull(), F.struct(above.alias("range"), F.lit(True).alias("ahead")))))
     sent = dealt.select("doc_id", "sort_id", "text", F.explode(copies).alias("to")).select("doc_id", "sort_id", "text", "to.range", "to.ahead")
     order = ["range", "ahead", F.desc("sort_id"), "text"]
-    sorted_ = sent.repartition(len(bounds) + 1, "range").sortWithinPartitions(*order).select("doc_id", "text", "range", "ahead")
+    sorted_ = sent.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions(*order).select("doc_id", "text", "range", "ahead")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # one row of the range, waiting for the next
@@ -141,7 +141,7 @@ def close_fingerprints(queries: DataFrame, fps: DataFrame, radius: int = 3, bloc
     ``queries``, with their ``distance``; an equal one is at distance 0.
 
     There are as many tables as ways to pick ``kept`` of the ``blocks`` blocks (default: all but ``radius``); a table's key
-    is the picked blocks' bits.
+    is the picked blocks' bits. A pair that agrees in several tables is kept in the first of them.
     """
     kept = blocks - radius if kept is None else kept
     edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
@@ -156,8 +156,10 @@ def close_fingerprints(queries: DataFrame, fps: DataFrame, radius: int = 3, bloc
         return df.select("low", "high").distinct().select("low", "high", F.inline(tables))
 
     a, b = keyed(queries), keyed(fps).withColumnsRenamed({"low": "low_b", "high": "high_b"})
-    apart = F.bit_count(F.col("low").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high_b")))
-    return a.join(b, ["table", "k1", "k2"]).where(apart <= radius).select("low", "high", "low_b", "high_b", apart.alias("distance")).distinct()
+    x, y = F.col("low").bitwiseXOR(F.col("low_b")), F.col("high").bitwiseXOR(F.col("high_b"))
+    first = F.coalesce(*(F.when((x.bitwiseAND(F.lit(signed(lo))) == 0) & (y.bitwiseAND(F.lit(signed(hi))) == 0), t) for t, (lo, hi) in enumerate(masks)))
+    apart = F.bit_count(x) + F.bit_count(y)
+    return a.join(b, ["table", "k1", "k2"]).where((apart <= radius) & (F.col("table") == first)).select("low", "high", "low_b", "high_b", apart.alias("distance"))
 
 
 def within(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
@@ -173,9 +175,8 @@ def within(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6)
 
 
 def count_within(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """``query_id`` and ``n_near``: how many other rows of ``fps`` lie within ``radius``; copies are counted, not listed."""
-    groups = fps.where("doc_id is not null").groupBy("low", "high").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
-    asked = queries.where("doc_id is not null")
-    near = close_fingerprints(asked, groups, radius, blocks).join(groups.select(F.col("low").alias("low_b"), F.col("high").alias("high_b"), "n"), ["low_b", "high_b"])
-    sums = near.groupBy("low", "high").agg(F.sum("n").alias("n"))
-    return asked.join(sums, ["low", "high"]).select(F.col("doc_id").alias("query_id"), (F.col("n") - 1).alias("n_near"))
+    """``low``, ``high`` and ``n_near`` for each distinct fingerprint of ``queries``: how many rows of ``fps`` lie within
+    ``radius`` of it, but for one that has it itself. Copies are counted, not listed; rows with a null id do not count."""
+    groups = materialise(fps.where("doc_id is not null").groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")), "fingerprint-counts")
+    near = close_fingerprints(queries.where("doc_id is not null"), groups, radius, blocks).join(groups.select(F.col("low").alias("low_b"), F.col("high").alias("high_b"), "n"), ["low_b", "high_b"])
+    return near.groupBy("low", "high").agg((F.sum("n") - 1).alias("n_near"))

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from cohortry.llm import decontamination, fingerprints, line_dedup, lm_scoring, pii, sentencepiece, simhash_dedup, token_store, toxicity, url_filter
 from cohortry.llm.common import materialise, shared_folder, table
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = "/opt/tokenizers"
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +24,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialise(fingerprints.with_edited(table(spark, sf_dir, "documents")), "edited-fingerprints")
-    near = fingerprints.count_within(found.where("doc_id % 100 = 0"), found)
+    asked = F.col("doc_id") % 100 == 0
+    near = fingerprints.count_within(found.where(asked), found).withColumnsRenamed({"low": "q_low", "high": "q_high"})
     as_hex = lambda high, low: F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in (high, low)))
     # n_near: of the rows whose id is divisible by 100, how many other rows are within three bits; null for the others
-    return found.join(near, found.doc_id == near.query_id, "left").select(
+    return found.join(near, asked & (F.col("low") == F.col("q_low")) & (F.col("high") == F.col("q_high")), "left").select(
         "doc_id", "n_chars", "edited_sha256", as_hex("high", "low").alias("fingerprint"), as_hex("edited_high", "edited_low").alias("edited_fingerprint"), "near_edited", "near_next", "n_near"
     )
 
@@ -46,7 +51,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
-    encoder = token_store.byte_bpe(f"{TOKENIZERS}/byte_bpe_50k.json")
+    encoder = token_store.byte_bpe(tokenizer_file("byte_bpe_50k.json"))
     token_store.write(table(spark, sf_dir, "documents"), folder, encoder, vocabulary=50_257)
     return token_store.read_all(token_store.open_store(spark, folder))
 
@@ -57,7 +62,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return sentencepiece.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

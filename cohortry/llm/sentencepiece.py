@@ -43,6 +43,37 @@ def from_scores(names: list[str], scores: list[float]) -> Pieces:
     return Pieces(list(names), np.array(scores, np.float64), is_byte, ~is_byte & ~other)
 
 
+def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a protocol buffer's fields; those of fixed width are passed over."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = message[at]
+            at, out, shift = at + 1, out | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return out
+
+    while at < len(message):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        elif key & 7 == 2:
+            size = number()
+            at += size
+            yield key >> 3, message[at - size : at]
+        else:
+            at += 8 if key & 7 == 1 else 4
+
+
+def is_unigram(model: bytes) -> bool:
+    """Whether a model file says that it is of the unigram type, which is also what one says that names no type."""
+    trainer = next((value for field, value in fields(model) if field == 2), b"")
+    return next((value for field, value in fields(trainer) if field == 3), 1) == 1
+
+
 def from_file(path: str) -> Pieces:
     """The vocabulary of a model file. A unigram model's scores are taken as they are.
 
@@ -56,7 +87,7 @@ def from_file(path: str) -> Pieces:
     scores = np.array([model.get_score(i) for i in range(size)])
     is_byte = np.array([model.is_byte(i) for i in range(size)])
     is_normal = np.array([not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) for i in range(size)])
-    if (scores[is_normal] == np.round(scores[is_normal])).all():
+    if not is_unigram(model.serialized_model_proto()):
         rank = np.where(is_normal, -scores, 0.0)
         rank = np.where(is_normal, rank - rank[is_normal].min() + 1, 1.0)
         scores = np.where(is_normal, -np.log(rank) - np.log((1 / np.arange(1, is_normal.sum() + 1)).sum()), 0.0)

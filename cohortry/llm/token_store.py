@@ -1,25 +1,28 @@
 """Token ids of documents in sharded raw payloads with a minimal perfect hash index over the document keys.
 
-Documents are range-partitioned and sorted by key, so shards hold ascending key ranges. A shard is a row of a Parquet
-table: the raw little-endian ids of its documents one after the other, and an index over its keys. The index is a minimal
-perfect hash: keys fall into small buckets, each bucket has the first pilot that sends its keys to free slots, and each slot
-stores a fingerprint of its key beside where the document's ids begin and end. A key is found with one bucket, one
-slot and one comparison; a key that was never stored is refused by its fingerprint but for one in 2^32.
+Documents are range-partitioned and sorted by key, so shards hold ascending key ranges, and a part is what one task
+wrote. A shard is a row of a Parquet table: the raw little-endian ids of its documents one after the other, and an index
+over its keys. The index is a minimal perfect hash: keys fall into small buckets, each bucket has the first pilot that
+sends its keys to free slots, and each slot stores a fingerprint of its key beside which documents of the shard have it.
+A key is found with one bucket, one slot and one comparison; a key that was never stored is refused by its fingerprint
+but for one in 2^32.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import out_batch, slices, texts
+from cohortry.llm.common import materialise, out_batch, slices, texts
 from cohortry.llm.wordhash import mix
 
 #: Ids a shard takes before the next begins; a longer document fills a shard of its own.
@@ -32,7 +35,10 @@ MEMORY_CHUNKS = 1_200_000
 #: Key under which rows without a key are stored; reading gives null for it.
 NO_KEY = -(2**63)
 
-SHARD_SCHEMA = "part int, shard int, before long, n_ids long, n_keys int, first_key long, last_key long, id_bytes int, payload binary, pilots binary, slot_prints binary, slot_starts binary, slot_ends binary, keys binary"
+#: ``keys`` has the distinct keys in order, ``ends`` where each document's ids end; a slot has a key's first document and the one after its last.
+SHARD_SCHEMA = "part int, shard int, before long, n_ids long, n_keys int, first_key long, last_key long, id_bytes int, payload binary, pilots binary, slot_prints binary, slot_firsts binary, slot_lasts binary, keys binary, ends binary"
+#: Keys that are looked up at a time: so many go to every task that reads a part of the store.
+LOOKUP_KEYS = 1_000_000
 
 
 def _key_hashes(keys: np.ndarray) -> np.ndarray:
@@ -76,12 +82,21 @@ def build_index(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def find(shard: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whether each key is stored in the shard, and where its ids begin and end."""
+    """Whether each key is stored in the shard, its first document there and the one after its last."""
     n, hashes = shard["n_keys"], _key_hashes(keys)
     pilots = np.frombuffer(shard["pilots"], np.uint32)
     slots = _slots(hashes, pilots[_buckets(hashes, n)], n)
     known = np.frombuffer(shard["slot_prints"], np.uint32)[slots] == (hashes >> np.uint64(32)).astype(np.uint32)
-    return known, np.frombuffer(shard["slot_starts"], np.int64)[slots], np.frombuffer(shard["slot_ends"], np.int64)[slots]
+    return known, np.frombuffer(shard["slot_firsts"], np.int32)[slots], np.frombuffer(shard["slot_lasts"], np.int32)[slots]
+
+
+def documents_of(shard: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all documents in the shard that have one of ``keys``: key, and where the ids begin and end."""
+    known, firsts, lasts = find(shard, keys)
+    counts = (lasts - firsts)[known]
+    at = np.repeat(firsts[known] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    ends = np.frombuffer(shard["ends"], np.int64)
+    return np.repeat(keys[known], counts), np.concatenate([[0], ends])[at], ends[at]
 
 
 #: Marks that end a word of letters; not the apostrophe, which can begin a pre-token with letters.
@@ -96,18 +111,19 @@ class ChunkEncoder(dict):
     A byte-level BPE never merges over a blank that stands alone between two other characters: the blank opens the next
     token. Cutting a text before each such space or line feed therefore leaves its ids as they are, and so does cutting
     marks off the end of a word of letters. A word of letters is one pre-token, so the library's model takes it as it
-    is. Texts with two blanks in a row, or other blanks than spaces and line feeds, are encoded whole.
+    is. Texts with two blanks in a row, with other blanks than spaces and line feeds, or with the name of a token that
+    the file adds to its vocabulary, are encoded whole.
 
     As a dictionary it maps a chunk, as it follows a space or with the line feed that it follows, to its ids' bytes.
     """
 
-    def __init__(self, path: str, dtype: type):
+    def __init__(self, definition: str, dtype: type):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.code = self.tokenizer.model, "H" if np.dtype(dtype).itemsize == 2 else "I"
         named = ByteLevel(add_prefix_space=False, use_regex=False)
         letters: dict[int, str] = {}
@@ -144,7 +160,7 @@ class ChunkEncoder(dict):
     def encode(self, some: list[str]) -> list[bytes]:
         out = []
         for text in some:
-            if not text or text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in PAIRS) or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+            if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in PAIRS) or any(x in text for x in self.added) or len(text.split()) != text.count(" ") + text.count("\n") + 1:
                 out.append(self.ids(text) if text else b"")
                 continue
             head, *chunks = text.replace("\n", " \n").split(" ")
@@ -159,34 +175,40 @@ _ENCODERS: dict[tuple[str, type], ChunkEncoder] = {}
 
 
 def byte_bpe(path: str, dtype: type = np.uint16) -> Callable[[], Callable[[list[str]], list[bytes]]]:
-    """A factory, called in each task, of the encoder for a byte-level BPE file."""
+    """A factory, called in each task, of the encoder for a byte-level BPE file. Only the driver reads the file."""
+    with open(path, encoding="utf-8") as file:
+        definition = file.read()
+    name = hashlib.sha256(definition.encode()).hexdigest()
 
     def make() -> Callable[[list[str]], list[bytes]]:
-        if (path, dtype) not in _ENCODERS:
-            _ENCODERS[path, dtype] = ChunkEncoder(path, dtype)
-        return _ENCODERS[path, dtype].encode
+        if (name, dtype) not in _ENCODERS:
+            _ENCODERS[name, dtype] = ChunkEncoder(definition, dtype)
+        return _ENCODERS[name, dtype].encode
 
     return make
 
 
 def _shard(part: int, shard: int, before: int, keys: list[int], sizes: list[int], payload: list[bytes], dtype: type) -> pa.RecordBatch:
-    keys, ends = np.array(keys, np.int64), np.cumsum(sizes)
+    ends = np.cumsum(np.array(sizes, np.int64))
+    keys, firsts = np.unique(np.array(keys, np.int64), return_index=True)
+    lasts = np.append(firsts[1:], len(ends))
     pilots, slots = build_index(keys)
-    prints, starts, stops = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    prints, slot_firsts, slot_lasts = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
     prints[slots] = (_key_hashes(keys) >> np.uint64(32)).astype(np.uint32)
-    starts[slots], stops[slots] = ends - sizes, ends
+    slot_firsts[slots], slot_lasts[slots] = firsts, lasts
     i32, i64, raw = pa.int32(), pa.int64(), pa.binary()
     values = [(part, i32), (shard, i32), (before, i64), (int(ends[-1]), i64), (len(keys), i32), (int(keys[0]), i64), (int(keys[-1]), i64), (np.dtype(dtype).itemsize, i32), (b"".join(payload), raw)]
-    values += [(a.tobytes(), raw) for a in (pilots, prints, starts, stops, keys)]
+    values += [(a.tobytes(), raw) for a in (pilots, prints, slot_firsts, slot_lasts, keys, ends)]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=[f.split()[0] for f in SHARD_SCHEMA.split(", ")])
 
 
 def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str]], list[bytes]]], vocabulary: int, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, parts: int | None = None) -> None:
-    """Encode every text, append ``end_id`` and write the shards to ``folder`` in ascending order of keys.
+    """Encode every text, append ``end_id`` and write the shards to ``folder`` in ascending order of keys, a folder for each part.
 
-    Ids take two bytes if the vocabulary allows, else four. A null or empty text has the end id alone. Rows of one key are
-    one document: their ids follow one another, each text with its end, in the order of the texts. Rows without a key are
-    one document too, the first of all. An empty table writes no shard. Further columns are left behind.
+    Ids take two bytes if the vocabulary allows, else four. A null or empty text has the end id alone. Every row is a
+    document of its own. Rows of one key follow one another, in an order that depends on their texts alone, and can fill
+    several shards and parts, so a crowded key burdens no task. Rows without a key come first; they can be read but not
+    looked up. An empty table writes no shard. Further columns are left behind.
     """
     dtype = np.uint16 if vocabulary <= 2**16 else np.uint32
     end = np.array([end_id], dtype).tobytes()
@@ -201,11 +223,6 @@ def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str
             for piece in slices(batch, limit=1_000_000):
                 for key, ids in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text").to_pylist()), strict=True):
                     n = len(ids) // np.dtype(dtype).itemsize + 1
-                    if keys and key == keys[-1]:
-                        sizes[-1] += n
-                        payload.append(ids + end)
-                        held += n
-                        continue
                     if keys and held + n > SHARD_IDS:
                         yield _shard(part, shard, before, keys, sizes, payload, dtype)
                         shard, before, held = shard + 1, before + held, 0
@@ -217,69 +234,91 @@ def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str
         if keys:
             yield _shard(part, shard, before, keys, sizes, payload, dtype)
 
-    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_KEY)))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, SHARD_SCHEMA).write.parquet(folder)
+    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_KEY))).withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    ordered.mapInArrow(run, SHARD_SCHEMA).write.partitionBy("part").parquet(folder)
 
 
-def open_store(spark, folder: str) -> DataFrame:
-    """The shards of ``folder``; ``base`` is the number of ids in all earlier parts.
+@dataclass(frozen=True)
+class Store:
+    """A folder's shards, and of each part in order: number, first and last key, and the number of ids in all earlier parts."""
 
-    Only the parts' sums, one row for each task that wrote, are added up in one place.
-    """
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(folder)
-    sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
-    total, bases = 0, []
-    for row in sums:
-        bases.append((row.part, total))
-        total += row.n
-    table = spark.createDataFrame(bases, "part int, base long")
-    return shards.join(F.broadcast(table), "part")
+    shards: DataFrame
+    parts: tuple[tuple[int, int, int, int], ...]
 
 
-def _digest(shard: dict, keys: np.ndarray) -> pa.RecordBatch:
-    known, starts, ends = find(shard, keys)
-    if not known.all():
-        keys, starts, ends = keys[known], starts[known], ends[known]
-    ids = np.frombuffer(shard["payload"], np.uint16 if shard["id_bytes"] == 2 else np.uint32).astype("<u4")
-    crcs = np.array([zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)], np.int64)
-    return out_batch(doc_id=pa.array(keys, mask=keys == NO_KEY), start=starts + shard["before"] + shard["base"], n_tokens=ends - starts, ids_crc32=crcs)
+def open_store(spark: SparkSession, folder: str) -> Store:
+    """The store in ``folder``. Only one row for each part, that is for each task that wrote, comes to the driver."""
+    names = [f.split() for f in SHARD_SCHEMA.split(", ")]
+    shards = spark.read.schema(", ".join(f"{n} {t}" for n, t in [*names[1:], names[0]])).parquet(folder)
+    total, parts = 0, []
+    for row in shards.groupBy("part").agg(F.sum("n_ids").alias("n"), F.min("first_key").alias("low"), F.max("last_key").alias("high")).orderBy("part").collect():
+        parts.append((row.part, row.low, row.high, total))
+        total += row.n
+    return Store(shards, tuple(parts))
 
 
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def read_all(store: DataFrame) -> DataFrame:
-    """Every document of the store, each looked up in its shard's index: key, first id's place among all ids, number of ids
-    and their unsigned CRC-32 as little-endian 32-bit integers. Payloads are read where they lie; nothing is shuffled."""
+def read_all(store: Store) -> DataFrame:
+    """Every document of the store, each found by its shard's index: key, first id's place among all ids, number of ids and
+    their unsigned CRC-32 as little-endian 32-bit integers. Payloads are read where they lie; nothing is shuffled."""
+    bases = {part: base for part, _, _, base in store.parts}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = batch.slice(i, 1).to_pylist()[0]
-                yield _digest(shard, np.frombuffer(shard["keys"], np.int64))
+                keys, starts, ends = documents_of(shard, np.frombuffer(shard["keys"], np.int64))
+                ids = np.frombuffer(shard["payload"], np.uint16 if shard["id_bytes"] == 2 else np.uint32)
+                crcs = np.array([zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(starts, ends, strict=True)], np.int64)
+                yield out_batch(doc_id=pa.array(keys, mask=keys == NO_KEY), start=starts + shard["before"] + bases[shard["part"]], n_tokens=ends - starts, ids_crc32=crcs)
 
-    return store.mapInArrow(run, READ)
+    return store.shards.mapInArrow(run, READ)
 
 
-def lookup(store: DataFrame, keys: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """The ids of the wanted keys: ``doc_id`` and ``ids`` (array of long). Unknown and null keys give no row, repeated ones one.
+def lookup(store: Store, keys: DataFrame, key_col: str = "doc_id", at_once: int = LOOKUP_KEYS) -> DataFrame:
+    """The documents of the wanted keys: ``doc_id``, ``start`` (place of the first id among all) and ``ids`` (array of long).
 
-    The shards' key ranges, two numbers each, route a key to its shard; the shard's index then finds it at once.
+    Unknown and null keys give no row, repeated ones no more than one would; a key that several rows were stored under
+    gives a row for each. The parts' key ranges, a few numbers each, route a key to its part, and the index of a shard
+    finds it at once. Keys are taken in ranges of about ``at_once``; each range goes to the tasks that read the parts it needs,
+    and no others are read. Payloads stay where they are.
     """
     wanted = keys.select(F.col(key_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    ranges = store.select("part", "shard", "first_key", "last_key")
-    routed = wanted.join(ranges, (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key")))
-    asked = routed.groupBy("part", "shard").agg(F.collect_list("doc_id").alias("asked"))
+    wanted = materialise(wanted, "wanted-keys")
+    lows, highs = (np.array([p[k] for p in store.parts], np.int64) for k in (1, 2))
+    numbers, bases = np.array([p[0] for p in store.parts], np.int32), {p[0]: p[3] for p in store.parts}
+    found = "doc_id long, start long, ids array<long>"
+    out = keys.sparkSession.createDataFrame([], found)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("doc_id").to_numpy()
+            first, last = np.searchsorted(highs, key), np.searchsorted(lows, key, side="right")  # a crowded key can lie in several
+            many = np.maximum(last - first, 0)
+            at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            yield out_batch(part=numbers[at], doc_id=np.repeat(key, many))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = batch.slice(i, 1).to_pylist()[0]
                 asked = np.array(shard["asked"], np.int64)
-                known, starts, ends = find(shard, asked)
+                asked = asked[np.searchsorted(asked, shard["first_key"]) : np.searchsorted(asked, shard["last_key"], side="right")]
+                got, starts, ends = documents_of(shard, asked)
                 ids = np.frombuffer(shard["payload"], np.uint16 if shard["id_bytes"] == 2 else np.uint32)
-                found = [ids[a:b].astype(np.int64) for a, b in zip(starts[known], ends[known], strict=True)]
-                yield out_batch(doc_id=asked[known], ids=pa.array(found, pa.list_(pa.int64())))
-
-    return store.join(asked, ["part", "shard"]).mapInArrow(run, "doc_id long, ids array<long>")
+                lists = pa.array([ids[a:b].astype(np.int64) for a, b in zip(starts, ends, strict=True)], pa.list_(pa.int64()))
+                yield out_batch(doc_id=got, start=starts + shard["before"] + bases[shard["part"]], ids=lists)
+
+    count = wanted.count()
+    cuts = wanted.agg(F.percentile_approx("doc_id", [i / -(-count // at_once) for i in range(1, -(-count // at_once))], 10_000)).first()[0] if count > at_once else []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        some = wanted.where(((F.col("doc_id") > low) if low is not None else F.lit(True)) & ((F.col("doc_id") <= high) if high is not None else F.lit(True)))
+        asked = materialise(some.mapInArrow(route, "part int, doc_id long").groupBy("part").agg(F.sort_array(F.collect_list("doc_id")).alias("asked")), "asked-keys")
+        needed = [r.part for r in asked.select("part").collect()]  # a row for each part at most
+        if needed:
+            shards = store.shards.where(F.col("part").isin(needed))
+            out = out.unionByName(shards.join(F.broadcast(asked), "part").mapInArrow(run, found))
+    return out

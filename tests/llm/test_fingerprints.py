@@ -65,8 +65,16 @@ def test_block_tables_find_all_within_the_radius(spark):
     want = {(known[i][0], known[j][0]) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x ^ x[i]).sum(axis=1) <= 3) if i != j}
     got = {(r.query_id, r.doc_id) for r in fp.within(fps, fps).collect()}
     assert got == want
-    counts = {r.query_id: r.n_near for r in fp.count_within(fps, fps).collect()}
-    assert counts == {k[0]: sum(a == k[0] for a, _ in want) for k in known}
+    counts = {(r.low, r.high): r.n_near for r in fp.count_within(fps, fps).collect()}
+    assert counts == {k[1:]: sum(a == k[0] for a, _ in want) for k in known}
+    assert fp.close_fingerprints(fps, fps).count() == fp.close_fingerprints(fps, fps).distinct().count()
+
+
+def test_the_query_gives_repeated_rows_once_each(spark, tmp_path):
+    rows = [(100, "one two three"), (100, "one two three"), (100, "four five six"), (7, "one two three"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op2_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.n_near if r.n_near is not None else -1) for r in out) == [(0, -1), (7, -1), (100, 0), (100, 2), (100, 2)]
 
 
 def test_awkward_rows(spark):

@@ -3,9 +3,9 @@ from sentencepiece import SentencePieceProcessor
 
 from cohortry.llm import sentencepiece as sp
 from cohortry.llm.common import table
-from cohortry.llm.queries import TOKENIZERS, op8_sentencepiece
+from cohortry.llm.queries import op8_sentencepiece, tokenizer_file
 
-PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+PATH = tokenizer_file("piece_bpe_32k.model")
 TEXTS = ["", " ", "a", " two  spaces ", "Élan vital ß", "emoji 🙂🙃 end", "line\nfeed\ttab", "x" * 300, "　 wide", "<s> </s> <0x41>", "   ", "\0", "日本語のテキスト", "the theory of the other"]
 
 
@@ -30,6 +30,12 @@ def unigram_model(pieces):
     return out + field(3, field(1, b"identity") + varint(3 << 3) + varint(1) + varint(4 << 3) + varint(0) + varint(5 << 3) + varint(1))
 
 
+def test_the_model_file_tells_its_type():
+    with open(PATH, "rb") as file:
+        assert not sp.is_unigram(file.read())
+    assert sp.is_unigram(unigram_model(sp.from_scores(["<unk>", "a"], [0.0, -1.0]))) and sp.is_unigram(b"")
+
+
 def test_ids_equal_the_library_on_the_same_unigram_model(spark):
     pieces = sp.from_file(PATH)
     pieces = sp.Pieces(pieces.names, pieces.scores.astype(np.float32).astype(float), pieces.is_byte, pieces.is_normal)
