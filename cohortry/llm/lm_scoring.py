@@ -189,6 +189,18 @@ def model_of(keys: np.ndarray, n: np.ndarray, order: int, base: dict[int, tuple[
     return build({size: shorten(keys, n, size) for size in range(order + 1)} | (base or {}), order)
 
 
+def family_model(keys: np.ndarray, n: np.ndarray, sizes: np.ndarray, order: int, base: dict[int, tuple[np.ndarray, np.ndarray]], large: np.ndarray) -> Model:
+    """The model of a bucket: runs of ``order`` context bytes and one more, and, where ``sizes`` says so, of ``FAMILY_BYTES`` for
+    the large families that other buckets have a share in."""
+    whole = sizes == order
+    runs, counts = keys[whole], n[whole]
+    alone = ~large[(runs >> np.uint64(8) & np.uint64(0xFFFF)).astype(np.int64)]
+    names, sums = shorten(runs[alone], counts[alone], FAMILY_BYTES)
+    names, sums = np.append(names, keys[~whole]), np.append(sums, n[~whole])
+    by = np.argsort(names)
+    return model_of(runs, counts, order, base | {FAMILY_BYTES: (names[by], sums[by])})
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 4) -> DataFrame:
     """The trie of all texts of ``docs`` as a table in the shared folder: ``gram``, ``n`` for each run of ``order + 1`` bytes.
 
@@ -204,12 +216,14 @@ FAMILY_BYTES = 2
 ROW_RUNS, ROWS_AT_ONCE = 1024, 256
 
 
-def bucket_of(family: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each family (the same sum as ``BUCKET_SQL``)."""
-    return ((family.astype(np.int64) * 40503 & 0xFFFF) * buckets >> 16).astype(np.int32)
+def bucket_of(context: np.ndarray, large: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each context's family, which takes in one more byte where ``large`` has it (the same sums as ``BUCKET_SQL``)."""
+    short = context & np.uint64(0xFFFF)
+    family = np.where(large[short.astype(np.int64)], context & np.uint64(0xFFFFFF) | np.uint64(1 << 24), short).astype(np.int64)
+    return ((family * 2654435761 & 0xFFFFFFFF) * buckets >> 32).astype(np.int32)
 
 
-BUCKET_SQL = "cast(shiftright((shiftright(gram, 8) & 65535) * 40503 % 65536 * {buckets}, 16) as int)"
+BUCKET_SQL = "cast(shiftright((if(large, context & 16777215 | 16777216, context & 65535) * 2654435761 & 4294967295) * {buckets}, 32) as int)"
 
 
 def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 4, block_bytes: int = 16_000_000, bucket_runs: int = 200_000, blocks_a_copy: int = 16_384) -> DataFrame:
@@ -218,21 +232,28 @@ def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: st
     No task holds the whole trie. Documents are dealt into blocks of about ``block_bytes``, and each block asks once for
     every different run it has. Runs whose contexts end in the same two bytes are a family: all their contexts of two
     bytes and more are theirs alone, so a bucket of families (about ``bucket_runs`` runs of the trie) scores what is asked
-    of it with its own part of the trie and the few shortest contexts, which every task has. Within a partition a
-    bucket's runs come first, then its requests, in a stream. With many blocks a bucket is dealt out in copies, one for
-    every ``blocks_a_copy`` blocks. The scores then meet their block's documents. Null texts count as empty, repeated rows stay
-    repeated, null ids stay null; an empty table gives no rows.
+    of it with its own part of the trie and the few shortest contexts, which every task has. A family of more than
+    ``bucket_runs`` runs is split by one more byte, and each of its parts is handed the sums for the context of two bytes that
+    they share; of order 4 such a part has at most 65,536 runs, whatever the corpus. Within a partition a bucket's runs
+    come first, then its requests, in a stream. With many blocks a bucket is dealt out in copies, one for every
+    ``blocks_a_copy`` blocks. The scores then meet their block's documents. Null texts count as empty, repeated rows stay repeated,
+    null ids stay null; an empty table gives no rows.
     """
-    if order < FAMILY_BYTES:
-        raise ValueError(f"order must be at least {FAMILY_BYTES}")
+    if order <= FAMILY_BYTES:
+        raise ValueError(f"order must be more than {FAMILY_BYTES}")
     rows = texts(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, buckets = 1 + total // block_bytes, min(2**16, 1 + trie.count() // bucket_runs)
+    blocks, buckets = 1 + total // block_bytes, min(2**24, 1 + trie.count() // bucket_runs)
     copies = -(-blocks // blocks_a_copy)
     short = trie.groupBy(F.expr("gram & 65535").alias("gram")).agg(F.sum("n").alias("n")).toArrow()  # 65,536 rows at most
     keys, n = (short.column(c).to_numpy().astype(np.int64) for c in ("gram", "n"))
     base = {size: shorten(keys.view(np.uint64), n, size) for size in range(FAMILY_BYTES)}
-    shared = docs.sparkSession.sparkContext.broadcast(base)
+    family = F.expr("shiftright(gram, 8) & 65535").cast("int")
+    crowded = trie.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") > bucket_runs).select("family", F.lit(True).alias("large"))
+    crowded = materialise(crowded, "large-families")  # 65,536 rows at most
+    large = np.zeros(2**16, bool)
+    large[crowded.toArrow().column("family").to_numpy()] = True
+    shared = docs.sparkSession.sparkContext.broadcast((base, large))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
 
     def ask(block: pa.Table) -> pa.Table:
@@ -240,7 +261,7 @@ def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in block.select(["text"]).to_batches():
             for piece in slices(batch, limit=500_000):
                 own = np.union1d(own, runs(piece.column("text"), order)[0])
-        bucket = bucket_of(own >> np.uint64(8) & np.uint64(0xFFFF), buckets)
+        bucket = bucket_of(own >> np.uint64(8), shared.value[1], buckets)
         by = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[by], prepend=-1, append=-1))
         cuts = [(a, min(a + ROW_RUNS, e)) for s, e in zip(edges, edges[1:], strict=False) for a in range(s, e, ROW_RUNS)]
@@ -248,24 +269,25 @@ def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: st
         held = pa.array([own[by[a:e]].tobytes() for a, e in cuts], pa.binary())
         asked = out_batch(
             bucket=bucket[by[[a for a, _ in cuts]]], copy=np.full(len(cuts), number % copies, np.int32), block=np.full(len(cuts), number, np.int32),
-            gram=pa.nulls(len(cuts), pa.int64()), n=pa.nulls(len(cuts), pa.int64()), grams=held,
+            bytes=pa.nulls(len(cuts), pa.int32()), gram=pa.nulls(len(cuts), pa.int64()), n=pa.nulls(len(cuts), pa.int64()), grams=held,
         )
         return pa.Table.from_batches([asked])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, keys, counts, model = None, [], [], None
+        at, keys, counts, sizes, model = None, [], [], [], None
         for batch in batches:
             cell = batch.column("bucket").to_numpy().astype(np.int64) << 32 | batch.column("copy").to_numpy()
             edges = np.append(np.flatnonzero(np.append(True, cell[1:] != cell[:-1])), len(cell)) if len(cell) else []
             for start, stop in zip(edges, edges[1:], strict=False):
                 if cell[start] != at:
-                    at, keys, counts, model = cell[start], [], [], None
+                    at, keys, counts, sizes, model = cell[start], [], [], [], None
                 span = batch.slice(start, stop - start)
                 known = span.num_rows - span.column("gram").null_count  # the trie's rows come before the requests
                 keys.append(span.column("gram").slice(0, known).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
                 counts.append(span.column("n").slice(0, known).to_numpy(zero_copy_only=False).astype(np.int64))
+                sizes.append(span.column("bytes").slice(0, known).to_numpy(zero_copy_only=False).astype(np.int64))
                 for first in range(known, span.num_rows, ROWS_AT_ONCE):
-                    model = model or model_of(np.concatenate(keys), np.concatenate(counts), order, shared.value)
+                    model = model or family_model(*map(np.concatenate, (keys, counts, sizes)), order, *shared.value)
                     some = span.slice(first, ROWS_AT_ONCE)
                     grams = [np.frombuffer(x, np.uint64) for x in some.column("grams").to_pylist()]
                     found = np.split(model.log10(np.concatenate(grams)), np.cumsum([len(g) for g in grams])[:-1])
@@ -283,10 +305,17 @@ def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: st
                 out.append(out_batch(doc_id=piece.column("doc_id"), score=np.add.reduceat(logs[row], first[:-1])))
         return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("score", pa.float64())]))
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, copy int, block int, gram long, n long, grams binary")
-    known = trie.select(
-        F.expr(BUCKET_SQL.format(buckets=buckets)).alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"),
-        F.lit(None).cast("int").alias("block"), "gram", "n", F.lit(None).cast("binary").alias("grams"),
+    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, copy int, block int, bytes int, gram long, n long, grams binary")
+    placed = trie.withColumn("family", family).join(F.broadcast(crowded), "family", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    bucket = F.expr(BUCKET_SQL.format(buckets=buckets)).alias("bucket")
+    placed = placed.withColumn("context", F.expr("shiftright(gram, 8)")).select("family", "large", bucket, "gram", "n")
+    # the sums for a large family's own context go to every bucket that can be asked for some of it: 256 rows at most for each of 256 parts
+    sums = placed.where("large").groupBy(F.expr("gram & 16777215").alias("gram"), "family").agg(F.sum("n").alias("n"))
+    parts = crowded.select("family", "large", F.explode(F.sequence(F.lit(0), F.lit(255))).alias("byte")).withColumn("context", F.expr("cast(byte * 65536 + family as bigint)"))
+    spread = parts.select("family", bucket).distinct().join(sums, "family").select("bucket", F.lit(FAMILY_BYTES).alias("bytes"), "gram", "n")
+    known = placed.select("bucket", F.lit(order).alias("bytes"), "gram", "n").unionByName(spread).select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"),
+        F.lit(None).cast("int").alias("block"), "bytes", "gram", "n", F.lit(None).cast("binary").alias("grams"),
     )
     stream = known.unionByName(asked).repartition("bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("gram").isNull())
     answers = stream.mapInArrow(weigh, "block int, grams binary, logs binary")

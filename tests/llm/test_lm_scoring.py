@@ -75,7 +75,9 @@ def test_many_blocks_buckets_and_copies_give_the_whole_model(spark):
     trie = lm.train(docs.where("doc_id % 3 = 0"))
     rows = trie.toPandas()
     model = lm.model_of(rows.gram.to_numpy().view(np.uint64), rows.n.to_numpy(), 4)
-    got = lm.score(docs, trie, block_bytes=5_000, bucket_runs=500, blocks_a_copy=7).toPandas().set_index("doc_id").score
+    runs_of_family = Counter((rows.gram.to_numpy() >> 8 & 0xFFFF).tolist())
+    assert sum(n > 100 for n in runs_of_family.values()) > 5 and min(runs_of_family.values()) < 100
+    got = lm.score(docs, trie, block_bytes=5_000, bucket_runs=100, blocks_a_copy=7).toPandas().set_index("doc_id").score
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     assert len(got) == len(texts) and set(got.index) == set(texts)
     for doc_id, text in texts.items():
