@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import out_batch, slices, texts
+from cohortry.llm.common import free_name, out_batch, slices, texts
 from cohortry.llm.wordhash import FACTOR, mix, word_hashes
 
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
@@ -306,5 +306,6 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no leak; rows with a null id stay."""
-    found = leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col("__leak"), "left_anti")
+    leak = free_name(docs, "leak")
+    found = leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(found, F.col(id_col).cast("long") == F.col(leak), "left_anti")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import materialise, texts
+from cohortry.llm.common import free_name, materialise, texts
 
 BLANK = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,24 +65,29 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return words.groupBy("doc_id", "text_hash").agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"), F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
 
 
+def dense_words(words: Column) -> Column:
+    """The bits of a sparse bitmap as an array that is read by place, with a zero for each word left out before the last."""
+    places = F.transform(words, lambda w: w["word"])
+    before = F.slice(F.concat(F.array(F.lit(-1)), places), F.lit(1), F.size(places))
+    zeros = lambda w, last: F.array_repeat(F.lit(0).cast("long"), w["word"] - last - 1)
+    return F.flatten(F.zip_with(words, before, lambda w, last: F.concat(zeros(w, last), F.array(w["bits"]))))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_chars: int = 20) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped``, ``kept_text`` and ``drop_words`` (the bitmap) beside its own columns.
 
     Own columns of those names are replaced. The bitmaps meet their documents again by id and text, nulls included.
     """
-    marks = drop_bitmaps(docs, id_col, text_col, min_docs, min_chars).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("n_dropped").alias("__n"), F.col("words").alias("__words")
-    )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
-    bits = F.map_from_entries("__words")
-    stays = lambda _, i: F.coalesce(F.getbit(F.element_at(F.col("__bits"), (i / 64).cast("int")), i % 64), F.lit(0)) == 0
+    mark = free_name(docs, "mark")
+    marks = drop_bitmaps(docs, id_col, text_col, min_docs, min_chars).select(F.struct("doc_id", "text_hash", "n_dropped", "words", dense_words(F.col("words")).alias("bits")).alias(mark))
+    text, of = F.coalesce(F.col(text_col), F.lit("")), lambda c: F.col(f"{mark}.{c}")
+    joined = docs.join(marks, F.col(id_col).cast("long").eqNullSafe(of("doc_id")) & (F.xxhash64(text) == of("text_hash")), "left")
+    stays = lambda _, i: F.getbit(F.coalesce(F.get(of("bits"), (i / 64).cast("int")), F.lit(0).cast("long")), i % 64) == 0
     kept = F.array_join(F.filter(F.split(text, "\n"), stays), "\n")
-    return (
-        joined.withColumn("__bits", F.when(F.col("__n").isNotNull(), bits))
-        .withColumn("n_lines", (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"))
-        .withColumn("n_dropped", F.coalesce("__n", F.lit(0)).cast("long"))
-        .withColumn("kept_text", F.when(F.col("__n").isNull(), text).otherwise(kept))
-        .withColumn("drop_words", F.col("__words"))
-        .drop("__id", "__hash", "__n", "__words", "__bits")
-    )
+    added = {
+        "n_lines": (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"),
+        "n_dropped": F.coalesce(of("n_dropped"), F.lit(0)).cast("long"),
+        "kept_text": F.when(of("n_dropped").isNull(), text).otherwise(kept),
+        "drop_words": of("words"),
+    }
+    return joined.withColumns(added).drop(mark)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import materialise, out_batch, slices, texts
+from cohortry.llm.common import free_name, materialise, out_batch, slices, texts
 from cohortry.llm.components import components
 from cohortry.llm.wordhash import ngram_hashes, word_hashes
 
@@ -452,5 +452,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group of similar documents; rows with a null id stay."""
-    out = similar_documents(docs, id_col, text_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(out, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    gone = free_name(docs, "gone")
+    out = similar_documents(docs, id_col, text_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(out, F.col(id_col).cast("long") == F.col(gone), "left_anti")

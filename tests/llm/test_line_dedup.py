@@ -36,3 +36,13 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, LONG), (1, LONG), (2, LONG), (None, LONG)], "doc_id long, text string")
     out = line_dedup.dedup_lines(docs).select("doc_id", "n_dropped").collect()
     assert sorted((r[0] or 0, r[1]) for r in out) == [(0, 1), (1, 1), (1, 1), (2, 0)]
+
+
+def test_far_apart_lines_of_a_long_text_and_clashing_names(spark):
+    lines = [f"line {i}" for i in range(1000)]
+    lines[200] = lines[999] = LONG
+    rows = [(1, "\n".join(lines), 1, 2, 3), (2, LONG, 1, 2, 3), (3, LONG, 1, 2, 3)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, mark int, MARK_ int, __id int"))
+    kept = {r.doc_id: r for r in out.collect()}
+    assert kept[1].kept_text == "\n".join(x for x in lines if x != LONG) and kept[1].n_dropped == 2 and (kept[1].mark, kept[1]["__id"]) == (1, 3)
+    assert [w.word for w in kept[1].drop_words] == [3, 15]
