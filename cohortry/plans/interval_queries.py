@@ -1,4 +1,8 @@
-"""Interval queries: event types are chromosomes, seconds are positions, an event's value is its length."""
+"""Interval queries over whole tables: events and orders are two sets of intervals.
+
+Event types are chromosomes, seconds are positions, and an event's value is its length. Orders stand on the same
+chromosomes, dealt by customer, at places that their keys scatter.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,8 @@ from cohortry.operators import intervals
 from cohortry.plans.registry import query, table
 
 E = """e AS (SELECT event_id AS ord, event_type AS chrom, (epoch_us(ts) - 1704067200000000) // 1000000 AS start, (epoch_us(ts) - 1704067200000000) // 1000000 + 1 + floor(value)::BIGINT AS "end", user_id, value FROM events)"""
-T = """t AS (SELECT chrom, start, "end" FROM e WHERE user_id % 5 = 0)"""
+O = """o AS (SELECT o_orderkey AS ord, ['purchase', 'view', 'click', 'signup', 'error'][o_custkey % 5 + 1] AS chrom, o_orderkey * 7919 % 2592000 AS start, o_orderkey * 7919 % 2592000 + 1 + o_custkey % 200 AS "end", o_totalprice AS value FROM orders)"""
+T = f"""{O}, t AS (SELECT chrom, start, "end" FROM o)"""
 MERGED = """b AS (SELECT chrom, start, "end", max("end") OVER (PARTITION BY chrom ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM t),
 i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM b),
 mg AS (SELECT chrom, min(start) AS start, max("end") AS "end" FROM i GROUP BY chrom, island)"""
@@ -21,13 +26,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("end", F.col("start") + 1 + F.floor("value"))
 
 
-def targets(e: DataFrame) -> DataFrame:
-    return e.where("user_id % 5 = 0").select("chrom", "start", "end")
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chrom = F.element_at(F.array(*map(F.lit, ("purchase", "view", "click", "signup", "error"))), (F.col("o_custkey") % 5 + 1).cast("int"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), chrom.alias("chrom"), (F.col("o_orderkey") * 7919 % 2592000).alias("start"), "o_custkey", F.col("o_totalprice").alias("value"))
+    return o.withColumn("end", F.col("start") + 1 + F.col("o_custkey") % 200).drop("o_custkey")
+
+
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders(spark, sf_dir).select("chrom", "start", "end")
 
 
 @query(f'WITH {E}, {T}, {MERGED} SELECT chrom, start, "end" FROM mg')
 def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.merge(targets(events(spark, sf_dir)))
+    return intervals.merge(targets(spark, sf_dir))
 
 
 @query(f"""WITH {E}, {T}, {MERGED} SELECT e.chrom, greatest(e.start, mg.start) AS start, least(e."end", mg."end") AS "end", 'r' || ord || '__panel_' || (row_number() OVER (PARTITION BY ord ORDER BY mg.start) - 1) AS name
@@ -35,49 +46,47 @@ FROM e JOIN mg ON e.chrom = mg.chrom AND e.start < mg."end" AND e."end" > mg.sta
 def interval_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     source = e.withColumn("name", F.concat(F.lit("r"), "ord")).select("chrom", "start", "end", "name", "ord")
-    return intervals.clip(source, targets(e), 128).drop("ord")
+    return intervals.clip(source, targets(spark, sf_dir), 128).drop("ord")
 
 
-@query(f'WITH {E} SELECT a.ord AS a, b.ord AS b FROM e a JOIN e b ON a.chrom = b.chrom AND a.start < b."end" AND a."end" > b.start WHERE a.user_id % 10 = 1 AND b.user_id % 10 = 2')
+@query(f'WITH {E}, {O} SELECT a.ord AS a, b.ord AS b FROM e a JOIN o b ON a.chrom = b.chrom AND a.start < b."end" AND a."end" > b.start')
 def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    left = e.where("user_id % 10 = 1").select("chrom", "start", "end", F.col("ord").alias("a"))
-    right = e.where("user_id % 10 = 2").select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("ord").alias("b"))
+    left = events(spark, sf_dir).select("chrom", "start", "end", F.col("ord").alias("a"))
+    right = orders(spark, sf_dir).select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("ord").alias("b"))
     return intervals.overlap_join(left, right, 64).select("a", "b")
 
 
 @query(f'WITH {E}, {T} SELECT ord, chrom, start, "end" FROM e WHERE EXISTS (SELECT 1 FROM t WHERE t.chrom = e.chrom AND e.start < t."end" AND e."end" > t.start)')
 def interval_overlap_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
-    right = targets(e).withColumnsRenamed({"start": "r_start", "end": "r_end"})
+    right = targets(spark, sf_dir).withColumnsRenamed({"start": "r_start", "end": "r_end"})
     return intervals.overlap_join(e.select("ord", "chrom", "start", "end"), right, 64, how="left_semi")
 
 
-@query(f"""WITH {E}, r AS (SELECT chrom, start, "end", 'r' || ord AS name FROM e WHERE user_id % 7 = 0), p AS (SELECT chrom, start AS pos, value FROM e WHERE user_id % 7 = 1)
+@query(f"""WITH {E}, {O}, r AS (SELECT chrom, start, "end", 'r' || ord AS name FROM o), p AS (SELECT chrom, start AS pos, value FROM e)
 SELECT r.chrom, r.start, r."end", r.name, round(avg(p.value) + 1e-9, 6) AS mean FROM r LEFT JOIN p ON p.chrom = r.chrom AND p.pos > r.start AND p.pos <= r."end" GROUP BY ALL""")
 def region_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    regions = e.where("user_id % 7 = 0").select("chrom", "start", "end", F.concat(F.lit("r"), "ord").alias("name"))
-    points = e.where("user_id % 7 = 1").select("chrom", F.col("start").alias("pos"), "value")
+    regions = orders(spark, sf_dir).select("chrom", "start", "end", F.concat(F.lit("r"), "ord").alias("name"))
+    points = events(spark, sf_dir).select("chrom", F.col("start").alias("pos"), "value")
     return intervals.region_means(regions, points, 64).withColumn("mean", F.round(F.col("mean") + 1e-9, 6))
 
 
-@query(f"""WITH {E}, s AS (SELECT chrom, start, max("end") AS "end", user_id % 3 AS sample, max(value) AS value FROM e WHERE user_id % 30 < 3 GROUP BY chrom, start, user_id % 3),
+@query(f"""WITH {E}, s AS (SELECT chrom, start, max("end") AS "end", user_id % 3 AS sample, max(value) AS value FROM e GROUP BY chrom, start, user_id % 3),
 p AS (SELECT DISTINCT chrom, unnest([start, "end"]) AS pt FROM s), c AS (SELECT chrom, pt AS start, lead(pt) OVER (PARTITION BY chrom ORDER BY pt) AS "end" FROM p)
 SELECT c.chrom, c.start, c."end", s.sample, s.value FROM c JOIN s ON s.chrom = c.chrom AND s.start <= c.start AND s."end" >= c."end" WHERE c."end" IS NOT NULL""")
 def interval_union_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).where("user_id % 30 < 3").withColumn("sample", F.col("user_id") % 3)
+    e = events(spark, sf_dir).withColumn("sample", F.col("user_id") % 3)
     s = e.groupBy("chrom", "start", "sample").agg(F.max("end").alias("end"), F.max("value").alias("value"))
     return intervals.atomic_union(s)
 
 
-@query(f"""WITH {E}, w AS (SELECT chrom, start, start + 100 AS "end", 'w' || ord AS name FROM e WHERE user_id % 50 = 0), rd AS (SELECT chrom, start, "end" FROM e WHERE "end" - start + 1 BETWEEN 100 AND 220),
+@query(f"""WITH {E}, {O}, w AS (SELECT chrom, start, start + 100 AS "end", 'w' || ord AS name FROM o), rd AS (SELECT chrom, start, "end" FROM e WHERE "end" - start + 1 BETWEEN 100 AND 220),
 s AS (SELECT chrom, start, "end", name, unnest(range(start, "end" + 1, 10)) AS pos FROM w), sc AS (SELECT s.chrom, s.start, s."end", s.name, s.pos, coalesce(sum(CASE WHEN rd.chrom IS NULL THEN 0 WHEN rd.start <= pos - 60 AND rd."end" >= pos + 60 THEN 1 ELSE -1 END), 0) AS score
 FROM s LEFT JOIN rd ON rd.chrom = s.chrom AND rd.start < pos + 60 AND rd."end" > pos - 60 GROUP BY ALL)
 SELECT chrom, start, "end", name, string_agg(score::VARCHAR, ',' ORDER BY pos) AS wps, round(avg(score) + 1e-9, 6) AS mean_wps FROM sc GROUP BY ALL""")
 def protection_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
-    windows = e.where("user_id % 50 = 0").select("chrom", "start", (F.col("start") + 100).alias("end"), F.concat(F.lit("w"), "ord").alias("name"))
+    windows = orders(spark, sf_dir).select("chrom", "start", (F.col("start") + 100).alias("end"), F.concat(F.lit("w"), "ord").alias("name"))
     out = intervals.protection_scores(windows, e.select("chrom", "start", "end"))
     return out.withColumn("wps", F.array_join(F.col("wps").cast("array<string>"), ",")).withColumn("mean_wps", F.round(F.col("mean_wps") + 1e-9, 6))
 
@@ -97,20 +106,19 @@ def chromosome_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.chrom_positions(intervals.genome_order(events(spark, sf_dir), CHROMS))
 
 
-@query(f"""WITH {E}, r AS (SELECT chrom, (start + "end") // 2 AS centre FROM e WHERE user_id % 50 = 3), b AS (SELECT chrom, centre, unnest(range(-40, 40)) AS off FROM r),
-sg AS (SELECT chrom, start, "end", round(value) AS value FROM e WHERE user_id % 50 = 4), s AS (SELECT off, coalesce(sum(sg.value), 0) AS total FROM b LEFT JOIN sg ON sg.chrom = b.chrom AND sg.start <= centre + off AND sg."end" > centre + off GROUP BY off),
+@query(f"""WITH {E}, {O}, r AS (SELECT chrom, (start + "end") // 2 AS centre FROM o), b AS (SELECT chrom, centre, unnest(range(-40, 40)) AS off FROM r),
+sg AS (SELECT chrom, pos, sum(value) AS value FROM (SELECT chrom, round_even(value, 0) AS value, unnest(range(start, "end")) AS pos FROM e) GROUP BY chrom, pos), s AS (SELECT off, coalesce(sum(sg.value), 0) AS total FROM b LEFT JOIN sg ON sg.chrom = b.chrom AND sg.pos = centre + off GROUP BY off),
 m AS (SELECT off, total / (SELECT count(*) FROM r) AS mean FROM s)
 SELECT off::BIGINT AS "offset", round(mean + 1e-9, 6) AS mean, round(sum(mean) OVER (ORDER BY off ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) / 10 + 1e-9, 6) AS smooth FROM m""")
 def signal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    out = intervals.profile(e.where("user_id % 50 = 3"), e.where("user_id % 50 = 4").withColumn("value", F.rint("value")), 40, 40)
+    out = intervals.profile(orders(spark, sf_dir), events(spark, sf_dir).withColumn("value", F.rint("value")), 40, 40)
     return out.select("offset", F.round(F.col("mean") + 1e-9, 6).alias("mean"), F.round(F.col("smooth") + 1e-9, 6).alias("smooth"))
 
 
-@query(f"""WITH {E} SELECT ord, chrom || '_' || (start + 1) AS id, (start - floor((250 - ("end" - start)) / 2) + pos)::BIGINT AS cell_start, pos::INTEGER AS pos FROM e, (SELECT unnest(range(0, 250)) AS pos) WHERE user_id % 97 = 0""")
+@query(f"""WITH {E}, c AS (SELECT chrom, (start - floor((250 - ("end" - start)) / 2) + pos)::BIGINT AS cell_start, pos::INTEGER AS pos FROM e, (SELECT unnest(range(0, 250)) AS pos)) SELECT chrom, pos, count(*) AS n, min(cell_start) AS first, max(cell_start) AS last, sum(cell_start)::BIGINT AS total FROM c GROUP BY ALL""")
 def centred_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = intervals.centred_cells(events(spark, sf_dir).where("user_id % 97 = 0"))
-    return cells.select("ord", intervals.position_id(F.col("chrom"), F.col("start")).alias("id"), F.col("cell_start").cast("long").alias("cell_start"), "pos")
+    cells = intervals.centred_cells(events(spark, sf_dir)).withColumn("cell_start", F.col("cell_start").cast("long"))
+    return cells.groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("n"), F.min("cell_start").alias("first"), F.max("cell_start").alias("last"), F.sum("cell_start").alias("total"))
 
 
 @query(f"""WITH {E}, z AS (SELECT chrom, max(start) AS length FROM e WHERE chrom <> 'error' GROUP BY chrom)

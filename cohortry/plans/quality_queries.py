@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.operators import fragments, quality
-from cohortry.plans.interval_queries import E, events
+from cohortry.plans.interval_queries import E, O, events, orders
 from cohortry.plans.registry import query, table
 
 SITES = "si AS (SELECT l_suppkey AS sample, l_quantity AS m, 50 - l_quantity AS u FROM lineitem)"
@@ -167,12 +167,12 @@ def aligned_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.align_bins(bins(spark, sf_dir, 500000), ["s0", "s1", "s2"], "n_short")
 
 
-@query(f"""WITH {E}, rg AS (SELECT chrom, start, "end", 'r' || ord AS name FROM e WHERE user_id % 40 = 0), sg AS (SELECT chrom, g * 10 AS start, g * 10 + 7 AS "end", (g % 9)::DOUBLE AS value FROM (SELECT DISTINCT chrom, start // 10 AS g FROM e)),
+@query(f"""WITH {E}, {O}, rg AS (SELECT chrom, start, "end", 'r' || ord AS name FROM o), sg AS (SELECT chrom, g * 10 AS start, g * 10 + 7 AS "end", (g % 9)::DOUBLE AS value FROM (SELECT DISTINCT chrom, start // 10 AS g FROM e)),
 m AS (SELECT rg.name, sum(least(rg."end", sg."end") - greatest(rg.start, sg.start)) AS covered, sum((least(rg."end", sg."end") - greatest(rg.start, sg.start)) * value) AS s FROM rg JOIN sg ON rg.chrom = sg.chrom AND rg.start < sg."end" AND rg."end" > sg.start GROUP BY rg.name)
 SELECT rg.name, rg."end" - rg.start AS size, coalesce(covered, 0)::BIGINT AS covered, coalesce(s, 0.0) AS sum, round(coalesce(s, 0.0) / (rg."end" - rg.start) + 1e-9, 6) AS mean0, round(coalesce(s / covered, 0.0) + 1e-9, 6) AS mean FROM rg LEFT JOIN m USING (name)""")
 def region_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
-    regions = e.where("user_id % 40 = 0").select("chrom", "start", "end", F.concat(F.lit("r"), "ord").alias("name"))
+    regions = orders(spark, sf_dir).select("chrom", "start", "end", F.concat(F.lit("r"), "ord").alias("name"))
     g = e.select("chrom", F.floor(F.col("start") / 10).alias("g")).distinct()
     signal = g.select("chrom", (F.col("g") * 10).alias("start"), (F.col("g") * 10 + 7).alias("end"), (F.col("g") % 9).cast("double").alias("value"))
     return fragments.occupancy(regions, signal, 64).select("name", "size", "covered", "sum", near("mean0"), near("mean"))
@@ -210,12 +210,12 @@ def read_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.read_counts(flagged(spark, sf_dir))
 
 
-@query("""WITH a AS (SELECT o_orderkey AS k, o_totalprice > 200000 AS marked FROM orders WHERE o_orderkey % 3 > 0), b AS (SELECT o_orderkey AS k, o_totalprice > 220000 AS marked FROM orders WHERE o_orderkey % 5 > 0), f AS (SELECT coalesce(a.marked, false) AS x, coalesce(b.marked, false) AS y FROM a FULL JOIN b USING (k))
+@query("""WITH a AS (SELECT o_orderkey AS k, o_totalprice > 200000 AS marked FROM orders WHERE o_orderstatus <> 'P'), b AS (SELECT o_orderkey AS k, o_totalprice > 220000 AS marked FROM orders WHERE o_orderpriority <> '5-LOW'), f AS (SELECT coalesce(a.marked, false) AS x, coalesce(b.marked, false) AS y FROM a FULL JOIN b USING (k))
 SELECT count(*) FILTER (x AND y) AS n_both, count(*) FILTER (x OR y) AS n_either, round(count(*) FILTER (x AND y) / count(*) FILTER (x OR y) + 1e-9, 6) AS jaccard, count(*) FILTER (x <> y) AS n_differ, round(count(*) FILTER (x = y) / count(*) + 1e-9, 6) AS agreement FROM f""")
 def duplicate_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    a = orders.where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") > 200000).alias("marked"))
-    b = orders.where("o_orderkey % 5 > 0").select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") > 220000).alias("marked"))
+    a = orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") > 200000).alias("marked"))
+    b = orders.where("o_orderpriority <> '5-LOW'").select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") > 220000).alias("marked"))
     return fragments.compare_marks(a, b, ["k"]).select("n_both", "n_either", near("jaccard"), "n_differ", near("agreement"))
 
 

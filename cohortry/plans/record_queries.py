@@ -87,7 +87,7 @@ def annotated_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.annotate(calls(spark, sf_dir).select("chrom", "start", "end"), notes, 32).select("start", "id")
 
 
-ART = "ar AS (SELECT o_orderpriority AS stage, 'p' || o_orderkey AS path, o_custkey % 3 > 0 AS required FROM orders), li AS (SELECT 'p' || o_orderkey AS path, (o_totalprice::BIGINT % 10) AS bytes FROM orders WHERE o_orderkey % 4 > 0)"
+ART = "ar AS (SELECT o_orderpriority AS stage, 'p' || o_orderkey AS path, o_custkey % 3 > 0 AS required FROM orders), li AS (SELECT 'p' || o_orderkey AS path, (o_totalprice::BIGINT % 10) AS bytes FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderstatus = 'P')"
 
 
 @query(f"""WITH {ART}, t AS (SELECT ar.*, coalesce(bytes > 0, false) AS present FROM ar LEFT JOIN li USING (path)) SELECT stage, count(*) AS n_expected, count(*) FILTER (required) AS n_required, count(*) FILTER (present) AS n_present, count(*) FILTER (required AND NOT present) AS n_missing FROM t GROUP BY stage""")
@@ -97,16 +97,16 @@ def artifact_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(path, (F.col("o_custkey") % 3 > 0).alias("required"))
     stages = orders.groupBy("o_orderpriority", (F.col("o_orderkey") % 100).alias("run")).agg(F.collect_list(entry).alias("expected"))
     manifests = stages.groupBy("run").agg(F.collect_list(F.struct(F.col("o_orderpriority").alias("id"), F.lit("complete").alias("status"), "expected")).alias("stages")).withColumnRenamed("run", "run_id")
-    listing = orders.where("o_orderkey % 4 > 0").select(path, (F.rint("o_totalprice").cast("long") % 10).alias("bytes"))
+    listing = orders.where("o_orderpriority <> '5-LOW' or o_orderstatus = 'P'").select(path, (F.rint("o_totalprice").cast("long") % 10).alias("bytes"))
     return provenance.artifact_counts(provenance.artifact_rows(manifests), listing)
 
 
-LEDGER = "le AS (SELECT CASE WHEN event_type IN ('signup', 'view') THEN 'start' ELSE 'finish' END AS event, user_id AS command_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS returncode FROM events WHERE event_id % 13 = 0)"
+LEDGER = "le AS (SELECT CASE WHEN event_type IN ('signup', 'view') THEN 'start' ELSE 'finish' END AS event, user_id * 100 + day(ts) AS command_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS returncode FROM events)"
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where("event_id % 13 = 0")
-    return rows.select(F.when(F.col("event_type").isin("signup", "view"), "start").otherwise("finish").alias("event"), F.col("user_id").alias("command_id"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("returncode"))
+    rows = table(spark, sf_dir, "events")
+    return rows.select(F.when(F.col("event_type").isin("signup", "view"), "start").otherwise("finish").alias("event"), (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("command_id"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("returncode"))
 
 
 @query(f"WITH {LEDGER}, p AS (SELECT command_id, max((event = 'start')::INT) AS s, max((event = 'finish')::INT) AS f, max((event = 'finish' AND returncode <> 0)::INT) AS x FROM le GROUP BY 1) SELECT sum(s)::BIGINT AS n_started, sum(f)::BIGINT AS n_finished, sum(x)::BIGINT AS n_failed, count(*) FILTER (s = 1 AND f = 0)::BIGINT AS n_unfinished FROM p")
@@ -137,7 +137,7 @@ def sample_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.aliases(rows, "BUILDING").select("c_custkey", "alias", "place")
 
 
-CHECKS = """ck AS (SELECT DISTINCT ON (user_id, event_type) user_id AS sample, event_type AS "check", CASE WHEN value < 20 THEN 'PASS' WHEN value < 80 THEN 'WARN' ELSE 'FAIL' END AS status FROM events WHERE event_id % 7 > 0 ORDER BY user_id, event_type, event_id),
+CHECKS = """ck AS (SELECT DISTINCT ON (user_id, event_type) user_id AS sample, event_type AS "check", CASE WHEN value < 20 THEN 'PASS' WHEN value < 80 THEN 'WARN' ELSE 'FAIL' END AS status FROM events ORDER BY user_id, event_type, event_id),
 mx AS (SELECT s.sample, n."check", coalesce(ck.status, 'MISSING') AS status FROM (SELECT DISTINCT user_id AS sample FROM events) s CROSS JOIN (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS "check") n LEFT JOIN ck ON ck.sample = s.sample AND ck."check" = n."check")"""
 
 
@@ -145,7 +145,7 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortry.operators.matrix import first_per_key
 
     events = table(spark, sf_dir, "events")
-    rows = first_per_key(events.where("event_id % 7 > 0"), ["user_id", "event_type"], ["event_id"])
+    rows = first_per_key(events, ["user_id", "event_type"], ["event_id"])
     made = rows.select(F.col("user_id").alias("sample"), F.col("event_type").alias("check"), F.when(F.col("value") < 20, "PASS").when(F.col("value") < 80, "WARN").otherwise("FAIL").alias("status"))
     samples = events.select(F.col("user_id").alias("sample")).distinct()
     return provenance.check_matrix(made, samples, ["click", "error", "purchase", "signup", "view"])
@@ -169,19 +169,19 @@ def task_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.task_states(rows)
 
 
-@query("""WITH a AS (SELECT o_custkey AS k, string_agg(o_orderpriority, chr(10) ORDER BY o_orderpriority) AS s FROM orders WHERE o_orderkey % 10 > 0 GROUP BY 1), b AS (SELECT o_custkey AS k, string_agg(o_orderpriority, chr(10) ORDER BY o_orderpriority) AS s FROM orders WHERE o_orderkey % 10 > 0 OR o_totalprice > 150000 GROUP BY 1)
+@query("""WITH a AS (SELECT o_custkey AS k, string_agg(o_orderpriority, chr(10) ORDER BY o_orderpriority) AS s FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1), b AS (SELECT o_custkey AS k, string_agg(o_orderpriority, chr(10) ORDER BY o_orderpriority) AS s FROM orders WHERE o_orderstatus <> 'P' OR o_totalprice > 150000 GROUP BY 1)
 SELECT a.k AS o_custkey, coalesce(a.s = b.s, false) AS same FROM a LEFT JOIN b USING (k)""")
 def resumable_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders")
-    return provenance.resumable(rows.where("o_orderkey % 10 > 0"), rows.where("o_orderkey % 10 > 0 or o_totalprice > 150000"), ["o_custkey"], "o_orderpriority")
+    return provenance.resumable(rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus <> 'P' or o_totalprice > 150000"), ["o_custkey"], "o_orderpriority")
 
 
-@query("""WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 5 > 0), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 7 > 0)
+@query("""WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderstatus <> 'P'), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS v FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT k, CASE WHEN b.v IS NULL AND b.k2 IS NULL THEN 'only first' WHEN a.k2 IS NULL THEN 'only second' ELSE 'differs' END AS difference FROM (SELECT *, k AS k2 FROM a) a FULL JOIN (SELECT *, k AS k2 FROM b) b USING (k) WHERE a.k2 IS NULL OR b.k2 IS NULL OR a.v IS DISTINCT FROM b.v""")
 def contract_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
-    b = rows.where("k % 7 > 0").withColumn("v", F.when(F.col("k") % 9 != 0, F.col("v")))
-    return provenance.contract_differences(rows.where("k % 5 > 0"), b, ["k"], ["v"])
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), "o_orderpriority")
+    b = rows.where("o_orderpriority <> '5-LOW'").withColumn("v", F.when(F.col("k") % 9 != 0, F.col("v")))
+    return provenance.contract_differences(rows.where("v <> 'P'"), b, ["k"], ["v"])
 
 
 @query("SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)")
