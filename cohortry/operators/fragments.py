@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions.scalar import ratio
+from cohortry.operators.intervals import tiled, with_carry
 
 
 def length_shares(histogram: DataFrame, limit: int = 500) -> DataFrame:
@@ -95,11 +96,13 @@ def occupancy(regions: DataFrame, signal: DataFrame, width: int) -> DataFrame:
 def cut_sites(fragments: DataFrame) -> DataFrame:
     """Share of the fragments over a base that end there: chrom, pos, ``ends``, ``depth``, ``share``, at bases where fragments end.
 
-    Depth is a running sum over starts and stops, so no fragment is unrolled into its bases.
+    Depth is a running sum over starts and stops within tiles, each told the sum of those before it; no fragment is
+    unrolled into its bases.
     """
     steps = fragments.select("chrom", F.inline(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("step"), F.lit(1).alias("ends")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("step"), F.lit(0).alias("ends")), F.struct((F.col("end") - 1).alias("pos"), F.lit(0).alias("step"), F.lit(1).alias("ends")))))
     sums = steps.groupBy("chrom", "pos").agg(F.sum("step").alias("step"), F.sum("ends").alias("ends"))
-    depth = F.sum("step").over(Window.partitionBy("chrom").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    sums = with_carry(tiled(sums, "pos"), ["chrom"], F.sum("step"), F.sum, "__before")
+    depth = F.sum("step").over(Window.partitionBy("chrom", "__tile").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("__before", F.lit(0))
     return sums.withColumn("depth", depth).where("ends > 0").select("chrom", "pos", "ends", "depth", (F.col("ends") / F.col("depth")).alias("share"))
 
 

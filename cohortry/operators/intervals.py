@@ -6,19 +6,47 @@ the bin where their overlap begins, so that each pair appears once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Positions of a tile. Running values go on within tiles; what one tile hands to the next is one row for each tile.
+TILE = 1 << 22
+
+
+def tiled(rows: DataFrame, at: str) -> DataFrame:
+    """``rows`` with the number of the tile that position ``at`` lies in, as ``__tile``."""
+    return rows.withColumn("__tile", F.floor(F.col(at) / TILE))
+
+
+def with_carry(rows: DataFrame, keys: Sequence[str], own: Column, total: Callable[[str], Column], name: str, from_later: bool = False) -> DataFrame:
+    """``rows`` (of :func:`tiled`) with ``name``: the aggregate ``own`` of each tile, added up by ``total`` over all earlier tiles of the key.
+
+    The first tile has null. With ``from_later`` it is the later tiles that count.
+    """
+    order = Window.partitionBy(*keys).orderBy(F.desc("__tile") if from_later else F.asc("__tile"))
+    tiles = rows.groupBy(*keys, "__tile").agg(own.alias("__own"))
+    carried = tiles.select(*(F.col(k).alias(f"__key_{k}") for k in keys), F.col("__tile").alias("__at"), total("__own").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias(name))
+    same = F.col("__tile") == F.col("__at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    return rows.join(carried, same).drop("__at", *(f"__key_{k}" for k in keys))
+
+
 def merge(intervals: DataFrame, keys: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Union of the intervals of each key; intervals that touch become one. Keys, ``start``, ``end``."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = intervals.withColumn("__new", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0))
-    island = marked.withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__island")
+    """Union of the intervals of each key; intervals that touch become one. Keys, ``start``, ``end``.
+
+    Windows run within tiles of a key; each tile is told how far the earlier ones reach and how many unions they began.
+    """
+    rows = with_carry(tiled(intervals, "start"), keys, F.max("end"), F.max, "__reach")
+    order = Window.partitionBy(*keys, "__tile").orderBy("start", "end")
+    before = F.greatest(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.col("__reach"))
+    marked = rows.withColumn("__new", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0))
+    counted = with_carry(marked, keys, F.sum("__new"), F.sum, "__begun")
+    island = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("__begun", F.lit(0))
+    return counted.withColumn("__island", island).groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__island")
 
 
 def _bins(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
@@ -76,12 +104,15 @@ def region_means(regions: DataFrame, points: DataFrame, width: int) -> DataFrame
 def atomic_union(samples: DataFrame) -> DataFrame:
     """Intervals of several samples split at every end of any of them: chrom, start, end, sample, value, nothing filled in.
 
-    ``samples`` has chrom, start, end, sample, value. Each interval is cut at the break points inside it, which a window
-    over all starts and ends of its chromosome finds without pairing intervals.
+    ``samples`` has chrom, start, end, sample, value. Each interval is cut at the break points inside it, which are numbered
+    by windows over tiles, without pairing intervals.
     """
-    points = samples.select("chrom", F.explode(F.array("start", "end")).alias("at")).distinct()
-    order = Window.partitionBy("chrom").orderBy("at")
-    cells = points.select("chrom", F.col("at").alias("start"), F.lead("at").over(order).alias("end"), F.row_number().over(order).alias("cell")).where("end is not null")
+    points = tiled(samples.select("chrom", F.explode(F.array("start", "end")).alias("at")).distinct(), "at")
+    points = with_carry(points, ["chrom"], F.count(F.lit(1)), F.sum, "__before")
+    points = with_carry(points, ["chrom"], F.min("at"), F.min, "__next", from_later=True)
+    order = Window.partitionBy("chrom", "__tile").orderBy("at")
+    number = F.row_number().over(order) + F.coalesce("__before", F.lit(0))
+    cells = points.select("chrom", F.col("at").alias("start"), F.coalesce(F.lead("at").over(order), "__next").alias("end"), number.alias("cell")).where("end is not null")
     first = cells.select("chrom", F.col("start").alias("start"), F.col("cell").alias("c0"))
     last = cells.select("chrom", F.col("end").alias("end"), F.col("cell").alias("c1"))
     spans = samples.join(first, ["chrom", "start"]).join(last, ["chrom", "end"])
@@ -109,14 +140,14 @@ def protection_scores(windows: DataFrame, reads: DataFrame, step: int = 10, half
 def genome_order(rows: DataFrame, chroms: Sequence[str]) -> DataFrame:
     """``gpos``: place of each row, from 0, in the order of the listed chromosomes and start; other chromosomes are left out.
 
-    Ranks are taken within chromosomes; a chromosome's offset is the number of rows of those before it.
+    Ranks are taken within tiles of a chromosome; a tile's offset is the number of rows of those before it.
     """
     order = F.array_position(F.array(*(F.lit(c) for c in chroms)), F.col("chrom"))
-    ranked = rows.withColumn("chrom_ord", order).where("chrom_ord > 0")
-    sizes = ranked.groupBy("chrom_ord").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = with_carry(tiled(rows.withColumn("chrom_ord", order).where("chrom_ord > 0"), "start"), ["chrom_ord"], F.count(F.lit(1)), F.sum, "__before")
+    sizes = ranked.groupBy("chrom_ord").agg(F.count(F.lit(1)).alias("__n"))  # a row for each listed chromosome
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(Window.orderBy("chrom_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    at = F.row_number().over(Window.partitionBy("chrom_ord").orderBy("start", "end")) - 1
-    return ranked.withColumn("__at", at).join(F.broadcast(offsets), "chrom_ord").withColumn("gpos", F.col("__at") + F.col("__off")).drop("__at", "__off", "chrom_ord")
+    at = F.row_number().over(Window.partitionBy("chrom_ord", "__tile").orderBy("start", "end")) - 1 + F.coalesce("__before", F.lit(0))
+    return ranked.withColumn("__at", at).join(F.broadcast(offsets), "chrom_ord").withColumn("gpos", F.col("__at") + F.col("__off")).drop("__at", "__off", "__before", "__tile", "chrom_ord")
 
 
 def chrom_positions(ordered: DataFrame) -> DataFrame:

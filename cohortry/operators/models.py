@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators.matrix import usable_features
 from cohortry.operators.power import _auc, _f_scores, _logistic
+from cohortry.operators.stats import pair_sums, with_names
 
 
 def gram(long: DataFrame, samples: Sequence[str], scale: bool = True) -> DataFrame:
@@ -25,9 +26,7 @@ def gram(long: DataFrame, samples: Sequence[str], scale: bool = True) -> DataFra
     if scale:
         filled = filled.withColumn("c", F.when(spread > 0, F.col("c") / spread).otherwise(0.0))
     wide = filled.groupBy("feature").pivot("sample", list(samples)).agg(F.first("c"))
-    pairs = [(x, y) for i, x in enumerate(samples) for y in samples[i:]]
-    row = wide.agg(F.array(*(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.sum(F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))).alias("g")) for x, y in pairs)).alias("all"))
-    return row.select(F.inline("all"))
+    return with_names(pair_sums(wide, samples), samples).select("a", "b", F.col("sij").alias("g"))
 
 
 def principal_components(long: DataFrame, samples: Sequence[str], k: int = 10, max_missing: float = 0.5) -> tuple[DataFrame, DataFrame]:

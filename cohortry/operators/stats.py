@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,27 +61,26 @@ def rank_p(tests: DataFrame) -> DataFrame:
 def adjust_p(tests: DataFrame, p: str = "p", out: str = "q", total: int | None = None) -> DataFrame:
     """Benjamini-Hochberg q of every row; null p gives null q, but counts among the tests.
 
-    The rank needs a global order. Rows are dealt into ranges of p, each range's size gives its first rank, and the
-    running minimum from the largest p down is taken within ranges and carried over by the ranges' own minima; only one
-    row for each range meets in one place.
+    Equal p have the same q, so distinct values are ranked, each with its number of rows. The rank needs a global order:
+    values are dealt into ranges, each range's size gives its first rank, and the running minimum from the largest p down
+    is taken within ranges and carried over by the ranges' own minima; only one row for each range meets in one place.
     """
     n = F.lit(total) if total is not None else F.lit(tests.count())
     parts = max(1, int(tests.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    known = tests.where(F.col(p).isNotNull())
-    cuts = known.agg(F.percentile_approx(p, [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    piece = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.array().cast("array<double>"), lambda c: c < F.col(p)))
-    ranged = known.withColumn("__r", piece)
-    sizes = ranged.groupBy("__r").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    # equal p share the rank of the last of them, so the order among them does not matter
-    rank = F.col("__before") + F.count(F.lit(1)).over(Window.partitionBy("__r").orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
-    raw = ranged.join(F.broadcast(before), "__r").withColumn("__raw", F.col(p) * n / rank)
+    values = tests.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    cuts = sorted(set(values.agg(F.percentile_approx("__p", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []))
+    piece = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.array().cast("array<double>"), lambda c: c < F.col("__p")))
+    ranged = values.withColumn("__r", piece)
+    sizes = ranged.groupBy("__r").agg(F.sum("__n").alias("__m"))
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__m").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__m")
+    # equal p share the rank of the last of them
+    rank = F.col("__before") + F.sum("__n").over(Window.partitionBy("__r").orderBy("__p").rowsBetween(Window.unboundedPreceding, 0))
+    raw = ranged.join(F.broadcast(before), "__r").withColumn("__raw", F.col("__p") * n / rank)
     least = raw.groupBy("__r").agg(F.min("__raw").alias("__min"))
     later = least.withColumn("__later", F.min("__min").over(Window.orderBy(F.desc("__r")).rowsBetween(Window.unboundedPreceding, -1))).drop("__min")
-    own = F.min("__raw").over(Window.partitionBy("__r").orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0))
-    done = raw.join(F.broadcast(later), "__r").withColumn(out, F.least(own, F.col("__later"), F.lit(1.0)))
-    return done.select(*tests.columns, out).unionByName(tests.where(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
+    own = F.min("__raw").over(Window.partitionBy("__r").orderBy(F.desc("__p")).rowsBetween(Window.unboundedPreceding, 0))
+    done = raw.join(F.broadcast(later), "__r").select("__p", F.least(own, F.col("__later"), F.lit(1.0)).alias("__q"))
+    return tests.join(done, F.col(p) == F.col("__p"), "left").select(*tests.columns, F.col("__q").alias(out))
 
 
 def wilson(successes: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column, Column]:
@@ -101,10 +101,13 @@ def roc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", label
 
 
 def auc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", label: str = "label") -> DataFrame:
-    """Area under the ROC curve for each key, by average ranks; null if a class is missing."""
-    ranked = average_rank(scores.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)), list(keys), score, "__rank")
-    pos, neg = F.sum(label), F.sum(1 - F.col(label))
-    return ranked.groupBy(*keys).agg(F.when((pos > 0) & (neg > 0), (F.sum(F.col("__rank") * F.col(label)) - pos * (pos + 1) / 2) / (pos * neg)).alias("auc"))
+    """Area under the ROC curve for each key, tied scores counting half; null if a class is missing. Distinct scores are
+    counted first, so the window holds one row for each."""
+    counted = scores.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)).groupBy(*keys, score).agg(F.sum(label).alias("__pos"), F.sum(1 - F.col(label)).alias("__neg"))
+    below = F.coalesce(F.sum("__neg").over(Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = counted.withColumn("__won", F.col("__pos") * (below + F.col("__neg") / 2))
+    pos, neg = F.sum("__pos"), F.sum("__neg")
+    return won.groupBy(*keys).agg(F.when((pos > 0) & (neg > 0), F.sum("__won") / (pos * neg)).alias("auc"))
 
 
 def sensitivity_at(curve: DataFrame, specificity: float, keys: Sequence[str] = ()) -> DataFrame:
@@ -133,16 +136,52 @@ def best_features(tests: DataFrame, score: str, k: int) -> DataFrame:
     return tests.orderBy(F.desc_nulls_last(score), "feature").limit(k)
 
 
+PAIR_SUMS = ("n", "si", "sj", "sii", "sjj", "sij")
+
+
+def pair_sums(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """For each two columns (``i <= j``, places in ``columns``), over the rows where both have a value: ``n``, the sums ``si`` and ``sj``,
+    the sums of squares ``sii`` and ``sjj`` and of products ``sij``.
+
+    A task adds its rows up in matrices of columns by columns, so the plan does not grow with the pairs, and no pair of rows is made.
+    """
+    n = len(columns)
+    low, high = np.triu_indices(n)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, n, n))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        m, s, q, p = sums
+        cells = (m[low, high], s[low, high], s[high, low], q[low, high], q[high, low], p[low, high])
+        yield pa.RecordBatch.from_arrays([pa.array(low, pa.int32()), pa.array(high, pa.int32()), *map(pa.array, cells)], names=["i", "j", *PAIR_SUMS])
+
+    cells = wide.select(*columns).mapInArrow(partial, "i int, j int, " + ", ".join(f"{c} double" for c in PAIR_SUMS))
+    return cells.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in PAIR_SUMS))
+
+
+def with_names(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``cells`` with the columns' names ``a`` and ``b`` for their places ``i`` and ``j``; there are as many names as columns."""
+    names = F.broadcast(cells.sparkSession.createDataFrame([(i, s) for i, s in enumerate(columns)], "at int, name string"))
+    return cells.join(names.withColumnsRenamed({"at": "i", "name": "a"}), "i").join(names.withColumnsRenamed({"at": "j", "name": "b"}), "j")
+
+
 def correlations(long: DataFrame, samples: Sequence[str], spearman: bool = False) -> DataFrame:
-    """``a``, ``b``, ``r`` for every pair of the given samples, missing values filled with the sample's mean (after ranking, for
-    Spearman, the rank of the filled value). One aggregate over the wide table: pairs of columns, not of rows."""
-    filled = long.withColumn("value", F.coalesce("value", F.avg("value").over(Window.partitionBy("sample"))))
+    """``a``, ``b``, ``r`` for every pair of the given samples, null values filled with the sample's mean (after ranking, for
+    Spearman, the rank of the filled value). Features that a sample has no row for are left out of its pairs. Values are
+    centred before they are multiplied; a sample without spread gives null."""
+    mean = F.avg("value").over(Window.partitionBy("sample"))
+    filled = long.withColumn("value", F.coalesce("value", mean))
     if spearman:
         filled = average_rank(filled, ["sample"], "value", "rank").drop("value").withColumnRenamed("rank", "value")
-    wide = filled.groupBy("feature").pivot("sample", list(samples)).agg(F.first("value"))
-    pairs = [(x, y) for i, x in enumerate(samples) for y in samples[i + 1 :]]
-    row = wide.agg(F.array(*(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.corr(x, y).alias("r")) for x, y in pairs)).alias("all"))
-    return row.select(F.inline("all"))
+    wide = filled.withColumn("value", F.col("value") - mean).groupBy("feature").pivot("sample", list(samples)).agg(F.first("value"))
+    vi, vj, both = F.col("sii") - F.col("si") ** 2 / F.col("n"), F.col("sjj") - F.col("sj") ** 2 / F.col("n"), F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
+    least = lambda s: 1e-12 * F.greatest(s, F.lit(1e-300))
+    r = F.when((F.col("n") > 0) & (vi > least(F.col("sii"))) & (vj > least(F.col("sjj"))), both / F.sqrt(vi * vj))
+    return with_names(pair_sums(wide, samples).where("i < j"), samples).select("a", "b", r.alias("r"))
 
 
 def ecdf(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -107,3 +107,51 @@ def test_stage_order(spark):
         provenance.topological(needs, ["z"])
     states = table(spark, [("complete",), ("ready",)], "state string")
     assert states.agg(provenance.overall(F.col("state"))).first()[0] == "ready"
+
+
+def test_tiles_of_any_width_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [("abc"[i % 3], int(s), int(s + n), i % 2, float(i)) for i, (s, n) in enumerate(zip(rng.integers(-50, 300, 90), rng.integers(1, 60, 90), strict=True))]
+    rows = list({(r[0], r[1], r[3]): r for r in rows}.values())
+    df = table(spark, rows, BED + ", sample int, value double")
+
+    def results():
+        return (
+            sorted(map(tuple, intervals.merge(df).collect())),
+            sorted(map(tuple, intervals.atomic_union(df).collect())),
+            sorted((r.chrom, r.start, r.gpos) for r in intervals.genome_order(df.select("chrom", "start", F.col("start").alias("end")).distinct(), ["b", "a"]).collect()),
+            sorted(map(tuple, fragments.cut_sites(df).collect())),
+        )
+
+    want = results()
+    covered = {c: sorted({p for r in rows if r[0] == c for p in range(r[1], r[2])}) for c in "abc"}
+    assert sorted({(c, p) for c, a, b in want[0] for p in range(a, b)}) == sorted((c, p) for c in covered for p in covered[c])
+    assert sorted(g for _, _, g in want[2]) == list(range(len(want[2])))
+    monkeypatch.setattr(intervals, "TILE", 16)
+    assert results() == want
+
+
+def test_q_values_of_many_ties_and_nulls(spark):
+    ps = [0.01, 0.04, 0.03, None] + [1.0] * 40 + [0.5] * 3
+    got = {r.i: r.q for r in stats.adjust_p(table(spark, list(enumerate(ps)), "i int, p double")).collect()}
+    known = sorted((p, i) for i, p in enumerate(ps) if p is not None)
+    least, want = 1.0, {3: None}
+    for rank in range(len(known), 0, -1):
+        least = min(least, known[rank - 1][0] * len(ps) / rank)
+        want[known[rank - 1][1]] = least
+    assert got.keys() == want.keys() and all(got[i] is None if want[i] is None else abs(got[i] - want[i]) < 1e-12 for i in want)
+
+
+def test_correlations_and_products_equal_numpy(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(5, 2, (40, 6))
+    x[:, 5] = 3.0
+    rows = [(f"f{i}", f"s{j}", float(x[i, j])) for i in range(40) for j in range(6)]
+    long = table(spark, rows, "feature string, sample string, value double").repartition(3)
+    names = [f"s{j}" for j in range(6)]
+    got = {(r.a, r.b): r.r for r in stats.correlations(long, names).collect()}
+    assert len(got) == 15 and got["s0", "s5"] is None
+    assert all(abs(got[f"s{i}", f"s{j}"] - np.corrcoef(x[:, i], x[:, j])[0, 1]) < 1e-9 for i in range(5) for j in range(i + 1, 5))
+    curve = table(spark, [(float(s), int(y)) for s, y in zip(np.round(x[:, 0], 0), x[:, 1] > 5, strict=True)], "score double, label int")
+    a, b = [r.score for r in curve.collect() if r.label], [r.score for r in curve.collect() if not r.label]
+    assert abs(stats.auc(curve).first().auc - np.mean([(p > q) + (p == q) / 2 for p in a for q in b])) < 1e-12
