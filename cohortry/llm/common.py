@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles at a time; it bounds the memory of a Python worker.
 SLICE_BYTES = 2_000_000
+#: Rows of a few numbers that a file of an intermediate table takes at least, where their number is known.
+ROWS_A_FILE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +34,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage is cut, and a lost executor loses nothing."""
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: lineage is cut, and a lost executor loses nothing.
+
+    Where the number of rows is about known, no more files are written than they fill.
+    """
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_A_FILE)
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,17 +17,17 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = materialise(edges, "links")
-    before = None
+    before, rows = None, edges.count()
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialise(small.union(least).where("u <> v").select("u", "v").distinct(), "links")
+        edges = materialise(small.union(least).where("u <> v").select("u", "v").distinct(), "links", rows)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             root = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return root.union(root.select(F.col("root").alias("node"), "root")).distinct()
-        before = now
+        before, rows = now, now[0]
     raise RuntimeError(f"components did not settle in {rounds} rounds")

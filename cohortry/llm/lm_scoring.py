@@ -250,7 +250,7 @@ def score(docs: DataFrame, trie: DataFrame, id_col: str = "doc_id", text_col: st
     base = {size: shorten(keys.view(np.uint64), n, size) for size in range(FAMILY_BYTES)}
     family = F.expr("shiftright(gram, 8) & 65535").cast("int")
     crowded = trie.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") > bucket_runs).select("family", F.lit(True).alias("large"))
-    crowded = materialise(crowded, "large-families")  # 65,536 rows at most
+    crowded = materialise(crowded, "large-families", 2**16)  # 65,536 rows at most
     large = np.zeros(2**16, bool)
     large[crowded.toArrow().column("family").to_numpy()] = True
     shared = docs.sparkSession.sparkContext.broadcast((base, large))
