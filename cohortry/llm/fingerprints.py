@@ -177,6 +177,6 @@ def within(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6)
 def count_within(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     """``low``, ``high`` and ``n_near`` for each distinct fingerprint of ``queries``: how many rows of ``fps`` lie within
     ``radius`` of it, but for one that has it itself. Copies are counted, not listed; rows with a null id do not count."""
-    groups = materialise(fps.where("doc_id is not null").groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")), "fingerprint-counts")
+    groups = materialise(fps.where("doc_id is not null").groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")), "fingerprint-counts", fps.count())
     near = close_fingerprints(queries.where("doc_id is not null"), groups, radius, blocks).join(groups.select(F.col("low").alias("low_b"), F.col("high").alias("high_b"), "n"), ["low_b", "high_b"])
     return near.groupBy("low", "high").agg((F.sum("n") - 1).alias("n_near"))

@@ -191,11 +191,12 @@ def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> Dat
     information is at least ``share`` of the entity's information. All counts are of documents and cover them all. Entities
     in fewer texts are put aside before any pair is made: they can have no such term.
     """
-    seen = materialise(mentions(docs), "pii-mentions")
-    entities = materialise(seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts), "pii-entities")
+    rows = docs.count()
+    seen = materialise(mentions(docs), "pii-mentions", rows)
+    entities = materialise(seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts), "pii-entities", rows)
     met = companions(docs, entities).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
-    met = materialise(met, "pii-pairs")
-    total = F.lit(float(docs.count()))
+    met = materialise(met, "pii-pairs", rows)
+    total = F.lit(float(rows))
     shared = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n")))
     telling = met.join(entities.select("entity", "n_entity"), "entity").join(document_counts(docs, met), "term")
     return telling.where((shared > 0) & (shared >= share * F.log2(total / F.col("n_entity")))).select("term").distinct()

@@ -159,7 +159,7 @@ class Plan:
 
     def __init__(self, fps: DataFrame, radius: int, m: int | None = None):
         self.radius = radius
-        total, joint = joint_counts(fps)
+        self.total, joint = total, joint = joint_counts(fps)
         m = m or min(range(2, max(3, radius + 2)), key=lambda k: even_cost(total, k, radius))
         self.parts = parts = bit_parts(joint, m)
         self.known = known = [min(SKETCH, len(p)) for p in parts]
@@ -227,19 +227,20 @@ def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
     close = lambda a, b: (F.col(a) != F.col(b)) & (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius)
     indexed = fps.mapInArrow(index, "part int, value long, b long")
     sums = [F.count(F.lit(1)).alias("many"), F.min_by("b", F.xxhash64("b")).alias("hub")]
-    hubs = materialise(indexed.groupBy("part", "value").agg(*sums), "value-hubs")
+    hubs = materialise(indexed.groupBy("part", "value").agg(*sums), "value-hubs", plan.total * len(plan.parts))
     # a lookup that finds nothing goes no further
-    probing = materialise(fps.mapInArrow(probe, "part int, value long, a long").join(hubs, ["part", "value"]), "lookups")
+    probing = materialise(fps.mapInArrow(probe, "part int, value long, a long").join(hubs, ["part", "value"]), "lookups", plan.total * 16)
     own = indexed.join(hubs.where("many > 1"), ["part", "value"]).where(close("b", "hub")).select(F.col("b").alias("a"), F.col("hub").alias("b"))
-    first = materialise(probing.where(close("a", "hub")).select("a", F.col("hub").alias("b")).union(own).distinct(), "first-links")
+    first = materialise(probing.where(close("a", "hub")).select("a", F.col("hub").alias("b")).union(own).distinct(), "first-links", plan.total * len(plan.parts))
 
     family = components(first)
     named = lambda df, c, out: df.join(family.select(F.col("node").alias(c), F.col("root").alias(out)), c, "left").withColumn(out, F.coalesce(out, c))
     salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / F.lit(BUCKET_ROWS)))
     chunks = named(indexed.join(hubs.where("many > 1").select("part", "value", "many"), ["part", "value"]), "b", "theirs").groupBy("part", "value", "theirs", salt.alias("salt")).agg(F.collect_list("b").alias("bs"))
     asking = named(probing.where("many > 1").select("part", "value", "a"), "a", "ours")
-    met = asking.join(chunks, ["part", "value"]).where("ours <> theirs").select("a", F.explode("bs").alias("b"))
-    return first.union(met.where(close("a", "b")).distinct())
+    near = lambda b: F.bit_count(F.col("a").bitwiseXOR(b)) <= radius
+    met = asking.join(chunks, ["part", "value"]).where((F.col("ours") != F.col("theirs")) & F.exists("bs", near))
+    return first.union(met.select("a", F.explode(F.filter("bs", near)).alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -251,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     or null if there is none. An empty table gives no rows.
     """
     marked = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    groups = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
+    groups = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups", marked.count())
     found = components(links(groups.select("fp"), radius))
     roots = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -263,6 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 SLICE = 500_000
 #: Texts in which shingles are counted, and how many of the frequent ones are ordered by their count.
 COUNTED_TEXTS, ORDERED = 2**15, 2**19
+#: Rows of numbers that a text's shingles stand for, roughly, when files are counted out.
+TEXT_ROWS = 50
+#: How many sets stand for all that have a rare shingle in the first round.
+HUBS = 4
 #: Sets are dealt by size, each class so many times larger than the one before.
 SIZE_STEP = 1.1
 #: Bits of the table that spares most texts the way to a join.
@@ -305,12 +310,12 @@ def set_fingerprints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of shingles that repeat in a sample of texts.
+def frequent_shingles(rows: DataFrame, shingle: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of shingles that repeat in a sample of the ``total`` texts.
 
     They only order the shingles of a text, frequent ones last; any order gives the same links, some at greater cost.
     """
-    share = max(1, -(-rows.count() // COUNTED_TEXTS))
+    share = max(1, -(-total // COUNTED_TEXTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +323,7 @@ def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.nda
                 yield out_batch(h=shingle_sets(piece.column("text"), shingle)[0].view(np.int64))
 
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
-    counted = materialise(sample.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts")
+    counted = materialise(sample.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shingle-counts", total * 8)
     least, held = 2, 0
     for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("many")).orderBy(F.desc("n")).collect():  # at most a row for each count
         held += r.many
@@ -346,16 +351,17 @@ def rare_shingles(hashes: np.ndarray, first: np.ndarray, frequent: tuple[np.ndar
     return hashes[order[np.arange(len(hashes)) - first[of] < length[of]]], np.concatenate([[0], np.cumsum(length)])
 
 
-def alike(a: str, b: str, share: Fraction) -> Column:
+def alike(a: Column, b: Column, share: Fraction) -> Column:
     """Whether sets can reach the similarity that have ``a``.n and ``b``.n shingles, the first in common at ``a``.at and ``b``.at."""
-    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.at"), F.col(f"{b}.at")
+    n, m, i, j = a["n"], b["n"], a["at"], b["at"]
     top, bottom = F.lit(share.numerator), F.lit(share.denominator)
     return (bottom * F.least(n, m) >= top * F.greatest(n, m)) & ((top + bottom) * F.least(n - i, m - j) >= top * (n + m))
 
 
-def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """The ``pairs`` (columns ``a``, ``b``: names of sets) whose Jaccard similarity, counted exactly, is at least ``share``."""
-    pairs = materialise(pairs.distinct(), "set-pairs")
+def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction, total: int) -> DataFrame:
+    """The ``pairs`` (columns ``a``, ``b``: names of sets of the ``total`` texts) whose Jaccard similarity, counted exactly, is at
+    least ``share``."""
+    pairs = materialise(pairs.distinct(), "set-pairs", total * 8)
     names = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bits = np.zeros(2**TABLE_LOG2, bool)
     bits[names.select(F.expr(f"shiftrightunsigned(node, {64 - TABLE_LOG2})").cast("int").alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
@@ -371,10 +377,10 @@ def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction) -
                 yield out_batch(node=node, own=lists).filter(pa.array(table[(node.view(np.uint64) >> np.uint64(64 - TABLE_LOG2)).astype(np.int64)]))
 
     sets = rows.select("text").mapInArrow(run, "node long, own array<long>").join(names, "node", "left_semi")
-    sets = materialise(sets.groupBy("node").agg(F.first("own").alias("own")), "shingle-sets")
+    sets = materialise(sets.groupBy("node").agg(F.first("own").alias("own")), "shingle-sets", total * TEXT_ROWS)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b")
     both = both.select("a", "b", F.size(F.array_intersect("one", "two")).cast("long").alias("common"), (F.size("one") + F.size("two")).cast("long").alias("total"))
-    return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links")
+    return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links", total * 8)
 
 
 def largest_partner(share: Fraction) -> Column:
@@ -399,7 +405,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     share = Fraction(str(similarity))
     rows = texts(docs, id_col, text_col)
-    frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, shingle))
+    total = rows.count()
+    frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, shingle, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -409,40 +416,45 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(rare.view(np.int64)))
                 yield out_batch(doc_id=piece.column("doc_id"), node=set_names(hashes, first), n=np.diff(first).astype(np.int64), rare=lists, fp=set_fingerprints(hashes, first))
 
-    marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>, fp long"), "rare-shingles")
+    marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>, fp long"), "rare-shingles", total * TEXT_ROWS)
     nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("rare").alias("rare"))
     places = nodes.select("node", "n", F.posexplode("rare").alias("at", "token"))
-    # a few sets, not always the same one, are what the others of a large group are compared with first
-    entry = F.struct(F.xxhash64("node", F.pmod("token", F.lit(4))).alias("h"), "node", "n", "at")
-    tokens = places.groupBy("token").agg(F.min(entry).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
-    met = places.join(tokens.where("low <> high").select("token", "hub"), "token")
-    met = materialise(met.select("token", F.struct("node", "n", "at").alias("x"), "hub"), "common-shingles")
-    beside = met.where(F.col("x.node") != F.col("hub.node")).where(alike("x", "hub", share)).select(F.col("x.node").alias("a"), F.col("hub.node").alias("b"))
+    tokens = places.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
+    met = materialise(places.join(tokens, "token").select("token", "node", "n", "at"), "common-shingles", total * TEXT_ROWS)
+    # a few sets, not the same ones for each shingle, are what the others of a large group are compared with first
+    entries = (F.struct(F.xxhash64("node", F.lit(k), F.pmod("token", F.lit(4))).alias("h"), "node", "n", "at") for k in range(HUBS))
+    hubs = met.groupBy("token").agg(F.array_distinct(F.array(*(F.min(e) for e in entries))).alias("hubs"))
+    beside = met.join(hubs, "token").select(F.struct("node", "n", "at").alias("x"), F.explode("hubs").alias("hub"))
+    beside = beside.where(F.col("x.node") != F.col("hub.node")).where(alike(F.col("x"), F.col("hub"), share)).select(F.col("x.node").alias("a"), F.col("hub.node").alias("b"))
 
     of_print = marked.select("fp", "node").where("n > 0").distinct()
-    prints = materialise(of_print.groupBy("fp").agg(F.min("node").alias("least")), "set-fingerprints")
+    prints = materialise(of_print.groupBy("fp").agg(F.min("node").alias("least")), "set-fingerprints", total)
     same = of_print.join(prints, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     near = links(prints, radius).join(prints.select(F.col("fp").alias("a"), F.col("least").alias("one")), "a").join(prints.select(F.col("fp").alias("b"), F.col("least").alias("two")), "b")
-    first = verified(rows, beside.union(same).union(near.select("one", "two")), shingle, share)
+    first = verified(rows, beside.union(same).union(near.select("one", "two")), shingle, share, total)
 
     labels = components(first).select(F.col("node").alias("known"), F.col("root").alias("label"))
-    open_ = met.select("token", "x.*", F.col("x.node").alias("known")).join(labels, "known", "left").select("token", "node", "n", "at", F.coalesce("label", "known").alias("label"), largest_partner(share).alias("most"))
+    open_ = met.join(labels, F.col("node") == F.col("known"), "left").select("token", "node", "n", "at", F.coalesce("label", "node").alias("label"), largest_partner(share).alias("most"))
+    open_ = materialise(open_, "labelled-shingles", total * TEXT_ROWS)
+    apart = open_.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+    open_ = open_.join(apart, "token")
     size_class = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
     least = F.ceil(F.col("n") * share.numerator / share.denominator - 1e-9)
     # of two sets the smaller goes by its own size, the larger to all sizes that a smaller partner can have
     smaller = open_.where("most >= n").withColumn("size", size_class(F.col("n"))).withColumn("large", F.lit(False))
     larger = open_.where(F.col("most") >= least).withColumn("size", F.explode(F.sequence(size_class(least), size_class(F.least("n", "most"))))).withColumn("large", F.lit(True))
-    roles = materialise(smaller.unionByName(larger).select("token", "size", "large", "label", F.struct("node", "n", "at").alias("x")), "labelled-shingles")
+    roles = materialise(smaller.unionByName(larger).select("token", "size", "large", "label", F.struct("node", "n", "at").alias("x")), "shingle-roles", total * TEXT_ROWS)
     several = roles.groupBy("token", "size").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count_if(~F.col("large")).alias("few"), F.count(F.lit(1)).alias("many")).where("low <> high and few > 0")
     deals = several.select("token", "size", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
     chunk = F.pmod(F.xxhash64("x.node"), F.col("deals")).alias("chunk")
     chunks = roles.join(deals, ["token", "size"]).groupBy("token", "size", "large", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
-    chunks = materialise(chunks, "shingle-chunks")
+    chunks = materialise(chunks, "shingle-chunks", total * TEXT_ROWS)
     left = chunks.where("not large").select("token", "size", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
     right = chunks.where("large").select("token", "size", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
-    pairs = left.join(right, ["token", "size", "deal"]).where("one <> two").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
-    ordered = (F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node"))
-    second = verified(rows, pairs.where(ordered & alike("x", "y", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share)
+    fits = lambda x, y: ((x["n"] < y["n"]) | (x["n"] == y["n"]) & (x["node"] < y["node"])) & alike(x, y, share)
+    met_again = left.join(right, ["token", "size", "deal"]).where((F.col("one") != F.col("two")) & F.exists("xs", lambda x: F.exists("ys", lambda y: fits(x, y))))
+    pairs = met_again.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")).where(fits(F.col("x"), F.col("y")))
+    second = verified(rows, pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share, total)
 
     roots = components(first.unionByName(second)).withColumnRenamed("root", "label")
     own = marked.select("doc_id", "node").join(roots, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,12 +115,14 @@ def telling_together(sample: Sample, counts: np.ndarray, chosen: np.ndarray, sco
         for x, y in zip(edges, edges[1:], strict=False):
             with_row[slot[by[x]]].append(of[by[x:y]])
     for rows in map(np.concatenate, filter(None, with_row)):
-        sizes = np.diff(sample.first)[rows]
-        at = np.repeat(sample.first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        terms, inverse = np.unique(sample.terms[at], return_inverse=True)
-        seen = np.bincount(inverse)
-        deviate = np.bincount(inverse, np.repeat(left[rows], sizes)) / np.sqrt(np.bincount(inverse, np.repeat(varies[rows], sizes)))
-        found.append(terms[(np.abs(deviate) > TOGETHER) & (seen >= LEAST_ROWS)])
+        sums = np.zeros((3, 2**BUCKETS_LOG2))
+        for some in np.array_split(rows, len(rows) // 1000 + 1):
+            sizes = np.diff(sample.first)[some]
+            terms = sample.terms[np.repeat(sample.first[some] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            for k, weights in enumerate((np.ones(len(some)), left[some], varies[some])):
+                sums[k] += np.bincount(terms, np.repeat(weights, sizes), 2**BUCKETS_LOG2)
+        seen, told, noise = sums
+        found.append(np.flatnonzero((seen >= LEAST_ROWS) & (np.abs(told) > TOGETHER * np.sqrt(noise))))
     even = np.argsort(-counts * (n - counts), kind="stable")[:COMMON]
     even = even[(counts[even] >= LEAST_ROWS) & (counts[even] < n)]
     slots[:] = -1
@@ -149,9 +152,12 @@ def descend(sample: Sample, used: np.ndarray, rank: int, epochs: int, seed: int,
     width = max(len(used), 1)
     w, v, b = np.zeros(width), rng.normal(0, 0.01, (width, rank)), np.log(positive / (n - positive))
     gw, gv, gb = np.full(width, 1e-6), np.full((width, rank), 1e-6), 1e-6
-    x = slots[sample.terms]
-    use = x >= 0
-    x, at = x[use], np.concatenate([[0], np.cumsum(use, dtype=np.int32)])[sample.first].astype(np.int64)
+    held, sizes = [np.zeros(0, np.int32)], np.zeros(n, np.int64)
+    for a, c, terms, of in sample.parts():
+        slot = slots[terms]
+        held.append(slot[slot >= 0])
+        sizes[a:c] = np.bincount(of[slot >= 0], minlength=c - a)
+    x, at = np.concatenate(held), np.concatenate([[0], np.cumsum(sizes)])
     for _ in range(epochs):
         order = rng.permutation(n)
         for some in np.array_split(order, max(1, n // 128)):
@@ -215,12 +221,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(terms.astype(np.int32)))
                 yield out_batch(doc_id=piece.column("doc_id"), terms=lists, label=piece.column("label"))
 
-    got = known.mapInArrow(run, "doc_id long, terms array<int>, label int").toArrow().sort_by("doc_id")
-    terms = got.column("terms").combine_chunks()
-    flat = terms.flatten().to_numpy() if len(terms) else np.zeros(0, np.int32)
-    sizes = np.concatenate([[0], np.cumsum(np.array(terms.value_lengths(), np.int64))]) if len(terms) else np.zeros(1, np.int64)
-    labels = got.column("label").to_numpy().astype(float)
-    return fit(flat, sizes, labels)
+    got = known.mapInArrow(run, "doc_id long, terms array<int>, label int").toArrow()
+    order = pc.sort_indices(pa.table({k: got.column(k) for k in ("doc_id", "label")}), [("doc_id", "ascending"), ("label", "ascending")])
+    labels = got.column("label").take(order).to_numpy().astype(float)
+    lists = [got.column("terms").take(order.slice(a, 500)).combine_chunks() for a in range(0, len(order), 500)]  # never two copies of all terms
+    del got
+    first = np.concatenate([[0], *(np.array(part.value_lengths(), np.int64) for part in lists)]).cumsum()
+    terms = np.empty(first[-1], np.int32)
+    at = 0
+    while lists:
+        part = lists.pop(0).flatten().to_numpy()
+        terms[at : at + len(part)] = part
+        at += len(part)
+    return fit(terms, first, labels)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

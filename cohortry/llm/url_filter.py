@@ -141,21 +141,21 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_
     and is judged by the classes' shares alone, as all are where the rules decide no URL.
     Repeated rows stay repeated, null ids stay null, an empty table gives no rows, and further columns are left behind.
     """
-    url = F.col(url_col)
+    url, total = F.col(url_col), pages.count()
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     distinct = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("times")).withColumn("decided", decide(F.col("host"), F.col("path"), rules))
-    distinct = materialise(distinct, "urls")
+    distinct = materialise(distinct, "urls", total)
     counts = word_counts(pages, F.col(text_col), url)
     hosts = distinct.select("host").distinct()
     labels = hosts.select("host", F.posexplode(parts_of(F.col("host"))).alias("at", "label"))
-    cuts = segment(labels.where(~F.col("label").startswith("#")), materialise(counts, "word-counts"))
+    cuts = segment(labels.where(~F.col("label").startswith("#")), materialise(counts, "word-counts", total * 20))
     spelt = labels.join(cuts, "label", "left").withColumn("words", F.coalesce("words", F.array("label")))
     words = spelt.groupBy("host").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "words"))), lambda s: s["words"])).alias("host_words"))
-    known = materialise(distinct.join(words, "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>"))), "url-words")
+    known = materialise(distinct.join(words, "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>"))), "url-words", total)
     tokens = F.concat(F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)), F.transform(parts_of(F.col("path")), lambda w: F.concat(F.lit("p:"), w)))
     said = known.select("host", "path", "times", F.col("decided.verdict").alias("verdict"), F.explode(tokens).alias("token"))
     taught = said.where("verdict is not null").groupBy("token").agg(*(F.sum(F.when(F.col("verdict") == v, F.col("times")).otherwise(0)).cast("double").alias(v) for v in ("block", "allow")))
-    model = materialise(taught, "url-model")
+    model = materialise(taught, "url-model", total)
     sums = model.agg(F.coalesce(F.sum("block"), F.lit(0.0)), F.coalesce(F.sum("allow"), F.lit(0.0)), F.count(F.lit(1))).first()
     classes = known.where("decided is not null").agg(*(F.coalesce(F.sum(F.when(F.col("decided.verdict") == v, F.col("times"))), F.lit(0)) for v in ("block", "allow"))).first()
     prior = math.log((classes[0] + 1) / (classes[1] + 1))
