@@ -131,3 +131,36 @@ def unit_scale(long: DataFrame) -> DataFrame:
     percent = F.max("value").over(Window.partitionBy("sample")) > 1.5
     scaled = F.when(percent, F.col("value") / 100).otherwise(F.col("value"))
     return long.withColumn("value", F.when(F.col("value").isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), scaled))))
+
+
+def sample_means(long: DataFrame) -> DataFrame:
+    """``sample``, ``group``, ``mean`` of each sample's values, missing ones left out, and ``group_median`` of its group's means."""
+    means = long.groupBy("sample", "group").agg(F.avg(F.when(~F.isnan("value"), F.col("value"))).alias("mean"))
+    medians = means.groupBy("group").agg(F.median("mean").alias("group_median"))
+    return means.join(medians, "group", "left").select("sample", "group", "mean", "group_median")
+
+
+def column_means(long: DataFrame, samples: Sequence[str]) -> DataFrame:
+    """``sample``, ``mean`` over its finite values, ``n_finite`` and ``n_rows`` of each wanted sample; one without rows is an error."""
+    finite = F.when(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf")), F.col("value"))
+    found = long.where(F.col("sample").isin(list(samples))).groupBy("sample").agg(F.avg(finite).alias("mean"), F.count(finite).alias("n_finite"), F.count(F.lit(1)).alias("n_rows"))
+    wanted = long.sparkSession.createDataFrame([(s,) for s in samples], "sample string")
+    rows = F.when(F.col("n_rows").isNull(), F.raise_error(F.concat(F.lit("no rows for sample "), "sample")).cast("long")).otherwise(F.col("n_rows"))
+    return wanted.join(found, "sample", "left").select("sample", "mean", "n_finite", rows.alias("n_rows"))
+
+
+def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """``df`` with the place of each row, from 0, in the order in which it is read; rows of one feature keep labels of their own.
+
+    Each partition's size comes to the driver, one number for each. Only tables whose rows come in a fixed order, such as
+    files, have fixed places.
+    """
+    numbered = df.withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33))
+    sizes = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect()
+    offsets, total = [], 0
+    for r in sizes:
+        offsets.append((r["__part"], total))
+        total += r.n
+    table = F.broadcast(df.sparkSession.createDataFrame(offsets, "__part long, __first long"))
+    place = F.col("__first") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.join(table, "__part").withColumn(name, place).drop("__part", "__id", "__first")

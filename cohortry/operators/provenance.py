@@ -131,3 +131,12 @@ def overall(states: Column) -> Column:
     """Aggregate: complete if all are, else stale, ready or pending, the first that occurs."""
     has = lambda s: F.bool_or(states == s)
     return F.when(F.bool_and(states == "complete"), "complete").when(has("stale"), "stale").when(has("ready"), "ready").otherwise("pending")
+
+
+def dictionary_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Places at which two sequence dictionaries (``ord``, ``name``, ``length``) differ, with both sides' entries; no rows if they are
+    equal, order included."""
+    left = a.select("ord", F.struct("name", "length").alias("first"))
+    right = b.select("ord", F.struct("name", "length").alias("second"))
+    both = left.join(right, "ord", "full").where(~F.col("first").eqNullSafe(F.col("second")))
+    return both.select("ord", F.col("first.name").alias("first_name"), F.col("first.length").alias("first_length"), F.col("second.name").alias("second_name"), F.col("second.length").alias("second_length"))

@@ -58,6 +58,22 @@ def rank_p(tests: DataFrame) -> DataFrame:
     return tests.withColumn("p", p("n_a", "n_b", "u", "ties"))
 
 
+def auc_p(tests: DataFrame) -> DataFrame:
+    """``tests`` (of :func:`rank_sum`) with ``auc``, that of group b over group a, and ``p``, one-sided: how likely a rank sum of b is as
+    large by chance. Normal approximation with tie and continuity correction; 1 if all values are equal, null if a group is empty."""
+    n = F.col("n_a") + F.col("n_b")
+    spread = F.sqrt(F.col("n_a") * F.col("n_b") / 12 * (n + 1 - F.try_divide("ties", n * (n - 1))))
+    whole = F.col("n_a") * F.col("n_b")
+
+    @F.pandas_udf("double")
+    def tail(z: pd.Series) -> pd.Series:
+        return pd.Series(normal_tail(z.to_numpy(float)))
+
+    z = F.when(spread > 0, (F.col("u") - whole / 2 - 0.5) / spread)
+    p = F.when(whole > 0, F.when(z.isNull(), 1.0).otherwise(tail(F.coalesce(z, F.lit(0.0)))))
+    return tests.withColumn("auc", F.when(whole > 0, F.col("u") / whole)).withColumn("p", p)
+
+
 def adjust_p(tests: DataFrame, p: str = "p", out: str = "q", total: int | None = None) -> DataFrame:
     """Benjamini-Hochberg q of every row; null p gives null q, but counts among the tests.
 
@@ -131,6 +147,17 @@ def anova_f(long: DataFrame, a: str = "control", b: str = "case") -> DataFrame:
     return sums.where("n0 > 0 and n1 > 0 and n0 + n1 > 2").select("feature", f.alias("f"))
 
 
+def lowest_q(tests: DataFrame, keys: Sequence[str], k: int = 10, ties: Sequence[str] = ("feature",)) -> DataFrame:
+    """The ``k`` rows of lowest q in each key, then lowest p, nulls last, then by ``ties``; ``place`` counts from 1."""
+    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("q"), F.asc_nulls_last("p"), *ties)
+    return tests.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+
+
+def sort_predictions(predictions: DataFrame, label: str = "y_true", score: str = "score", ties: Sequence[str] = ("sample",)) -> DataFrame:
+    """Predictions by label, then from the highest score down, nulls last, then by ``ties``."""
+    return predictions.orderBy(label, F.desc_nulls_last(score), *ties)
+
+
 def best_features(tests: DataFrame, score: str, k: int) -> DataFrame:
     """The ``k`` features of highest score, nulls last, ties by feature."""
     return tests.orderBy(F.desc_nulls_last(score), "feature").limit(k)

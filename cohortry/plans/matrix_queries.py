@@ -232,3 +232,33 @@ SELECT round(avg(i / u) + 1e-9, 6) AS mean_jaccard FROM (SELECT a.k AS x, b.k AS
 def jaccard_of_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_linenumber", "l_suppkey").distinct()
     return stats.mean_jaccard(sets, "l_linenumber", "l_suppkey").select(r6("mean_jaccard"))
+
+
+@query(f"WITH {M}, s AS (SELECT sample, grp, avg(value) AS mean FROM m GROUP BY ALL) SELECT sample, grp AS \"group\", round(mean + 1e-9, 6) AS mean, round(median(mean) OVER (PARTITION BY grp) + 1e-9, 6) AS group_median FROM s")
+def sample_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.sample_means(long_matrix(spark, sf_dir)).select("sample", "group", r6("mean"), r6("group_median"))
+
+
+@query(f"WITH {M} SELECT sample, round(avg(value) + 1e-9, 6) AS mean, count(value) AS n_finite, count(*) AS n_rows FROM m GROUP BY sample")
+def column_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.column_means(long_matrix(spark, sf_dir), SAMPLES).select("sample", r6("mean"), "n_finite", "n_rows")
+
+
+@query("""WITH t AS (SELECT o_orderpriority AS modality, o_orderkey AS feature, CASE WHEN o_custkey % 5 > 0 THEN o_custkey % 50 / 50.0 END AS q, CASE WHEN o_custkey % 7 > 0 THEN o_totalprice END AS p FROM orders)
+SELECT modality, feature, q::DOUBLE AS q, p, row_number() OVER (PARTITION BY modality ORDER BY q NULLS LAST, p NULLS LAST, feature) AS place FROM t QUALIFY place <= 10""")
+def lowest_q_per_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, p = F.when(F.col("o_custkey") % 5 > 0, F.col("o_custkey") % 50 / 50.0), F.when(F.col("o_custkey") % 7 > 0, F.col("o_totalprice"))
+    tests = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("modality"), F.col("o_orderkey").alias("feature"), q.alias("q"), p.alias("p"))
+    return stats.lowest_q(tests, ["modality"])
+
+
+@query(f"WITH {RANKED} SELECT feature, n_a, n_b, round(u / (n_a * n_b) + 1e-9, 6) AS auc FROM u WHERE n_a * n_b > 0")
+def feature_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area under the curve of every feature; its one-sided p has no SQL form and is held against its definition in tests."""
+    return stats.auc_p(stats.rank_sum(long_matrix(spark, sf_dir))).where("n_a * n_b > 0").select("feature", "n_a", "n_b", r6("auc"))
+
+
+@query("SELECT o_custkey % 2 AS y_true, o_totalprice AS score, o_orderkey AS sample FROM orders ORDER BY 1, 2 DESC, 3")
+def sorted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 2).alias("y_true"), F.col("o_totalprice").alias("score"), F.col("o_orderkey").alias("sample"))
+    return stats.sort_predictions(rows)

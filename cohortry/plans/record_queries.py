@@ -199,3 +199,12 @@ def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def symmetric_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem")
     return provenance.symmetric_difference(keys.where("l_quantity > 48").select(F.col("l_partkey").alias("k")), keys.where("l_discount > 0.09").select(F.col("l_partkey").alias("k")))
+
+
+@query("""WITH a AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS ord, n_name AS name, n_nationkey AS length FROM nation), b AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS ord, CASE WHEN n_nationkey = 7 THEN 'other' ELSE n_name END AS name, n_nationkey AS length FROM nation WHERE n_nationkey < 20)
+SELECT ord, coalesce(a.name, '-') AS first_name, coalesce(a.length, -1) AS first_length, coalesce(b.name, '-') AS second_name, coalesce(b.length, -1) AS second_length FROM a FULL JOIN b USING (ord) WHERE a.name IS DISTINCT FROM b.name OR a.length IS DISTINCT FROM b.length""")
+def dictionary_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    a = nation.select((F.col("n_nationkey") + 1).alias("ord"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("length"))
+    b = nation.where("n_nationkey < 20").select((F.col("n_nationkey") + 1).alias("ord"), F.when(F.col("n_nationkey") == 7, "other").otherwise(F.col("n_name")).alias("name"), F.col("n_nationkey").alias("length"))
+    return provenance.dictionary_differences(a, b).fillna("-", ["first_name", "second_name"]).fillna(-1, ["first_length", "second_length"])

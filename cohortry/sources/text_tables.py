@@ -33,6 +33,12 @@ def read_matrix(spark: SparkSession, path: str, samples: Sequence[str], feature:
     return _csv(spark, path, fields, "," if path.endswith(".csv") else "\t", header=True)
 
 
+def read_protection(spark: SparkSession, path: str) -> DataFrame:
+    """``feature`` (chrom:start-end) and ``value`` (the mean score) of a protection score table by tabs with the header chr, start, end, WPS, mean_WPS."""
+    rows = _csv(spark, path, "chr string, start long, end long, WPS string, mean_WPS double", "\t", header=True)
+    return rows.select(F.format_string("%s:%d-%d", "chr", "start", "end").alias("feature"), F.col("mean_WPS").alias("value"))
+
+
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """chrom, start, end, name of a headerless table; a missing name is chrom:start-end. An invalid interval raises on use."""
     lines = spark.read.text(path).where(~F.col("value").rlike(r"^(#|track|browser)") & (F.trim("value") != ""))

@@ -155,3 +155,29 @@ def test_correlations_and_products_equal_numpy(spark):
     curve = table(spark, [(float(s), int(y)) for s, y in zip(np.round(x[:, 0], 0), x[:, 1] > 5, strict=True)], "score double, label int")
     a, b = [r.score for r in curve.collect() if r.label], [r.score for r in curve.collect() if not r.label]
     assert abs(stats.auc(curve).first().auc - np.mean([(p > q) + (p == q) / 2 for p in a for q in b])) < 1e-12
+
+
+def test_one_sided_p_of_the_auc(spark):
+    rng = np.random.default_rng(9)
+    rows = [("f", "control" if i < 12 else "case", float(v)) for i, v in enumerate(np.round(np.concatenate([rng.normal(0, 1, 12), rng.normal(1, 1, 9)]), 1))]
+    rows += [("flat", g, 1.0) for g in ("control", "case", "case")] + [("alone", "case", 1.0)]
+    got = {r.feature: r for r in stats.auc_p(stats.rank_sum(table(spark, rows, "feature string, group string, value double"))).collect()}
+    a, b = [v for f, g, v in rows if f == "f" and g == "control"], [v for f, g, v in rows if f == "f" and g == "case"]
+    u = sum((y > x) + (x == y) / 2 for x in a for y in b)
+    values, times = np.unique(a + b, return_counts=True)
+    spread = np.sqrt(12 * 9 / 12 * (22 - (times**3 - times).sum() / (21 * 20)))
+    from math import erfc
+
+    assert abs(got["f"].auc - u / 108) < 1e-12 and abs(got["f"].p - erfc((u - 54 - 0.5) / spread / np.sqrt(2)) / 2) < 1e-9
+    assert got["flat"].p == 1.0 and got["flat"].auc == 0.5 and got["alone"].p is None
+
+
+def test_places_of_rows_and_missing_samples(spark, tmp_path):
+    with open(tmp_path / "m.tsv", "w") as file:
+        file.write("".join(f"f{i // 2}\t{i}\n" for i in range(50)))
+    rows = spark.read.csv(str(tmp_path / "m.tsv"), sep="\t", schema="feature string, value int")
+    assert sorted((r.ordinal, r.value) for r in matrix.with_ordinal(rows).collect()) == [(i, i) for i in range(50)]
+    long = table(spark, [("a", "x", 1.0), ("b", "x", float("nan")), ("c", "x", None), ("d", "x", 3.0)], "feature string, sample string, value double")
+    assert tuple(matrix.column_means(long, ["x"]).first()) == ("x", 2.0, 2, 4)
+    with pytest.raises(Exception, match="no rows for sample y"):
+        matrix.column_means(long, ["x", "y"]).collect()

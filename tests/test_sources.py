@@ -91,3 +91,9 @@ def test_zipped_reports_and_payloads(spark):
     pages = spark.createDataFrame([("p", f'<script>x = "{packed}"</script>'), ("q", None)], "path string, html string")
     assert {tuple(r) for r in logs.merge_plots(logs.plot_rows(pages)).collect()} == {("bar", "s1", "c", 1.0), ("bar", "s2", "c", None)}
     assert logs.unpack_lz("BYUwNmD2Q===") == "hello"
+
+
+def test_protection_table(spark, tmp_path):
+    with open(tmp_path / "wps.tsv", "w") as file:
+        file.write("chr\tstart\tend\tWPS\tmean_WPS\nchr1\t10\t30\t1,2,3\t2.0\nchr2\t5\t6\t-1\t-1.0\n")
+    assert {tuple(r) for r in tt.read_protection(spark, str(tmp_path / "wps.tsv")).collect()} == {("chr1:10-30", 2.0), ("chr2:5-6", -1.0)}
