@@ -61,18 +61,23 @@ def feasible(sites: DataFrame, epsilon: float = 1e-6) -> DataFrame:
     return sites.groupBy("site").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok")).where("ok").select("site")
 
 
-def prepare_templates(sites: DataFrame, n_templates: int, n_features: int, n_signal: int, effect: float, effect_sd: float, seed: int) -> DataFrame:
+def prepare_templates(sites: DataFrame, n_templates: int, n_features: int, n_signal: int, effect: float, effect_sd: float, seed: int, direction: str = "random") -> DataFrame:
     """Long templates: template, feature, site, depth, mean, sd, effect, is_signal.
 
     For each template ``n_features`` feasible sites with the smallest hashes are taken; the first ``n_signal`` carry signed
     effects drawn from a normal truncated to above 0, the largest effect to the site with most room. An effect that would
-    leave a feature without a beta distribution is cut to nine tenths of the room.
+    leave a feature without a beta distribution is cut to nine tenths of the room. ``direction`` is that of the effects:
+    positive, negative, balanced (as many of either, or one more that is positive) or random.
     """
+    if direction not in ("positive", "negative", "balanced", "random"):
+        raise ValueError(f"unknown direction {direction}")
     spark = sites.sparkSession
     ids = spark.range(n_templates).select(F.col("id").cast("int").alias("template"))
     kept = feasible(sites)
     hashed = kept.crossJoin(F.broadcast(ids)).withColumn("h", F.xxhash64(F.lit(seed), "template", "site"))
-    chosen = hashed.withColumn("feature", F.row_number().over(Window.partitionBy("template").orderBy("h", "site")) - 1).where(F.col("feature") < n_features)
+    # the limit on the bare row number is taken within tasks before anything is shuffled
+    first = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("template").orderBy("h", "site"))).where(F.col("nth") <= n_features)
+    chosen = first.withColumn("feature", F.col("nth") - 1).drop("nth")
     room = sites.groupBy("site").agg(F.min(F.least(F.col("mean"), 1 - F.col("mean")) - F.col("sd") * F.col("sd") / F.greatest("mean", 1 - F.col("mean"))).alias("room"))
     picked = chosen.join(room, "site")
 
@@ -84,7 +89,8 @@ def prepare_templates(sites: DataFrame, n_templates: int, n_features: int, n_sig
         k = min(n_signal, len(part))
         room = np.maximum(part["room"].to_numpy()[:k], 0)
         by = np.argsort(-room, kind="stable")
-        out[by] = np.minimum(size[:k], 0.9 * room[by]) * rng.choice([-1.0, 1.0], k)
+        signs = {"positive": np.ones(k), "negative": -np.ones(k), "balanced": rng.permutation(np.resize([1.0, -1.0], k)) if direction == "balanced" else None}.get(direction)
+        out[by] = np.minimum(size[:k], 0.9 * room[by]) * (rng.choice([-1.0, 1.0], k) if signs is None else signs)
         return pd.DataFrame({"template": part["template"], "feature": part["feature"], "site": part["site"], "effect": out, "is_signal": np.arange(len(part)) < k})
 
     drawn = picked.groupBy("template").applyInPandas(effects, "template int, feature int, site string, effect double, is_signal boolean")

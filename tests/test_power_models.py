@@ -108,3 +108,15 @@ def test_rank_p_and_adjustment(spark):
     tests = spark.createDataFrame([("a", 0.01), ("b", 0.04), ("c", 0.03), ("d", None)], "feature string, p double")
     q = {r.feature: r.q for r in stats.adjust_p(tests).collect()}
     assert q["a"] == pytest.approx(0.04) and q["b"] == pytest.approx(0.16 / 3) and q["c"] == pytest.approx(0.16 / 3) and q["d"] is None
+
+
+def test_effects_go_in_the_wanted_direction(spark):
+    effects = {}
+    for direction in ("positive", "negative", "balanced"):
+        rows = power.prepare_templates(reference_sites(spark), 1, 40, 6, 0.04, 0.0, 12, direction).select("feature", "effect", "is_signal").distinct().collect()
+        assert len(rows) == 40 and sum(r.is_signal for r in rows) == 6 and all(r.effect == 0 for r in rows if not r.is_signal)
+        effects[direction] = [r.effect for r in rows if r.is_signal]
+    assert all(e > 0 for e in effects["positive"]) and all(e < 0 for e in effects["negative"])
+    assert sum(e > 0 for e in effects["balanced"]) == 3
+    with pytest.raises(ValueError, match="direction"):
+        power.prepare_templates(reference_sites(spark), 1, 40, 6, 0.04, 0.0, 12, "up")
