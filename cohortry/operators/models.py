@@ -6,7 +6,7 @@ yields; only its n by n cells reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -128,72 +128,116 @@ class Margin:
 CLASSIFIERS: dict[int, Callable[[], object]] = {1: Forest, 2: Logistic, 3: Margin}
 
 
-def _wide(rows: pd.DataFrame, samples: Sequence[str]) -> np.ndarray:
-    return rows.pivot_table(index="sample", columns="feature", values="value", dropna=False).reindex(samples).to_numpy(float)
+def _filled(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """``x`` with each column's missing values replaced by the median of the ``known`` rows, 0 where they have none."""
+    fill = np.nan_to_num(np.nanmedian(np.where(np.isnan(known).all(axis=0), 0.0, known), axis=0))
+    return np.where(np.isnan(x), fill, x)
 
 
-def _fold(x: np.ndarray, y: np.ndarray, train: np.ndarray, test: np.ndarray, classifier: int, k: int) -> np.ndarray:
-    """Scores of the held-out rows: medians, picks by F and the classifier all come from the training rows."""
-    fill = np.nan_to_num(np.nanmedian(np.where(np.isnan(x[train]).all(axis=0), 0.0, x[train]), axis=0))
-    a, b = np.where(np.isnan(x[train]), fill, x[train]), np.where(np.isnan(x[test]), fill, x[test])
-    best = np.argsort(-_f_scores(a, y[train]), kind="stable")[:k]
-    return CLASSIFIERS[classifier]().fit(a[:, best], y[train]).predict(b[:, best])
+def _held_out(x: np.ndarray, y: np.ndarray, train: np.ndarray, test: np.ndarray, classifier: int) -> np.ndarray:
+    """Scores of the held-out rows: medians and the classifier come from the training rows."""
+    return CLASSIFIERS[classifier]().fit(_filled(x[train], x[train]), y[train]).predict(_filled(x[test], x[train]))
+
+
+def screened(long: DataFrame, samples: Sequence[str], y: np.ndarray, trains: np.ndarray, k: int) -> DataFrame:
+    """For each modality and run (a row of ``trains``, which says who trains) the ``k`` features of highest F over the training samples.
+
+    Columns: ``modality``, ``run``, ``nth`` (from 1, ties by name), ``feature``, ``values`` (of all samples in order, missing ones null). A
+    feature's values are brought together once; every batch of features keeps its own best of each run, so of the many
+    features only a few go on.
+    """
+    means = long.groupBy("modality", "feature", "sample").agg(F.avg("value").alias("value"))
+    held = means.groupBy("modality", "feature").agg(F.map_from_entries(F.collect_list(F.struct("sample", "value"))).alias("by"))
+    wide = held.select("modality", "feature", F.transform(F.array(*(F.lit(s) for s in samples)), lambda s: F.try_element_at(F.col("by"), s)).alias("values"))
+    shared = long.sparkSession.sparkContext.broadcast((y, trains))
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        y, trains = shared.value
+        for rows in batches:
+            for modality, part in rows.groupby("modality", sort=False):
+                part = part.sort_values("feature")
+                names, values = part["feature"].to_numpy(), part["values"].to_numpy()
+                x = np.stack(values).astype(float).T
+                for run, train in enumerate(trains):
+                    f = _f_scores(_filled(x[train], x[train]), y[train])
+                    top = np.argsort(-f, kind="stable")[:k]
+                    yield pd.DataFrame({"modality": modality, "run": run, "f": f[top], "feature": names[top], "values": values[top]})
+
+    found = wide.mapInPandas(pick, "modality string, run int, f double, feature string, values array<double>")
+    order = Window.partitionBy("modality", "run").orderBy(F.desc("f"), "feature")
+    return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("modality", "run", "nth", "feature", "values")
+
+
+def _matrix(rows: pd.DataFrame) -> np.ndarray:
+    """Samples by features of the picked features, best first."""
+    return np.stack(rows.sort_values("nth")["values"].to_numpy()).astype(float).T
 
 
 def modality_performance(long: DataFrame, labels: dict[str, int], classifiers: Sequence[int] = (1, 2, 3), folds: int = 5, repeats: int = 5, k: int = 100, seed: int = 0) -> DataFrame:
     """Mean and deviation of the AUC of each modality and classifier over repeated stratified folds, best first.
 
-    ``long`` has modality, feature, sample, value, already reduced to candidate features; each repeat and classifier of a
-    modality is a task of its own.
+    ``long`` has modality, feature, sample, value. Features are picked for each fold by :func:`screened`; a task gets the
+    picks of one modality's folds in one repeat, for one classifier.
     """
     spark = long.sparkSession
-    runs = spark.createDataFrame([(c, r) for c in classifiers for r in range(repeats)], "classifier int, repeat int")
+    kinds = F.broadcast(spark.createDataFrame([(c,) for c in classifiers], "classifier int"))
     samples = sorted(labels)
     y = np.array([labels[s] for s in samples])
+    fold = np.empty((repeats, len(y)), int)
+    for r in range(repeats):
+        rng = np.random.default_rng([seed, r])
+        for label in (0, 1):
+            at = rng.permutation(np.flatnonzero(y == label))
+            fold[r, at] = np.arange(len(at)) % folds
+    trains = np.array([fold[r] != f for r in range(repeats) for f in range(folds)])
 
     def evaluate(rows: pd.DataFrame) -> pd.DataFrame:
         m, c, r = rows["modality"].iloc[0], int(rows["classifier"].iloc[0]), int(rows["repeat"].iloc[0])
-        x, rng = _wide(rows, samples), np.random.default_rng([seed, r])
-        fold = np.empty(len(y), int)
-        for label in (0, 1):
-            at = rng.permutation(np.flatnonzero(y == label))
-            fold[at] = np.arange(len(at)) % folds
         out = np.zeros(len(y))
         for f in range(folds):
-            out[fold == f] = _fold(x, y, fold != f, fold == f, c, k)
+            out[fold[r] == f] = _held_out(_matrix(rows[rows["run"] == r * folds + f]), y, fold[r] != f, fold[r] == f, c)
         return pd.DataFrame({"modality": [m], "classifier": [c], "repeat": [r], "auc": [_auc(out, y)]})
 
-    scored = long.crossJoin(F.broadcast(runs)).groupBy("modality", "classifier", "repeat").applyInPandas(evaluate, "modality string, classifier int, repeat int, auc double")
+    picked = screened(long, samples, y, trains, k).withColumn("repeat", F.floor(F.col("run") / folds).cast("int"))
+    scored = picked.crossJoin(kinds).groupBy("modality", "classifier", "repeat").applyInPandas(evaluate, "modality string, classifier int, repeat int, auc double")
     return scored.groupBy("modality", "classifier").agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("sd_auc")).orderBy(F.desc("mean_auc"), "modality", "classifier")
 
 
 def leave_one_out(long: DataFrame, labels: dict[str, int], classifier: dict[str, int], k: int = 100) -> DataFrame:
     """``sample``, ``y_true``, ``modality``, ``score`` of every sample held out once, and of the stack of all modalities.
 
-    One task for each held-out sample: the modalities' scores of the other samples come from an inner leave-one-out, a
-    logistic regression over them is the stack, named Multimodal.
+    The modalities' scores of the other samples come from an inner leave-one-out, a logistic regression over them is the
+    stack, named Multimodal. Features are picked by :func:`screened` for every one and every two samples left out; a task gets
+    one modality's picks for one of these, and another the scores of one held-out sample.
     """
     spark = long.sparkSession
     samples = sorted(labels)
+    n = len(samples)
     y = np.array([labels[s] for s in samples])
-    runs = spark.createDataFrame([(s,) for s in samples], "held string")
-
-    def evaluate(rows: pd.DataFrame) -> pd.DataFrame:
-        held = rows["held"].iloc[0]
-        test = np.array([s == held for s in samples])
-        inner, outer, names = [], [], sorted(rows["modality"].unique())
-        for m in names:
-            x = _wide(rows[rows["modality"] == m], samples)
-            outer.append(float(_fold(x, y, ~test, test, classifier[m], k)[0]))
-            own = np.zeros(len(y))
-            for i in np.flatnonzero(~test):
-                at = np.arange(len(y)) == i
-                own[i] = _fold(x, y, ~test & ~at, at, classifier[m], k)[0]
-            inner.append(own[~test])
-        stack = Logistic().fit(np.column_stack(inner), y[~test]).predict(np.array([outer]))[0]
-        return pd.DataFrame({"sample": held, "y_true": labels[held], "modality": [*names, "Multimodal"], "score": [*outer, float(stack)]})
-
-    return long.crossJoin(F.broadcast(runs)).groupBy("held").applyInPandas(evaluate, "sample string, y_true int, modality string, score double")
+    out = [(i, i) for i in range(n)] + [(i, j) for i in range(n) for j in range(i + 1, n)]
+    trains = np.ones((len(out), n), bool)
+    for run, (i, j) in enumerate(out):
+        trains[run, [i, j]] = False
+    roles = [(run, i, j) for run, (i, j) in enumerate(out)] + [(run, j, i) for run, (i, j) in enumerate(out) if i != j]
+    runs = F.broadcast(spark.createDataFrame(roles, "run int, held int, tested int"))  # as many rows as pairs of samples
+
+    def score_one(rows: pd.DataFrame) -> pd.DataFrame:
+        m, held, tested = rows["modality"].iloc[0], int(rows["held"].iloc[0]), int(rows["tested"].iloc[0])
+        at = np.arange(n)
+        score = _held_out(_matrix(rows), y, (at != held) & (at != tested), at == tested, classifier[m])[0]
+        return pd.DataFrame({"modality": [m], "held": [held], "tested": [tested], "score": [float(score)]})
+
+    def stack(rows: pd.DataFrame) -> pd.DataFrame:
+        held = int(rows["held"].iloc[0])
+        table = rows.pivot(index="tested", columns="modality", values="score").sort_index()
+        names, rest = sorted(table.columns), table.index != held
+        outer = table.loc[held, names].to_numpy(float)
+        both = Logistic().fit(table.loc[rest, names].to_numpy(float), y[table.index[rest]]).predict(outer[None, :])[0]
+        return pd.DataFrame({"sample": samples[held], "y_true": labels[samples[held]], "modality": [*names, "Multimodal"], "score": [*outer, float(both)]})
+
+    picked = screened(long, samples, y, trains, k).join(runs, "run")
+    scored = picked.groupBy("modality", "held", "tested").applyInPandas(score_one, "modality string, held int, tested int, score double")
+    return scored.groupBy("held").applyInPandas(stack, "sample string, y_true int, modality string, score double")
 
 
 def train_logistic(features: DataFrame, columns: Sequence[str], label: str, path: str | None = None):
