@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles at a time; it bounds the memory of a Python worker.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 #: Rows of a few numbers that a file of an intermediate table takes at least, where their number is known.
 ROWS_A_FILE = 100_000
 

@@ -8,9 +8,10 @@ word, and each distinct word is solved once and remembered; all new words of a b
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +23,10 @@ from cohortry.llm.common import out_batch, slices, texts
 MARK = "▁"
 #: How far below the lowest piece's score a character of unknown bytes scores.
 UNKNOWN_PENALTY = 10.0
+#: Bytes of text a task works on at a time: enough for the new words of a batch to be solved together.
+SLICE = 1_000_000
 #: Distinct words a Python worker remembers before it starts afresh.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -75,19 +78,25 @@ def is_unigram(model: bytes) -> bool:
 
 
 def from_file(path: str) -> Pieces:
-    """The vocabulary of a model file. A unigram model's scores are taken as they are.
+    """The vocabulary of a model file."""
+    with open(path, "rb") as file:
+        return from_model(file.read())
+
+
+def from_model(content: bytes) -> Pieces:
+    """The vocabulary of a model file's content. A unigram model's scores are taken as they are.
 
     The scores of a merge-based model are ranks and no log probabilities; they become those of Zipf's law,
     ``-log(rank + 1) - log(H)`` with ``H`` the harmonic number of the vocabulary.
     """
     from sentencepiece import SentencePieceProcessor
 
-    model = SentencePieceProcessor(model_file=path)
+    model = SentencePieceProcessor(model_proto=content)
     size = model.get_piece_size()
     scores = np.array([model.get_score(i) for i in range(size)])
     is_byte = np.array([model.is_byte(i) for i in range(size)])
     is_normal = np.array([not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) for i in range(size)])
-    if not is_unigram(model.serialized_model_proto()):
+    if not is_unigram(content):
         rank = np.where(is_normal, -scores, 0.0)
         rank = np.where(is_normal, rank - rank[is_normal].min() + 1, 1.0)
         scores = np.where(is_normal, -np.log(rank) - np.log((1 / np.arange(1, is_normal.sum() + 1)).sum()), 0.0)
@@ -248,11 +257,19 @@ def _words(text: str) -> list[str]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    """The encoder of a model file, kept in the Python worker from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(from_file(path))
-    return _ENCODERS[path]
+def _encoders(path: str) -> Callable[[], Encoder]:
+    """A function, called in each task, that gives the encoder of a model file; it is kept in the Python worker from task to
+    task. Only the driver reads the file."""
+    with open(path, "rb") as file:
+        content = file.read()
+    name = hashlib.sha256(content).hexdigest()
+
+    def make() -> Encoder:
+        if name not in _ENCODERS:
+            _ENCODERS[name] = Encoder(from_model(content))
+        return _ENCODERS[name]
+
+    return make
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,11 +279,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     empty text has no ids, score 0 and decodes to the empty text. Repeated rows stay repeated, null ids stay null, an
     empty table gives no rows, and further columns are left behind.
     """
+    make = _encoders(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = make()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 coded = encoder.encode(piece.column("text").to_pylist())
                 ids = [np.frombuffer(c[0], "<i4") for c in coded]
                 yield out_batch(doc_id=piece.column("doc_id"), ids=pa.array(ids, pa.list_(pa.int32())), score=np.array([c[1] for c in coded], float), decoded=pa.array([encoder.decode(i) for i in ids]))
@@ -278,10 +296,12 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """``doc_id``, ``n_tokens``, ``ids_crc32`` (of the ids as little-endian 32-bit integers), ``score`` and ``round_trip``
     (whether decoding gave the text back) of every row; rows are treated as in :func:`encode`."""
 
+    make = _encoders(path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = make()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 some = piece.column("text").to_pylist()
                 coded = encoder.encode(some)
                 same = [encoder.decode(np.frombuffer(c[0], "<i4")) == t.replace(MARK, " ") for c, t in zip(coded, some, strict=True)]
