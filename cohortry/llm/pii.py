@@ -102,18 +102,22 @@ def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tupl
 
 
 class Memory(dict):
-    """Words' term numbers, or 0 for those that a table of wanted terms rules out; it forgets when it grows large."""
+    """The terms of each piece of text between blanks that a table of wanted terms lets through; it forgets when it grows large."""
 
     def __init__(self, table: np.ndarray):
         super().__init__()
         self.table = np.unpackbits(table).astype(bool)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(self) > 200_000:
             self.clear()
-        t = term(word)
-        self[word] = t if self.table[(t & (2**64 - 1)) >> (64 - TABLE_LOG2)] else 0
-        return self[word]
+        terms = map(term, WORD.findall(piece))
+        self[piece] = tuple(t for t in terms if self.table[(t & (2**64 - 1)) >> (64 - TABLE_LOG2)])
+        return self[piece]
+
+    def terms(self, text: str) -> set[int]:
+        """The wanted terms of a text; no word goes over a blank."""
+        return set().union(*map(self.__getitem__, set(text.split())))
 
 
 def bit_table(wanted: DataFrame, column: str) -> np.ndarray:
@@ -137,14 +141,19 @@ def mentions(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "entity long, text_hash long").groupBy("entity", "text_hash").agg(F.count(F.lit(1)).alias("n"))
 
 
-def companions(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``entity``, ``term``, ``text_hash`` and ``n``: in how many rows with that text each term meets each wanted entity."""
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "entity"))
+def companions(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``entity``, ``term``, ``text_hash`` and ``n``: in how many rows with that text each term meets each wanted entity.
+
+    ``seen`` tells which texts mention it (:func:`mentions`); a table of bits spares most other texts the search.
+    """
+    holding = seen.join(wanted.select("entity"), "entity", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast((bit_table(wanted, "entity"), bit_table(holding, "text_hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(shared.value).astype(bool)
+        table, texts_with = (np.unpackbits(bits).astype(bool) for bits in shared.value)
         for batch in batches:
-            for piece in slices(batch, limit=SLICE):
+            lead = batch.column("text_hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> np.uint64(64 - TABLE_LOG2)
+            for piece in slices(batch.filter(pa.array(texts_with[lead.astype(np.int64)])), limit=SLICE):
                 ents, terms, hashes = [], [], []
                 for text, h in zip(piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True):
                     spans = base_spans(text)
@@ -172,9 +181,10 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, limit=SLICE):
                 for text in piece.column("text").to_pylist():
-                    # most texts hold no wanted word at all; only for the others identifiers are looked for
-                    if any(map(memory.__getitem__, set(WORD.findall(text)))):
-                        counts.update({t for w, _, _ in words_outside(text, base_spans(text)) if (t := memory[w])})
+                    found, spans = memory.terms(text), base_spans(text)
+                    if found and spans:
+                        found = {t for w, _, _ in words_outside(text, spans) for t in memory[w]}
+                    counts.update(found)
                 if len(counts) > 300_000:
                     yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
                     counts.clear()
@@ -194,7 +204,7 @@ def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> Dat
     rows = docs.count()
     seen = materialise(mentions(docs), "pii-mentions", rows)
     entities = materialise(seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts), "pii-entities", rows)
-    met = companions(docs, entities).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
+    met = companions(docs, seen, entities).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
     met = materialise(met, "pii-pairs", rows)
     total = F.lit(float(rows))
     shared = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n")))
@@ -240,7 +250,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share:
                 spans = [base_spans(t) for t in held]
                 counts = {f"n_{k}": pa.array([sum(s[1] == i for s in each) for each in spans], pa.int64()) for i, k in enumerate(KINDS)}
                 base = [spans_of(s, []) for s in spans]
-                maybe = [[{"term": memory[w], "start": a, "end": b} for w, a, b in words_outside(t, s) if memory[w]] if any(map(memory.__getitem__, set(WORD.findall(t)))) else None for t, s in zip(held, spans, strict=True)]
+                maybe = [[{"term": x, "start": a, "end": b} for w, a, b in words_outside(t, s) for x in memory[w]] if memory.terms(t) else None for t, s in zip(held, spans, strict=True)]
                 more = {"text": piece.column("text")} if with_text else {}
                 ids = np.arange(number, number + len(held)) | part << 40
                 number += len(held)
