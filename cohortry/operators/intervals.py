@@ -161,6 +161,15 @@ def moving_average(df: DataFrame, keys: Sequence[str], order: str, value: str, w
     return df.withColumn(out, F.sum(value).over(near) / width)
 
 
+def whole_windows(regions: DataFrame, lengths: DataFrame, up: int, down: int) -> DataFrame:
+    """chrom and centre of the regions whose window around the centre lies on its chromosome as a whole.
+
+    ``lengths`` has chrom and length, a row for each chromosome; regions on others are left out.
+    """
+    centres = regions.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("centre"))
+    return centres.join(lengths, "chrom").where((F.col("centre") >= up) & (F.col("centre") + down <= F.col("length"))).select("chrom", "centre")
+
+
 def profile(regions: DataFrame, signal: DataFrame, up: int, down: int, smooth: int = 10) -> DataFrame:
     """Mean signal at each offset from the regions' centres, and its moving average.
 

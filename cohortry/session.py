@@ -23,3 +23,13 @@ def local_session(cpus: str | int | None = None, shuffle_partitions: int = 8) ->
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``; a local session, as in tests, has a default."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file:///tmp/checkpoints"
+    return folder.rstrip("/")
