@@ -42,8 +42,8 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     text = F.coalesce(F.col(text_col), F.lit(""))
     bits = sum((F.when(failed, 1 << i).otherwise(0) for i, failed in enumerate(text_failures(text))), F.lit(0))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), bits.alias("mask"))
-    rows = rows.groupBy("h1", "h2", "doc_id", "part", "mask").agg(F.count(F.lit(1)).alias("n"))
-    firsts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("f1"), F.xxhash64(F.lit(1), text).alias("f2")).groupBy("f1", "f2").agg(F.min("doc_id").alias("first"))
+    rows = materialise(rows.groupBy("h1", "h2", "doc_id", "part", "mask").agg(F.count(F.lit(1)).alias("n")), "failed-filters")  # texts are read once
+    firsts = rows.groupBy(F.col("h1").alias("f1"), F.col("h2").alias("f2")).agg(F.min("doc_id").alias("first"))
     found = rows.join(firsts, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & F.col("doc_id").eqNullSafe(F.col("first")), "left")
     mask = F.col("mask") + F.when(F.col("f1").isNull(), 1 << 4).otherwise(0)
     return found.select("doc_id", "part", mask.alias("mask"), "n")
