@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.operators import intervals
 from cohortry.plans.registry import query, table
-from cohortry.sources import logs, text_tables
+from cohortry.sources import logs, report_plots, text_tables
 
 
 @query("""SELECT event_id, TRY_CAST(regexp_replace(CASE event_id % 4 WHEN 0 THEN '1,' || lpad((event_id % 1000)::VARCHAR, 3, '0') WHEN 1 THEN (event_id % 100) || '.5%' WHEN 2 THEN 'n/a' ELSE event_id::VARCHAR END, '[,%]', '', 'g') AS DOUBLE) AS number FROM events""")
@@ -72,3 +77,51 @@ def content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lower("c_mktsegment"), F.lit("_"), (F.col("c_custkey") % 9).cast("string"))
     return table(spark, sf_dir, "customer").select("c_custkey", F.regexp_extract(name, r"^(.+?)(?:_[0-9]+)?$", 1).alias("prefix"))
+
+
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports (path, html) on line items, one for each 50th supplier: bars, lines in the older layout and a heat map by part."""
+    by = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 50).alias("report"), (F.col("l_partkey") % 10).alias("s"))
+    got = by.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("q"), F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("r"))
+    rows = got.groupBy("report").agg(F.sort_array(F.collect_list(F.struct(F.concat(F.lit("part "), "s").alias("name"), "n", "q", "r", "s"))).alias("rows"))
+    each = lambda f: F.transform("rows", f)
+    names = each(lambda x: x["name"])
+    cat = lambda name, data, pct: F.struct(F.lit(name).alias("name"), data.alias("data"), pct.alias("data_pct"))
+    bar = F.struct(F.array(F.struct(names.alias("samples"), F.array(cat("lines", each(lambda x: x["n"]), each(lambda x: x["r"])), cat("quantity", each(lambda x: x["q"]), each(lambda x: x["n"]))).alias("cats"))).alias("datasets"))
+    line = F.struct(F.lit("xy_line").alias("plot_type"), F.array(each(lambda x: F.struct(x["name"].alias("name"), F.array(x["n"], x["q"], x["r"]).alias("data")))).alias("datasets"), F.struct(F.array(F.lit(5), F.lit(10), F.lit(20)).alias("categories")).alias("config"))
+    heat = F.struct(F.lit("heatmap").alias("plot_type"), F.array(F.lit("lines"), F.lit("returned")).alias("xcats"), names.alias("ycats"), F.concat(each(lambda x: F.array(F.lit(0).cast("long"), x["s"], x["n"])), F.transform(F.filter("rows", lambda x: x["r"] > 0), lambda x: F.array(F.lit(1).cast("long"), x["s"], x["r"]))).alias("data"))
+    body = F.to_json(F.struct(bar.alias("counts"), line.alias("steps"), heat.alias("checks-1")))
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            html = [f'<html><script id="mqc_compressed_plotdata" type="text/plain">{base64.b64encode(gzip.compress(b.encode())).decode()}</script></html>' for b in batch["body"]]
+            yield pd.DataFrame({"path": batch["path"], "html": html})
+
+    return rows.select(F.concat(F.lit("report "), F.lpad("report", 2, "0")).alias("path"), body.alias("body")).mapInPandas(packed, "path string, html string")
+
+
+@query("""WITH g AS (SELECT l_suppkey % 50 AS report, l_partkey % 10 AS s, count(*) AS n, sum(l_quantity::BIGINT) AS q, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY ALL),
+p AS (SELECT 'report ' || lpad(report::VARCHAR, 2, '0') AS source, 'part ' || s AS item, s, n, q, r FROM g),
+full_report AS (SELECT source FROM p GROUP BY source HAVING min(s) = 0 AND count(*) = max(s) + 1),
+o AS (SELECT 'counts' AS plot, source, item, 'lines' AS axis, n::DOUBLE AS value, r::DOUBLE AS pct FROM p UNION ALL SELECT 'counts', source, item, 'quantity', q, n FROM p
+UNION ALL SELECT 'steps', source, item, '5', n, NULL FROM p UNION ALL SELECT 'steps', source, item, '10', q, NULL FROM p UNION ALL SELECT 'steps', source, item, '20', r, NULL FROM p
+UNION ALL SELECT 'checks-1', source, item, 'lines', n, NULL FROM p JOIN full_report USING (source) UNION ALL SELECT 'checks-1', source, item, 'returned', r, NULL FROM p JOIN full_report USING (source))
+SELECT * FROM o""")
+def report_plot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = report_plots.plots(report_plots.payloads(report_pages(spark, sf_dir)))
+    none = F.lit(None).cast("double").alias("pct")
+    bars = report_plots.bars(found).select("plot", "source", F.col("sample").alias("item"), F.col("category").alias("axis"), "value", "pct")
+    lines = report_plots.lines(found).select("plot", "source", F.col("line").alias("item"), F.col("x_text").alias("axis"), F.col("y").alias("value"), none)
+    cells = report_plots.named(report_plots.heat_maps(found), "checks")
+    # a point names its row by number, so only reports with all parts up to their largest have it in place
+    whole = cells.groupBy("source").agg(F.max(F.regexp_extract("y", r"\d+", 0).cast("int") - F.col("y_ord")).alias("off")).where("off = 0")
+    heat = cells.join(whole.select("source"), "source").select("plot", "source", F.col("y").alias("item"), F.col("x").alias("axis"), "value", none)
+    return bars.union(lines).union(heat)
+
+
+@query("""WITH g AS (SELECT l_suppkey % 50 AS report, l_partkey % 10 AS s, count(*) AS n, sum(l_quantity::BIGINT) AS q FROM lineitem GROUP BY ALL),
+p AS (SELECT 'report ' || lpad(report::VARCHAR, 2, '0') AS source, 'part ' || s AS sample, n, q, row_number() OVER (ORDER BY report, s) - 1 AS sample_ord FROM g)
+SELECT 'lines' AS category, 0 AS category_ord, source, sample, sample_ord, n::DOUBLE AS value FROM p UNION ALL SELECT 'quantity', 1, source, sample, sample_ord, q FROM p""")
+def merged_report_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = report_plots.bars(report_plots.plots(report_plots.payloads(report_pages(spark, sf_dir))))
+    return report_plots.merged_bars(bars).select("category", "category_ord", "source", "sample", "sample_ord", "value")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import base64
-import gzip
 import io
 import json
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -101,20 +102,45 @@ def failed_share(modules: DataFrame) -> DataFrame:
     return modules.groupBy("source").agg((100 * F.count(F.when(F.col("status") == 2, 1)) / F.nullif(F.count("status"), F.lit(0))).alias("failed_pct"))
 
 
-def unpack_lz(text: str) -> str:
-    """Text packed by the LZ-based packer for strings in base64, six bits to a letter, codes of growing width."""
-    alphabet = {c: i for i, c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=")}
-    bits = (alphabet[c] >> s & 1 for c in text for s in range(5, -1, -1))
-    take = lambda n: sum(next(bits, 0) << i for i in range(n))
+#: Letters of unpacked text at most; a longer one is no plot data.
+LARGEST = 1 << 26
+
+
+def unpack_lz(text: str, limit: int = LARGEST) -> str:
+    """Text packed by the LZ-based packer for strings in base64, six bits to a letter, codes of growing width.
+
+    Input that ends before its end mark, or unpacks to more than ``limit`` letters, is an error. Blanks are passed over.
+    """
+    turned = {c: int(f"{i & 63:06b}"[::-1], 2) for i, c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=")}
+    text = "".join(text.split())
+    at, held, n_held = 0, 0, 0
+
+    def take(n: int) -> int:
+        """The next n bits, the first of them the lowest."""
+        nonlocal at, held, n_held
+        while n_held < n:
+            if at == len(text):
+                raise ValueError("packed text ends early")
+            if text[at] not in turned:
+                raise ValueError("not base64")
+            held |= turned[text[at]] << n_held
+            at, n_held = at + 1, n_held + 6
+        value = held & ((1 << n) - 1)
+        held, n_held = held >> n, n_held - n
+        return value
 
     def letter(code: int) -> str:
         return chr(take(8 if code == 0 else 16))
 
+    if not text:
+        return ""
     code = take(2)
-    if code == 2 or not text:
+    if code == 2:
         return ""
+    if code > 2:
+        raise ValueError("not packed text")
     known: list[str] = ["", "", "", letter(code)]
-    last, out, width, room = known[3], [known[3]], 3, 4
+    last, out, width, room, size = known[3], [known[3]], 3, 4, 1
     while True:
         code = take(width)
         if code == 2:
@@ -124,7 +150,12 @@ def unpack_lz(text: str) -> str:
             code, room = len(known) - 1, room - 1
             if room == 0:
                 room, width = 1 << width, width + 1
+        if code > len(known):
+            raise ValueError("not packed text")
         entry = known[code] if code < len(known) else last + last[0]
+        size += len(entry)
+        if size > limit:
+            raise ValueError("unpacked text is too long")
         out.append(entry)
         known.append(last + entry[0])
         last, room = entry, room - 1
@@ -132,18 +163,31 @@ def unpack_lz(text: str) -> str:
             room, width = 1 << width, width + 1
 
 
+def unpack(text: str) -> str:
+    """Text packed by LZ or, as older pages have it, by gzip; anything else is an error."""
+    if text.lstrip().startswith("H4sI"):
+        packer = zlib.decompressobj(31)
+        data = packer.decompress(base64.b64decode("".join(text.split()), validate=True), LARGEST)
+        if not packer.eof:
+            raise ValueError("packed text ends early or is too long")
+        return data.decode()
+    return unpack_lz(text)
+
+
 def payload(html: str) -> dict:
-    """The plot data inside a report page: the first base64 text that unpacks to a JSON object, by LZ or gzip; else empty."""
-    import re
-
-    for text in re.findall(r'"([A-Za-z0-9+/=]{24,})"', html):
-        for unpack in (lambda t: gzip.decompress(base64.b64decode(t)).decode(), unpack_lz):
-            try:
-                found = json.loads(unpack(text))
-            except Exception:  # noqa: BLE001  not this kind of payload
-                continue
-            if isinstance(found, dict) and found:
-                return found
+    """The plot data inside a report page: the first payload that unpacks to a JSON object with something in it; else empty.
+
+    Payloads stand in elements of their own; a page without such an element may have them as quoted base64. Quoted
+    texts that begin neither as gzip nor with a packed brace, such as pictures, are passed over unread.
+    """
+    found = re.findall(r"""id=["']mqc_compressed_plotdata["'][^>]*>(.*?)</(?:script|div)""", html, re.DOTALL)
+    for text in found or (t for t in re.findall(r'"([A-Za-z0-9+/=]{24,})"', html) if t.startswith(("H4sI", "N4"))):
+        try:
+            body = json.loads(unpack(text))
+        except (ValueError, zlib.error, EOFError):  # not this kind of payload
+            continue
+        if isinstance(body, dict) and body:
+            return body
     return {}
 
 
