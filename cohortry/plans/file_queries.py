@@ -15,6 +15,7 @@ from cohortry.plans.interval_queries import E, O, events, orders
 from cohortry.plans.registry import query, table
 from cohortry.session import shared_folder
 from cohortry.sources import alignments, signals
+from cohortry.streaming import ledger
 
 CHROMS = [(f"chr{i}", 1_000_400) for i in range(1, 6)]
 CIGARS = ("50M", "20M3D30M", "10S40M", "25M1000N25M", "50M2I8M")
@@ -87,3 +88,13 @@ def signal_file_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals.write_signal(signal, folder, [(c, 2 * SECONDS) for c in ("purchase", "view", "click", "signup", "error")])
     rows = signals.read_signal(spark, folder).where("chrom = 'click' and start < 1200000 and end > 1000000")
     return rows.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"), F.sum("value").alias("total"))
+
+
+@query("SELECT writer, event_type AS event, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT *, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS writer FROM events) GROUP BY ALL")
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that two writers have put into one ledger; one of them repeats its batch."""
+    folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("command_id"), F.col("event_type").alias("event"), "user_id")
+    for writer, rest in (("even", 0), ("odd", 1), ("even", 0)):
+        ledger.append(rows.where(F.col("user_id") % 2 == rest), folder, writer, batch="all")
+    return ledger.read_ledger(spark, folder, "command_id long, event string").groupBy("writer", "event").agg(F.count(F.lit(1)).alias("n"), F.sum("command_id").alias("ids"))

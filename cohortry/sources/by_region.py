@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -78,10 +79,19 @@ class FileWriter(DataSourceWriter):
         remote.remove(self.scratch)
 
 
+_KNOWN: set[tuple[str, str]] = set()
+_ONE = threading.Lock()
+
+
 def register(spark: SparkSession, source: type[DataSource]) -> None:
-    """Makes a format known to a session, and lets filters reach it."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(source)
+    """Makes a format known to a session, once, and lets filters reach it; formats are looked up in a thread's active session."""
+    spark.createDataFrame([], "none int")  # makes this session the active one of the thread
+    with _ONE:
+        own = (spark._jsparkSession.sessionUUID(), source.name())
+        if own not in _KNOWN:
+            spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+            spark.dataSource.register(source)
+            _KNOWN.add(own)
 
 
 def load(spark: SparkSession, source: type[DataSource], known: str, path: str, columns: Sequence[str], region: tuple[str, int, int] | None, split_bytes: int):

@@ -33,9 +33,10 @@ def files(path: str, suffix: str) -> list[str]:
     return [f"{root}/{p}" for p in below if not any(part.startswith(("_", ".")) for part in p.split("/"))]
 
 
-def exists(path: str) -> bool:
+def exists(path: str, folder: bool = False) -> bool:
+    """Whether there is a file, or a folder, of that path."""
     system, inside = located(path)
-    return system.get_file_info(inside).type == pafs.FileType.File
+    return system.get_file_info(inside).type == (pafs.FileType.Directory if folder else pafs.FileType.File)
 
 
 class Seekable:
