@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.operators import intervals
+from cohortry.operators import intervals, segments
 from cohortry.plans.registry import query, table
 
 E = """e AS (SELECT event_id AS ord, event_type AS chrom, (epoch_us(ts) - 1704067200000000) // 1000000 AS start, (epoch_us(ts) - 1704067200000000) // 1000000 + 1 + floor(value)::BIGINT AS "end", user_id, value FROM events)"""
@@ -127,3 +127,22 @@ def invalid_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     sizes = e.where("chrom <> 'error'").groupBy("chrom").agg(F.max("start").alias("length"))
     return intervals.out_of_bounds(e, sizes).select("ord", "reason")
+
+
+@query("""WITH s AS (SELECT 'chr' || (o_custkey % 5) AS chrom, o_orderkey AS pos, ((o_orderkey // 6000 % 3) * 8 + o_custkey % 7)::DOUBLE AS diff FROM orders),
+p AS (SELECT *, lag(pos) OVER c AS ppos, lag(diff) OVER c AS pdiff FROM s WINDOW c AS (PARTITION BY chrom ORDER BY pos)),
+b AS (SELECT *, ppos IS NULL OR pos - ppos > 60 AS fresh, sum((ppos IS NULL OR pos - ppos > 60)::INT) OVER (PARTITION BY chrom ORDER BY pos) AS block FROM p),
+z AS (SELECT sqrt(avg((diff - pdiff) * (diff - pdiff)) / 2) AS noise FROM b WHERE NOT fresh),
+n AS (SELECT *, count(*) OVER l AS nl, count(*) OVER r AS nr, sum(diff) OVER l AS sl, sum(diff) OVER r AS sr FROM b
+  WINDOW l AS (PARTITION BY chrom, block ORDER BY pos ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), r AS (PARTITION BY chrom, block ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING)),
+t AS (SELECT *, CASE WHEN nl >= 6 AND nr >= 6 THEN abs(sr / nr - sl / nl) * sqrt(nl * nr / (nl + nr)) END AS stat FROM n),
+k AS (SELECT *, max(stat) OVER (PARTITION BY chrom, block ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS before, max(stat) OVER (PARTITION BY chrom, block ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING) AS after FROM t),
+m AS (SELECT k.*, (stat >= 4 * noise AND (before IS NULL OR stat > before) AND (after IS NULL OR stat >= after))::INT AS change FROM k, z),
+g AS (SELECT *, block + coalesce(sum(change) OVER (PARTITION BY chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS segment FROM m)
+SELECT chrom, segment::BIGINT AS segment, min(pos) AS start, max(pos) + 1 AS "end", count(*) AS n_sites, round(avg(diff) + 1e-9, 6) AS mean_diff FROM g GROUP BY chrom, segment""")
+def change_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as sites: levels that change with the key, the customer as noise."""
+    level = F.floor(F.col("o_orderkey") / 6000) % 3 * 8 + F.col("o_custkey") % 7
+    sites = table(spark, sf_dir, "orders").select(F.concat(F.lit("chr"), F.col("o_custkey") % 5).alias("chrom"), F.col("o_orderkey").alias("pos"), level.cast("double").alias("diff"))
+    out = segments.segments(segments.site_segments(sites, width=12, least=6, max_gap=60))
+    return out.withColumn("mean_diff", F.round(F.col("mean_diff") + 1e-9, 6))

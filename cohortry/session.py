@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int | None = None, shuffle_partitions: int = 8) -> SparkSession:
@@ -33,3 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file:///tmp/checkpoints"
     return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what is read more than once is computed once, and its lineage ends."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
