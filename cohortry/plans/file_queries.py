@@ -1,4 +1,4 @@
-"""Queries that write the tables as indexed genome files to the shared folder, and read those back.
+"""Queries that write the tables as indexed genome files, ledgers and kept stages to the shared folder, and read those back.
 
 Line items are alignments on five chromosomes, suppliers are regions; events are a signal and orders its windows.
 """
@@ -6,15 +6,17 @@ Line items are alignments on five chromosomes, suppliers are regions; events are
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.operators import fragments
+from cohortry.operators import dependencies, fragments
 from cohortry.plans.interval_queries import E, O, events, orders
 from cohortry.plans.registry import query, table
+from cohortry.plans.stages import Stage, run
 from cohortry.session import shared_folder
-from cohortry.sources import alignments, signals
+from cohortry.sources import alignments, signals, table_functions
 from cohortry.streaming import ledger
 
 CHROMS = [(f"chr{i}", 1_000_400) for i in range(1, 6)]
@@ -98,3 +100,44 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     for writer, rest in (("even", 0), ("odd", 1), ("even", 0)):
         ledger.append(rows.where(F.col("user_id") % 2 == rest), folder, writer, batch="all")
     return ledger.read_ledger(spark, folder, "command_id long, event string").groupBy("writer", "event").agg(F.count(F.lit(1)).alias("n"), F.sum("command_id").alias("ids"))
+
+
+@query("""WITH RECURSIVE needs AS (SELECT p_partkey AS stage, p_partkey // 2 AS need, 0 AS ord FROM part WHERE p_partkey > 1 UNION ALL SELECT p_partkey, p_partkey // 3, 1 FROM part WHERE p_partkey > 2),
+wanted AS (SELECT p_partkey AS stage, row_number() OVER (ORDER BY p_size, p_partkey) - 1 AS ord FROM part WHERE p_size > 25),
+paths AS (SELECT stage, [ord] AS path FROM wanted UNION ALL SELECT need, list_append(path, ord) FROM paths JOIN needs USING (stage))
+SELECT stage, row_number() OVER (ORDER BY list_append(min(path), 2147483647)) - 1 AS at FROM paths GROUP BY stage""")
+def run_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as stages that need those of half and a third of their number, in the order in which to run the larger ones."""
+    part, p = table(spark, sf_dir, "part"), F.col("p_partkey")
+    need = lambda by, ord_: part.where(p >= by).select(p.alias("stage"), F.floor(p / by).alias("need"), F.lit(ord_).alias("ord"))
+    wanted = part.where("p_size > 25").select(p.alias("stage"), (F.col("p_size") * 40_000_000 + p).alias("ord"))
+    return dependencies.run_order(part.select(p.alias("stage")), need(2, 0).union(need(3, 1)), wanted)
+
+
+def _by_customer(spark: SparkSession, given: Mapping[str, DataFrame], options: Mapping) -> DataFrame:
+    return given["orders"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("last"))
+
+
+def _by_nation(spark: SparkSession, given: Mapping[str, DataFrame], options: Mapping) -> DataFrame:
+    frequent = given["by_customer"].where(F.col("n") >= options["least"])
+    return given["customer"].join(frequent, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"), F.sum("n").alias("orders"))
+
+
+@query("""WITH c AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) SELECT c_nationkey, count(*) AS customers, sum(n)::BIGINT AS orders, '' AS made_again FROM customer JOIN c ON c_custkey = o_custkey WHERE n >= 5 GROUP BY 1""")
+def kept_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stages over orders and customers, run twice: the second run reads what the first kept and makes nothing again."""
+    folder = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
+    todo = {"by_customer": Stage(_by_customer, ["orders"]), "by_nation": Stage(_by_nation, ["by_customer", "customer"], {"least": 5})}
+    inputs = {name: f"{sf_dir}/{name}.parquet" for name in ("orders", "customer")}
+    run(spark, folder, todo, inputs, ["by_nation"])
+    again = run(spark, folder, todo, inputs, ["by_nation"], tidy=True)
+    return again.tables["by_nation"].withColumn("made_again", F.lit(",".join(again.made)))
+
+
+@query("""WITH l AS (SELECT user_id AS source, event_type AS kind, lead(CASE WHEN event_id % 5 = 0 THEN 'h' || event_type ELSE event_type END) OVER (PARTITION BY user_id ORDER BY event_id) AS below, event_id FROM events) SELECT 'h' || kind AS metric, below AS value, count(*) AS n, sum(source)::BIGINT AS sources FROM l WHERE event_id % 5 = 0 AND below IS NOT NULL GROUP BY ALL""")
+def metric_blocks_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header lines and the lines below them, through the table function."""
+    table_functions.register(spark)
+    line = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("h"), "event_type")).otherwise(F.col("event_type"))
+    lines = table(spark, sf_dir, "events").select(F.col("user_id").alias("source"), F.col("event_id").alias("line_no"), line.alias("line"))
+    return spark.sql("SELECT metric, value, count(*) AS n, sum(source) AS sources FROM metrics_block(TABLE({lines}), 'h') GROUP BY metric, value", lines=lines)

@@ -45,6 +45,7 @@ class RegionReader(DataSourceReader):
 @dataclass
 class Written(WriterCommitMessage):
     names: list[str]
+    below: str = ""  # the task attempt's own folder within the job's
 
 
 class FileWriter(DataSourceWriter):
@@ -67,10 +68,12 @@ class FileWriter(DataSourceWriter):
         return Written([name + ending for ending in parts])
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        kept = [name for message in messages if message is not None for name in message.names]
-        old = remote.files(self.path, "") if self.overwrite else []
-        for name in kept:
-            remote.move(f"{self.scratch}/{name}", f"{self.path}/{name}")
+        kept = [(message.below, name) for message in messages if message is not None for name in message.names]
+        new = {f"{self.path}/{name}" for _, name in kept}
+        old = [p for p in remote.files(self.path, "") if p not in new] if self.overwrite else []
+        for below, name in kept:
+            made = f"{self.scratch}/{below}/{name}" if below else f"{self.scratch}/{name}"
+            remote.move(made, f"{self.path}/{name}")
         for path in old:
             remote.remove(path)
         remote.remove(self.scratch)

@@ -33,6 +33,12 @@ def files(path: str, suffix: str) -> list[str]:
     return [f"{root}/{p}" for p in below if not any(part.startswith(("_", ".")) for part in p.split("/"))]
 
 
+def folders(path: str) -> list[str]:
+    """Names of the folders right below a folder."""
+    system, inside = located(path)
+    return sorted(i.base_name for i in system.get_file_info(pafs.FileSelector(inside)) if i.type == pafs.FileType.Directory)
+
+
 def exists(path: str, folder: bool = False) -> bool:
     """Whether there is a file, or a folder, of that path."""
     system, inside = located(path)
