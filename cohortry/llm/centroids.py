@@ -69,7 +69,8 @@ def moved(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
                     total[c] += rows[best == c].sum(axis=0)
                 count += np.bincount(best, minlength=k)
         used = np.flatnonzero(count)
-        yield pd.DataFrame({"cluster": used.astype(np.int32), "n": count[used], "total": list(total[used])})
+        if len(used):
+            yield pd.DataFrame({"cluster": used.astype(np.int32), "n": count[used], "total": list(total[used])})
 
     partial = vectors.select("q").mapInPandas(sums, "cluster int, n long, total array<long>")
     wide = lambda c: F.sum(c.cast("decimal(20,0)"))
