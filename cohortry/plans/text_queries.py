@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import gzip
+import io
+import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import intervals
 from cohortry.plans.registry import query, table
-from cohortry.sources import logs, report_plots, text_tables
+from cohortry.sources import logs, quality_summary, report_plots, text_tables
 
 
 @query("""SELECT event_id, TRY_CAST(regexp_replace(CASE event_id % 4 WHEN 0 THEN '1,' || lpad((event_id % 1000)::VARCHAR, 3, '0') WHEN 1 THEN (event_id % 100) || '.5%' WHEN 2 THEN 'n/a' ELSE event_id::VARCHAR END, '[,%]', '', 'g') AS DOUBLE) AS number FROM events""")
@@ -125,3 +127,41 @@ SELECT 'lines' AS category, 0 AS category_ord, source, sample, sample_ord, n::DO
 def merged_report_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = report_plots.bars(report_plots.plots(report_plots.payloads(report_pages(spark, sf_dir))))
     return report_plots.merged_bars(bars).select("category", "category_ord", "source", "sample", "sample_ord", "value")
+
+
+@query("""WITH c AS (SELECT c_custkey AS sample, c_nationkey AS nation, c_custkey % 500 + 1 AS reads FROM customer),
+f AS (SELECT user_id AS source, max(1000 + event_id % 1000) FILTER (event_type = 'view')::DOUBLE AS total, max(event_id % 1000) FILTER (event_type = 'click')::DOUBLE AS mapped, max(event_id % 50) FILTER (event_type = 'signup') AS found, max(100 + event_id % 50) FILTER (event_type = 'purchase') AS pairs, max(event_id % 300) FILTER (event_type = 'error')::DOUBLE AS length FROM events GROUP BY 1)
+SELECT sample, nation, total, length, round(100 * found / (2 * pairs) + 1e-9, 6) AS dup_pct, CASE WHEN sample % 3 > 0 AND mapped IS NOT NULL THEN round_even(least(100, 100 * mapped / (2 * reads)), 3) ELSE round_even(100 * mapped / total, 3) END AS mapped_pct FROM c LEFT JOIN f ON sample = source""")
+def quality_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as samples: their figures from the lines that events spell, and from trimming reports of two thirds of them."""
+    c = F.col("c_custkey")
+    samples = table(spark, sf_dir, "customer").select(c.cast("string").alias("sample"), F.col("c_nationkey").alias("nation"), c.alias("key"))
+    lines = log_lines(spark, sf_dir).withColumn("source", F.col("source").cast("string"))
+    trimmed = samples.where("key % 3 > 0").select(F.col("sample").alias("source"), F.concat(F.lit("Total reads processed:   "), F.format_number(F.col("key") % 500 + 1, 0)).alias("line"))
+    made = {"trimming": logs.trimming(trimmed), "flagstat": logs.flagstat(lines), "stats": logs.alignment_stats(lines), "duplicates": logs.duplicates(lines)}
+    rows = quality_summary.quality_rows(samples, {k: t.withColumnRenamed("source", "sample") for k, t in made.items()})
+    return rows.select(F.col("sample").cast("long").alias("sample"), "nation", F.col("flagstat_total").alias("total"), F.col("stats_mean_length").alias("length"), F.round(F.col("duplicates_dup_pct") + 1e-9, 6).alias("dup_pct"), "mapped_pct")
+
+
+@query("""SELECT s_suppkey AS report, (s_suppkey * 10)::DOUBLE AS total_seqs, (s_suppkey % 60 + 1)::DOUBLE AS seq_length, round_even(100 - (s_suppkey % 1000) / 10.0, 2)::DOUBLE AS pct_duplicates, s_suppkey % 3 AS adapters, CASE WHEN s_suppkey % 3 = 2 THEN 50.0 ELSE 0.0 END AS pct_modules_failed FROM supplier""")
+def read_report_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' numbers as zipped read reports, and their figures."""
+    s = F.col("s_suppkey")
+    text = F.concat(
+        F.lit("##FastQC\t0.12\n>>Basic Statistics\tpass\n#Measure\tValue\nTotal Sequences\t"), s * 10, F.lit("\nSequence length\t1-"), s % 60 + 1, F.lit("\n>>END_MODULE\n>>Per base N content\tpass\n>>END_MODULE\n>>Adapter Content\t"),
+        F.element_at(F.array(*map(F.lit, ("pass", "warn", "fail"))), (s % 3 + 1).cast("int")), F.lit("\n>>END_MODULE\n#Total Deduplicated Percentage\t"), F.format_string("%.1f", (s % 1000) / 10), F.lit("\n"),
+    )
+
+    def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for body in batch["text"]:
+                raw = io.BytesIO()
+                with zipfile.ZipFile(raw, "w") as z:
+                    z.writestr("x_fastqc/fastqc_data.txt", body)
+                out.append(raw.getvalue())
+            yield pd.DataFrame({"path": batch["path"], "content": out})
+
+    files = table(spark, sf_dir, "supplier").select(s.cast("string").alias("path"), text.alias("text")).mapInPandas(zipped, "path string, content binary")
+    found = quality_summary.read_reports(quality_summary.zipped_lines(files))
+    return found.select(F.col("source").cast("long").alias("report"), "total_seqs", "seq_length", "pct_duplicates", F.col("adapters").cast("long").alias("adapters"), "pct_modules_failed")

@@ -26,7 +26,8 @@ def payloads(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(path, json.dumps(found)) for path, html in zip(batch["path"], batch["html"], strict=True) if (found := payload(html or ""))]
-            yield pd.DataFrame(rows, columns=["source", "text"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["source", "text"])
 
     return pages.select("path", "html").mapInPandas(run, "source string, text string").select("source", F.parse_json("text").alias("body"))
 

@@ -166,6 +166,51 @@ def discover_inputs(files: DataFrame) -> DataFrame:
     return mates.groupBy("sample").agg(one("1").alias("r1"), one("2").alias("r2"))
 
 
+def discover_samples(files: DataFrame) -> DataFrame:
+    """sample, group, role, input_type, r1, r2, bam of the reads and alignments among files (path), as a sample sheet has them.
+
+    Reads are named ``name_R1.fastq.gz`` and the like, with a lane before it and a number after it or not; alignments
+    ``name.bam``. A sample must have one pair of reads from one lane, or one alignment, and not both; else its row raises
+    on use. No sample at all is an error at once.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    part = lambda i: F.regexp_extract(name, r"(?i)^(.+?)(?:_L([0-9]{3}))?_R([12])(?:_[0-9]{3})?\.(?:fastq|fq)(?:\.gz)?$", i)
+    reads, bam = part(1) != "", F.lower(name).endswith(".bam")
+    found = files.where(reads | bam).select("path", F.when(reads, part(1)).otherwise(F.regexp_replace(name, r"(?i)\.bam$", "")).alias("sample"), F.when(reads, part(3)).otherwise("bam").alias("kind"), F.nullif(part(2), F.lit("")).alias("lane"))
+    if not found.limit(1).count():
+        raise ValueError("there are no pairs of reads and no alignments; a sample sheet must name them")
+    n = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    path = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("path"))), F.lit(""))
+    per = found.groupBy("sample").agg(n("1").alias("n1"), n("2").alias("n2"), n("bam").alias("n_bam"), F.count_distinct("lane").alias("lanes"), path("1").alias("r1"), path("2").alias("r2"), path("bam").alias("bam"))
+    wrong = (
+        F.when((F.col("n_bam") > 0) & (F.col("n1") + F.col("n2") > 0), "both reads and alignments of ")
+        .when((F.col("n_bam") == 0) & ((F.col("n1") != 1) | (F.col("n2") != 1) | (F.col("lanes") > 1)), "ambiguous reads of ")
+        .when(F.col("n_bam") > 1, "ambiguous alignments of ")
+    )
+    sample = F.when(wrong.isNotNull(), F.raise_error(F.concat(wrong, "sample")).cast("string")).otherwise(F.col("sample"))
+    return per.select(sample.alias("sample"), F.lit("").alias("group"), F.lit("").alias("role"), F.when(F.col("n_bam") > 0, "bam").otherwise("fastq").alias("input_type"), "r1", "r2", "bam")
+
+
+def _ordered_lines(spark: SparkSession, path: str, keep: Column) -> DataFrame:
+    """``ord`` and ``line`` of the lines of one small file that ``keep`` (on ``line``) holds for, numbered from 0."""
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).where(keep)
+    listed = whole.agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines"))
+    return listed.select(F.posexplode("lines").alias("ord", "of")).select("ord", F.col("of.line").alias("line"))
+
+
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """ord, name, length of the sequences in a dictionary (lines @SQ with SN and LN in any order), in the file's order."""
+    lines = _ordered_lines(spark, path, F.col("line").startswith("@SQ\t") & F.col("line").rlike("\tSN:") & F.col("line").rlike("\tLN:"))
+    field = lambda k: F.element_at(F.filter(F.split("line", "\t"), lambda x: x.startswith(f"{k}:")), -1)
+    return lines.select("ord", F.substring(field("SN"), 4, 1 << 30).alias("name"), F.substring(field("LN"), 4, 1 << 30).cast("long").alias("length"))
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """ord, name, length of the first two columns of a sequence index, in the file's order; to be held against a dictionary."""
+    lines = _ordered_lines(spark, path, F.size(F.split("line", "\t")) >= 2)
+    return lines.select("ord", F.get(F.split("line", "\t"), F.lit(0)).alias("name"), F.get(F.split("line", "\t"), F.lit(1)).cast("long").alias("length"))
+
+
 def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True, partition_by: Sequence[str] = ()) -> None:
     """Delimited text with NA for null, replacing what is there once the job has succeeded."""
     df.write.mode("overwrite").partitionBy(*partition_by).option("sep", sep).option("header", header).option("nullValue", "NA").csv(path)
