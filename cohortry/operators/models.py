@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortry.operators.matrix import usable_features
 from cohortry.operators.power import _auc, _f_scores, _logistic
 from cohortry.operators.stats import pair_sums, with_names
+from cohortry.session import materialise
 
 
 def gram(long: DataFrame, samples: Sequence[str], scale: bool = True) -> DataFrame:
@@ -143,29 +144,34 @@ def screened(long: DataFrame, samples: Sequence[str], y: np.ndarray, trains: np.
     """For each modality and run (a row of ``trains``, which says who trains) the ``k`` features of highest F over the training samples.
 
     Columns: ``modality``, ``run``, ``nth`` (from 1, ties by name), ``feature``, ``values`` (of all samples in order, missing ones null). A
-    feature's values are brought together once; every batch of features keeps its own best of each run, so of the many
-    features only a few go on.
+    feature's values are brought together once. A task keeps a running best of each run over all its features and sends names and
+    F of those at its end, tasks x runs x ``k`` rows at most; values join the winners alone.
     """
     means = long.groupBy("modality", "feature", "sample").agg(F.avg("value").alias("value"))
     held = means.groupBy("modality", "feature").agg(F.map_from_entries(F.collect_list(F.struct("sample", "value"))).alias("by"))
-    wide = held.select("modality", "feature", F.transform(F.array(*(F.lit(s) for s in samples)), lambda s: F.try_element_at(F.col("by"), s)).alias("values"))
+    wide = materialise(held.select("modality", "feature", F.transform(F.array(*(F.lit(s) for s in samples)), lambda s: F.try_element_at(F.col("by"), s)).alias("values")), "feature-values")
     shared = long.sparkSession.sparkContext.broadcast((y, trains))
+    kinds = {f.name: f.dataType.simpleString() for f in wide.schema.fields}
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         y, trains = shared.value
+        best: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
         for rows in batches:
             for modality, part in rows.groupby("modality", sort=False):
-                part = part.sort_values("feature")
-                names, values = part["feature"].to_numpy(), part["values"].to_numpy()
-                x = np.stack(values).astype(float).T
+                names, x = part["feature"].to_numpy(), np.stack(part["values"].to_numpy()).astype(float).T
                 for run, train in enumerate(trains):
-                    f = _f_scores(_filled(x[train], x[train]), y[train])
-                    top = np.argsort(-f, kind="stable")[:k]
-                    yield pd.DataFrame({"modality": modality, "run": run, "f": f[top], "feature": names[top], "values": values[top]})
-
-    found = wide.mapInPandas(pick, "modality string, run int, f double, feature string, values array<double>")
+                    f, found = _f_scores(_filled(x[train], x[train]), y[train]), names
+                    if (modality, run) in best:
+                        f, found = np.concatenate([best[modality, run][0], f]), np.concatenate([best[modality, run][1], found])
+                    top = np.lexsort((found, -f))[:k]
+                    best[modality, run] = f[top], found[top]
+        for (modality, run), (f, found) in best.items():
+            yield pd.DataFrame({"modality": modality, "run": np.int32(run), "f": f, "feature": found})
+
+    found = wide.mapInPandas(pick, f"modality {kinds['modality']}, run int, f double, feature {kinds['feature']}")
     order = Window.partitionBy("modality", "run").orderBy(F.desc("f"), "feature")
-    return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("modality", "run", "nth", "feature", "values")
+    winners = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    return winners.join(wide, ["modality", "feature"]).select("modality", "run", "nth", "feature", "values")
 
 
 def _matrix(rows: pd.DataFrame) -> np.ndarray:

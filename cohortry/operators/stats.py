@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scalar import ratio
 from cohortry.functions.special import exact_rank_p, normal_tail
+from cohortry.operators.intervals import with_carry
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -21,6 +22,28 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
     return df.withColumn(out, F.when(F.col(value).isNotNull(), F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2))
 
 
+def range_of(value: Column, cuts: Column, most: int) -> Column:
+    """How many of the ascending ``cuts`` (an array of at most ``most``) are below ``value``, by halving."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, most.bit_length())))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(cuts, at + step - 1) < value, F.lit(False)), at + step).otherwise(at))
+
+
+def ranks_by_range(long: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """``long`` with the rank of ``value`` within ``key``, equal values sharing the mean of their ranks; null for a null value.
+
+    For keys with very many rows and few keys, such as samples: distinct values are counted and summed up within ranges of
+    values, and what a range begins with is one row for each range of a key.
+    """
+    parts = max(2, int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counted = long.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__n"))
+    cuts = counted.groupBy(F.col(key).alias("__key")).agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10_000).alias("__cuts"))
+    ranged = counted.join(cuts, F.col(key) == F.col("__key")).withColumn("__tile", range_of(F.col(value), F.col("__cuts"), parts - 1)).drop("__key", "__cuts")
+    carried = with_carry(ranged, [key], F.sum("__n"), F.sum, "__before")
+    upto = F.sum("__n").over(Window.partitionBy(key, "__tile").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("__before", F.lit(0))
+    ranks = carried.select(F.col(key).alias("__key"), F.col(value).alias("__value"), (upto - (F.col("__n") - 1) / 2).alias(out))
+    return long.join(ranks, (F.col(key) == F.col("__key")) & (F.col(value) == F.col("__value")), "left").drop("__key", "__value")
+
+
 def rank_sum(long: DataFrame, a: str = "control", b: str = "case") -> DataFrame:
     """Mann-Whitney U of group b over group a for each feature (columns feature, group, value), nulls left out.
 
@@ -85,8 +108,7 @@ def adjust_p(tests: DataFrame, p: str = "p", out: str = "q", total: int | None =
     parts = max(1, int(tests.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     values = tests.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
     cuts = sorted(set(values.agg(F.percentile_approx("__p", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []))
-    piece = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.array().cast("array<double>"), lambda c: c < F.col("__p")))
-    ranged = values.withColumn("__r", piece)
+    ranged = values.withColumn("__r", range_of(F.col("__p"), F.array(*(F.lit(float(c)) for c in cuts)) if cuts else F.array().cast("array<double>"), parts))
     sizes = ranged.groupBy("__r").agg(F.sum("__n").alias("__m"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__m").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__m")
     # equal p share the rank of the last of them
@@ -200,11 +222,15 @@ def correlations(long: DataFrame, samples: Sequence[str], spearman: bool = False
     """``a``, ``b``, ``r`` for every pair of the given samples, null values filled with the sample's mean (after ranking, for
     Spearman, the rank of the filled value). Features that a sample has no row for are left out of its pairs. Values are
     centred before they are multiplied; a sample without spread gives null."""
-    mean = F.avg("value").over(Window.partitionBy("sample"))
-    filled = long.withColumn("value", F.coalesce("value", mean))
+    def centred(rows: DataFrame) -> DataFrame:
+        """Rows with their sample's mean beside them; there are as many means as samples."""
+        means = rows.groupBy(F.col("sample").alias("__of")).agg(F.avg("value").alias("__mean"))
+        return rows.join(F.broadcast(means.where(F.col("__of").isin(list(samples)))), F.col("sample") == F.col("__of")).drop("__of")
+
+    filled = centred(long).withColumn("value", F.coalesce("value", "__mean"))
     if spearman:
-        filled = average_rank(filled, ["sample"], "value", "rank").drop("value").withColumnRenamed("rank", "value")
-    wide = filled.withColumn("value", F.col("value") - mean).groupBy("feature").pivot("sample", list(samples)).agg(F.first("value"))
+        filled = centred(ranks_by_range(filled.drop("__mean"), "sample", "value", "rank").drop("value").withColumnRenamed("rank", "value"))
+    wide = filled.withColumn("value", F.col("value") - F.col("__mean")).groupBy("feature").pivot("sample", list(samples)).agg(F.first("value"))
     vi, vj, both = F.col("sii") - F.col("si") ** 2 / F.col("n"), F.col("sjj") - F.col("sj") ** 2 / F.col("n"), F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
     least = lambda s: 1e-12 * F.greatest(s, F.lit(1e-300))
     r = F.when((F.col("n") > 0) & (vi > least(F.col("sii"))) & (vj > least(F.col("sjj"))), both / F.sqrt(vi * vj))

@@ -190,21 +190,19 @@ def best_hundred_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.best_features(stats.rank_sum(long_matrix(spark, sf_dir)), "u", 100).select("feature", "u")
 
 
-PAIRS = "(VALUES (1,2),(1,3),(2,3)) p(i,j)"
+PAIRS = "(SELECT i, j FROM range(1, 8) a(i), range(1, 8) b(j) WHERE i < j) p"
 
 
-@query(f"""WITH {M}, f AS (SELECT feature, sample, coalesce(value, avg(value) OVER (PARTITION BY sample)) AS v FROM m WHERE sample IN ('s1','s2','s3'))
+@query(f"""WITH {M}, f AS (SELECT feature, sample, coalesce(value, avg(value) OVER (PARTITION BY sample)) AS v FROM m)
 SELECT 's' || i AS a, 's' || j AS b, round(corr(x.v, y.v) + 1e-9, 6) AS r FROM {PAIRS} JOIN f x ON x.sample = 's' || i JOIN f y ON y.sample = 's' || j AND x.feature = y.feature GROUP BY ALL""")
 def pearson_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = long_matrix(spark, sf_dir).where(F.col("sample").isin("s1", "s2", "s3"))
-    return stats.correlations(long, ["s1", "s2", "s3"]).select("a", "b", r6("r"))
+    return stats.correlations(long_matrix(spark, sf_dir), SAMPLES).select("a", "b", r6("r"))
 
 
-@query(f"""WITH {M}, f AS (SELECT feature, sample, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0 AS v FROM m WHERE sample IN ('s1','s2','s3'))
+@query(f"""WITH {M}, f AS (SELECT feature, sample, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0 AS v FROM m)
 SELECT 's' || i AS a, 's' || j AS b, round(corr(x.v, y.v) + 1e-9, 6) AS r FROM {PAIRS} JOIN f x ON x.sample = 's' || i JOIN f y ON y.sample = 's' || j AND x.feature = y.feature GROUP BY ALL""")
 def spearman_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = long_matrix(spark, sf_dir).where(F.col("sample").isin("s1", "s2", "s3"))
-    return stats.correlations(long, ["s1", "s2", "s3"], spearman=True).select("a", "b", r6("r"))
+    return stats.correlations(long_matrix(spark, sf_dir), SAMPLES, spearman=True).select("a", "b", r6("r"))
 
 
 @query("SELECT DISTINCT l_returnflag, l_quantity, round(cume_dist() OVER (PARTITION BY l_returnflag ORDER BY l_quantity), 9) AS ecdf, round(1 - cume_dist() OVER (PARTITION BY l_returnflag ORDER BY l_quantity), 9) AS above FROM lineitem")
@@ -227,11 +225,11 @@ def empirical_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("p", F.round("p", 9))
 
 
-@query("""WITH s AS (SELECT DISTINCT l_linenumber AS k, l_suppkey AS m FROM lineitem WHERE l_quantity > 45)
+@query("""WITH s AS (SELECT DISTINCT l_linenumber AS k, l_partkey AS m FROM lineitem)
 SELECT round(avg(i / u) + 1e-9, 6) AS mean_jaccard FROM (SELECT a.k AS x, b.k AS y, (SELECT count(*) FROM (SELECT m FROM s WHERE k = a.k INTERSECT SELECT m FROM s WHERE k = b.k)) AS i, (SELECT count(*) FROM (SELECT m FROM s WHERE k = a.k UNION SELECT m FROM s WHERE k = b.k)) AS u FROM (SELECT DISTINCT k FROM s) a, (SELECT DISTINCT k FROM s) b WHERE a.k < b.k)""")
 def jaccard_of_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_linenumber", "l_suppkey").distinct()
-    return stats.mean_jaccard(sets, "l_linenumber", "l_suppkey").select(r6("mean_jaccard"))
+    sets = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_partkey").distinct()
+    return stats.mean_jaccard(sets, "l_linenumber", "l_partkey").select(r6("mean_jaccard"))
 
 
 @query(f"WITH {M}, s AS (SELECT sample, grp, avg(value) AS mean FROM m GROUP BY ALL) SELECT sample, grp AS \"group\", round(mean + 1e-9, 6) AS mean, round(median(mean) OVER (PARTITION BY grp) + 1e-9, 6) AS group_median FROM s")

@@ -184,12 +184,15 @@ def cut_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.cut_sites(events(spark, sf_dir)).select("chrom", "pos", "ends", "depth", near("share"))
 
 
-@query("""WITH q AS (SELECT upper(translate(left(text, 60), 'abcdefghijklmnopqrstuvwxyzé .,', 'acgtacgtacgtacgtacgtacgtacgtac')) AS seq FROM documents WHERE length(text) >= 60 AND lang = 'en'), c AS (SELECT p AS pos, seq[p + 1:p + 2] AS pair FROM q, (SELECT unnest(range(0, 59)) AS p)), cl AS (SELECT CASE WHEN pair IN ('AA','AT','TA','TT') THEN 'weak' WHEN pair IN ('GG','GC','CG','CC') THEN 'strong' END AS class, pos FROM c), k AS (SELECT class, pos, count(*) AS n FROM cl WHERE class IS NOT NULL GROUP BY class, pos)
+@query(r"""WITH w AS (SELECT translate(regexp_replace(text, '[^ -~]', 'n', 'g'), 'abcdefghijklmnopqrstuvwxyz .,', 'acgtacgtacgtacgtacgtacgtacgta') AS text FROM documents),
+q AS (SELECT upper(text[60 * i + 1:60 * i + 60]) AS seq FROM (SELECT text, unnest(range(0, (length(text) + 59) // 60)) AS i FROM w)), c AS (SELECT p AS pos, seq[p + 1:p + 2] AS pair FROM (SELECT seq, unnest(range(0, length(seq) - 1)) AS p FROM q)), cl AS (SELECT CASE WHEN pair IN ('AA','AT','TA','TT') THEN 'weak' WHEN pair IN ('GG','GC','CG','CC') THEN 'strong' END AS class, pos FROM c), k AS (SELECT class, pos, count(*) AS n FROM cl WHERE class IS NOT NULL GROUP BY class, pos)
 SELECT class, pos - 30 AS pos, n, round(100 * n / sum(n) OVER (PARTITION BY class) + 1e-9, 6) AS pct FROM k""")
 def dinucleotide_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.translate(F.substring("text", 1, 60), "abcdefghijklmnopqrstuvwxyzé .,", "acgtacgtacgtacgtacgtacgtacgtac")
-    docs = table(spark, sf_dir, "documents").where("length(text) >= 60 and lang = 'en'").select(seq.alias("seq"))
-    return fragments.dinucleotides(docs, 30).select("class", F.col("pos").cast("long").alias("pos"), "n", near("pct"))
+    """Whole texts of all documents as sequences, in pieces of 60 letters."""
+    text = F.translate(F.regexp_replace("text", "[^ -~]", "n"), "abcdefghijklmnopqrstuvwxyz .,", "acgtacgtacgtacgtacgtacgtacgta")
+    whole = table(spark, sf_dir, "documents").select(text.alias("text")).where("text <> ''")
+    pieces = whole.select("text", F.explode(F.sequence(F.lit(1), F.length("text"), F.lit(60))).alias("at")).select(F.substr(F.col("text"), F.col("at"), F.lit(60)).alias("seq"))
+    return fragments.dinucleotides(pieces, 30).select("class", F.col("pos").cast("long").alias("pos"), "n", near("pct"))
 
 
 FLAGS = "fl AS (SELECT l_suppkey % 4 AS sample, l_orderkey AS qname, l_linenumber % 2 AS mate, l_partkey % 4096 AS flag, l_quantity::INTEGER - 10 AS mapq FROM lineitem)"

@@ -195,10 +195,10 @@ def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.ordered_distinct(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey")
 
 
-@query("WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 48), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_discount > 0.09) (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)")
+@query("WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linenumber < 7), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linenumber = 7) (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)")
 def symmetric_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem")
-    return provenance.symmetric_difference(keys.where("l_quantity > 48").select(F.col("l_partkey").alias("k")), keys.where("l_discount > 0.09").select(F.col("l_partkey").alias("k")))
+    return provenance.symmetric_difference(keys.where("l_linenumber < 7").select(F.col("l_partkey").alias("k")), keys.where("l_linenumber = 7").select(F.col("l_partkey").alias("k")))
 
 
 @query("""WITH a AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS ord, n_name AS name, n_nationkey AS length FROM nation), b AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS ord, CASE WHEN n_nationkey = 7 THEN 'other' ELSE n_name END AS name, n_nationkey AS length FROM nation WHERE n_nationkey < 20)

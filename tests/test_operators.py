@@ -181,3 +181,24 @@ def test_places_of_rows_and_missing_samples(spark, tmp_path):
     assert tuple(matrix.column_means(long, ["x"]).first()) == ("x", 2.0, 2, 4)
     with pytest.raises(Exception, match="no rows for sample y"):
         matrix.column_means(long, ["x", "y"]).collect()
+
+
+def test_ranks_by_range_equal_ranks_by_window(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(s, i, None if rng.random() < 0.05 else float(rng.choice([0, 0, 0, 1, rng.randrange(200), -rng.random()]))) for s in ("a", "b", "c") for i in range(700)] + [("d", 1, None), ("e", 1, 2.5)]
+    long = spark.createDataFrame(rows, "sample string, feature int, value double").repartition(5)
+    by = lambda df: sorted((r["sample"], r.feature, r.value, r["rank"]) for r in df.where("value is not null").collect())
+    got = stats.ranks_by_range(long, "sample", "value", "rank")
+    assert by(got) == by(stats.average_rank(long, ["sample"], "value", "rank"))
+    assert got.count() == len(rows) and got.where("value is null and rank is not null").count() == 0
+
+
+def test_places_among_cuts_by_halving(spark):
+    cuts = [1.0, 2.0, 2.0, 5.0, 9.0]
+    values = spark.createDataFrame([(x,) for x in (0.0, 1.0, 1.5, 2.0, 3.0, 9.0, 10.0)], "x double")
+    for n in range(len(cuts) + 1):
+        own = F.array(*(F.lit(c) for c in cuts[:n])) if n else F.array().cast("array<double>")
+        got = values.select("x", stats.range_of(F.col("x"), own, max(n, 1)).alias("at")).collect()
+        assert all(r["at"] == sum(c < r.x for c in cuts[:n]) for r in got)
