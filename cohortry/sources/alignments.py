@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from cohortry.sources import remote
 from cohortry.sources.blocks import CONTENT, LARGEST, BlockWriter, block, content, next_block
-from cohortry.sources.by_region import FileWriter, RegionReader, kinds_of, load, register
+from cohortry.sources.by_region import FileWriter, RegionReader, kinds_of, load, register, tasks
 from cohortry.sources.remote import Seekable
 
 SCHEMA = "path string, qname string, flag int, chrom string, start long, end long, mapq int, cigar string, mate_chrom string, mate_start long, template_length long, seq string, qual string"
@@ -204,7 +204,7 @@ def runs(file: Seekable, begin: int, end: int, piece: int = PIECE) -> Iterator[t
     while True:
         parts, n = [carry], len(carry)
         grown = n
-        while not ended and (n < piece or n == grown):
+        while not ended and (n == grown or (n < piece and (limit is None or n < limit))):
             at, data = next(blocks, (None, b""))
             if at is None:
                 ended = True
@@ -538,5 +538,5 @@ def fetched(spark: SparkSession, path: str, regions: DataFrame, columns: Sequenc
                                     yield pa.RecordBatch.from_arrays([*own, *(rows.column(c) for c in columns)], names=["region_chrom", "region_start", "region_end", *columns])
 
     schema = ", ".join(["region_chrom string, region_start long, region_end long", *(f"`{c}` {kinds[c]}" for c in columns)])
-    asked = regions.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).repartitionByRange("chrom", "start")
+    asked = regions.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).repartitionByRange(tasks(spark), "chrom", "start")
     return asked.mapInArrow(run, schema)

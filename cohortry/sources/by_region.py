@@ -97,6 +97,11 @@ def register(spark: SparkSession, source: type[DataSource]) -> None:
             _KNOWN.add(own)
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for rows that are few but much work each: as many as a shuffle has, which Spark does not merge if they are asked for."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def load(spark: SparkSession, source: type[DataSource], known: str, path: str, columns: Sequence[str], region: tuple[str, int, int] | None, split_bytes: int):
     """The wanted columns of a format, all by default, and of a region where one is given."""
     register(spark, source)

@@ -23,13 +23,13 @@ from pyspark.sql.types import StructType
 
 from cohortry.operators import intervals
 from cohortry.sources import remote
-from cohortry.sources.by_region import FileWriter, RegionReader, load, register
+from cohortry.sources.by_region import FileWriter, RegionReader, load, register, tasks
 from cohortry.sources.remote import Seekable
 
 SCHEMA = "path string, chrom string, start long, end long, value double"
 # fixed values of the format: marks at the start of the file, of its table of chromosomes and of its tree
 FILE, TABLE, TREE = 0x888FFC26, 0x78CA8C91, 0x2468ACE0
-#: Items of a block and children of a node that the writer makes, and decoded blocks that a task keeps.
+#: Items of a block and children of a node that the writer makes, and nodes and decoded blocks that a task keeps.
 ITEMS, CHILDREN, KEPT = 512, 256, 64
 
 
@@ -71,24 +71,44 @@ NODE = np.dtype([("c0", "<u4"), ("b0", "<u4"), ("c1", "<u4"), ("b1", "<u4"), ("a
 LEAF = np.dtype([*NODE.descr, ("size", "<u8")])
 
 
-def children(file: Seekable, at: int, region: Region | None) -> tuple[bool, np.ndarray]:
-    """Whether a node is a leaf, and its items that can meet the region."""
+class Latest(OrderedDict):
+    """What was made last for some keys, up to a number of them."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+
+    def get_or(self, key, make):
+        if key not in self:
+            self[key] = make()
+            if len(self) > self.most:
+                self.popitem(last=False)
+        return self[key]
+
+
+def node(file: Seekable, at: int) -> tuple[bool, np.ndarray]:
+    """Whether a node is a leaf, and its items."""
     leaf, _, n = struct.unpack("<BBH", file.read(at, 4))
     kind = LEAF if leaf else NODE
-    items = np.frombuffer(file.read(at + 4, n * kind.itemsize), kind)
+    return bool(leaf), np.frombuffer(file.read(at + 4, n * kind.itemsize), kind)
+
+
+def children(file: Seekable, at: int, region: Region | None, known: Latest | None = None) -> tuple[bool, np.ndarray]:
+    """Whether a node is a leaf, and its items that can meet the region; ``known`` keeps nodes for the next call."""
+    leaf, items = node(file, at) if known is None else known.get_or(at, lambda: node(file, at))
     if region is not None:
         chrom, low, high = region
         after = (items["c1"] < chrom) | ((items["c1"] == chrom) & (items["b1"] <= low))
         before = (items["c0"] > chrom) | ((items["c0"] == chrom) & (items["b0"] >= high))
         items = items[~(after | before)]
-    return bool(leaf), items
+    return leaf, items
 
 
-def blocks(file: Seekable, nodes: Sequence[int], region: Region | None) -> Iterator[tuple[int, int]]:
+def blocks(file: Seekable, nodes: Sequence[int], region: Region | None, known: Latest | None = None) -> Iterator[tuple[int, int]]:
     """Place and size of the blocks below some nodes that can meet the region, in order."""
     waiting = list(reversed(nodes))
     while waiting:
-        leaf, items = children(file, waiting.pop(), region)
+        leaf, items = children(file, waiting.pop(), region, known)
         if leaf:
             yield from zip(items["at"].tolist(), items["size"].tolist(), strict=True)
         else:
@@ -300,26 +320,22 @@ def window_sums(spark: SparkSession, path: str, windows: DataFrame, width: int)
             asked = list(zip(batch.column("chrom").to_pylist(), batch.column("start").to_pylist(), strict=True))
             for name in paths:
                 with remote.opened(name) as file:
-                    form, kept = layout(file), OrderedDict()
+                    form, known, kept = layout(file), Latest(KEPT), Latest(KEPT)
                     for chrom, start in asked:
                         if chrom not in form.ids:
                             continue
                         region = (form.ids[chrom], start, start + width)
-                        for place in blocks(file, [form.root], region):
-                            if place not in kept:
-                                kept[place] = decoded(file, place, form.packed)
-                                if len(kept) > KEPT:
-                                    kept.popitem(last=False)
-                            own, starts, ends, values = kept[place]
+                        for place in blocks(file, [form.root], region, known):
+                            own, starts, ends, values = kept.get_or(place, lambda: decoded(file, place, form.packed))  # noqa: B023
                             meets = (own == region[0]) & (starts < region[2]) & (ends > region[1])
                             low, high = np.maximum(starts[meets], start) - start, np.minimum(ends[meets], start + width) - start
                             lengths = high - low
                             before = np.concatenate([[0], np.cumsum(lengths)])
                             bases = np.repeat(low - before[:-1], lengths) + np.arange(before[-1])
-                            total += np.bincount(bases, np.repeat(np.nan_to_num(values[meets]), lengths), width)
+                            np.add.at(total, bases, np.repeat(np.nan_to_num(values[meets]), lengths))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], names=["offset", "total"])
 
-    dealt = windows.select("chrom", F.col("start").cast("long").alias("start")).repartitionByRange("chrom", "start").sortWithinPartitions("chrom", "start")
+    dealt = windows.select("chrom", F.col("start").cast("long").alias("start")).repartitionByRange(tasks(spark), "chrom", "start").sortWithinPartitions("chrom", "start")
     return dealt.mapInArrow(run, "offset long, total double").groupBy("offset").agg(F.sum("total").alias("total"))
 
 
