@@ -33,6 +33,10 @@ BITS = 64
 BUCKET_ROWS = 2048
 #: Leading bits of a part whose value counts estimate how many candidates a probe meets; 2^16 counts a part at most.
 SKETCH = 16
+#: What a candidate (a row of a join) costs beside a probe (a number made in a task, most of them dropped there), as measured.
+CANDIDATE = 32
+#: Bits of the tables that spare most lookups and texts the way to a join, the same size whatever they hold.
+TABLE_LOG2 = 23
 
 
 def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42) -> int:
@@ -106,16 +110,20 @@ def take_bits(fps: np.ndarray, bits: list[int]) -> np.ndarray:
     return out
 
 
+def even_shares(width: int, radius: int) -> np.ndarray:
+    """Which share of all values of ``width`` bits lies within 0, 1, ... ``radius`` of one."""
+    return ball_sizes(width, radius) / 2.0**width
+
+
 def ball_counts(counts: np.ndarray, width: int, radius: int) -> np.ndarray:
     """For each value of the leading bits and each t in 0..radius, the expected count within distance t of it in all bits."""
     known = int(np.log2(len(counts)))
+    within = even_shares(width - known, radius)
     shells = [counts.astype(float)] + [np.zeros(len(counts)) for _ in range(radius)]
     for b in range(known):
         turned = np.arange(len(counts)) ^ (1 << b)
         for r in range(radius, 0, -1):
             shells[r] = shells[r] + shells[r - 1][turned]
-    rest = width - known
-    within = [sum(comb(rest, j) for j in range(t + 1)) / 2.0**rest for t in range(radius + 1)]
     return np.stack([sum(shells[r] * within[t - r] for r in range(t + 1)) for t in range(radius + 1)])
 
 
@@ -124,13 +132,6 @@ def ball_sizes(width: int, radius: int) -> np.ndarray:
     return np.cumsum([float(comb(width, t)) for t in range(radius + 1)])
 
 
-def even_cost(total: int, m: int, radius: int) -> float:
-    """Probes and candidates of one of ``total`` evenly spread fingerprints, with ``m`` parts and the best thresholds."""
-    widths = [BITS * (i + 1) // m - BITS * i // m for i in range(m)]
-    costs = [np.append(0.0, ball_sizes(w, radius) * (1 + total / 2.0**w))[:, None] for w in widths]
-    return float(sum(c[a, 0] for c, a in zip(costs, allocate(costs, radius + 1)[:, 0], strict=True)))
-
-
 def allocate(costs: list[np.ndarray], budget: int) -> np.ndarray:
     """For each row the shares a_i (threshold + 1; 0 skips) with sum ``budget`` and least total of ``costs[i][a_i]``."""
     rows = costs[0].shape[1]
@@ -153,40 +154,73 @@ def allocate(costs: list[np.ndarray], budget: int) -> np.ndarray:
 class Plan:
     """Parts of the bits of a table's distinct fingerprints (column fp), and the numbers that share out thresholds.
 
-    Of 2 to ``radius + 1`` parts the number is taken whose thresholds promise the fewest probes and candidates. For that
-    choice fingerprints count as spread evenly; the thresholds then follow what the table holds.
+    Of 2 to ``radius + 1`` parts the number is taken whose thresholds promise the table the least cost: the best
+    thresholds of every fingerprint are worked out for each number, and their probes and candidates, as the counts of
+    values let expect them, added up (``costs``). Candidates grow with the square of the table while parts are narrow,
+    so larger tables take fewer and wider ones.
     """
 
     def __init__(self, fps: DataFrame, radius: int, m: int | None = None):
         self.radius = radius
-        self.total, joint = total, joint = joint_counts(fps)
-        m = m or min(range(2, max(3, radius + 2)), key=lambda k: even_cost(total, k, radius))
-        self.parts = parts = bit_parts(joint, m)
-        self.known = known = [min(SKETCH, len(p)) for p in parts]
+        self.total, joint = joint_counts(fps)
+        choices = [m] if m else range(2, max(3, radius + 2))
+        split = {k: bit_parts(joint, k) for k in choices}
+        flat = [(k, i, bits, min(SKETCH, len(bits))) for k in choices for i, bits in enumerate(split[k])]
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = [np.zeros(2**k, np.int64) for k in known]
+            seen = [np.zeros(2**known, np.int64) for *_, known in flat]
             for batch in batches:
-                x = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                for i, bits in enumerate(parts):
-                    seen[i] += np.bincount(take_bits(x, bits[: known[i]]).astype(np.int64), minlength=2 ** known[i])
+                x = _longs(batch, "fp").view(np.uint64)
+                for s, (_, _, bits, known) in zip(seen, flat, strict=True):
+                    s += np.bincount(take_bits(x, bits[:known]).astype(np.int64), minlength=2**known)
             for i, s in enumerate(seen):
                 at = np.flatnonzero(s)
                 yield out_batch(part=np.full(len(at), i, np.int32), value=at.astype(np.int32), n=s[at])
 
-        self.seen = [np.zeros(2**k) for k in known]
-        for part, value, n in fps.mapInArrow(count, "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).collect():
-            self.seen[part][value] = n
-        self.expected = [ball_counts(s, len(p), radius) for s, p in zip(self.seen, parts, strict=True)]
-        self.probes = [ball_sizes(len(p), radius) for p in parts]
-
-    def turned(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Part, rows and values to look up for fingerprints ``x``, by the thresholds that cost each of them least."""
+        seen = [np.zeros(2**known) for *_, known in flat]
+        got = fps.mapInArrow(count, "part int, value int, n long").groupBy("part", "value").agg(F.sum("n").alias("n")).toArrow()
+        part, value, n = (got.column(c).to_numpy() for c in ("part", "value", "n"))  # 2^16 for each part at most
+        for i, s in enumerate(seen):
+            s[value[part == i]] = n[part == i]
+        self.costs = {}
+        for k in choices:
+            self.take(split[k], [s for s, (own, *_) in zip(seen, flat, strict=True) if own == k])
+            self.costs[k] = self.cost_of(fps) if len(choices) > 1 else 0.0
+        best = min(self.costs, key=self.costs.get)
+        self.take(split[best], [s for s, (own, *_) in zip(seen, flat, strict=True) if own == best])
+
+    def take(self, parts: list[list[int]], seen: list[np.ndarray]) -> None:
+        self.parts = parts
+        self.known = [int(np.log2(len(s))) for s in seen]
+        self.expected = [ball_counts(s, len(p), self.radius) for s, p in zip(seen, parts, strict=True)]
+        # a fingerprint is no candidate of its own
+        self.own = [even_shares(len(p) - k, self.radius) for p, k in zip(parts, self.known, strict=True)]
+        self.probes = [ball_sizes(len(p), self.radius) for p in parts]
+
+    def shares(self, x: np.ndarray) -> tuple[np.ndarray, float]:
+        """Thresholds (plus 1) of each part for fingerprints ``x``, those that cost each of them least, and that cost."""
         costs = []
         for i, bits in enumerate(self.parts):
             lead = take_bits(x, bits[: self.known[i]]).astype(np.int64)
-            costs.append(np.vstack([np.zeros((1, len(x))), self.expected[i][:, lead] + self.probes[i][:, None]]))
+            others = np.maximum(self.expected[i][:, lead] - self.own[i][:, None], 0)
+            costs.append(np.vstack([np.zeros((1, len(x))), CANDIDATE * others + self.probes[i][:, None]]))
         shares = allocate(costs, self.radius + 1)
+        return shares, float(sum(c[s, np.arange(len(x))].sum() for c, s in zip(costs, shares, strict=True)))
+
+    def cost_of(self, fps: DataFrame) -> float:
+        """Probes and candidates of all fingerprints with the present parts; a number for each task comes back."""
+        shared = fps.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = _longs(batch, "fp").view(np.uint64)
+                yield out_batch(cost=np.array([sum(shared.value.shares(x[a : a + 16384])[1] for a in range(0, len(x), 16384))]))
+
+        return fps.mapInArrow(run, "cost double").agg(F.sum("cost")).first()[0] or 0.0
+
+    def turned(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Part, rows and values to look up for fingerprints ``x``, by the thresholds that cost each of them least."""
+        shares, _ = self.shares(x)
         for i, bits in enumerate(self.parts):
             value = take_bits(x, bits)
             for t in range(self.radius + 1):
@@ -195,6 +229,12 @@ class Plan:
                     yield i, at, value[at] ^ np.uint64(sum(1 << f for f in flips))
 
 
+def value_bit(part: np.ndarray | int, value: np.ndarray) -> np.ndarray:
+    """Where the table of bits of :func:`links` holds values of a part."""
+    turn = np.uint64(0x9E3779B97F4A7C15)
+    return (((value + turn) * (turn + np.uint64(2) * np.asarray(part).astype(np.uint64))) >> np.uint64(64 - TABLE_LOG2)).astype(np.int64)
+
+
 def _longs(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -209,14 +249,8 @@ def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
     """
     fps = fps.where("fp is not null").select("fp")
     plan = Plan(fps, radius, m)
-    shared = fps.sparkSession.sparkContext.broadcast(plan)
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in range(0, batch.num_rows, 16384):
-                x = _longs(batch.slice(some, 16384), "fp").view(np.uint64)
-                for i, at, value in shared.value.turned(x):
-                    yield out_batch(part=np.full(len(at), i, np.int32), value=value.view(np.int64), a=x[at].view(np.int64))
+    context = fps.sparkSession.sparkContext
+    shared = context.broadcast(plan)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,8 +262,27 @@ def links(fps: DataFrame, radius: int = 3, m: int | None = None) -> DataFrame:
     indexed = fps.mapInArrow(index, "part int, value long, b long")
     sums = [F.count(F.lit(1)).alias("many"), F.min_by("b", F.xxhash64("b")).alias("hub")]
     hubs = materialise(indexed.groupBy("part", "value").agg(*sums), "value-hubs", plan.total * len(plan.parts))
-    # a lookup that finds nothing goes no further
-    probing = materialise(fps.mapInArrow(probe, "part int, value long, a long").join(hubs, ["part", "value"]), "lookups", plan.total * 16)
+
+    def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield out_batch(bit=value_bit(_longs(batch, "part"), _longs(batch, "value").view(np.uint64)).astype(np.int32))
+
+    bits = np.zeros(2**TABLE_LOG2, bool)
+    bits[hubs.select("part", "value").mapInArrow(bits_of, "bit int").distinct().toArrow().column("bit").to_numpy()] = True  # 2^23 numbers at most
+    held = context.broadcast(np.packbits(bits))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(held.value).astype(bool)
+        for batch in batches:
+            for some in range(0, batch.num_rows, 16384):
+                x = _longs(batch.slice(some, 16384), "fp").view(np.uint64)
+                found = [(i, value[seen], x[at[seen]]) for i, at, value in shared.value.turned(x) if (seen := table[value_bit(i, value)]).any()]
+                if found:
+                    part = np.repeat(np.array([i for i, *_ in found], np.int32), [len(v) for _, v, _ in found])
+                    yield out_batch(part=part, value=np.concatenate([v for _, v, _ in found]).view(np.int64), a=np.concatenate([f for *_, f in found]).view(np.int64))
+
+    # a lookup of a value that no fingerprint has goes no further than the table of bits or the join
+    probing = materialise(fps.mapInArrow(probe, "part int, value long, a long").join(hubs, ["part", "value"]).where("many > 1 or a <> hub"), "lookups", plan.total * 4)
     own = indexed.join(hubs.where("many > 1"), ["part", "value"]).where(close("b", "hub")).select(F.col("b").alias("a"), F.col("hub").alias("b"))
     first = materialise(probing.where(close("a", "hub")).select("a", F.col("hub").alias("b")).union(own).distinct(), "first-links", plan.total * len(plan.parts))
 
@@ -270,8 +323,6 @@ TEXT_ROWS = 50
 HUBS = 4
 #: Sets are dealt by size, each class so many times larger than the one before.
 SIZE_STEP = 1.1
-#: Bits of the table that spares most texts the way to a join.
-TABLE_LOG2 = 23
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -64,9 +65,27 @@ def test_links_connect_all_for_any_number_of_parts(spark, monkeypatch):
         assert {f: roots.get(f, f) for f in fps} == label
 
 
-def test_more_fingerprints_take_fewer_wider_parts():
-    best = [min((2, 3, 4), key=lambda m: sd.even_cost(n, m, 3)) for n in (10, 10**5, 10**7, 10**10)]
-    assert best == sorted(best, reverse=True) and best[0] == 4 and best[-1] == 2
+def test_more_fingerprints_take_fewer_wider_parts(spark):
+    rng = np.random.default_rng(4)
+    parts = []
+    for n in (100, 30_000, 400_000):
+        frame = spark.createDataFrame(pa.table({"fp": rng.integers(-(2**63), 2**63, n)}))
+        parts.append(len(sd.Plan(frame, 3).parts))
+    assert parts == [4, 3, 2]
+
+
+def test_expected_probes_and_candidates_are_about_those_that_come(spark):
+    rng = np.random.default_rng(6)
+    x = np.unique(rng.integers(0, 2**64, 20_000, dtype=np.uint64) & ~np.uint64(0b10100))  # some bits never set
+    for m in (3, 4):
+        plan = sd.Plan(spark.createDataFrame(pa.table({"fp": x.view(np.int64)})), 3, m)
+        values = [np.sort(sd.take_bits(x, bits)) for bits in plan.parts]
+        probes = candidates = 0
+        for i, at, value in plan.turned(x):
+            own = sd.take_bits(x, plan.parts[i])[at] == value
+            probes += len(at)
+            candidates += (np.searchsorted(values[i], value, "right") - np.searchsorted(values[i], value) - own).sum()
+        assert 0.8 < plan.shares(x)[1] / (probes + sd.CANDIDATE * candidates) < 1.2
 
 
 def test_set_fingerprints_equal_the_plain_ones():
