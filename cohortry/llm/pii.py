@@ -141,35 +141,60 @@ def mentions(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "entity long, text_hash long").groupBy("entity", "text_hash").agg(F.count(F.lit(1)).alias("n"))
 
 
-def companions(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``entity``, ``term``, ``text_hash`` and ``n``: in how many rows with that text each term meets each wanted entity.
+def words_beside(docs: DataFrame, holding: DataFrame) -> DataFrame:
+    """``term`` and ``text_hash``: the terms, outside identifiers, of each different text whose hash is in ``holding``.
 
-    ``seen`` tells which texts mention it (:func:`mentions`); a table of bits spares most other texts the search.
+    A text gives each of its terms once, however many identifiers it has; a table of bits spares most other texts the search.
     """
-    holding = seen.join(wanted.select("entity"), "entity", "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast((bit_table(wanted, "entity"), bit_table(holding, "text_hash")))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(holding, "text_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, texts_with = (np.unpackbits(bits).astype(bool) for bits in shared.value)
+        texts_with = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             lead = batch.column("text_hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> np.uint64(64 - TABLE_LOG2)
             for piece in slices(batch.filter(pa.array(texts_with[lead.astype(np.int64)])), limit=SLICE):
-                ents, terms, hashes = [], [], []
+                terms, hashes = [], []
                 for text, h in zip(piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True):
-                    spans = base_spans(text)
-                    own = {e for a, k, b in spans if table[((e := entity(text, k, a, b)) & (2**64 - 1)) >> (64 - TABLE_LOG2)]}
-                    for e in own:
-                        some = {term(w) for w, _, _ in words_outside(text, spans)}
-                        ents += [e] * len(some)
-                        terms += some
-                        hashes += [h] * len(some)
-                    if len(ents) > 200_000:
-                        yield out_batch(entity=pa.array(ents, pa.int64()), term=pa.array(terms, pa.int64()), text_hash=pa.array(hashes, pa.int64()))
-                        ents, terms, hashes = [], [], []
-                yield out_batch(entity=pa.array(ents, pa.int64()), term=pa.array(terms, pa.int64()), text_hash=pa.array(hashes, pa.int64()))
-
-    found = docs.select("text", "text_hash").mapInArrow(run, "entity long, term long, text_hash long")
-    return found.join(wanted.select("entity"), "entity", "left_semi").groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+                    some = {term(w) for w in {w for w, _, _ in words_outside(text, base_spans(text))}}
+                    terms += some
+                    hashes += [h] * len(some)
+                yield out_batch(term=pa.array(terms, pa.int64()), text_hash=pa.array(hashes, pa.int64()))
+
+    found = docs.select("text", "text_hash").mapInArrow(run, "term long, text_hash long")
+    return found.distinct().join(holding.select("text_hash").distinct(), "text_hash", "left_semi")
+
+
+def text_sets(places: DataFrame, key: str, least_texts: int) -> DataFrame:
+    """``key`` and ``kind`` for the keys of ``places`` (one row for each key and text) in at least ``least_texts`` texts.
+
+    Keys of one kind are in the same texts: it holds their number and two 64-bit sums of their hashes without carry.
+    """
+    kind = F.struct(F.count(F.lit(1)).alias("n_texts"), F.expr("bit_xor(xxhash64(text_hash, 1))").alias("one"), F.expr("bit_xor(xxhash64(text_hash, 2))").alias("two"))
+    return places.groupBy(key).agg(kind.alias("kind")).where(F.col("kind.n_texts") >= least_texts)
+
+
+def companions(docs: DataFrame, seen: DataFrame, rows: int, share: float, least_texts: int) -> DataFrame:
+    """``term`` and ``most``: the terms that meet an entity in at least ``least_texts`` different texts, and in how many of the
+    ``rows`` documents a term can be at most that discloses one of those that it meets.
+
+    ``seen`` tells which texts mention an entity (:func:`mentions`). Entities that are in the same texts count alike, and so
+    do terms. So kinds meet over their texts and not their members: a page of thousands of identifiers and words does
+    not make a row of each with each.
+    """
+    entities = materialise(text_sets(seen, "entity", least_texts), "pii-entities", rows)
+    one_each = entities.groupBy("kind").agg(F.min("entity").alias("entity"))
+    ours = materialise(seen.join(one_each, "entity").select(F.col("kind").alias("entity_kind"), "text_hash", "n"), "pii-entity-texts", rows)
+    words = materialise(words_beside(docs, ours.select("text_hash")), "pii-words", rows * 8)
+    terms = materialise(text_sets(words, "term", least_texts), "pii-terms-beside", rows)
+    one_each = terms.groupBy("kind").agg(F.min("term").alias("term"))
+    theirs = words.join(one_each, "term").select("kind", "text_hash")
+    met = ours.join(theirs, "text_hash").groupBy("entity_kind", "kind").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
+    known = ours.groupBy("entity_kind").agg(F.sum("n").alias("n_entity"))
+    # log2(rows n_both / (n_entity n)) is above 0 and at least ``share`` of log2(rows / n_entity), put as a bound of n
+    chance = F.lit(float(rows)) / F.col("n_entity")
+    bound = F.least(F.ceil(chance * F.col("n_both")) - 1, F.floor(F.pow(chance, F.lit(1 - share)) * F.col("n_both") * (1 + 1e-12)))
+    most = met.join(known, "entity_kind").groupBy("kind").agg(F.max(bound).alias("most"))
+    return terms.join(most, "kind").select("term", "most")
 
 
 def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -203,13 +228,8 @@ def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> Dat
     """
     rows = docs.count()
     seen = materialise(mentions(docs), "pii-mentions", rows)
-    entities = materialise(seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts), "pii-entities", rows)
-    met = companions(docs, seen, entities).groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least_texts)
-    met = materialise(met, "pii-pairs", rows)
-    total = F.lit(float(rows))
-    shared = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n")))
-    telling = met.join(entities.select("entity", "n_entity"), "entity").join(document_counts(docs, met), "term")
-    return telling.where((shared > 0) & (shared >= share * F.log2(total / F.col("n_entity")))).select("term").distinct()
+    met = materialise(companions(docs, seen, rows, share, least_texts), "pii-companions", rows)
+    return document_counts(docs, met).join(met, "term").where("n <= most").select("term")
 
 
 def spans_of(base: list[tuple[int, int, int]], added: list[tuple[int, int]]) -> str:

@@ -77,6 +77,34 @@ def test_disclosing_terms_match_the_definition(spark):
     assert by[250].clean_text == "only [term] here, far from any address" and by[251].clean_text.startswith("the [term] and then")
 
 
+def test_disclosing_terms_match_the_definition_on_mixed_pages(spark):
+    rng = random.Random(11)
+    docs = []
+    for i in range(150):
+        words = [w for k in range(40) if rng.random() < 2 / (k + 2) for w in [f"w{chr(97 + k % 26) * (1 + k // 26)}"]]
+        mails = [f"m{k}@site.org" for k in range(10) if rng.random() < 0.06]
+        told = [f"near{chr(97 + int(m[1:-9]))}" for m in mails if rng.random() < 0.8]
+        docs.append((i, " ".join(rng.sample(words + mails + told, len(words + mails + told)))))
+    docs += [(1000 + i, docs[rng.randrange(150)][1]) for i in range(60)]
+    for share, least in ((0.8, 3), (0.5, 2), (1.0, 1)):
+        rows = pii.find(spark.createDataFrame(docs, "doc_id long, text string"), share=share, least_texts=least).collect()
+        got = {(r.doc_id, *map(int, x.split(":")[1:])) for r in rows for x in r.spans.split(",") if x.startswith("term")}
+        assert got == plain_terms(docs, share, least) and got
+
+
+def test_a_page_of_many_identifiers_and_words_ends(spark):
+    def name(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(4))
+
+    pages = [" ".join(f"u{i}@site.org q{name(i)}" for i in range(10_000) if i % 7 != skip) for skip in (7, 7, 7, 1, 2)]
+    docs = [(i, f"{p} v{name(i)}") for i, p in enumerate(pages)] + [(100 + i, f"plain page {name(i)}") for i in range(60)]
+    began = time.time()
+    rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string"), with_text=False).collect()}
+    assert time.time() - began < 60
+    assert [rows[i].n_email for i in range(5)] == [rows[i].n_term for i in range(5)] == [10_000] * 3 + [10_000 - 1429] * 2
+    assert rows[100].spans == ""
+
+
 def test_a_word_gives_away_where_the_identifier_is_not(spark):
     docs = [(i, f"mail bob@site.org now {'w' * (i + 1)} the man of Zanzibar") for i in range(6)] + [(10, "only zanzibar here")]
     docs += [(20 + i, f"the man of {'v' * (i + 1)} now") for i in range(60)]
