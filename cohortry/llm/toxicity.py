@@ -79,68 +79,88 @@ class Sample:
         return out
 
 
-#: Rows that a term is in at least. Chi-squared of a term alone, and normal deviates of pairs among so many, from which they count.
+#: Rows that a term is in at least. Chi-squared of a term alone, and normal deviates of a pair, from which they count.
 LEAST_ROWS, ALONE, TOGETHER = 3, 6.6, 6.5
-#: Terms whose company with every other term is looked at, and commonest terms that are all looked at with one another.
-PARTNERS, COMMON = 256, 1024
+#: Terms in at least one row of so many meet one another in matrices, so many at a time; a rarer term visits its rows.
+HEAVY, BLOCK = 16, 512
 
 
-def telling_alone(sample: Sample, counts: np.ndarray, kept: int) -> np.ndarray:
-    """The ``kept`` buckets with the highest chi-squared against the label, best first."""
+def telling_alone(sample: Sample, counts: np.ndarray) -> np.ndarray:
+    """The buckets whose chi-squared against the label is beyond chance, best first."""
     n, positive = len(sample.labels), sample.labels.sum()
     expected = counts * positive / n
     chi = (sample.sums(sample.labels) - expected) ** 2 / np.maximum(expected * (1 - positive / n) * (1 - counts / n), 1e-9)
     chi[(counts < LEAST_ROWS) | (counts >= n)] = 0
-    best = np.argsort(-chi, kind="stable")[:kept]
+    best = np.argsort(-chi, kind="stable")
     return best[chi[best] > ALONE]
 
 
 def telling_together(sample: Sample, counts: np.ndarray, chosen: np.ndarray, scores: np.ndarray) -> np.ndarray:
-    """Buckets that tell of the label only in company: their pairs explain what ``scores`` leave of the labels, beyond chance.
+    """Buckets outside ``chosen`` that belong to a pair which explains what ``scores`` leave of the labels, beyond chance.
 
-    What is left of a row is taken to vary as its score says, or as it does, whichever is more.
-    Looked at are all pairs with one of the first ``PARTNERS`` of ``chosen``, and all pairs of the ``COMMON`` buckets that
-    split the rows most evenly.
+    What is left of a row is taken to vary as its score says, or as it does, whichever is more. All pairs are judged: of two
+    terms that many rows have, by the product of their deviations from their shares; of others, by the rows with both. For
+    these, the sum of left^2 / variance over a term's rows of one sign bounds the square of any of its pairs' deviates
+    (Cauchy and Schwarz), so terms whose bound is too low are passed over and no pair is lost.
     """
-    n, found, left = len(sample.labels), [], sample.labels - scores
+    left = sample.labels - scores
     varies = np.maximum(scores * (1 - scores), left**2)
+    known = (counts >= LEAST_ROWS) & (counts < len(left))
+    heavy = known & (counts * HEAVY >= len(left))
+    bound = np.maximum(*(sample.sums(np.where(left * sign > 0, left**2 / varies, 0.0)) for sign in (1, -1)))
+    reach = known & (bound > TOGETHER**2)
+    found = [*heavy_pairs(sample, counts, np.flatnonzero(heavy), left, varies), *light_pairs(sample, heavy, np.flatnonzero(reach), left, varies)]
+    return np.setdiff1d(np.concatenate(found), chosen) if found else chosen[:0]
+
+
+def heavy_pairs(sample: Sample, counts: np.ndarray, heavy: np.ndarray, left: np.ndarray, varies: np.ndarray) -> Iterator[np.ndarray]:
+    """Buckets of ``heavy`` that tell in a pair with another of them, by sums over all rows of products of deviations."""
     slots = np.full(2**BUCKETS_LOG2, -1, np.int32)
-    slots[chosen[:PARTNERS]] = np.arange(len(chosen[:PARTNERS]))
-    with_row: list[list[np.ndarray]] = [[] for _ in chosen[:PARTNERS]]
+    slots[heavy] = np.arange(len(heavy))
+    share = (counts[heavy] / len(left)).astype(np.float32)
+    for begin in range(0, len(heavy), BLOCK):
+        some = min(BLOCK, len(heavy) - begin)
+        told, noise = np.zeros((some, len(heavy) - begin)), np.zeros((some, len(heavy) - begin))
+        for a, b, terms, of in sample.parts():
+            z = np.tile(-share[begin:], (b - a, 1))
+            slot = slots[terms] - begin
+            z[of[slot >= 0], slot[slot >= 0]] += 1
+            told += z[:, :some].T @ (z * left[a:b, None].astype(np.float32))
+            z *= z
+            noise += z[:, :some].T @ (z * varies[a:b, None].astype(np.float32))
+        tells = np.abs(told) > TOGETHER * np.sqrt(np.maximum(noise, 1e-9))
+        np.fill_diagonal(tells, False)
+        yield heavy[begin : begin + some][tells.any(axis=1)]
+        yield heavy[begin:][tells.any(axis=0)]
+
+
+def light_pairs(sample: Sample, heavy: np.ndarray, reach: np.ndarray, left: np.ndarray, varies: np.ndarray) -> Iterator[np.ndarray]:
+    """Buckets of ``reach`` that tell in a pair of which at least one is not ``heavy``, by sums over the rows with both."""
+    slots = np.full(2**BUCKETS_LOG2, -1, np.int32)
+    slots[reach] = np.arange(len(reach))
+    cols, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for a, _, terms, of in sample.parts():
         slot = slots[terms]
-        of, slot = of[slot >= 0] + a, slot[slot >= 0]
-        by = np.argsort(slot, kind="stable")
-        edges = np.flatnonzero(np.diff(slot[by], prepend=-1, append=-1))
-        for x, y in zip(edges, edges[1:], strict=False):
-            with_row[slot[by[x]]].append(of[by[x:y]])
-    for rows in map(np.concatenate, filter(None, with_row)):
-        sums = np.zeros((3, 2**BUCKETS_LOG2))
-        for some in np.array_split(rows, len(rows) // 1000 + 1):
-            sizes = np.diff(sample.first)[some]
-            terms = sample.terms[np.repeat(sample.first[some] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+        cols.append(slot[slot >= 0])
+        rows.append((of[slot >= 0] + a).astype(np.int32))
+    cols, rows = np.concatenate(cols), np.concatenate(rows)
+    first = np.searchsorted(rows, np.arange(len(left) + 1))
+    light = np.flatnonzero(~heavy[reach])
+    by_term = np.argsort(cols, kind="stable")
+    edges = np.searchsorted(cols[by_term], np.stack([light, light + 1]))
+    for term, begin, end in zip(light, *edges, strict=True):
+        mine = rows[by_term[begin:end]]
+        sums = np.zeros((3, len(reach)))
+        for some in np.array_split(mine, len(mine) // 1000 + 1):
+            sizes = first[some + 1] - first[some]
+            theirs = cols[np.repeat(first[some] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
             for k, weights in enumerate((np.ones(len(some)), left[some], varies[some])):
-                sums[k] += np.bincount(terms, np.repeat(weights, sizes), 2**BUCKETS_LOG2)
+                sums[k] += np.bincount(theirs, np.repeat(weights, sizes), len(reach))
         seen, told, noise = sums
-        found.append(np.flatnonzero((seen >= LEAST_ROWS) & (np.abs(told) > TOGETHER * np.sqrt(noise))))
-    even = np.argsort(-counts * (n - counts), kind="stable")[:COMMON]
-    even = even[(counts[even] >= LEAST_ROWS) & (counts[even] < n)]
-    slots[:] = -1
-    slots[even] = np.arange(len(even))
-    share = (counts[even] / n).astype(np.float32)
-    told, noise = np.zeros((len(even), len(even))), np.zeros((len(even), len(even)))
-    for a, b, terms, of in sample.parts():
-        z = np.tile(-share, (b - a, 1))
-        slot = slots[terms]
-        z[of[slot >= 0], slot[slot >= 0]] += 1
-        told += z.T @ (z * left[a:b, None].astype(np.float32))
-        z *= z
-        noise += z.T @ (z * varies[a:b, None].astype(np.float32))
-    if len(even):
-        deviate = np.abs(told) / np.sqrt(np.maximum(noise, 1e-9))
-        np.fill_diagonal(deviate, 0)
-        found.append(even[deviate.max(axis=1) > TOGETHER])
-    return np.setdiff1d(np.concatenate(found), chosen) if found else chosen[:0]
+        tells = (seen >= LEAST_ROWS) & (np.abs(told) > TOGETHER * np.sqrt(noise))
+        tells[term] = False
+        if tells.any():
+            yield reach[np.append(np.flatnonzero(tells), term)]
 
 
 def descend(sample: Sample, used: np.ndarray, rank: int, epochs: int, seed: int, boost: float) -> Machine:
@@ -176,12 +196,12 @@ def descend(sample: Sample, used: np.ndarray, rank: int, epochs: int, seed: int,
     return Machine(slots, float(b), w, v)
 
 
-def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 2048, rank: int = 8, epochs: int = 60, seed: int = 7, boost: float = 2.0) -> Machine:
+def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, rank: int = 8, epochs: int = 60, seed: int = 7, boost: float = 2.0) -> Machine:
     """A machine fitted on the terms that tell of the label alone, and on those that do so only in company; with one label
     only, its rate.
 
-    A machine over all terms would learn its few rows by heart. So the ``kept`` terms with the highest chi-squared come
-    first; what their machine leaves unexplained then names the terms that matter in pairs, whatever they tell alone,
+    A machine over all terms would learn its few rows by heart. So the terms that chance does not explain come first,
+    however many; what their machine leaves unexplained then names the terms that matter in pairs, whatever they tell alone,
     and if there are any, the machine is fitted anew on all of them.
     """
     n, positive = len(labels), labels.sum()
@@ -190,7 +210,7 @@ def fit(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, kept: int = 20
         return Machine(np.full(2**BUCKETS_LOG2, -1, np.int32), float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, rank)))
     sample = Sample(terms, first, labels)
     counts = sample.sums(np.ones(n))
-    chosen = telling_alone(sample, counts, kept)
+    chosen = telling_alone(sample, counts)
     machine = descend(sample, chosen, rank, epochs, seed, boost)
     scores = np.concatenate([machine.scores(some, np.append(first[a:b], first[b]) - first[a]) for a, b, some, _ in sample.parts()])
     more = telling_together(sample, counts, chosen, scores)

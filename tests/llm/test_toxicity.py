@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cohortry.llm import toxicity
 from cohortry.llm.common import table
@@ -61,13 +62,58 @@ def test_a_mention_as_common_in_clean_rows_is_learnt_beside_an_insult():
     sample = toxicity.Sample(terms, first, np.array(labels))
     counts = sample.sums(np.ones(4000))
     bucket = lambda w: set(toxicity.distinct_terms(pa.array([w]))[0].tolist())
-    alone = toxicity.telling_alone(sample, counts, 2048)
+    alone = toxicity.telling_alone(sample, counts)
     machine = toxicity.fit(terms, first, np.array(labels))
     assert bucket("dreadful") <= set(alone.tolist()) and (machine.slots[list(bucket("neighbours"))] >= 0).all()
     found = machine.scores(*toxicity.distinct_terms(pa.array(["w1 neighbours", "w1 dreadful", "w1 dreadful neighbours"])))
     assert found[0] < 0.2 and found[1] < 0.6 and found[2] > 0.7
 
 
+def test_a_pair_is_learnt_beside_any_number_of_commoner_words():
+    rng = np.random.default_rng(4)
+    texts, labels = [], []
+    words = np.array([f"w{i}" for i in range(2000)])
+    for _ in range(4000):
+        one, two = (rng.random(2) < 0.14).tolist()  # each is as common in clean rows as in toxic ones: 0.14 = 0.14 * 1 + 0.86 * 0
+        toxic = one and two or not one and not two and rng.random() < 0.14 / 0.86
+        texts.append(" ".join([*words[rng.random(2000) < 0.2], *["zzinsult"] * one, *["qqgroup"] * two]))
+        labels.append(float(toxic))
+    terms, first = toxicity.distinct_terms(pa.array(texts))
+    machine = toxicity.fit(terms, first, np.array(labels))
+    both = np.array(["zzinsult" in t and "qqgroup" in t for t in texts])
+    for word in ("zzinsult", "qqgroup"):
+        assert (machine.slots[toxicity.distinct_terms(pa.array([word]))[0]] >= 0).all()
+    found = machine.scores(terms, first)
+    assert found[both].mean() > 0.8 and found[~both].mean() < 0.2
+
+
+@pytest.mark.parametrize("density", [0.02, 0.1, 0.4])
+def test_pairs_that_tell_are_those_of_brute_force(density):
+    rng = np.random.default_rng(11)
+    n, buckets = 1500, rng.choice(2**toxicity.BUCKETS_LOG2, 60, replace=False)
+    x = rng.random((n, 60)) < density * rng.random(60) * 2
+    x[:, 1] |= x[:, 0] & (rng.random(n) < 0.8)
+    x[:, 3] |= x[:, 2] & (rng.random(n) < 0.8)
+    labels = np.where(x[:, 0] & x[:, 1], rng.random(n) < 0.95, rng.random(n) < 0.1).astype(float)
+    labels[x[:, 2] & x[:, 3]] = 0
+    scores = np.clip(rng.normal(0.12, 0.03, n), 0.01, 0.9)
+    terms = np.concatenate([np.sort(buckets[row]) for row in x])
+    sample = toxicity.Sample(terms, np.concatenate([[0], x.sum(axis=1).cumsum()]), labels)
+    left = labels - scores
+    varies, counts = np.maximum(scores * (1 - scores), left**2), x.sum(axis=0)
+    want = set()
+    for i in range(60):
+        for j in range(i):
+            z = x[:, [i, j]].astype(float)
+            if min(counts[i], counts[j]) >= n / toxicity.HEAVY:
+                z -= counts[[i, j]] / n
+            both = z.prod(axis=1)
+            if (both != 0).sum() >= toxicity.LEAST_ROWS and abs((both * left).sum()) > toxicity.TOGETHER * np.sqrt((both**2 * varies).sum()):
+                want |= {int(buckets[i]), int(buckets[j])}
+    got = toxicity.telling_together(sample, sample.sums(np.ones(n)), np.zeros(0, int), scores)
+    assert set(got.tolist()) == want and (want or density == 0.02)
+
+
 def test_scores_equal_the_formula(spark):
     terms, first = toxicity.distinct_terms(pa.array(["you fool there", "", "a fool"]))
     slots = np.full(2**toxicity.BUCKETS_LOG2, -1, np.int32)
