@@ -118,6 +118,17 @@ def dinucleotides(sequences: DataFrame, centre: int = 0) -> DataFrame:
     return sums.select("class", (F.col("pos") - centre).alias("pos"), "n", (100 * F.col("n") / F.sum("n").over(Window.partitionBy("class"))).alias("pct"))
 
 
+def chromosome_ratios(bins: DataFrame, chromosomes: Sequence[str]) -> DataFrame:
+    """``sample``, ``group``, ``chrom``, ``n_bins``, ``ratio``: mean of the bins' ratios on the named chromosomes.
+
+    ``bins`` has sample, group, chrom, ratio and maybe ratio_corrected, which then counts instead. Ratios may be texts; what is no
+    number is left out, and a chromosome without any ratio has no row.
+    """
+    ratio_ = F.col("ratio_corrected" if "ratio_corrected" in bins.columns else "ratio").try_cast("double")
+    numbers = bins.where(F.col("chrom").isin(*chromosomes)).select("sample", "group", "chrom", F.nanvl(ratio_, F.lit(None).cast("double")).alias("value"))
+    return numbers.where("value is not null").groupBy("sample", "group", "chrom").agg(F.count(F.lit(1)).alias("n_bins"), F.avg("value").alias("ratio"))
+
+
 def mate_spans(reads: DataFrame, length: int = 167) -> DataFrame:
     """Spans of mate pairs (sample, chrom, start, end, mate_start, mate_end) of exactly ``length`` bases."""
     span = reads.select("sample", "chrom", F.least("start", "mate_start").alias("start"), F.greatest("end", "mate_end").alias("end"))

@@ -105,6 +105,29 @@ def fixed_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
 
 
+def feature_subset(features: DataFrame, key: str, subset: int | float | str = "all", seed: int = 42) -> DataFrame:
+    """A random subset of the distinct values of ``key``, the same every time: a number of them, a share (rounded down) or "all".
+
+    Taken are the values whose MD5 of seed and value comes first. Values are counted for each of the 4,096 beginnings of
+    that hash, and only the beginning in which the subset ends is put in order, so no sort or limit takes all values in one
+    task. More than there are is an error; nulls are left out.
+    """
+    values = features.select(key).where(F.col(key).isNotNull()).distinct()
+    if subset == "all":
+        return values
+    hashed = values.withColumn("__h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))).withColumn("__tile", F.substring("__h", 1, 3))
+    sizes = hashed.groupBy("__tile").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.orderBy("__tile"))  # at most 4,096 rows
+    n = F.sum("__n").over(Window.partitionBy())
+    wanted = F.lit(subset) if isinstance(subset, int) else F.floor(n * F.lit(subset))
+    wanted = F.when(wanted <= n, wanted).otherwise(F.raise_error(F.lit(f"fewer than {subset} values of {key}")))
+    left = sizes.select("__tile", (wanted - upto + F.col("__n")).alias("__left"), "__n").where("__left > 0")
+    inside = hashed.join(F.broadcast(left), "__tile")
+    place = F.row_number().over(Window.partitionBy("__tile").orderBy("__h", key))
+    whole, last = inside.where("__left >= __n"), inside.where("__left < __n").withColumn("__place", place).where("__place <= __left")
+    return whole.select(key).union(last.select(key))
+
+
 def group_means(long: DataFrame, a: str = "control", b: str = "case") -> DataFrame:
     """``mean_a``, ``mean_b`` and ``meandiff`` (b less a) of each feature over observed values."""
     mean = lambda g: F.avg(F.when(F.col("group") == g, F.col("value")))

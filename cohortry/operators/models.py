@@ -246,6 +246,27 @@ def leave_one_out(long: DataFrame, labels: dict[str, int], classifier: dict[str,
     return scored.groupBy("held").applyInPandas(stack, "sample string, y_true int, modality string, score double")
 
 
+def resolve_classifiers(modalities: DataFrame, classifiers: Sequence[int], performance: DataFrame | None = None) -> DataFrame:
+    """``modality``, ``ord``, ``classifier``: which of ``classifiers`` judges each of ``modalities`` (modality, ord from 0).
+
+    With a table of performance (modality, best: text whose last number is a place in ``classifiers``) the best one, the first of
+    ``classifiers`` for a modality it does not have, a text without number, a place beyond the end or an unknown classifier.
+    Without, each modality's own if there are as many as modalities, else the first for all.
+    """
+    if not classifiers or classifiers[0] not in CLASSIFIERS:
+        raise ValueError(f"the first classifier must be one of {', '.join(map(str, CLASSIFIERS))}")
+    choices, default = F.array(*(F.lit(c if c in CLASSIFIERS else classifiers[0]) for c in classifiers)), F.lit(classifiers[0])
+    at = lambda place: F.coalesce(F.get(choices, place), default)
+    if performance is None:
+        as_many = F.count(F.lit(1)).over(Window.partitionBy()) == len(classifiers)
+        return modalities.select("modality", "ord", F.when(as_many, at(F.col("ord"))).otherwise(default).alias("classifier"))
+    number = F.regexp_extract("best", r"([0-9]+)[^0-9]*$", 1).try_cast("int")
+    best = performance.where(F.col("modality").isNotNull()).groupBy("modality").agg(F.min("best").alias("best"))
+    kept = modalities.join(best, "modality", "left")
+    place = F.when(F.col("best").isNull(), None).otherwise(F.coalesce(number, F.when(F.col("best").rlike("[0-9]"), F.lit(len(classifiers))).otherwise(0)))
+    return kept.select("modality", "ord", at(place).alias("classifier"))
+
+
 def train_logistic(features: DataFrame, columns: Sequence[str], label: str, path: str | None = None):
     """A fitted pipeline (assembly, scaling, logistic regression) over a wide table of any length, saved if a path is given."""
     from pyspark.ml import Pipeline

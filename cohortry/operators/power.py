@@ -55,10 +55,41 @@ def beta_shape(mean: Column, sd: Column) -> tuple[Column, Column]:
     return F.when(ok, mean * total), F.when(ok, (1 - mean) * total)
 
 
+def has_beta(mean: Column, sd: Column, epsilon: float) -> Column:
+    """Whether a mean and deviation are those of a beta distribution; false for nulls."""
+    ok = (mean > epsilon) & (mean < 1 - epsilon) & (sd > 0) & (sd * sd < mean * (1 - mean))
+    return F.coalesce(ok, F.lit(False))
+
+
 def feasible(sites: DataFrame, epsilon: float = 1e-6) -> DataFrame:
     """Sites (site, mean, sd, one row for each depth) that have a beta distribution at every depth."""
-    ok = (F.col("mean") > epsilon) & (F.col("mean") < 1 - epsilon) & (F.col("sd") > 0) & (F.col("sd") * F.col("sd") < F.col("mean") * (1 - F.col("mean")))
-    return sites.groupBy("site").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok")).where("ok").select("site")
+    return sites.groupBy("site").agg(F.bool_and(has_beta(F.col("mean"), F.col("sd"), epsilon)).alias("ok")).where("ok").select("site")
+
+
+def once(df: DataFrame, key: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``value`` of each ``key`` (and ``by``); one that stands on several rows is an error."""
+    said = F.concat(F.lit(f"{key} occurs more than once: "), F.col(key).cast("string"))
+    return df.groupBy(key, *by).agg(F.count(F.lit(1)).alias("__n"), F.first(value).alias(value)).withColumn(value, F.when(F.col("__n") == 1, F.col(value)).otherwise(F.raise_error(said))).drop("__n")
+
+
+def site_moments(means: DataFrame, deviations: DataFrame) -> DataFrame:
+    """``site``, ``depth``, ``mean``, ``sd`` of the sites that both tables have: means (site, mean) and deviations (site, depth, sd).
+
+    A site with two means, or with two deviations of one depth, is an error; the order of rows does not matter.
+    """
+    key = lambda df: df.withColumn("site", F.col("site").cast("string"))
+    return once(key(deviations), "site", "sd", ["depth"]).join(once(key(means), "site", "mean"), "site").select("site", "depth", "mean", "sd")
+
+
+def feasibility(moments: DataFrame, epsilon: float = 1e-6) -> DataFrame:
+    """For each depth of :func:`site_moments`: ``n_aligned`` sites, ``n_feasible`` with a beta distribution, their ``fraction``, and
+    ``n_common``, the sites that have one at every depth; a site without a row at some depth is not common."""
+    ok = has_beta(F.col("mean"), F.col("sd"), epsilon)
+    depths = moments.groupBy("depth").agg(F.count(F.lit(1)).alias("n_aligned"), F.count(F.when(ok, 1)).alias("n_feasible"))
+    per_site = moments.where(ok).groupBy("site").agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("sites"))  # at most a row for each depth
+    numbered = depths.withColumn("n_depths", F.count(F.lit(1)).over(Window.partitionBy()))
+    joined = numbered.join(F.broadcast(per_site), F.col("n") == F.col("n_depths"), "left")
+    return joined.select("depth", "n_aligned", "n_feasible", (F.col("n_feasible") / F.col("n_aligned")).alias("fraction"), F.coalesce("sites", F.lit(0)).cast("long").alias("n_common"))
 
 
 def prepare_templates(sites: DataFrame, n_templates: int, n_features: int, n_signal: int, effect: float, effect_sd: float, seed: int, direction: str = "random") -> DataFrame:

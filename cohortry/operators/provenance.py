@@ -140,3 +140,31 @@ def dictionary_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     right = b.select("ord", F.struct("name", "length").alias("second"))
     both = left.join(right, "ord", "full").where(~F.col("first").eqNullSafe(F.col("second")))
     return both.select("ord", F.col("first.name").alias("first_name"), F.col("first.length").alias("first_length"), F.col("second.name").alias("second_name"), F.col("second.length").alias("second_length"))
+
+
+def resolve_scopes(configs: DataFrame, targeted: Sequence[str], profiles: Sequence[str] = ()) -> DataFrame:
+    """``configs`` with ``targeted_assay``, ``mode`` (panel or genome), ``reason``, ``targets`` and ``error`` (null if the scope is sound).
+
+    ``configs`` has requested, configured, assay, profile and target_bed. What is requested overrules what is configured, and without
+    either it is auto: panel for an assay in ``targeted`` or a profile that begins like one of ``profiles``, else genome. A
+    config with neither assay nor profile is not targeted. A panel needs targets.
+    """
+    scope = F.coalesce("requested", "configured", F.lit("auto"))
+    assay, profile = F.lower(F.coalesce("assay", F.lit(""))), F.lower(F.coalesce("profile", F.lit("")))
+    known = assay.isin(*targeted) if targeted else F.lit(False)
+    for begin in profiles:
+        known = known | profile.startswith(begin)
+    mode = F.when(scope == "auto", F.when(known, "panel").otherwise("genome")).when(scope.isin("panel", "genome"), scope)
+    reason = F.when(scope != "auto", "explicit user override").when(known, "default targeted assay").otherwise("non-targeted assay or custom profile")
+    bed = F.nullif("target_bed", F.lit(""))
+    error = F.when(mode.isNull(), F.concat(F.lit("unknown scope "), scope)).when((mode == "panel") & bed.isNull(), "a panel scope needs target regions")
+    return configs.select("*", known.alias("targeted_assay"), mode.alias("mode"), F.when(mode.isNotNull(), reason).alias("reason"), F.when(mode == "panel", bed).alias("targets"), error.alias("error"))
+
+
+def scope_keys(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``scope_key`` of each of ``keys``: 16 hex digits that depend on its inputs (label, path, signature) and not on the rows' order.
+
+    Each input is hashed alone and the hashes are put in order, so a group is as small as its number of inputs.
+    """
+    one = F.sha2(F.concat_ws("\x1f", F.col("label"), F.coalesce("path", F.lit("")), F.coalesce("signature", F.lit("missing"))), 256)
+    return records.groupBy(*keys).agg(F.array_sort(F.collect_set(one)).alias("all")).select(*keys, F.substring(F.sha2(F.concat_ws(",", "all"), 256), 1, 16).alias("scope_key"))

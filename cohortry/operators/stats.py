@@ -185,6 +185,15 @@ def best_features(tests: DataFrame, score: str, k: int) -> DataFrame:
     return tests.orderBy(F.desc_nulls_last(score), "feature").limit(k)
 
 
+def best_by_rank_p(long: DataFrame, k: int = 100, a: str = "control", b: str = "case") -> DataFrame:
+    """The ``k`` features that a two-sided rank test tells apart best: ``place`` (from 1), ``feature``, ``u``, ``p``; ties by feature.
+
+    A feature without a value in either group has no p and is never taken.
+    """
+    best = rank_p(rank_sum(long, a, b)).where("p is not null").orderBy("p", "feature").limit(k)
+    return best.withColumn("place", F.row_number().over(Window.orderBy("p", "feature"))).select("place", "feature", "u", "p")  # k rows
+
+
 PAIR_SUMS = ("n", "si", "sj", "sii", "sjj", "sij")
 
 

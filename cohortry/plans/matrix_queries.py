@@ -260,3 +260,14 @@ def feature_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 2).alias("y_true"), F.col("o_totalprice").alias("score"), F.col("o_orderkey").alias("sample"))
     return stats.sort_predictions(rows)
+
+
+@query("SELECT l_suppkey AS feature FROM (SELECT l_suppkey, row_number() OVER (ORDER BY md5('42:' || l_suppkey), l_suppkey) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT l_suppkey FROM lineitem)) WHERE place <= floor(n * 0.3::DOUBLE)")
+def feature_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.feature_subset(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("feature")), "feature", 0.3)
+
+
+@query()
+def best_rank_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 features of lowest rank-test p; p values have no SQL form, a test holds the choice against them."""
+    return stats.best_by_rank_p(long_matrix(spark, sf_dir))

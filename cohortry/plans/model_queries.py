@@ -130,3 +130,25 @@ def modality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def held_out_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     long, labels = cohort(spark, sf_dir)
     return models.leave_one_out(long, labels, {"A": 2, "N": 2, "R": 2}, k=6)
+
+
+MOMENTS = """mo AS (SELECT l_partkey AS site, l_linenumber AS depth, 0.05 + (l_partkey % 91) / 101.0::DOUBLE AS mean, 0.02 + max(l_quantity) / 150.0::DOUBLE AS sd FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part) GROUP BY ALL),
+ok AS (SELECT *, mean > 1e-6 AND mean < 1 - 1e-6 AND sd > 0 AND sd * sd < mean * (1 - mean) AS good FROM mo)"""
+
+
+@query(f"WITH {MOMENTS} SELECT depth, count(*) AS n_aligned, count(*) FILTER (good) AS n_feasible, round(count(*) FILTER (good) / count(*) + 1e-9, 6) AS fraction, (SELECT count(*) FROM (SELECT site FROM ok WHERE good GROUP BY site HAVING count(*) = (SELECT count(DISTINCT depth) FROM mo))) AS n_common FROM ok GROUP BY depth")
+def site_feasibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of the parts meet deviations at the line numbers, their depths; many parts have no line of some number."""
+    sd = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("site"), F.col("l_linenumber").alias("depth")).agg((0.02 + F.max("l_quantity") / 150.0).alias("sd"))
+    return power.feasibility(power.site_moments(reference(spark, sf_dir).select("site", "mean"), sd)).select("depth", "n_aligned", "n_feasible", near("fraction"), "n_common")
+
+
+@query("""WITH pe AS (SELECT o_custkey, min(o_orderkey) AS o FROM orders GROUP BY o_custkey)
+SELECT c_custkey AS modality, c_custkey % 100 AS ord, coalesce(CASE o % 4 WHEN 0 THEN NULL WHEN 1 THEN [2, 1, 3][1 + o % 5] ELSE [2, 1, 3][1 + o % 3] END, 2) AS classifier FROM customer LEFT JOIN pe ON c_custkey = o_custkey""")
+def classifier_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are modalities: those without orders have no performance, others no number in it, or a place beyond the end."""
+    o = F.col("o")
+    text = F.when(o % 4 == 0, "LR").when(o % 4 == 1, F.concat(F.lit("SVC, "), o % 5)).otherwise(F.concat(F.lit("RF2 ("), o % 3, F.lit(")")))
+    best = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("modality")).agg(F.min("o_orderkey").alias("o")).select("modality", text.alias("best"))
+    modalities = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("modality"), (F.col("c_custkey") % 100).alias("ord"))
+    return models.resolve_classifiers(modalities, [2, 1, 3], best)

@@ -228,3 +228,14 @@ def site_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     side = lambda cond: lines.where(cond).groupBy(F.col("l_partkey").alias("k")).agg(F.avg("l_quantity").alias("value"), F.count(F.lit(1)).alias("depth"))
     return fragments.compare_sites(side("l_linenumber < 4"), side("l_linenumber >= 4"), ["k"]).select("n_shared", "n_all", near("shared_fraction"), near("mean_abs_delta"), near("weighted_delta"))
+
+
+@query("""SELECT 's' || (l_suppkey % 20) AS sample, CASE WHEN l_suppkey % 2 = 0 THEN 'control' ELSE 'case' END AS "group", 'chr' || (l_partkey % 25) AS chrom, count(*) AS n_bins, round(avg(l_quantity / 50) + 1e-9, 6) AS ratio
+FROM lineitem WHERE l_partkey % 25 BETWEEN 1 AND 22 AND l_orderkey % 6 > 1 GROUP BY ALL""")
+def chromosome_ratio_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines are bins; some ratios are texts that are no numbers."""
+    key = F.col("l_orderkey")
+    ratio_ = F.when(key % 6 == 0, "NA").when(key % 6 == 1, "nan").otherwise((F.col("l_quantity") / 50).cast("string"))
+    bins_ = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey") % 20).alias("sample"), F.when(F.col("l_suppkey") % 2 == 0, "control").otherwise("case").alias("group"), F.concat(F.lit("chr"), F.col("l_partkey") % 25).alias("chrom"), ratio_.alias("ratio"))
+    out = fragments.chromosome_ratios(bins_, [f"chr{i}" for i in range(1, 23)])
+    return out.select("sample", "group", "chrom", "n_bins", F.round(F.col("ratio") + 1e-9, 6).alias("ratio"))

@@ -208,3 +208,29 @@ def dictionary_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = nation.select((F.col("n_nationkey") + 1).alias("ord"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("length"))
     b = nation.where("n_nationkey < 20").select((F.col("n_nationkey") + 1).alias("ord"), F.when(F.col("n_nationkey") == 7, "other").otherwise(F.col("n_name")).alias("name"), F.col("n_nationkey").alias("length"))
     return provenance.dictionary_differences(a, b).fillna("-", ["first_name", "second_name"]).fillna(-1, ["first_length", "second_length"])
+
+
+SCOPES = """sc AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'genome' WHEN o_orderkey % 9 = 1 THEN 'whole' END AS requested, CASE o_custkey % 4 WHEN 0 THEN 'panel' WHEN 1 THEN 'auto' END AS configured,
+  CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS assay, CASE WHEN o_custkey % 5 = 0 THEN 'Panel_V' || o_custkey END AS profile, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 't' || o_orderkey || '.bed' END AS target_bed FROM orders),
+sk AS (SELECT *, coalesce(requested, configured, 'auto') AS scope, lower(coalesce(assay, '')) IN ('1-urgent', '2-high') OR starts_with(lower(coalesce(profile, '')), 'panel_') AS known FROM sc),
+sm AS (SELECT *, CASE WHEN scope = 'auto' THEN CASE WHEN known THEN 'panel' ELSE 'genome' END WHEN scope IN ('panel', 'genome') THEN scope END AS mode FROM sk)"""
+
+
+@query(f"WITH {SCOPES} SELECT o_orderkey, known AS targeted_assay, mode, CASE WHEN mode IS NULL THEN NULL WHEN scope <> 'auto' THEN 'explicit user override' WHEN known THEN 'default targeted assay' ELSE 'non-targeted assay or custom profile' END AS reason, CASE WHEN mode = 'panel' THEN nullif(target_bed, '') END AS targets, CASE WHEN mode IS NULL THEN 'unknown scope ' || scope WHEN mode = 'panel' AND target_bed = '' THEN 'a panel scope needs target regions' END AS error FROM sm")
+def scope_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are runs with a configuration each."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    configs = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(k % 9 == 0, "genome").when(k % 9 == 1, "whole").alias("requested"), F.when(c % 4 == 0, "panel").when(c % 4 == 1, "auto").alias("configured"),
+        F.when(c % 3 != 0, F.col("o_orderpriority")).alias("assay"), F.when(c % 5 == 0, F.concat(F.lit("Panel_V"), c)).alias("profile"), F.when(k % 2 == 0, "").otherwise(F.concat(F.lit("t"), k, F.lit(".bed"))).alias("target_bed"),
+    )
+    return provenance.resolve_scopes(configs, ["1-urgent", "2-high"], ["panel_"]).select("o_orderkey", "targeted_assay", "mode", "reason", "targets", "error")
+
+
+@query("""WITH i AS (SELECT DISTINCT l_orderkey AS run, sha256(l_returnflag || chr(31) || 'p' || l_partkey || chr(31) || CASE WHEN l_linenumber = 7 THEN 'missing' ELSE l_linestatus END) AS h FROM lineitem)
+SELECT run, substr(sha256(string_agg(h, ',' ORDER BY h)), 1, 16) AS scope_key FROM i GROUP BY run""")
+def scope_input_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are runs, their lines the inputs."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run"), F.col("l_returnflag").alias("label"), F.concat(F.lit("p"), F.col("l_partkey")).alias("path"), F.when(F.col("l_linenumber") != 7, F.col("l_linestatus")).alias("signature"))
+    return provenance.scope_keys(lines, ["run"])

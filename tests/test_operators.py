@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortry.operators import fragments, intervals, matrix, provenance, quality, regions, stats
+from cohortry.operators import fragments, intervals, matrix, models, power, provenance, quality, regions, stats
 
 
 def table(spark, rows, schema):
@@ -202,3 +202,58 @@ def test_places_among_cuts_by_halving(spark):
         own = F.array(*(F.lit(c) for c in cuts[:n])) if n else F.array().cast("array<double>")
         got = values.select("x", stats.range_of(F.col("x"), own, max(n, 1)).alias("at")).collect()
         assert all(r["at"] == sum(c < r.x for c in cuts[:n]) for r in got)
+
+
+def test_feature_subset_by_number_share_and_all(spark):
+    df = table(spark, [(f"f{i}",) for i in range(200)] * 2 + [(None,)], "feature string")
+    names = lambda s: {r.feature for r in matrix.feature_subset(df, "feature", s).collect()}
+    assert len(names("all")) == 200 and len(names(17)) == 17 and len(names(0.255)) == 51 and names(17) < names(51) == names(0.255)
+    assert matrix.feature_subset(df, "feature", 17).count() == 17 and names(0) == set() and len(names(200)) == 200
+    with pytest.raises(Exception, match="fewer than 201"):
+        names(201)
+
+
+def test_best_features_by_rank_p(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"f{i:02d}", "control" if s < 5 else "case", float(rng.integers(0, 50) + (s >= 5) * i)) for i in range(40) for s in range(11)]
+    long = table(spark, [*rows, ("lone", "case", 1.0)], "feature string, group string, value double")
+    tests = sorted((r.p, r.feature) for r in stats.rank_p(stats.rank_sum(long)).collect() if r.p is not None)
+    assert [(r.place, r.p, r.feature) for r in sorted(stats.best_by_rank_p(long, 7).collect())] == [(i + 1, *t) for i, t in enumerate(tests[:7])]
+    assert stats.best_by_rank_p(long.limit(0)).count() == 0 and stats.best_by_rank_p(long, 100).count() == 40
+
+
+def test_moments_of_sites_align_and_refuse_repeated_sites(spark):
+    means = table(spark, [("a", 0.5), ("b", 0.5), ("d", 0.999999999)], "site string, mean double")
+    sd = table(spark, [("a", 10, 0.1), ("b", 10, 0.6), ("c", 10, 0.1), ("d", 10, 0.1), ("a", 30, 0.2), ("b", 30, None)], "site string, depth int, sd double")
+    got = {r.depth: tuple(r)[1:] for r in power.feasibility(power.site_moments(means, sd)).collect()}
+    assert got == {10: (3, 1, 1 / 3, 1), 30: (2, 1, 0.5, 1)}
+    for a, b in ((means.union(means.limit(1)), sd), (means, sd.union(sd.limit(1)))):
+        with pytest.raises(Exception, match="occurs more than once"):
+            power.site_moments(a, b).collect()
+
+
+def test_classifiers_follow_performance_or_places(spark):
+    of = table(spark, [("x", 0), ("y", 1), ("z", 2)], "modality string, ord int")
+    said = lambda c, p=None: {r.modality: r.classifier for r in models.resolve_classifiers(of, c, p).collect()}
+    best = table(spark, [("x", "LR2, 1"), ("y", "RF, 99999999999"), (None, "1")], "modality string, best string")
+    assert said([3, 1], best) == {"x": 1, "y": 3, "z": 3} and said([3, 1, 2]) == {"x": 3, "y": 1, "z": 2}
+    assert said([2, 1]) == dict.fromkeys("xyz", 2) and said([2, 9], best)["x"] == 2
+    with pytest.raises(ValueError, match="first classifier"):
+        said([9])
+
+
+def test_ratios_of_chromosomes_leave_out_what_is_no_number(spark):
+    rows = [("s", "g", "chr1", "1.5"), ("s", "g", "chr1", "nan"), ("s", "g", "chr1", "NA"), ("s", "g", "chr1", "0.5"), ("s", "g", "chrX", "1"), ("s", "g", "chr2", None)]
+    bins = table(spark, rows, "sample string, group string, chrom string, ratio string")
+    assert [tuple(r) for r in fragments.chromosome_ratios(bins, ["chr1", "chr2"]).collect()] == [("s", "g", "chr1", 2, 1.0)]
+    assert fragments.chromosome_ratios(bins.withColumn("ratio_corrected", F.lit(3.0)), ["chr2"]).first().ratio == 3.0
+
+
+def test_scopes_and_their_keys(spark):
+    rows = [(1, None, None, "kit", None, "t"), (2, None, "auto", "Kit", None, ""), (3, "genome", "panel", "kit", None, "t"), (4, None, "odd", None, None, "t"), (5, None, None, None, None, None), (6, "panel", None, None, "kit_7", "t")]
+    out = provenance.resolve_scopes(table(spark, rows, "i int, requested string, configured string, assay string, profile string, target_bed string"), ["kit"], ["kit_"])
+    got = {r.i: (r.targeted_assay, r.mode, r.targets, r.error is None) for r in out.collect()}
+    assert got == {1: (True, "panel", "t", True), 2: (True, "panel", None, False), 3: (True, "genome", None, True), 4: (False, None, None, False), 5: (False, "genome", None, True), 6: (True, "panel", "t", True)}
+    inputs = [("r", "bed", "a", "1"), ("r", "bam", "b", None)]
+    key = lambda rows: provenance.scope_keys(table(spark, rows, "run string, label string, path string, signature string"), ["run"]).first().scope_key
+    assert key(inputs) == key(inputs[::-1]) and len(key(inputs)) == 16 and key(inputs) != key([inputs[0], ("r", "bam", "b", "2")])
