@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,8 +28,10 @@ from cohortry.sources.remote import Seekable
 SCHEMA = "path string, chrom string, start long, end long, value double"
 # fixed values of the format: marks at the start of the file, of its table of chromosomes and of its tree
 FILE, TABLE, TREE = 0x888FFC26, 0x78CA8C91, 0x2468ACE0
-#: Items of a block and children of a node that the writer makes, and nodes and decoded blocks that a task keeps.
-ITEMS, CHILDREN, KEPT = 512, 256, 64
+#: Items of a block and children of a node that the writer makes.
+ITEMS, CHILDREN = 512, 256
+#: Positions of a tile whose windows are counted together, and window starts of a tile that are added up one by one.
+TILE, FEW = 1 << 18, 32
 
 
 @dataclass
@@ -71,21 +72,6 @@ NODE = np.dtype([("c0", "<u4"), ("b0", "<u4"), ("c1", "<u4"), ("b1", "<u4"), ("a
 LEAF = np.dtype([*NODE.descr, ("size", "<u8")])
 
 
-class Latest(OrderedDict):
-    """What was made last for some keys, up to a number of them."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most = most
-
-    def get_or(self, key, make):
-        if key not in self:
-            self[key] = make()
-            if len(self) > self.most:
-                self.popitem(last=False)
-        return self[key]
-
-
 def node(file: Seekable, at: int) -> tuple[bool, np.ndarray]:
     """Whether a node is a leaf, and its items."""
     leaf, _, n = struct.unpack("<BBH", file.read(at, 4))
@@ -93,22 +79,25 @@ def node(file: Seekable, at: int) -> tuple[bool, np.ndarray]:
     return bool(leaf), np.frombuffer(file.read(at + 4, n * kind.itemsize), kind)
 
 
-def children(file: Seekable, at: int, region: Region | None, known: Latest | None = None) -> tuple[bool, np.ndarray]:
-    """Whether a node is a leaf, and its items that can meet the region; ``known`` keeps nodes for the next call."""
-    leaf, items = node(file, at) if known is None else known.get_or(at, lambda: node(file, at))
-    if region is not None:
-        chrom, low, high = region
-        after = (items["c1"] < chrom) | ((items["c1"] == chrom) & (items["b1"] <= low))
-        before = (items["c0"] > chrom) | ((items["c0"] == chrom) & (items["b0"] >= high))
-        items = items[~(after | before)]
-    return leaf, items
+def meeting(items: np.ndarray, region: Region) -> np.ndarray:
+    """The items of a node that can meet the region."""
+    chrom, low, high = region
+    after = (items["c1"] < chrom) | ((items["c1"] == chrom) & (items["b1"] <= low))
+    before = (items["c0"] > chrom) | ((items["c0"] == chrom) & (items["b0"] >= high))
+    return items[~(after | before)]
+
 
+def children(file: Seekable, at: int, region: Region | None) -> tuple[bool, np.ndarray]:
+    """Whether a node is a leaf, and its items that can meet the region."""
+    leaf, items = node(file, at)
+    return leaf, items if region is None else meeting(items, region)
 
-def blocks(file: Seekable, nodes: Sequence[int], region: Region | None, known: Latest | None = None) -> Iterator[tuple[int, int]]:
+
+def blocks(file: Seekable, nodes: Sequence[int], region: Region | None) -> Iterator[tuple[int, int]]:
     """Place and size of the blocks below some nodes that can meet the region, in order."""
     waiting = list(reversed(nodes))
     while waiting:
-        leaf, items = children(file, waiting.pop(), region, known)
+        leaf, items = children(file, waiting.pop(), region)
         if leaf:
             yield from zip(items["at"].tolist(), items["size"].tolist(), strict=True)
         else:
@@ -306,37 +295,94 @@ def chromosome_lengths(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("chrom").agg(agreed.alias("length"))
 
 
+def correlated(counts: np.ndarray, signal: np.ndarray, width: int) -> np.ndarray:
+    """For each offset below ``width``: the signal at that offset from every place, times the place's count, added up.
+
+    ``signal`` is ``width`` - 1 places longer than ``counts``. Many places go through a Fourier transform, whose time does not
+    depend on how many they are. Where signal and sums are whole numbers, so is the result, and exact; otherwise
+    offsets that meet no signal are exactly 0.
+    """
+    places = np.flatnonzero(counts)
+    with np.errstate(over="ignore"):
+        size = float(np.linalg.norm(counts) * np.linalg.norm(signal))
+    if len(places) <= FEW or not np.isfinite(size):
+        total = np.zeros(width)
+        for at in places.tolist():
+            total += counts[at] * signal[at : at + width]
+        return total
+    n = 1 << (len(signal) - 1).bit_length()
+    turned = np.conj(np.fft.rfft(counts, n))
+    by_offset = lambda values: np.fft.irfft(np.fft.rfft(values, n) * turned, n)[:width]
+    total = by_offset(signal)
+    if np.array_equal(signal, np.rint(signal)) and size * n.bit_length() * np.finfo(float).eps < 1 / 64:
+        return np.rint(total)
+    return np.where(np.rint(by_offset((signal != 0).astype(float))) > 0, total, 0.0)
+
+
+def dense(files: Sequence[tuple[str, Layout, np.ndarray]], chrom: str, start: int, length: int) -> np.ndarray:
+    """The values of ``length`` bases of a chromosome from ``start`` on, added up over files; NaN counts 0.
+
+    ``files`` are paths with their layout and the items of their root; a file that cannot meet the place is not opened.
+    """
+    values = np.zeros(length)
+    for path, form, root in files:
+        region = (form.ids.get(chrom, -1), start, start + length)
+        if region[0] < 0 or not len(meeting(root, region)):
+            continue
+        with remote.opened(path) as file:
+            for place in blocks(file, [form.root], region):
+                own, starts, ends, found = decoded(file, place, form.packed)
+                meets = (own == region[0]) & (starts < region[2]) & (ends > region[1])
+                low, high = np.maximum(starts[meets], start) - start, np.minimum(ends[meets], start + length) - start
+                before = np.concatenate([[0], np.cumsum(high - low)])
+                bases = np.repeat(low - before[:-1], high - low) + np.arange(before[-1])
+                np.add.at(values, bases, np.repeat(np.nan_to_num(found[meets]), high - low))
+    return values
+
+
 def window_sums(spark: SparkSession, path: str, windows: DataFrame, width: int) -> DataFrame:
     """``offset`` (from 0) and ``total``: values over windows (chrom, start) of one width, added up by place; NaN counts 0.
 
-    Windows are dealt out by place. A task walks the tree for each of its windows, keeps the blocks it met last, and
-    sends one number for each offset, however many windows it has.
+    Windows are dealt out by place and counted in tiles of the chromosome; a task reads the signal of each of its tiles once,
+    however many windows lie there, and sends one number for each offset.
     """
     paths = remote.files(path, ".bw")
+    tile = max(TILE, 1 << (width - 1).bit_length()) if width > 1 else TILE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width)
+        total, at, counts, files = np.zeros(width), None, np.zeros(tile), []
+
+        def close() -> None:
+            last = int(np.flatnonzero(counts)[-1])
+            np.add(total, correlated(counts[: last + 1], dense(files, at[0], at[1] * tile, last + width), width), out=total)
+            counts.fill(0)
+
         for batch in batches:
-            asked = list(zip(batch.column("chrom").to_pylist(), batch.column("start").to_pylist(), strict=True))
-            for name in paths:
-                with remote.opened(name) as file:
-                    form, known, kept = layout(file), Latest(KEPT), Latest(KEPT)
-                    for chrom, start in asked:
-                        if chrom not in form.ids:
-                            continue
-                        region = (form.ids[chrom], start, start + width)
-                        for place in blocks(file, [form.root], region, known):
-                            own, starts, ends, values = kept.get_or(place, lambda: decoded(file, place, form.packed))  # noqa: B023
-                            meets = (own == region[0]) & (starts < region[2]) & (ends > region[1])
-                            low, high = np.maximum(starts[meets], start) - start, np.minimum(ends[meets], start + width) - start
-                            lengths = high - low
-                            before = np.concatenate([[0], np.cumsum(lengths)])
-                            bases = np.repeat(low - before[:-1], lengths) + np.arange(before[-1])
-                            np.add.at(total, bases, np.repeat(np.nan_to_num(values[meets]), lengths))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], names=["offset", "total"])
-
-    dealt = windows.select("chrom", F.col("start").cast("long").alias("start")).repartitionByRange(tasks(spark), "chrom", "start").sortWithinPartitions("chrom", "start")
-    return dealt.mapInArrow(run, "offset long, total double").groupBy("offset").agg(F.sum("total").alias("total"))
+            coded, starts = batch.column("chrom").dictionary_encode(), batch.column("start").to_numpy()
+            names, codes, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy(), starts // tile
+            cuts = [0, *(np.flatnonzero((np.diff(codes) != 0) | (np.diff(numbers) != 0)) + 1).tolist(), len(starts)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                place = (names[codes[a]], int(numbers[a]))
+                if at is None:
+                    for name in paths:
+                        with remote.opened(name) as file:
+                            form = layout(file)
+                            files.append((name, form, node(file, form.root)[1]))
+                elif place != at:
+                    close()
+                at = place
+                np.add(counts, np.bincount(starts[a:b] - place[1] * tile, minlength=tile), out=counts)
+        if at is not None:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], names=["offset", "total"])
+
+    asked = windows.where("chrom is not null and start is not null").select("chrom", F.col("start").cast("long").alias("start"))
+    dealt = asked.repartitionByRange(tasks(spark), "chrom", "start").sortWithinPartitions("chrom", "start")
+    sums = dealt.mapInArrow(run, "offset long, total double").groupBy("offset").agg(F.sum("total").alias("total"))
+    every = spark.range(width).select(F.col("id").alias("offset"))
+    return every.join(sums, "offset", "left").select("offset", F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
 def window_profile(spark: SparkSession, path: str, regions: DataFrame, up: int, down: int, smooth: int = 10) -> DataFrame:

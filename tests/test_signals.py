@@ -99,6 +99,37 @@ def test_profiles_equal_those_of_a_table(spark, folder):
     assert np.allclose([r["mean"] for r in table.orderBy("offset").collect()], mean)
 
 
+def test_crowded_windows_read_each_place_of_the_signal_once(spark, folder, monkeypatch):
+    rng, width, n = random.Random(7), 120, 3000
+    starts = [("chrB", rng.randrange(299_000)) for _ in range(n)] + [("chrA", 49_000)] * n + [("chrZ", 5)] * 3
+    windows = spark.createDataFrame(starts, "chrom string, start long").coalesce(1)
+    signal = np.zeros((2, 300_200))
+    for c, a, b, v in some():
+        signal[int(c == "chrA"), a:b] = v
+    got = signals.window_sums(spark, folder, windows, width).orderBy("offset").collect()
+    assert np.allclose([r.total for r in got], np.sum([signal[int(c == "chrA"), a : a + width] for c, a in starts if c != "chrZ"], axis=0))
+    # whatever the number of windows, a task decodes a block for each tile that it meets, no more
+    met = []
+    monkeypatch.setattr(signals, "decoded", lambda *given, own=signals.decoded: met.append(given[1]) or own(*given))
+    files = []
+    for path in remote.files(folder, ".bw"):
+        with remote.opened(path) as file:
+            form = signals.layout(file)
+            files.append((path, form, signals.node(file, form.root)[1]))
+    assert np.array_equal(signals.dense(files, "chrB", 1000, 5000), signal[0, 1000:6000])
+    assert len(met) == len(set(met))
+
+
+def test_whole_numbers_are_added_up_exactly_and_absent_signal_is_zero():
+    rng = np.random.default_rng(3)
+    counts, width = rng.integers(0, 40, 5000).astype(float), 700
+    for signal in (rng.integers(0, 10**6, 5699).astype(float), np.where(np.arange(5699) > 5600, 0.1, 0.0), np.full(5699, 1e300)):
+        want = np.sum([counts[i] * signal[i : i + width] for i in range(5000)], axis=0)
+        got = signals.correlated(counts, signal, width)
+        assert np.allclose(got, want) and np.array_equal(got == 0, want == 0)
+        assert signal[0] != np.rint(signal[0]) or signal[-1] == 0.1 or signal[0] > 1e200 or np.array_equal(got, want)
+
+
 def test_missing_values_count_as_zero_and_no_window_gives_no_rows(spark, tmp_path):
     rows = spark.createDataFrame([("chrA", 10, 20, float("nan")), ("chrA", 20, 30, 4.0)], "chrom string, start long, end long, value double")
     signals.write_signal(rows.coalesce(1), str(tmp_path), REFS)
