@@ -60,8 +60,7 @@ def alignment_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     low = s * 104729 % 990000
     regions = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("chr"), (s % 5 + 1).cast("string")).alias("chrom"), low.alias("start"), (low + 100 + s % 900).alias("end"))
-    met = alignments.fetched(spark, alignment_files(spark, sf_dir), regions.select("chrom", "start", "end").distinct(), ["flag", "start"])
-    counts = met.groupBy("region_chrom", "region_start", "region_end").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("first"), F.sum("flag").alias("flags"))
+    counts = alignments.region_totals(spark, alignment_files(spark, sf_dir), regions, ["flag"]).withColumnRenamed("flag", "flags")
     asked = regions.withColumnsRenamed({"chrom": "region_chrom", "start": "region_start", "end": "region_end"})
     return asked.join(counts, ["region_chrom", "region_start", "region_end"]).select("s_suppkey", "n", "first", "flags")
 
