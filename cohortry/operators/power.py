@@ -334,21 +334,35 @@ def adaptive(run_batch, keys: Sequence[str], width: float, least: int, most: int
 
 @F.pandas_udf(DoubleType())
 def _site_power(diff: pd.Series, sd: pd.Series, n: pd.Series, alpha: pd.Series) -> pd.Series:
-    d, s, m, a = (x.to_numpy(float) for x in (diff, sd, n, alpha))
+    # sites of the same numbers have the same power: each is worked out once in a batch
+    asked, of = np.unique(np.column_stack([x.to_numpy(float) for x in (diff, sd, n, alpha)]), axis=0, return_inverse=True)
+    return pd.Series(_powers(*asked.T)[of.reshape(-1)]).where(sd.notna() & diff.notna())
+
+
+def _critical(size: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Critical values of Student's t for few samples in each group, by bisection."""
+    df = np.maximum(2 * size - 2, 1)
+    low, high = np.zeros(len(size)), np.full(len(size), 1e9)
+    for _ in range(90):
+        mid = (low + high) / 2
+        above = 1 - t_cdf(mid, df) > a / 2
+        low, high = np.where(above, mid, low), np.where(above, high, mid)
+    return low
+
+
+def _powers(d: np.ndarray, s: np.ndarray, m: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Power at sites of some differences, deviations, group sizes and levels; cuts are found once for each size and level."""
     with np.errstate(divide="ignore", invalid="ignore"):
         shift = np.abs(d) / (s * np.sqrt(2 / m))
-    cut = -normal_quantile(a / 2)
-    normal = normal_tail(cut - shift) + normal_tail(cut + shift)
-    small = m <= 3
-    if small.any():  # few samples: Student's t, the critical value by bisection
-        df = np.maximum(2 * m - 2, 1)
-        low, high = np.zeros(len(m)), np.full(len(m), 1e9)
-        for _ in range(90):
-            mid = (low + high) / 2
-            above = 1 - t_cdf(mid, df) > a / 2
-            low, high = np.where(above, mid, low), np.where(above, high, mid)
-        normal = np.where(small, 1 - t_cdf(low - shift, df) + t_cdf(-low - shift, df), normal)
-    return pd.Series(np.where(s > 0, normal, np.nan)).where(sd.notna() & diff.notna())
+    levels, of = np.unique(a, return_inverse=True)
+    cut = -normal_quantile(levels / 2)[of]
+    found = normal_tail(cut - shift) + normal_tail(cut + shift)
+    small = np.flatnonzero(m <= 3)
+    if len(small):
+        cases, of = np.unique(np.column_stack([m[small], a[small]]), axis=0, return_inverse=True)
+        low, df = _critical(*cases.T)[of.reshape(-1)], np.maximum(2 * m[small] - 2, 1)
+        found[small] = 1 - t_cdf(low - shift[small], df) + t_cdf(-low - shift[small], df)
+    return np.where((s > 0) & ~np.isnan(d), found, np.nan)
 
 
 def site_power(diff: Column, sd: Column, n: Column, tests: int = TESTS, alpha: float = 0.05) -> Column:

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,14 @@ def test_effects_go_in_the_wanted_direction(spark):
     assert sum(e > 0 for e in effects["balanced"]) == 3
     with pytest.raises(ValueError, match="direction"):
         power.prepare_templates(reference_sites(spark), 1, 40, 6, 0.04, 0.0, 12, "up")
+
+
+def test_power_is_worked_out_once_for_equal_sites(spark, monkeypatch):
+    d, s, n, a = (np.repeat(np.array(v, float), 500) for v in ([0.2, 0.2, 0.1, 0.3, np.nan, 0.2], [0.1, 0.3, 0.1, 0.0, 0.2, np.nan], [3, 3, 50, 3, 3, 10], [0.05, 0.01, 0.05, 0.05, 0.05, 0.05]))
+    want = power._powers(d, s, n, a)
+    sizes = []
+    monkeypatch.setattr(power, "t_cdf", lambda t, df, own=power.t_cdf: sizes.append(np.size(t)) or own(t, df))
+    got = power._site_power.func(*(pd.Series(v) for v in (d, s, n, a)))
+    # three sites of few samples, at two levels
+    assert np.allclose(got, want, equal_nan=True) and list(got.isna()) == [False] * 1500 + [True] * 1500
+    assert max(sizes) < 1100  # rows with nulls are not alike
