@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,15 +108,36 @@ def cut_sites(fragments: DataFrame) -> DataFrame:
     return sums.withColumn("depth", depth).where("ends > 0").select("chrom", "pos", "ends", "depth", (F.col("ends") / F.col("depth")).alias("share"))
 
 
-# fixed values: the two classes of dinucleotides
-WEAK, STRONG = ("AA", "AT", "TA", "TT"), ("GG", "GC", "CG", "CC")
+# fixed values: the two classes of dinucleotides, pairs of A or T (1) and of G or C (2), by code point
+KINDS = np.zeros(256, np.int8)
+KINDS[[ord(c) for c in "AT"]], KINDS[[ord(c) for c in "GC"]] = 1, 2
 
 
 def dinucleotides(sequences: DataFrame, centre: int = 0) -> DataFrame:
-    """Share in percent of weak and strong dinucleotides at each position of equally long sequences (seq), position less ``centre``."""
-    cells = sequences.select(F.upper("seq").alias("seq")).where(F.length("seq") >= 2).select(F.posexplode(F.transform(F.sequence(F.lit(1), F.length("seq") - 1), lambda i: F.substr(F.col("seq"), i, F.lit(2)))).alias("pos", "pair"))
-    classed = cells.withColumn("class", F.when(F.col("pair").isin(*WEAK), "weak").when(F.col("pair").isin(*STRONG), "strong")).where("class is not null")
-    sums = classed.groupBy("class", "pos").agg(F.count(F.lit(1)).alias("n"))
+    """Share in percent of weak and strong dinucleotides at each position of equally long sequences (seq), position less ``centre``.
+
+    Tasks count in their sequences and send one row for each class and position.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {"weak": np.zeros(0, np.int64), "strong": np.zeros(0, np.int64)}
+        for batch in batches:
+            text = "".join(batch.column("seq").to_pylist())
+            letters, sizes = np.frombuffer(text.encode("utf-32-le"), np.uint32), batch.column("size").to_numpy()
+            kind = KINDS[np.minimum(letters, 255)]
+            at = np.arange(len(letters)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            inside = at[1:] > 0
+            for name, number in (("weak", 1), ("strong", 2)):
+                found = np.bincount(at[:-1][inside & (kind[:-1] == number) & (kind[1:] == number)])
+                if len(found) > len(counts[name]):
+                    found, counts[name] = counts[name], found.astype(np.int64)
+                counts[name][: len(found)] += found
+        for name, n in counts.items():
+            pos = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(pos), pa.string()), pa.array(pos), pa.array(n[pos])], names=["class", "pos", "n"])
+
+    upper = sequences.select(F.upper("seq").alias("seq")).where(F.length("seq") >= 2).select("seq", F.length("seq").cast("long").alias("size"))
+    sums = upper.mapInArrow(run, "class string, pos long, n long").groupBy("class", "pos").agg(F.sum("n").alias("n"))
     return sums.select("class", (F.col("pos") - centre).alias("pos"), "n", (100 * F.col("n") / F.sum("n").over(Window.partitionBy("class"))).alias("pct"))
 
 

@@ -191,7 +191,8 @@ def dinucleotide_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts of all documents as sequences, in pieces of 60 letters."""
     text = F.translate(F.regexp_replace("text", "[^ -~]", "n"), "abcdefghijklmnopqrstuvwxyz .,", "acgtacgtacgtacgtacgtacgtacgta")
     whole = table(spark, sf_dir, "documents").select(text.alias("text")).where("text <> ''")
-    pieces = whole.select("text", F.explode(F.sequence(F.lit(1), F.length("text"), F.lit(60))).alias("at")).select(F.substr(F.col("text"), F.col("at"), F.lit(60)).alias("seq"))
+    # all pieces in one pass: a substring of its own for each would count letters from the start of the text again
+    pieces = whole.select(F.explode(F.regexp_extract_all("text", F.lit("(?s).{1,60}"), F.lit(0))).alias("seq"))
     return fragments.dinucleotides(pieces, 30).select("class", F.col("pos").cast("long").alias("pos"), "n", near("pct"))
 
 

@@ -257,3 +257,20 @@ def test_scopes_and_their_keys(spark):
     inputs = [("r", "bed", "a", "1"), ("r", "bam", "b", None)]
     key = lambda rows: provenance.scope_keys(table(spark, rows, "run string, label string, path string, signature string"), ["run"]).first().scope_key
     assert key(inputs) == key(inputs[::-1]) and len(key(inputs)) == 16 and key(inputs) != key([inputs[0], ("r", "bam", "b", "2")])
+
+
+def test_dinucleotides_are_counted_in_tasks(spark):
+    from cohortry.operators import fragments
+
+    seqs = ["AATTGGcc", "gcA", "a", "", None, "A\u00e9TT\U0001f600GC", "stra\u00dfe GG", "NNNN"] * 3
+    got = fragments.dinucleotides(spark.createDataFrame([(q,) for q in seqs], "seq string").coalesce(2), 2)
+    want = {}
+    for q in seqs:
+        u = (q or "").upper()
+        for i in range(len(u) - 1 if q and len(q) > 1 else 0):
+            kind = "weak" if set(u[i : i + 2]) <= set("AT") else "strong" if set(u[i : i + 2]) <= set("GC") else None
+            if kind:
+                want[kind, i - 2] = want.get((kind, i - 2), 0) + 1
+    total = lambda kind: sum(n for (k, _), n in want.items() if k == kind)
+    assert {(r["class"], r.pos): (r.n, round(r.pct, 9)) for r in got.collect()} == {k: (n, round(100 * n / total(k[0]), 9)) for k, n in want.items()}
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
