@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 #: Positions of a tile. Running values go on within tiles; what one tile hands to the next is one row for each tile.
 TILE = 1 << 22
+#: Positions of a tile whose windows one task scores at a time.
+SCORED = 1 << 14
 
 
 def tiled(rows: DataFrame, at: str) -> DataFrame:
@@ -125,16 +129,41 @@ def protection_scores(windows: DataFrame, reads: DataFrame, step: int = 10, half
 
     At every position from start to end, both included, each read of a span (end - start + 1) from ``low`` to ``high``
     that overlaps position +- ``half`` adds 1 if it spans that window and takes 1 off if it does not. Each read counts once.
+
+    Different windows and reads, with their number, meet in tiles of positions. There a score comes from sorted ends: the reads that
+    begin before a place less those that end before it, so no row is made for a position or a pair.
     """
-    spans = reads.where((F.col("end") - F.col("start") + 1).between(low, high)).select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
-    spots = windows.select("chrom", "start", "end", "name", F.explode(F.sequence("start", "end", F.lit(step))).alias("pos"))
-    boxes = spots.select("chrom", "name", F.col("start").alias("w_start"), F.col("end").alias("w_end"), "pos", (F.col("pos") - half).alias("start"), (F.col("pos") + half).alias("end"))
-    met = overlap_join(boxes, spans, 2 * half)
-    score = F.when((F.col("r_start") <= F.col("start")) & (F.col("r_end") >= F.col("end")), 1).otherwise(-1)
-    found = met.groupBy("chrom", "name", "w_start", "w_end", "pos").agg(F.sum(score).alias("score"))
-    every = spots.join(found.select("chrom", "name", F.col("w_start").alias("start"), F.col("w_end").alias("end"), "pos", "score"), ["chrom", "name", "start", "end", "pos"], "left").withColumn("score", F.coalesce("score", F.lit(0)))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "score"))), lambda s: s["score"])
-    return every.groupBy("chrom", "start", "end", "name").agg(ordered.alias("wps"), F.avg("score").alias("mean_wps"))
+    spans = reads.where((F.col("end") - F.col("start") + 1).between(low, high) & F.col("chrom").isNotNull()).groupBy("chrom", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+    tile = lambda c: F.floor(c / SCORED)
+    near = spans.select("chrom", F.explode(F.sequence(tile(F.col("start") - half), tile(F.col("end") + half))).alias("tile"), F.col("start").cast("long").alias("r_start"), F.col("end").cast("long").alias("r_end"), "n")
+    different = windows.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).where("start is not null and end is not null").distinct()
+    pieces = different.withColumn("tile", F.explode(F.sequence(tile(F.col("start")), tile(F.col("end")))))
+
+    def run(own: pa.Table, met: pa.Table) -> pa.Table:
+        chrom, start, end, at = own.column("chrom").combine_chunks(), *(own.column(c).to_numpy() for c in ("start", "end", "tile"))
+        r_start, r_end, n = (met.column(c).to_numpy() for c in ("r_start", "r_end", "n"))
+        first = np.maximum(0, -(-(at * SCORED - start) // step))
+        sizes = np.maximum(0, (np.minimum(end, (at + 1) * SCORED - 1) - start) // step + 1 - first)
+        before = np.cumsum(sizes) - sizes
+        pos = np.repeat(start + step * (first - before), sizes) + step * np.arange(sizes.sum())
+
+        def fewer(values: np.ndarray, weights: np.ndarray, limits: np.ndarray, side: str) -> np.ndarray:
+            order = np.argsort(values)
+            return np.concatenate([[0], np.cumsum(weights[order])])[np.searchsorted(values[order], limits, side)]
+
+        wide = r_end - r_start >= 2 * half
+        over = fewer(r_start, n, pos + half, "left") - fewer(r_end, n, pos - half, "right")
+        whole = fewer(r_start[wide] + half, n[wide], pos, "right") - fewer(r_end[wide] - half, n[wide], pos, "left")
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(before, sizes.sum())), pa.array(2 * whole - over)).cast(pa.list_(pa.int64()))
+        return pa.table({"chrom": chrom, "start": start, "end": end, "tile": at, "scores": lists})
+
+    schema = "chrom string, start long, end long, tile long, scores array<long>"
+    scored = pieces.groupBy("chrom", "tile").cogroup(near.groupBy("chrom", "tile")).applyInArrow(run, schema)
+    joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("tile", "scores"))), lambda s: s["scores"]))
+    found = scored.groupBy(F.col("chrom").alias("__chrom"), F.col("start").alias("__start"), F.col("end").alias("__end")).agg(joined.alias("wps"))
+    same = F.col("chrom").eqNullSafe(F.col("__chrom")) & (F.col("start") == F.col("__start")) & (F.col("end") == F.col("__end"))
+    total = F.aggregate("wps", F.lit(0).cast("long"), lambda a, b: a + b)
+    return windows.select("chrom", "start", "end", "name").join(found, same).select("chrom", "start", "end", "name", "wps", (total / F.size("wps")).alias("mean_wps"))
 
 
 def genome_order(rows: DataFrame, chroms: Sequence[str]) -> DataFrame:

@@ -274,3 +274,22 @@ def test_dinucleotides_are_counted_in_tasks(spark):
     total = lambda kind: sum(n for (k, _), n in want.items() if k == kind)
     assert {(r["class"], r.pos): (r.n, round(r.pct, 9)) for r in got.collect()} == {k: (n, round(100 * n / total(k[0]), 9)) for k, n in want.items()}
     assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_protection_scores_equal_those_counted_pair_by_pair(spark):
+    rng = np.random.default_rng(8)
+    at = lambda n: rng.integers(0, 40_000, n).tolist()
+    reads = [("c", a, a + int(w)) for a, w in zip(at(4000), rng.integers(60, 260, 4000), strict=True)] + [("c", 16_300, 16_450)] * 50 + [(None, 100, 250), ("d", 5, 120)]
+    windows = [("c", a, a + 100, f"w{i}") for i, a in enumerate(at(300))] + [("c", 16_200, 33_007, "long"), ("c", 7, 7, "one"), ("c", 7, 7, "again"), ("d", 50, 90, None), (None, 100, 140, "none"), ("e", 1, 1, "empty")]
+    got = intervals.protection_scores(table(spark, windows, "chrom string, start long, end long, name string"), table(spark, reads, BED))
+    want = []
+    for c, a, b, name in windows:
+        held = np.array([(x, y) for k, x, y in reads if k == c and c and 100 <= y - x + 1 <= 220]).reshape(-1, 2)
+        scores = []
+        for p in range(a, b + 1, 10):
+            over = (held[:, 0] < p + 60) & (held[:, 1] > p - 60)
+            scores.append(int(np.where((held[:, 0] <= p - 60) & (held[:, 1] >= p + 60), 1, -1)[over].sum()))
+        want.append((c, a, b, name, tuple(scores), round(sum(scores) / len(scores), 9)))
+    rows = [(r.chrom, r.start, r.end, r.name, tuple(r.wps), round(r.mean_wps, 9)) for r in got.collect()]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+    assert "pos" not in got._jdf.queryExecution().optimizedPlan().toString()
