@@ -1,7 +1,7 @@
 """Stages and what they need as tables: the closure of wanted stages, and the order in which to run them.
 
 Both go on by joins until nothing is left to add, a written table for each round; only counts reach the driver. Rounds are
-as many as the longest chain of needs.
+as many as the longest chain of needs, so no join of theirs broadcasts: tables just small enough for that would add up there.
 """
 
 from __future__ import annotations
@@ -18,13 +18,18 @@ from cohortry.session import materialise
 LAST = 2**31 - 1
 
 
+def _met(left: DataFrame, right: DataFrame, how: str = "inner", by: str = "stage") -> DataFrame:
+    """A join in which neither side goes through the driver."""
+    return left.join(right.hint("merge"), by, how)
+
+
 def closure(needs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``stage``: every stage of ``wanted`` (stage) and all that those need (stage, need), directly or not; cycles are fine."""
     new = materialise(wanted.select("stage").where("stage is not null").distinct(), "stages")
     found = [new]
     while new.count():
         reached = reduce(DataFrame.union, found)
-        further = needs.join(new, "stage").select(F.col("need").alias("stage")).distinct().join(reached, "stage", "left_anti")
+        further = _met(_met(needs, new).select(F.col("need").alias("stage")).distinct(), reached, "left_anti")
         new = materialise(further, "stages")
         found.append(new)
     return reduce(DataFrame.union, found)
@@ -35,7 +40,7 @@ def _members(edges: DataFrame) -> list[str]:
     left, before = materialise(edges.select("stage", "need"), "cycle"), -1
     while (n := left.count()) != before:
         before = n
-        left = materialise(left.join(left.select(F.col("stage").alias("need")).distinct(), "need", "left_semi"), "cycle")
+        left = materialise(_met(left, left.select(F.col("stage").alias("need")).distinct(), "left_semi", "need"), "cycle")
     return [str(r[0]) for r in left.select("stage").distinct().orderBy("stage").limit(20).collect()]
 
 
@@ -49,22 +54,22 @@ def run_order(stages: DataFrame, needs: DataFrame, wanted: DataFrame) -> DataFra
     after all longer paths that begin alike.
     """
     inside = materialise(closure(needs, wanted), "closure")
-    unknown = inside.join(stages.select("stage"), "stage", "left_anti").orderBy("stage").first()
+    unknown = _met(inside, stages.select("stage"), "left_anti").orderBy("stage").first()
     if unknown is not None:
         raise ValueError(f"unknown stage {unknown[0]}")
-    edges = materialise(needs.join(inside, "stage").groupBy("stage", "need").agg(F.min("ord").cast("int").alias("ord")), "needs")
+    edges = materialise(_met(needs, inside).groupBy("stage", "need").agg(F.min("ord").cast("int").alias("ord")), "needs")
     roots = wanted.where("stage is not null").groupBy("stage").agg(F.array(F.min("ord").cast("int")).alias("path"))
-    known = inside.join(roots, "stage", "left")
+    known = materialise(_met(inside, roots, "left"), "roots")
     n, placed = inside.count(), None
     while True:
-        waiting = edges if placed is None else edges.join(placed.select("stage"), "stage", "left_anti")
-        rest = known if placed is None else known.join(placed.select("stage"), "stage", "left_anti")
-        ready = rest.join(waiting.select(F.col("need").alias("stage")).distinct(), "stage", "left_anti")
+        waiting = edges if placed is None else _met(edges, placed.select("stage"), "left_anti")
+        rest = known if placed is None else _met(known, placed.select("stage"), "left_anti")
+        ready = _met(rest, waiting.select(F.col("need").alias("stage")).distinct(), "left_anti")
         if placed is None:
             paths = ready
         else:
-            through = edges.join(placed, "stage").groupBy(F.col("need").alias("stage")).agg(F.min(F.concat("path", F.array("ord"))).alias("through"))
-            paths = ready.join(through, "stage", "left").select("stage", F.least("path", "through").alias("path"))
+            through = _met(edges, placed).groupBy(F.col("need").alias("stage")).agg(F.min(F.concat("path", F.array("ord"))).alias("through"))
+            paths = _met(ready, through, "left").select("stage", F.least("path", "through").alias("path"))
         paths = materialise(paths, "run-order")
         if not paths.count():
             break
@@ -72,7 +77,7 @@ def run_order(stages: DataFrame, needs: DataFrame, wanted: DataFrame) -> DataFra
     if placed is None or placed.count() < n:
         if n == 0:
             return inside.select("stage", F.lit(0).cast("long").alias("at"))
-        left = edges if placed is None else edges.join(placed.select("stage"), "stage", "left_anti")
+        left = edges if placed is None else _met(edges, placed.select("stage"), "left_anti")
         raise ValueError(f"cycle among {', '.join(_members(left))}")
     key = F.concat("path", F.array(F.lit(LAST)))
     ranged = materialise(placed.select("stage", key.alias("key")).repartitionByRange("key").withColumn("__tile", F.spark_partition_id()).withColumn("all", F.lit(1)), "run-order")

@@ -45,3 +45,15 @@ def test_cycles_and_unknown_stages_are_errors(spark):
         ordered(spark, {"a": ["zz"]}, ["a"])
     stages, needs, wanted = tables(spark, depends, ["g"])
     assert sorted(r.stage for r in dp.closure(needs, wanted).collect()) == ["a", "b", "c", "d", "e", "g"]
+
+
+def test_no_join_of_the_rounds_broadcasts(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name, own=dp.materialise):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df, name)
+
+    monkeypatch.setattr(dp, "materialise", kept)
+    assert ordered(spark, {"a": ["b", "c"], "b": ["c"], "c": []}, ["a"]) == ["c", "b", "a"]
+    assert sum("Join" in p for p in plans) > 5 and not any("BroadcastExchange" in p for p in plans)
