@@ -310,7 +310,8 @@ def bootstrap_bounds(detected: DataFrame, keys: Sequence[str] = ("n", "depth"),
 def paired_models(replicates: DataFrame, models: Sequence[str], keys: Sequence[str] = ("n", "depth"), value: str = "auc") -> DataFrame:
     """Difference of two models over the same replicates: mean, quantiles, and how often it is above 0, 0.03 and 0.05."""
     a, b = models
-    wide = replicates.groupBy("template", "sim", *keys).pivot("model", [a, b]).agg(F.first(value)).withColumn("d", F.col(b) - F.col(a))
+    of = lambda model: F.first(F.when(F.col("model") == model, F.col(value)), ignorenulls=True)
+    wide = replicates.groupBy("template", "sim", *keys).agg((of(b) - of(a)).alias("d"))
     over = lambda t: F.avg(F.when(F.col("d").isNotNull(), (F.col("d") > t if t == 0 else F.col("d") >= t).cast("double")))
     return wide.groupBy(*keys).agg(F.count("d").alias("n_pairs"), F.avg("d").alias("mean_diff"), F.percentile("d", 0.025).alias("q025"), F.percentile("d", 0.975).alias("q975"), over(0).alias("p_above_0"), over(0.03).alias("p_above_3"), over(0.05).alias("p_above_5"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows that a task groups at a time where nearly each is a group of its own.
+GROUPED_ROWS = 500_000
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` of about so many ``rows`` dealt out by ``keys`` in parts of bounded size, at least as many as a shuffle has."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // GROUPED_ROWS)), *keys)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: what is read more than once is computed once, and its lineage ends."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

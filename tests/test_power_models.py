@@ -132,3 +132,15 @@ def test_power_is_worked_out_once_for_equal_sites(spark, monkeypatch):
     # three sites of few samples, at two levels
     assert np.allclose(got, want, equal_nan=True) and list(got.isna()) == [False] * 1500 + [True] * 1500
     assert max(sizes) < 1100  # rows with nulls are not alike
+
+
+def test_paired_lines_are_grouped_in_parts_of_bounded_size(spark, monkeypatch):
+    from cohortry import session
+    from cohortry.plans import model_queries
+
+    monkeypatch.setattr(session, "GROUPED_ROWS", 500)
+    out = model_queries.paired_model_difference(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one exchange of lines by their replicate, in 12 or more parts of 6,000 lines, and the one of the summary
+    assert plan.count("Exchange hashpartitioning") == 2 and "pivotfirst" not in plan.lower()
+    assert session.spread(spark.range(10), ["id"], 6000).rdd.getNumPartitions() == 12
