@@ -12,13 +12,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +28,26 @@ from cohortry.llm.common import materialise, out_batch, slices, texts
 KINDS = ("email", "ip", "card", "phone")
 EMAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EMAIL_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Kind of the spans that the corpus adds.
 TERM = "term"
 WORD = re.compile(r"[^\W\d_]+")
+#: The blanks that texts are cut at.
+BLANKS = " \t\n\r\x0b\x0c"
 #: Bytes of text a task works on at a time.
 SLICE = 1_000_000
-#: Bits of the tables that spare most words of the corpus the way to a join, the same size whatever they hold.
+#: Bytes of text whose pieces between blanks are told apart at a time; the more, the fewer are looked at twice.
+PIECES_SLICE = 8_000_000
+#: ASCII marks that no word has.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bits of the table that spares most texts the way to a join, the same size whatever it holds.
 TABLE_LOG2 = 22
+#: Terms that are looked for at a time: so many 64-bit numbers go to every task.
+TERMS_AT_ONCE = 4_000_000
+#: Pieces that are searched for in a text without identifiers by themselves: how many at most, and how long.
+FEW_PIECES, LONG_PIECE = 8, 100
 
 
 def luhn(digits: str) -> bool:
@@ -84,8 +94,13 @@ def entity(text: str, kind: int, a: int, b: int) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}".encode()) - 2**63
 
 
+def hashed(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.lower().encode(), 1)
+
+
 def term(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.lower().encode(), 1) - 2**63
+    """A word's value as a signed 64-bit number, whatever its case."""
+    return hashed(word) - 2**63
 
 
 def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
@@ -101,23 +116,84 @@ def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tupl
             yield m[0], m.start(), m.end()
 
 
-class Memory(dict):
-    """The terms of each piece of text between blanks that a table of wanted terms lets through; it forgets when it grows large."""
+def spans_of_texts(column: pa.Array) -> list[list[tuple[int, int, int]]]:
+    """:func:`base_spans` of every text. Only texts with a digit or an @ can have any."""
+    maybe = pc.or_(pc.match_substring(column, "@"), pc.match_substring_regex(column, "[0-9]"))
+    return [base_spans(t.as_py()) if m else [] for t, m in zip(column, maybe.to_pylist(), strict=True)]
 
-    def __init__(self, table: np.ndarray):
-        super().__init__()
-        self.table = np.unpackbits(table).astype(bool)
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) > 200_000:
-            self.clear()
-        terms = map(term, WORD.findall(piece))
-        self[piece] = tuple(t for t in terms if self.table[(t & (2**64 - 1)) >> (64 - TABLE_LOG2)])
-        return self[piece]
+class Wanted:
+    """Where wanted terms, given as sorted unsigned numbers, stand in texts.
 
-    def terms(self, text: str) -> set[int]:
-        """The wanted terms of a text; no word goes over a blank."""
-        return set().union(*map(self.__getitem__, set(text.split())))
+    The different pieces of text between blanks are searched for words once each; no word goes over a blank.
+    """
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+
+    def known(self, found: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the found terms are wanted, and each one's place among the wanted ones."""
+        hashes = np.array(found, np.uint64)
+        if not len(self.terms):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        return self.terms[at] == hashes, at
+
+    def search(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The different pieces, and of each wanted term of a piece in order: piece and term; of each occurrence of such a piece: row and piece."""
+        lists = pc.ascii_split_whitespace(column)
+        coded = lists.values.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        owners, found = [], []
+        for i, piece in enumerate(pieces):
+            word = piece if piece.isalpha() else piece.strip(MARKS)
+            if word.isalpha():
+                found.append(hashed(word))
+                owners.append(i)
+            else:
+                for word in WORD.findall(piece):
+                    found.append(hashed(word))
+                    owners.append(i)
+        good, terms = self.known(found)
+        owners, terms = np.array(owners, np.int64)[good], terms[good]
+        codes = coded.indices.to_numpy()
+        held = np.zeros(len(pieces), bool)
+        held[owners] = True
+        hits = np.flatnonzero(held[codes])
+        return pieces, owners, terms, np.searchsorted(lists.offsets.to_numpy(), hits, side="right") - 1, codes[hits].astype(np.int64)
+
+
+def places_in(text: str, spans: list[tuple[int, int, int]], pieces: set[str], wanted: Wanted) -> list[tuple[int, int]]:
+    """Places of the wanted words of a text, outside identifiers; ``pieces`` has the pieces between blanks that hold any."""
+    if spans or len(pieces) > FEW_PIECES or max(map(len, pieces)) > LONG_PIECE:
+        words = list(words_outside(text, spans))
+    else:
+        words = []
+        for piece in pieces:
+            inside, at = [(m[0], m.start(), m.end()) for m in WORD.finditer(piece)], text.find(piece)
+            while at >= 0:
+                end = at + len(piece)
+                if (at == 0 or text[at - 1] in BLANKS) and (end == len(text) or text[end] in BLANKS):
+                    words += [(w, at + a, at + b) for w, a, b in inside]
+                at = text.find(piece, at + 1)
+    good, _ = wanted.known([hashed(w) for w, _, _ in words])
+    return [(words[i][1], words[i][2]) for i in np.flatnonzero(good)]
+
+
+def in_ranges(terms: DataFrame, at_once: int) -> list[DataFrame]:
+    """``terms`` in ranges of about ``at_once`` rows, one range if there are no more."""
+    count = terms.count()
+    if count <= at_once:
+        return [terms]
+    n = -(-count // at_once)
+    cuts = terms.agg(F.percentile_approx("term", [i / n for i in range(1, n)], 10_000)).first()[0]
+    edges = zip([None, *cuts], [*cuts, None], strict=True)
+    return [terms.where(((F.col("term") > low) if low is not None else F.lit(True)) & ((F.col("term") <= high) if high is not None else F.lit(True))) for low, high in edges]
+
+
+def sorted_terms(terms: DataFrame) -> np.ndarray:
+    """The terms of one range as sorted unsigned numbers."""
+    return np.sort(terms.select("term").distinct().toArrow().column("term").to_numpy().view(np.uint64) ^ np.uint64(2**63))
 
 
 def bit_table(wanted: DataFrame, column: str) -> np.ndarray:
@@ -134,8 +210,8 @@ def mentions(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, limit=SLICE):
-                held = zip(piece.column("text").to_pylist(), piece.column("text_hash").to_pylist(), strict=True)
-                found = [(e, h) for text, h in held for e in {entity(text, k, a, b) for a, k, b in base_spans(text)}]
+                held = zip(piece.column("text"), piece.column("text_hash"), spans_of_texts(piece.column("text")), strict=True)
+                found = [(e, h.as_py()) for text, h, spans in held if spans for e in {entity(text.as_py(), k, a, b) for a, k, b in spans}]
                 yield out_batch(entity=pa.array([e for e, _ in found], pa.int64()), text_hash=pa.array([h for _, h in found], pa.int64()))
 
     return docs.mapInArrow(run, "entity long, text_hash long").groupBy("entity", "text_hash").agg(F.count(F.lit(1)).alias("n"))
@@ -194,32 +270,45 @@ def companions(docs: DataFrame, seen: DataFrame, rows: int, share: float, least_
     chance = F.lit(float(rows)) / F.col("n_entity")
     bound = F.least(F.ceil(chance * F.col("n_both")) - 1, F.floor(F.pow(chance, F.lit(1 - share)) * F.col("n_both") * (1 + 1e-12)))
     most = met.join(known, "entity_kind").groupBy("kind").agg(F.max(bound).alias("most"))
-    return terms.join(most, "kind").select("term", "most")
-
-
-def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``term`` and ``n``: in how many rows of ``docs`` each wanted term occurs outside identifiers."""
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "term"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, counts = Memory(shared.value), Counter()
-        for batch in batches:
-            for piece in slices(batch, limit=SLICE):
-                for text in piece.column("text").to_pylist():
-                    found, spans = memory.terms(text), base_spans(text)
-                    if found and spans:
-                        found = {t for w, _, _ in words_outside(text, spans) for t in memory[w]}
-                    counts.update(found)
-                if len(counts) > 300_000:
-                    yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
-                    counts.clear()
-        yield out_batch(term=pa.array(list(counts), pa.int64()), n=pa.array(list(counts.values()), pa.int64()))
-
-    counted = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return counted.join(wanted.select("term").distinct(), "term")
-
-
-def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> DataFrame:
+    # a term is in as many documents at least as in texts beside entities
+    return terms.join(most, "kind").where(F.col("kind.n_texts") <= F.col("most")).select("term", "most")
+
+
+def document_counts(docs: DataFrame, wanted: DataFrame, at_once: int | None = None) -> DataFrame:
+    """``term`` and ``n``: in how many rows of ``docs`` each wanted term occurs outside identifiers. A task sends a row for a term at most."""
+
+    def counter(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            some = Wanted(shared.value)
+            counts = np.zeros(len(some.terms), np.int64)
+            for batch in batches:
+                for piece in slices(batch, limit=PIECES_SLICE):
+                    column = piece.column("text")
+                    _, owners, terms, rows, codes = some.search(column)
+                    first, last = np.searchsorted(owners, codes), np.searchsorted(owners, codes, side="right")
+                    many = last - first
+                    at = terms[np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())]
+                    spans = spans_of_texts(column)
+                    touched = np.array([bool(s) for s in spans])
+                    in_row = np.repeat(rows, many)
+                    plain = ~touched[in_row]
+                    counts += np.bincount(np.unique(in_row[plain] * len(counts) + at[plain]) % max(len(counts), 1), minlength=len(counts))
+                    for row in np.unique(in_row[~plain]).tolist():
+                        good, found = some.known([hashed(w) for w in {w for w, _, _ in words_outside(column[row].as_py(), spans[row])}])
+                        counts[np.unique(found[good])] += 1
+            some_counted = np.flatnonzero(counts)
+            yield out_batch(term=(some.terms[some_counted] ^ np.uint64(2**63)).view(np.int64), n=counts[some_counted])
+
+        return run
+
+    spark, counted = docs.sparkSession, []
+    for part in in_ranges(wanted, at_once or TERMS_AT_ONCE):
+        found = docs.select("text").mapInArrow(counter(spark.sparkContext.broadcast(sorted_terms(part))), "term long, n long")
+        counted.append(found.groupBy("term").agg(F.sum("n").alias("n")))
+    return reduce(DataFrame.unionByName, counted)
+
+
+def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3, at_once: int | None = None) -> DataFrame:
     """The disclosing terms, each once (``term``), of ``docs`` (columns text and text_hash).
 
     A term discloses an entity if both meet in at least ``least_texts`` different texts and their pointwise mutual
@@ -229,7 +318,7 @@ def disclosing(docs: DataFrame, share: float = 0.8, least_texts: int = 3) -> Dat
     rows = docs.count()
     seen = materialise(mentions(docs), "pii-mentions", rows)
     met = materialise(companions(docs, seen, rows, share, least_texts), "pii-companions", rows)
-    return document_counts(docs, met).join(met, "term").where("n <= most").select("term")
+    return document_counts(docs, met, at_once).join(met, "term").where("n <= most").select("term")
 
 
 def spans_of(base: list[tuple[int, int, int]], added: list[tuple[int, int]]) -> str:
@@ -247,50 +336,49 @@ def sanitised(text: str, base: list[tuple[int, int, int]], added: list[tuple[int
     return "".join(out) + text[at:]
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = 0.8, least_texts: int = 3, generalise: bool = True, with_text: bool = True) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = 0.8, least_texts: int = 3, generalise: bool = True, with_text: bool = True, at_once: int | None = None) -> DataFrame:
     """Every row's identifiers and disclosing words.
 
     Columns: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``n_term``, ``base_sha256``, ``spans`` and, if wanted,
     ``clean_text``. A disclosing word is marked wherever it occurs, upper or lower case, but for words that touch an
     identifier, which goes as a whole. A null text counts as empty and has no spans; repeated rows stay repeated, null
     ids stay null, and an empty table gives no rows. Further columns are left behind.
-    """
-    rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    telling = materialise(disclosing(rows, share, least_texts), "pii-terms")
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(telling, "term"))
-    columns = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "base"] + ["text"] * with_text
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string" + ", text string" * with_text + ", row long, places array<struct<term:long,start:long,end:long>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, part, number = Memory(shared.value), TaskContext.get().partitionId(), 0
-        place = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            for piece in slices(batch, limit=SLICE):
-                held = piece.column("text").to_pylist()
-                spans = [base_spans(t) for t in held]
-                counts = {f"n_{k}": pa.array([sum(s[1] == i for s in each) for each in spans], pa.int64()) for i, k in enumerate(KINDS)}
-                base = [spans_of(s, []) for s in spans]
-                maybe = [[{"term": x, "start": a, "end": b} for w, a, b in words_outside(t, s) for x in memory[w]] if memory.terms(t) else None for t, s in zip(held, spans, strict=True)]
-                more = {"text": piece.column("text")} if with_text else {}
-                ids = np.arange(number, number + len(held)) | part << 40
-                number += len(held)
-                yield out_batch(doc_id=piece.column("doc_id"), **counts, base_sha256=pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()), base=pa.array(base, pa.string()), **more, row=ids, places=pa.array([m or None for m in maybe], place))
-
-    # written once, so that a row's number stays with it; the table of bits lets few other words through
-    scanned = materialise(rows.select("doc_id", "text").mapInArrow(run, schema), "pii-rows")
-    exact = scanned.where("places is not null").select("row", F.inline("places")).join(telling, "term", "left_semi")
-    found = exact.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms"))
-    joined = scanned.drop("places").join(found, "row", "left").select(*columns, "terms")
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {c: batch.column(c) for c in batch.schema.names if c not in ("base", "terms", "text")}
-            split = [[(int(a), KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in base.split(",") if x)] for base in batch.column("base").to_pylist()]
-            terms = [[(t["start"], t["end"]) for t in ts or ()] for ts in batch.column("terms").to_pylist()]
-            columns["n_term"] = pa.array([len(t) for t in terms], pa.int64())
-            columns["spans"] = pa.array([spans_of(b, t) for b, t in zip(split, terms, strict=True)], pa.string())
-            if with_text:
-                columns["clean_text"] = pa.array([sanitised(x, b, t, generalise) for x, b, t in zip(batch.column("text").to_pylist(), split, terms, strict=True)], pa.string())
-            yield out_batch(**columns)
-
-    return joined.mapInArrow(merge, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_term long, spans string" + (", clean_text string" if with_text else ""))
+    A task looks for about ``at_once`` terms, each a number of eight bytes, and so is the driver's share; if there are more,
+    the texts are gone through once for each so many. A place is no row of its own: it stays with its text.
+    """
+    rows = texts(docs, id_col, text_col)
+    telling = materialise(disclosing(rows.withColumn("text_hash", F.xxhash64("text")), share, least_texts, at_once), "pii-terms")
+    *earlier, last = (docs.sparkSession.sparkContext.broadcast(sorted_terms(part)) for part in in_ranges(telling, at_once or TERMS_AT_ONCE))
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_term long, spans string" + ", clean_text string" * with_text
+
+    def marked(shared, done: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            wanted = Wanted(shared.value)
+            for batch in batches:
+                for piece in slices(batch, limit=PIECES_SLICE):
+                    column = piece.column("text")
+                    spans = spans_of_texts(column)
+                    pieces, _, _, at, codes = wanted.search(column)
+                    terms = [[(t["start"], t["end"]) for t in ts] for ts in piece.column("terms").to_pylist()]
+                    holding: dict[int, set[str]] = {}
+                    for row, code in zip(at.tolist(), codes.tolist(), strict=True):
+                        holding.setdefault(row, set()).add(pieces[code])
+                    for row, some in holding.items():
+                        terms[row] += places_in(column[row].as_py(), spans[row], some, wanted)
+                    if not done:
+                        listed = pa.array([[{"start": a, "end": b} for a, b in ts] for ts in terms], batch.schema.field("terms").type)
+                        yield out_batch(doc_id=piece.column("doc_id"), text=column, terms=listed)
+                        continue
+                    counts = {f"n_{k}": pa.array([sum(s[1] == i for s in each) for each in spans], pa.int64()) for i, k in enumerate(KINDS)}
+                    base = pa.array([hashlib.sha256(spans_of(s, []).encode()).hexdigest() for s in spans], pa.string())
+                    more = {"clean_text": pa.array([sanitised(x.as_py(), s, t, generalise) for x, s, t in zip(column, spans, terms, strict=True)], pa.string())} if with_text else {}
+                    n_term = pa.array([len(t) for t in terms], pa.int64())
+                    yield out_batch(doc_id=piece.column("doc_id"), **counts, base_sha256=base, n_term=n_term, spans=pa.array([spans_of(s, t) for s, t in zip(spans, terms, strict=True)], pa.string()), **more)
+
+        return run
+
+    rows = rows.withColumn("terms", F.expr("cast(array() as array<struct<start:long,end:long>>)"))
+    for shared in earlier:
+        rows = materialise(rows.mapInArrow(marked(shared, False), rows.schema), "pii-marked")
+    return rows.mapInArrow(marked(last, True), schema)

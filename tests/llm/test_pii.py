@@ -5,6 +5,9 @@ import re
 import time
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from cohortry.llm import pii
 from cohortry.llm.common import table
 from cohortry.llm.queries import op9_pii
@@ -135,3 +138,33 @@ def test_awkward_rows(spark):
     assert sorted((r.doc_id or 0, r.n_email) for r in rows) == [(0, 1), (1, 0), (2, 0), (3, 1), (3, 1), (4, 1)]
     assert pii.find(docs.limit(0)).count() == 0
     assert pii.sanitised("at a@b.c now", [(3, 0, 8)], [(9, 12)], generalise=False) == "at  "
+
+
+def test_only_telling_words_make_places_and_none_is_a_row(spark):
+    docs = [(i, f"mail bob@site.org now {'w' * (i + 1)} the man of Zanzibar") for i in range(6)] + [(20 + i, f"the man of {'v' * (i + 1)} now") for i in range(60)]
+    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and found.where("n_term > 0").count() == 6
+
+
+def test_words_are_found_between_blanks_of_all_sorts():
+    rng = random.Random(7)
+    wanted = pii.Wanted(np.sort(np.array([pii.hashed(w) for w in ("ab", "É", "straße")], np.uint64)))
+    texts = ["".join(rng.choice(["ab", "AB", "é", "straße", "x", "-", ".", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\u3000", "_", "7", "@"]) for _ in range(rng.randrange(30))) for _ in range(5000)]
+    texts += [" ".join(["ab"] * 50), "a" * 200 + " ab", "ab " + "q" * 200 + "-ab", "xab ab abx", ""]
+    column = pa.array(["", *texts])[1:]
+    spans = pii.spans_of_texts(column)
+    assert spans == [pii.base_spans(t) for t in texts]
+    pieces, _, _, rows, codes = wanted.search(column)
+    some = defaultdict(set)
+    for row, code in zip(rows.tolist(), codes.tolist(), strict=True):
+        some[row].add(pieces[code])
+    for i, text in enumerate(texts):
+        want = [(a, b) for w, a, b in pii.words_outside(text, spans[i]) if w.lower() in ("ab", "é", "straße")]
+        assert sorted(pii.places_in(text, spans[i], some[i], wanted) if i in some else []) == want
+
+
+def test_terms_in_several_ranges_are_those_of_one(spark):
+    docs = spark.createDataFrame([(i, f"mail m{i % 3}@site.org {'w' * (i + 1)} near {('oak', 'elm', 'ash')[i % 3]} of {('fen', 'bog', 'moor')[i % 3]}") for i in range(18)] + [(50 + i, f"far {'v' * i} of") for i in range(60)], "doc_id long, text string")
+    one, several = (sorted(map(tuple, pii.find(docs, at_once=n).collect())) for n in (100, 2))
+    assert one == several and sum(r[6] for r in one) > 6 and len(pii.in_ranges(docs.selectExpr("doc_id as term"), 20)) == 4
