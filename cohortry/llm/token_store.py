@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,8 +102,10 @@ def documents_of(shard: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 #: Marks that end a word of letters; not the apostrophe, which can begin a pre-token with letters.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Two of the blanks that texts are cut at, in a row.
-PAIRS = ("  ", "\n\n", " \n", "\n ")
+#: What a text has that is encoded whole: spaces or line feeds in a row or at an end, or other blanks.
+WHOLE = "\\A[ \\n]|[ \\n][ \\n]|[ \\n]\\z|[\\t\\x0b-\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+#: Bytes of text whose chunks are told apart at a time; the more, the fewer are looked up twice.
+CHUNKS_SLICE = 8_000_000
 
 
 class ChunkEncoder(dict):
@@ -124,12 +127,12 @@ class ChunkEncoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(definition)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.model, self.code = self.tokenizer.model, "H" if np.dtype(dtype).itemsize == 2 else "I"
+        self.model, self.dtype, self.code = self.tokenizer.model, np.dtype(dtype), "H" if np.dtype(dtype).itemsize == 2 else "I"
         named = ByteLevel(add_prefix_space=False, use_regex=False)
         letters: dict[int, str] = {}
         for point in [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x10000, 0x40), *range(0x10000, 0x110000, 0x1000)]:
             letters |= zip(chr(point).encode(), named.pre_tokenize_str(chr(point))[0][0], strict=True)
-        self.letters, self.space = letters, letters[32]
+        self.letters, self.space = "".join(letters.get(b, "\0") for b in range(256)), letters[32]
 
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -139,32 +142,58 @@ class ChunkEncoder(dict):
         return array(self.code, [t.id for t in self.model.tokenize(lead + name)]).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        fed = chunk[:1] == "\n"
-        body = chunk.rstrip(MARKS)
-        word = body[1:] if fed else body
-        if word.isalpha():
-            found = self.bare("\n") + self.letters_ids(word, "") if fed else self.letters_ids(word, self.space)
-            found += self.bare(chunk[len(body) :])
+        if chunk.isalpha():
+            found = self.letters_ids(chunk, self.space)
         else:
-            found = self.ids(chunk if fed else " " + chunk)
+            fed = chunk[:1] == "\n"
+            body = chunk.rstrip(MARKS)
+            word = body[1:] if fed else body
+            if word.isalpha():
+                found = self.bare("\n") + self.bare(word) if fed else self[word]
+                if len(body) < len(chunk):
+                    found += self.bare(chunk[len(body) :])
+            else:
+                found = self.ids(chunk if fed else " " + chunk)
         self[chunk] = found
         return found
 
-    def bare(self, marks: str) -> bytes:
-        """Ids of marks that follow no space; kept under a name that no chunk has."""
-        name = " " + marks
+    def bare(self, start: str) -> bytes:
+        """Ids of marks or of a text's or line's first chunk, which follow no space; kept under a name that no chunk has."""
+        name = " " + start
         if name not in self:
-            self[name] = self.ids(marks)
+            self[name] = self.letters_ids(start, "") if start.isalpha() else self.ids(start)
         return self[name]
 
     def encode(self, some: list[str]) -> list[bytes]:
-        out = []
-        for text in some:
-            if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in PAIRS) or any(x in text for x in self.added) or len(text.split()) != text.count(" ") + text.count("\n") + 1:
-                out.append(self.ids(text) if text else b"")
-                continue
-            head, *chunks = text.replace("\n", " \n").split(" ")
-            out.append(self.ids(head) + b"".join(map(self.__getitem__, chunks)))
+        return self.encode_column(pa.array(some, pa.string()))
+
+    def encode_column(self, column: pa.Array) -> list[bytes]:
+        """Ids of every text. Each different chunk of the column is looked up once, and its ids are copied to where it stands."""
+        whole = pc.match_substring_regex(column, WHOLE)
+        for name in self.added:
+            whole = pc.or_(whole, pc.match_substring(column, name))
+        whole = whole.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.replace_substring(column.filter(pa.array(~whole)), "\n", " \n"), " ")
+        edges, heads = lists.offsets.to_numpy().astype(np.int64), iter(())
+        if len(lists):
+            heads = iter(lists.values.take(pa.array(edges[:-1])).to_pylist())
+            follows = np.ones(len(lists.values), bool)
+            follows[edges[:-1]] = False
+            coded = lists.values.filter(pa.array(follows)).dictionary_encode()
+            found, codes = list(map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False))), coded.indices.to_numpy()
+            sizes = np.array(list(map(len, found)), np.int64) // self.dtype.itemsize
+            begins, many = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            ids = np.frombuffer(b"".join(found), self.dtype)[np.repeat(begins - ends[:-1], many) + np.arange(ends[-1])]
+            edges = ends[edges - np.arange(len(edges))].tolist()
+        out, k = [], 0
+        for i, is_whole in enumerate(whole.tolist()):
+            if is_whole:
+                out.append(self.ids(column[i].as_py()))
+            else:
+                head = next(heads)
+                out.append((self.bare(head) if head else b"") + ids[edges[k] : edges[k + 1]].tobytes())
+                k += 1
         if len(self) > MEMORY_CHUNKS:
             self.clear()
         return out
@@ -174,16 +203,16 @@ class ChunkEncoder(dict):
 _ENCODERS: dict[tuple[str, type], ChunkEncoder] = {}
 
 
-def byte_bpe(path: str, dtype: type = np.uint16) -> Callable[[], Callable[[list[str]], list[bytes]]]:
+def byte_bpe(path: str, dtype: type = np.uint16) -> Callable[[], Callable[[pa.Array], list[bytes]]]:
     """A factory, called in each task, of the encoder for a byte-level BPE file. Only the driver reads the file."""
     with open(path, encoding="utf-8") as file:
         definition = file.read()
     name = hashlib.sha256(definition.encode()).hexdigest()
 
-    def make() -> Callable[[list[str]], list[bytes]]:
+    def make() -> Callable[[pa.Array], list[bytes]]:
         if (name, dtype) not in _ENCODERS:
             _ENCODERS[name, dtype] = ChunkEncoder(definition, dtype)
-        return _ENCODERS[name, dtype].encode
+        return _ENCODERS[name, dtype].encode_column
 
     return make
 
@@ -202,7 +231,7 @@ def _shard(part: int, shard: int, before: int, keys: list[int], sizes: list[int]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=[f.split()[0] for f in SHARD_SCHEMA.split(", ")])
 
 
-def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str]], list[bytes]]], vocabulary: int, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, parts: int | None = None) -> None:
+def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[pa.Array], list[bytes]]], vocabulary: int, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, parts: int | None = None) -> None:
     """Encode every text, append ``end_id`` and write the shards to ``folder`` in ascending order of keys, a folder for each part.
 
     Ids take two bytes if the vocabulary allows, else four. A null or empty text has the end id alone. Every row is a
@@ -220,8 +249,8 @@ def write(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[list[str
         shard = before = held = 0
         keys, sizes, payload = [], [], []
         for batch in batches:
-            for piece in slices(batch, limit=1_000_000):
-                for key, ids in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text").to_pylist()), strict=True):
+            for piece in slices(batch, limit=CHUNKS_SLICE):
+                for key, ids in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text")), strict=True):
                     n = len(ids) // np.dtype(dtype).itemsize + 1
                     if keys and held + n > SHARD_IDS:
                         yield _shard(part, shard, before, keys, sizes, payload, dtype)

@@ -2,6 +2,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from cohortry.llm import token_store as ts
@@ -37,6 +38,33 @@ def test_chunks_leave_ids_as_they_are():
     assert [np.frombuffer(g, np.uint16).tolist() for g in got] == whole_ids(texts)
 
 
+def test_a_word_is_encoded_once_whatever_marks_follow():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, name):
+            self.asked.append(name)
+            return self.model.tokenize(name)
+
+    with open(PATH, encoding="utf-8") as file:
+        encoder = ts.ChunkEncoder(file.read(), np.uint16)
+    encoder.model = Counted(encoder.model)
+    texts = ["zebra zebra, zebra. (zebra) zebra?!", "zebra: zebra; zebra"] * 50
+    assert [np.frombuffer(g, np.uint16).tolist() for g in encoder.encode(texts)] == whole_ids(texts)
+    assert len(encoder.model.asked) == 2  # at the start of a text and after a space
+
+
+def test_columns_are_encoded_as_their_whole_texts():
+    with open(PATH, encoding="utf-8") as file:
+        encoder = ts.ChunkEncoder(file.read(), np.uint16)
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace() and c not in (10, 32)]
+    texts = ["", "one", "a  b", "two words\nand more", *(f"x{c}y z" for c in blanks), "", "é ß, ü", " lead", "end\n", "<|endoftext|> b"]
+    assert [m.as_py() for m in ts.pc.match_substring_regex(pa.array([f"x{c}y" for c in blanks]), ts.WHOLE)] == [True] * len(blanks)
+    for column in (pa.array(["skipped", *texts])[1:], pa.array(texts, pa.large_string()), pa.array(["a  b", " "]), pa.array([], pa.string())):
+        assert [np.frombuffer(g, np.uint16).tolist() for g in encoder.encode_column(column)] == whole_ids(column.to_pylist())
+
+
 def test_index_is_minimal_and_perfect():
     rng = np.random.default_rng(2)
     for n in (1, 2, 3, 50, 5000):
