@@ -127,11 +127,13 @@ def atomic_union(samples: DataFrame) -> DataFrame:
 def protection_scores(windows: DataFrame, reads: DataFrame, step: int = 10, half: int = 60, low: int = 100, high: int = 220) -> DataFrame:
     """Window protection scores: chrom, start, end, name, ``wps`` (array in order of position) and ``mean_wps``.
 
-    At every position from start to end, both included, each read of a span (end - start + 1) from ``low`` to ``high``
-    that overlaps position +- ``half`` adds 1 if it spans that window and takes 1 off if it does not. Each read counts once.
+    At every ``step``-th position from start to end (each one with 1), both included, each read of a span (end - start + 1) from
+    ``low`` to ``high`` that overlaps position +- ``half`` adds 1 if it spans that window and takes 1 off if it does not. Each read
+    counts once.
 
     Different windows and reads, with their number, meet in tiles of positions. There a score comes from sorted ends: the reads that
-    begin before a place less those that end before it, so no row is made for a position or a pair.
+    begin before a place less those that end before it, so no row is made for a position or a pair. A place is scored once for all
+    windows of its tile.
     """
     spans = reads.where((F.col("end") - F.col("start") + 1).between(low, high) & F.col("chrom").isNotNull()).groupBy("chrom", "start", "end").agg(F.count(F.lit(1)).alias("n"))
     tile = lambda c: F.floor(c / SCORED)
@@ -151,10 +153,13 @@ def protection_scores(windows: DataFrame, reads: DataFrame, step: int = 10, half
             order = np.argsort(values)
             return np.concatenate([[0], np.cumsum(weights[order])])[np.searchsorted(values[order], limits, side)]
 
-        wide = r_end - r_start >= 2 * half
-        over = fewer(r_start, n, pos + half, "left") - fewer(r_end, n, pos - half, "right")
-        whole = fewer(r_start[wide] + half, n[wide], pos, "right") - fewer(r_end[wide] - half, n[wide], pos, "left")
-        lists = pa.LargeListArray.from_arrays(pa.array(np.append(before, sizes.sum())), pa.array(2 * whole - over)).cast(pa.list_(pa.int64()))
+        wide, base = r_end - r_start >= 2 * half, at[0] * SCORED if len(at) else 0
+        place = np.flatnonzero(np.bincount(pos - base, minlength=SCORED)) + base
+        over = fewer(r_start, n, place + half, "left") - fewer(r_end, n, place - half, "right")
+        whole = fewer(r_start[wide] + half, n[wide], place, "right") - fewer(r_end[wide] - half, n[wide], place, "left")
+        score = np.zeros(SCORED, np.int64)
+        score[place - base] = 2 * whole - over
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(before, sizes.sum())), pa.array(score[pos - base])).cast(pa.list_(pa.int64()))
         return pa.table({"chrom": chrom, "start": start, "end": end, "tile": at, "scores": lists})
 
     schema = "chrom string, start long, end long, tile long, scores array<long>"

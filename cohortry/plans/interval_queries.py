@@ -81,13 +81,13 @@ def interval_union_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {E}, {O}, w AS (SELECT chrom, start, start + 100 AS "end", 'w' || ord AS name FROM o), rd AS (SELECT chrom, start, "end" FROM e WHERE "end" - start + 1 BETWEEN 100 AND 220),
-s AS (SELECT chrom, start, "end", name, unnest(range(start, "end" + 1, 10)) AS pos FROM w), sc AS (SELECT s.chrom, s.start, s."end", s.name, s.pos, coalesce(sum(CASE WHEN rd.chrom IS NULL THEN 0 WHEN rd.start <= pos - 60 AND rd."end" >= pos + 60 THEN 1 ELSE -1 END), 0) AS score
+s AS (SELECT chrom, start, "end", name, unnest(range(start, "end" + 1)) AS pos FROM w), sc AS (SELECT s.chrom, s.start, s."end", s.name, s.pos, coalesce(sum(CASE WHEN rd.chrom IS NULL THEN 0 WHEN rd.start <= pos - 60 AND rd."end" >= pos + 60 THEN 1 ELSE -1 END), 0) AS score
 FROM s LEFT JOIN rd ON rd.chrom = s.chrom AND rd.start < pos + 60 AND rd."end" > pos - 60 GROUP BY ALL)
 SELECT chrom, start, "end", name, string_agg(score::VARCHAR, ',' ORDER BY pos) AS wps, round(avg(score) + 1e-9, 6) AS mean_wps FROM sc GROUP BY ALL""")
 def protection_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     windows = orders(spark, sf_dir).select("chrom", "start", (F.col("start") + 100).alias("end"), F.concat(F.lit("w"), "ord").alias("name"))
-    out = intervals.protection_scores(windows, e.select("chrom", "start", "end"))
+    out = intervals.protection_scores(windows, e.select("chrom", "start", "end"), step=1)
     return out.withColumn("wps", F.array_join(F.col("wps").cast("array<string>"), ",")).withColumn("mean_wps", F.round(F.col("mean_wps") + 1e-9, 6))
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.operators import fragments, intervals, matrix, models, power, provenance, quality, regions, stats
+from cohortry.plans import interval_queries
 
 
 def table(spark, rows, schema):
@@ -293,3 +294,31 @@ def test_protection_scores_equal_those_counted_pair_by_pair(spark):
     rows = [(r.chrom, r.start, r.end, r.name, tuple(r.wps), round(r.mean_wps, 9)) for r in got.collect()]
     assert sorted(rows, key=str) == sorted(want, key=str)
     assert "pos" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_protection_query_scores_every_position_of_every_window(spark):
+    sf = "/root/testdata/sf0.001"
+    held = {}
+    for r in interval_queries.events(spark, sf).where("end - start + 1 between 100 and 220").collect():
+        held.setdefault(r.chrom, []).append((r.start, r.end))
+    score = lambda c, p: sum(1 if a <= p - 60 and b >= p + 60 else -1 for a, b in held.get(c, ()) if a < p + 60 and b > p - 60)
+    got = interval_queries.protection_scores(spark, sf).collect()
+    assert len(got) == interval_queries.orders(spark, sf).count()
+    assert all(len(r.wps.split(",")) == r.end - r.start + 1 == 101 for r in got)
+    for r in sorted(got, key=lambda r: r.name)[:200]:
+        assert r.wps == ",".join(str(score(r.chrom, p)) for p in range(r.start, r.end + 1))
+
+
+def test_protection_scores_at_each_step_across_tiles(spark):
+    rng = np.random.default_rng(9)
+    reads = [("c", int(a), int(a + w)) for a, w in zip(rng.integers(0, 40_000, 3000), rng.integers(90, 240, 3000), strict=True)]
+    windows = [("c", 16_350, 16_420, "over"), ("c", 16_383, 16_384, "edge"), ("c", 5, 33_000, "long"), ("c", -70, -3, "before")]
+    for step in (1, 7):
+        got = intervals.protection_scores(table(spark, windows, "chrom string, start long, end long, name string"), table(spark, reads, BED), step=step)
+        for r in got.collect():
+            at = np.arange(r.start, r.end + 1, step)
+            want = np.zeros(len(at), np.int64)
+            for _, x, y in reads:
+                if 100 <= y - x + 1 <= 220:
+                    want += np.where((x < at + 60) & (y > at - 60), np.where((x <= at - 60) & (y >= at + 60), 1, -1), 0)
+            assert r.wps == want.tolist()
