@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,10 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 500_000
 #: Rows of a few numbers that a file of an intermediate table takes at least, where their number is known.
 ROWS_A_FILE = 100_000
+#: Whether Spark removes the shuffle files of an action when it ends; else they stay until the driver happens to collect its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: For each block of :func:`passing` around a call, the tables that go with it.
+_PASSING: ContextVar[tuple[list[tuple[SparkSession, str]], ...]] = ContextVar("passing", default=())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,16 +40,55 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """The folder ``path``, in whatever store it is, is no longer there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def passing() -> Iterator[None]:
+    """What :func:`materialise` writes inside is removed when the block ends (a decorator's block is a call), but for tables that stay.
+
+    What leaves the block must not read the removed tables any more: it is a table that stays, or no table.
+    """
+    token = _PASSING.set((*_PASSING.get(), []))
+    try:
+        yield
+    finally:
+        written = _PASSING.get()[-1]
+        _PASSING.reset(token)
+        for spark, path in written:
+            with suppress(Exception):  # an intermediate table that can't be removed spoils no result
+                remove(spark, path)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside are removed as soon as it ends."""
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None, stays: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is cut, and a lost executor loses nothing.
 
-    Where the number of rows is about known, no more files are written than they fill.
+    Where the number of rows is about known, no more files are written than they fill. Shuffle files of the write are removed
+    when it ends; the table goes with the block of :func:`passing` it is written in, or if it ``stays`` with the block around that.
     """
     if rows is not None:
         df = df.coalesce(1 + rows // ROWS_A_FILE)
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for goes in _PASSING.get()[: -1 if stays else None][-1:]:
+        goes.append((spark, path))
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

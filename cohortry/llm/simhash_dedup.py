@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import free_name, materialise, out_batch, slices, texts
+from cohortry.llm.common import free_name, materialise, out_batch, passing, slices, texts
 from cohortry.llm.components import components
 from cohortry.llm.wordhash import ngram_hashes, word_hashes
 
@@ -361,6 +361,7 @@ def set_fingerprints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+@passing()
 def frequent_shingles(rows: DataFrame, shingle: int, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, ascending, and counts of shingles that repeat in a sample of the ``total`` texts.
 
@@ -409,6 +410,7 @@ def alike(a: Column, b: Column, share: Fraction) -> Column:
     return (bottom * F.least(n, m) >= top * F.greatest(n, m)) & ((top + bottom) * F.least(n - i, m - j) >= top * (n + m))
 
 
+@passing()
 def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction, total: int) -> DataFrame:
     """The ``pairs`` (columns ``a``, ``b``: names of sets of the ``total`` texts) whose Jaccard similarity, counted exactly, is at
     least ``share``."""
@@ -431,7 +433,7 @@ def verified(rows: DataFrame, pairs: DataFrame, shingle: int, share: Fraction, t
     sets = materialise(sets.groupBy("node").agg(F.first("own").alias("own")), "shingle-sets", total * TEXT_ROWS)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b")
     both = both.select("a", "b", F.size(F.array_intersect("one", "two")).cast("long").alias("common"), (F.size("one") + F.size("two")).cast("long").alias("total"))
-    return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links", total * 8)
+    return materialise(both.where(F.col("common") * share.denominator >= (F.col("total") - F.col("common")) * share.numerator).select("a", "b"), "set-links", total * 8, stays=True)
 
 
 def largest_partner(share: Fraction) -> Column:
@@ -440,6 +442,35 @@ def largest_partner(share: Fraction) -> Column:
     return F.expr(f"((n - at) * {top + bottom} - n * {top}) div {top}")
 
 
+@passing()
+def open_pairs(met: DataFrame, linked: DataFrame, share: Fraction, total: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets with a rare shingle in common (``met``: token, node, n, at) that may reach ``share`` and that
+    the links ``linked`` do not bring together."""
+    labels = components(linked).select(F.col("node").alias("known"), F.col("root").alias("label"))
+    open_ = met.join(labels, F.col("node") == F.col("known"), "left").select("token", "node", "n", "at", F.coalesce("label", "node").alias("label"), largest_partner(share).alias("most"))
+    open_ = materialise(open_, "labelled-shingles", total * TEXT_ROWS)
+    apart = open_.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+    open_ = open_.join(apart, "token")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
+    least = F.ceil(F.col("n") * share.numerator / share.denominator - 1e-9)
+    # of two sets the smaller goes by its own size, the larger to all sizes that a smaller partner can have
+    smaller = open_.where("most >= n").withColumn("size", size_class(F.col("n"))).withColumn("large", F.lit(False))
+    larger = open_.where(F.col("most") >= least).withColumn("size", F.explode(F.sequence(size_class(least), size_class(F.least("n", "most"))))).withColumn("large", F.lit(True))
+    roles = materialise(smaller.unionByName(larger).select("token", "size", "large", "label", F.struct("node", "n", "at").alias("x")), "shingle-roles", total * TEXT_ROWS)
+    several = roles.groupBy("token", "size").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count_if(~F.col("large")).alias("few"), F.count(F.lit(1)).alias("many")).where("low <> high and few > 0")
+    deals = several.select("token", "size", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
+    chunk = F.pmod(F.xxhash64("x.node"), F.col("deals")).alias("chunk")
+    chunks = roles.join(deals, ["token", "size"]).groupBy("token", "size", "large", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
+    chunks = materialise(chunks, "shingle-chunks", total * TEXT_ROWS)
+    left = chunks.where("not large").select("token", "size", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
+    right = chunks.where("large").select("token", "size", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
+    fits = lambda x, y: ((x["n"] < y["n"]) | (x["n"] == y["n"]) & (x["node"] < y["node"])) & alike(x, y, share)
+    met_again = left.join(right, ["token", "size", "deal"]).where((F.col("one") != F.col("two")) & F.exists("xs", lambda x: F.exists("ys", lambda y: fits(x, y))))
+    pairs = met_again.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")).where(fits(F.col("x"), F.col("y")))
+    return materialise(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "open-pairs", total * 8, stays=True)
+
+
+@passing()
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:
     """``doc_id``, ``component_id`` of every row: groups of texts whose sets of ``shingle``-word shingles are linked.
 
@@ -470,7 +501,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = materialise(rows.mapInArrow(run, "doc_id long, node long, n long, rare array<long>, fp long"), "rare-shingles", total * TEXT_ROWS)
     nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("rare").alias("rare"))
     places = nodes.select("node", "n", F.posexplode("rare").alias("at", "token"))
-    tokens = places.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
+    # a set holds a shingle once; written down, so that the shuffles that count are gone when the places meet
+    tokens = materialise(places.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("token"), "repeated-shingles", total * TEXT_ROWS)
     met = materialise(places.join(tokens, "token").select("token", "node", "n", "at"), "common-shingles", total * TEXT_ROWS)
     # a few sets, not the same ones for each shingle, are what the others of a large group are compared with first
     entries = (F.struct(F.xxhash64("node", F.lit(k), F.pmod("token", F.lit(4))).alias("h"), "node", "n", "at") for k in range(HUBS))
@@ -484,33 +516,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near = links(prints, radius).join(prints.select(F.col("fp").alias("a"), F.col("least").alias("one")), "a").join(prints.select(F.col("fp").alias("b"), F.col("least").alias("two")), "b")
     first = verified(rows, beside.union(same).union(near.select("one", "two")), shingle, share, total)
 
-    labels = components(first).select(F.col("node").alias("known"), F.col("root").alias("label"))
-    open_ = met.join(labels, F.col("node") == F.col("known"), "left").select("token", "node", "n", "at", F.coalesce("label", "node").alias("label"), largest_partner(share).alias("most"))
-    open_ = materialise(open_, "labelled-shingles", total * TEXT_ROWS)
-    apart = open_.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    open_ = open_.join(apart, "token")
-    size_class = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
-    least = F.ceil(F.col("n") * share.numerator / share.denominator - 1e-9)
-    # of two sets the smaller goes by its own size, the larger to all sizes that a smaller partner can have
-    smaller = open_.where("most >= n").withColumn("size", size_class(F.col("n"))).withColumn("large", F.lit(False))
-    larger = open_.where(F.col("most") >= least).withColumn("size", F.explode(F.sequence(size_class(least), size_class(F.least("n", "most"))))).withColumn("large", F.lit(True))
-    roles = materialise(smaller.unionByName(larger).select("token", "size", "large", "label", F.struct("node", "n", "at").alias("x")), "shingle-roles", total * TEXT_ROWS)
-    several = roles.groupBy("token", "size").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count_if(~F.col("large")).alias("few"), F.count(F.lit(1)).alias("many")).where("low <> high and few > 0")
-    deals = several.select("token", "size", F.ceil(F.col("many") / F.lit(BUCKET_ROWS)).cast("int").alias("deals"))
-    chunk = F.pmod(F.xxhash64("x.node"), F.col("deals")).alias("chunk")
-    chunks = roles.join(deals, ["token", "size"]).groupBy("token", "size", "large", "deals", "label", chunk).agg(F.collect_list("x").alias("xs"))
-    chunks = materialise(chunks, "shingle-chunks", total * TEXT_ROWS)
-    left = chunks.where("not large").select("token", "size", F.pmod(F.xxhash64("label", "chunk"), F.col("deals")).cast("int").alias("deal"), F.col("label").alias("one"), "xs")
-    right = chunks.where("large").select("token", "size", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.col("label").alias("two"), F.col("xs").alias("ys"))
-    fits = lambda x, y: ((x["n"] < y["n"]) | (x["n"] == y["n"]) & (x["node"] < y["node"])) & alike(x, y, share)
-    met_again = left.join(right, ["token", "size", "deal"]).where((F.col("one") != F.col("two")) & F.exists("xs", lambda x: F.exists("ys", lambda y: fits(x, y))))
-    pairs = met_again.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")).where(fits(F.col("x"), F.col("y")))
-    second = verified(rows, pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), shingle, share, total)
+    again = open_pairs(met, first, share, total)
+    second = verified(rows, again, shingle, share, total)
 
     roots = components(first.unionByName(second)).withColumnRenamed("root", "label")
     own = marked.select("doc_id", "node").join(roots, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
     least_id = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return own.join(least_id, "label").select("doc_id", "component_id")
+    return materialise(own.join(least_id, "label").select("doc_id", "component_id"), "similar-documents", total, stays=True)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
